@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, fingerprints, licences
+from . import chat, exact_dedup, fingerprints, licences, packing, word_bpe
 
 QUERIES = {
     "op2_license_scan": licences.query,
+    "op3_chat_format": chat.query,
     "op5_exact_dedup": exact_dedup.query,
+    "op6_packing": packing.query,
     "op8_fingerprints": fingerprints.query,
+    "op10_word_bpe": word_bpe.query,
 }
 SQL = {
     "op2_license_scan": licences.SQL,
+    "op3_chat_format": chat.SQL,
     "op5_exact_dedup": exact_dedup.SQL,
 }
