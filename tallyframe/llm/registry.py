@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat, exact_dedup, fingerprints, language, licences, packing, word_bpe
+from . import chat, exact_dedup, fingerprints, language, licences, packing, toxicity, word_bpe
 
 QUERIES = {
     "op2_license_scan": licences.query,
     "op3_chat_format": chat.query,
     "op5_exact_dedup": exact_dedup.query,
     "op6_packing": packing.query,
+    "op7_toxicity": toxicity.query,
     "op8_fingerprints": fingerprints.query,
     "op9_language_id": language.query,
     "op10_word_bpe": word_bpe.query,

@@ -27,15 +27,15 @@ def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: f
     return w[:-1], float(w[-1])
 
 
-def calibrate(f: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """a, c so that 1 / (1 + exp(-(a f + c))) is the chance of y = 1; targets are drawn in a little, so separable data have a finite answer."""
+def calibrate(f: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """w so that 1 / (1 + exp(-(f, 1) w)) is the chance of y = 1 for rows f; targets are drawn in a little, so separable data have a finite answer."""
     hi, lo = (y > 0).sum(), (y <= 0).sum()
     t = np.where(y > 0, (hi + 1) / (hi + 2), 1 / (lo + 2))
     x = np.column_stack((f, np.ones(len(f))))
-    w = np.array([1.0, 0.0])
+    w = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
-        step = np.linalg.solve(h, x.T @ (p - t))
-        w = w - step * min(1.0, 5 / (np.abs(step).max() + 1e-12))
-    return float(max(w[0], 1e-3)), float(w[1])
+        h = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(len(w))
+        step = np.linalg.solve(h, x.T @ (p - t) + 1e-3 * w)
+        w = w - step * min(1.0, 3 / (np.abs(step).max() + 1e-12))
+    return w
