@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
+from .arrow import slices
 from .byte_bpe import encoder
 from .common import table
 
@@ -148,9 +149,9 @@ def pack(docs: DataFrame, path: str) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=_ARROW)
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                stream.add(doc_id, np.concatenate((bpe.encode(text.as_py() or ""), end)))
+        for batch in (x for whole in batches for x in slices(whole, 1)):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), bpe.encode_many([t or "" for t in batch.column(1).to_pylist()]), strict=True):
+                stream.add(doc_id, np.concatenate((ids, end)))
                 if stream.n >= BLOCK:
                     yield from out(stream.settle(False))
         yield from out(stream.settle(True))

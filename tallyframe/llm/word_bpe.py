@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .arrow import slices
-from .byte_bpe import ODD
+from .byte_bpe import ODD, byte_letters
 from .common import table
 
 #: Words of the lexicon (its file stays below 32 MiB), words in memory in each worker, distinct words counted before they are sent on.
@@ -38,14 +38,6 @@ LEXICON_WORDS, MEMORY, COUNTED = 65_536, 400_000, 400_000
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
-def byte_letters() -> list[str]:
-    """The letter that byte-level BPE writes for each byte: printable ones stand for themselves, the others follow from U+0100."""
-    kept = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
-    rest = [b for b in range(256) if b not in kept]
-    of = {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(rest)}
-    return [of[b] for b in range(256)]
-
-
 class WordBpe:
     """Normalises, splits and merges as the vocabulary file says."""
 
