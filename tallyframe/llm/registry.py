@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat, exact_dedup, fingerprints, language, licences, packing, toxicity, word_bpe
+from . import chat, exact_dedup, fingerprints, language, licences, packing, suffix_dedup, toxicity, word_bpe
 
 QUERIES = {
     "op2_license_scan": licences.query,
     "op3_chat_format": chat.query,
+    "op4_suffix_dedup": suffix_dedup.query,
     "op5_exact_dedup": exact_dedup.query,
     "op6_packing": packing.query,
     "op7_toxicity": toxicity.query,
