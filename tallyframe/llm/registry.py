@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat, exact_dedup, fingerprints, language, licences, packing, suffix_dedup, toxicity, word_bpe
+from . import chat, exact_dedup, fingerprints, jaccard, language, licences, packing, suffix_dedup, toxicity, word_bpe
 
 QUERIES = {
+    "op1_ngram_jaccard": jaccard.query,
     "op2_license_scan": licences.query,
     "op3_chat_format": chat.query,
     "op4_suffix_dedup": suffix_dedup.query,
