@@ -40,6 +40,12 @@ def words(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE))
 
 
+def keep_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of docs whose doc_id is in ids (doc_id); null counts as an id."""
+    ids = ids.select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["kept_id"]), "left_semi")
+
+
 def key_filter(df: DataFrame, key: Column) -> DataFrame:
     """A one-hash filter of key as rows (bucket, bits): FILTER_BUCKETS rows of 4 KiB at most, so it may be broadcast."""
     at = F.pmod(F.xxhash64(key), F.lit(FILTER_BUCKETS * BITS))

@@ -12,7 +12,7 @@ and its text count as documents of their own and share its fate; other columns a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import SPACE, key_filter, maybe_in, scratch, stash, table
@@ -90,6 +90,17 @@ def differing(docs: DataFrame, placed: DataFrame, hits: DataFrame, digest) -> Da
     return stash(odd.select("digest", "body", F.sha2("body", 256).alias("text_sha256"), F.col("b.doc_id").alias("sub_keep"), "sub_size"))
 
 
+def distinct(docs: DataFrame) -> DataFrame:
+    """docs with one row of each group of equal texts: the one that stays; of rows that repeat its doc_id, one of the longest."""
+    no_id = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    kept = exact_dedup(docs.select("doc_id", "text")).where("kept").select(no_id.alias("ed_id"), F.col("text_sha256").alias("ed_sha")).distinct()
+    names = docs.columns
+    keyed = docs.select(*[F.col(c).alias(f"d{i}") for i, c in enumerate(names)], no_id.alias("ed_id"), F.sha2(normalised(F.col("text")), 256).alias("ed_sha"), F.length("text").alias("ed_n"))
+    first = Window.partitionBy("ed_id", "ed_sha").orderBy(F.desc("ed_n"))
+    one = keyed.join(kept, ["ed_id", "ed_sha"], "left_semi").withColumn("ed_copy", F.row_number().over(first)).where("ed_copy = 1")
+    return one.select(*[F.col(f"d{i}").alias(c) for i, c in enumerate(names)])
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 

@@ -164,6 +164,23 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     return cols.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
+def known(docs: DataFrame) -> DataFrame:
+    """docs without the rows that are rejected: those predicted `und`. Without any label to learn from, those without a letter."""
+    model, names = learn(docs), docs.columns
+    plain = docs.select(*[F.col(c).alias("text" if c == "text" else f"d{i}") for i, c in enumerate(names)]).withColumn("letter", has_letter())
+    at = names.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (x for whole in batches for x in slices(whole, at)):
+            letter = batch.column(len(names)).to_numpy(zero_copy_only=False).astype(bool)
+            langs, _ = model.decide(scores(*text_bytes(batch.column(at)), model.weights) + model.biases)
+            kept = letter & (np.array(langs, object) != "und")
+            yield batch.filter(pa.array(kept))
+
+    kept = plain.where("letter") if model is None else plain.mapInArrow(run, plain.schema)
+    return kept.select(*[F.col("text" if c == "text" else f"d{i}").alias(c) for i, c in enumerate(names)])
+
+
 def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, learn(docs))
 
