@@ -32,7 +32,7 @@ from .arrow import slices
 from .byte_bpe import ODD, byte_letters
 from .common import table
 
-#: Words of the lexicon (its file stays below 32 MiB), words in memory in each worker, distinct words counted before they are sent on.
+#: Words of the lexicon (its file stays below 16 MiB), words in memory in each worker, distinct words counted before they are sent on.
 LEXICON_WORDS, MEMORY, COUNTED = 65_536, 400_000, 400_000
 #: The vocabulary's pre-tokenizer pattern (in its public file), a fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -139,8 +139,8 @@ def compile_lexicon(words: list[bytes], ids: list[list[int]]) -> bytes:
     key, to, skip = np.array(rows, "<i8").reshape(-1, 3).T
     first = np.cumsum([0, *map(len, ids)])
     flat = [i for x in ids for i in x]
-    arrays = [np.ascontiguousarray(a, "<i8") for a in (key, to, skip, ends_of, first, flat)]
-    return b"".join([np.array([len(a) for a in arrays], "<i8").tobytes(), *[a.tobytes() for a in arrays]])
+    arrays = [np.ascontiguousarray(a, "<i4") for a in (key, to, skip, ends_of, first, flat)]
+    return b"".join([np.array([len(a) for a in arrays], "<i4").tobytes(), *[a.tobytes() for a in arrays]])
 
 
 class Lexicon:
@@ -149,7 +149,7 @@ class Lexicon:
     def __init__(self, path: str):
         if not os.path.getsize(path):
             raise ValueError("empty lexicon")
-        whole = np.memmap(path, "<i8", "r")
+        whole = np.memmap(path, "<i4", "r")
         at, got = 6, []
         for n in whole[:6]:
             got.append(whole[at : at + n])
@@ -172,7 +172,7 @@ class Lexicon:
             done = live[ended]
             out[done] = np.where(self.ends[state[done]] == 1, number[done], -1)
             live = live[~ended]
-            want = state[live] << 8 | text[start[live] + step]
+            want = (state[live] << 8 | text[start[live] + step]).astype(self.key.dtype)
             e = np.minimum(np.searchsorted(self.key, want), len(self.key) - 1)
             hit = self.key[e] == want
             live, e = live[hit], e[hit]
