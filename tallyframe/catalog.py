@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from .plans import games, quality, scalars, texts
+
+QUERIES = {name: q for m in (scalars, games, quality, texts) for name, q in m.Q.queries.items()}
+SQL: dict[str, str] = {name: s for m in (scalars, games, quality, texts) for name, s in m.Q.sql.items()}
