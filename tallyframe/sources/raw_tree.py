@@ -10,7 +10,7 @@ PLACE = r"/(\d{4}-\d{2}-\d{2})/([^/._][^/]*)/([A-Za-z]+?)(?:v2)?\.json(?:\.gz)?$
 
 def read(spark: SparkSession, root: str, day: str | None = None) -> DataFrame:
     """(day, game_id, endpoint, body) of each file; of one day only, if given, which prunes the listing. Both spellings of an endpoint (with and without v2) are one."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json*").text(f"{root}/{day}" if day else root)
+    files = spark.read.text(f"{root}/{day}" if day else root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json*")
     at = F.col("_metadata.file_path")
     out = files.select(*[F.regexp_extract(at, PLACE, i + 1).alias(n) for i, n in enumerate(("day", "game_id", "endpoint"))], F.col("value").alias("body"))
     return out.where("game_id <> '' and endpoint <> 'manifest'")
