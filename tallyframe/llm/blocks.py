@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Text bytes for each group that a shuffle deals to, and of a batch that is summed up before it is dealt.
-GROUP_BYTES, BATCH_BYTES = 16 << 20, 32 << 20
+#: Text bytes for each group that a shuffle deals to, of a batch that is summed up before it is dealt, and of a slice that is hashed at a time.
+GROUP_BYTES, BATCH_BYTES, SLICE_BYTES = 8 << 20, 8 << 20, 1 << 20
 
 
 def groups_for(docs: DataFrame, text: Column) -> int:

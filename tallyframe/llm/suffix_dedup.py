@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .arrow import slices, text_bytes
-from .blocks import BATCH_BYTES, by_key, gather, groups_for, pack, rows_of, runs, spread
+from .blocks import BATCH_BYTES, SLICE_BYTES, by_key, gather, groups_for, pack, rows_of, runs, spread
 from .common import stash, table
 
 #: Bytes of a repeat, bytes of an anchor, open contexts of one anchor in a group above which its strings meet one by one.
@@ -378,7 +378,7 @@ def apply(docs: DataFrame, finish, schema) -> DataFrame:
             for row in settle_batch(names, *[np.concatenate(x) for x in zip(*held, strict=True)], groups):
                 yield from rows_of(_DEALT, [row]).to_batches()
 
-        for batch in (x for b in batches for x in slices(b, 2)):
+        for batch in (x for b in batches for x in slices(b, 2, SLICE_BYTES)):
             data, start, sizes = text_bytes(batch.column(2))
             doc, *rest = contexts(data, start, sizes)
             held.append((doc + n, *rest))
