@@ -1,6 +1,6 @@
 """BPE encoding and decoding with a lexicon in a minimal acyclic transducer.
 
-Words are counted over all documents; the LEXICON_WORDS most frequent ones are compiled into a minimal acyclic automaton
+Words are counted over all documents; the most frequent ones, at most LEXICON_WORDS, are compiled into a minimal acyclic automaton
 whose states share suffixes. Each edge carries the number of words before it, so the sum along a word's path is the
 word's number, and a table gives its ids. The compiled form is one file of fixed size bound, broadcast, written once to
 each worker's temporary folder and memory-mapped. A batch's distinct words walk the automaton together, one step for each
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .arrow import slices
 from .byte_bpe import ODD, byte_letters
-from .common import table
+from .common import stash, table
 
 #: Words of the lexicon (its file stays below 16 MiB), words in memory in each worker, distinct words counted before they are sent on.
 LEXICON_WORDS, MEMORY, COUNTED = 65_536, 400_000, 400_000
@@ -229,12 +229,26 @@ def word_counts(docs: DataFrame, path: str) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(counts: DataFrame, most: int) -> list[bytes]:
+    """At most that many words: all whose count is in the highest classes (eight for each doubling) that hold no more words together.
+
+    Only the classes' sizes and the words themselves reach the driver.
+    """
+    classed = stash(counts.where(F.length("word") <= 64).withColumn("class", F.floor(8 * F.log2("n")).cast("int")))
+    least, have = None, 0
+    for r in sorted(classed.groupBy("class").agg(F.count("*").alias("n")).collect(), key=lambda r: -r["class"]):
+        have += r.n
+        if have > most:
+            break
+        least = r["class"]
+    return [] if least is None else [bytes(r.word) for r in classed.where(F.col("class") >= least).select("word").collect()]
+
+
 def encode(docs: DataFrame, path: str, lexicon_words: int = LEXICON_WORDS) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 for each row of docs (doc_id, text). path: the vocabulary's file."""
     spark = docs.sparkSession
-    frequent = word_counts(docs, path).where(F.length("word") <= 64).orderBy(F.desc("n"), "word").limit(lexicon_words)
     own = WordBpe(path)
-    words = sorted(bytes(r.word) for r in frequent.select("word").collect())
+    words = sorted(frequent_words(word_counts(docs, path), lexicon_words))
     data = spark.sparkContext.broadcast(compile_lexicon(words, [own.merge(w.decode(errors="surrogateescape")) for w in words]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
