@@ -10,8 +10,9 @@ substring of least hash, which depends on its bytes alone. An anchor and the str
 2. Entries meet by anchor. An anchor met once settles nothing; equal contexts after the first are repeats; others are open.
 3. Open contexts bring their bytes and meet by anchor: their strings' starts are put in suffix order, with common prefixes
    of neighbours, and the previous and next smaller positions in that order give each start's longest previous factor.
-   Strings of an anchor with more than CROWD open contexts in a group meet by a 128-bit fingerprint of each instead, the
-   first of each group only.
+   Strings of an anchor with more than CROWD open contexts in a group of texts meet by a 128-bit fingerprint of each
+   instead, the first of each group only; that group sends a notice by the anchor, so that the few contexts that other
+   groups have sent there follow by their fingerprints.
 4. Starts whose factor has LENGTH bytes or more are marked, and what they cover is taken out.
 
 Contexts are compared by 48 bits of anchor and 48 of context, with their places in between.
@@ -260,34 +261,48 @@ def suffix_order(data: np.ndarray, start: np.ndarray, pos: np.ndarray, length: i
     return order, lcp
 
 
-def suffix_repeats(blocks, crowd_blocks, groups: int) -> list[tuple]:
-    """Step 3: rows of repeats among the open contexts, and among the crowds' strings, of one group."""
-    rows = []
-    doc_id, tie, doc, (at, more, data) = read_contexts(blocks)
+def suffix_repeats(blocks, notices, groups: int) -> list[tuple]:
+    """Step 3: rows of repeats among the open contexts of one group; of strings for the crowds that notices tell of."""
+    doc_id, tie, doc, (at, more, anchor, data) = read_contexts(blocks)
+    if not len(doc):
+        return []
+    names, rows = Names(doc_id, tie, groups), []
+    crowd = np.isin(anchor, whole(*gather(notices, "<u4", "<u2")))
+    size = more + LENGTH
+    first = np.cumsum(size) - size
+    if crowd.any():
+        rows += crowd_strings(names, data, doc[crowd], at[crowd], more[crowd], first[crowd], groups)
+        doc, at, more, first = doc[~crowd], at[~crowd], more[~crowd], first[~crowd]
     if len(doc):
-        names = Names(doc_id, tie, groups)
-        size = more + LENGTH
-        first = np.cumsum(size) - size
         start = spread(first, more + 1)
         of = np.repeat(np.arange(len(doc)), more + 1)
         from_ = at[of] + start - first[of]
         pos = positions(doc[of], from_, ranks(doc_id, tie))
         order, lcp = suffix_order(data, start, pos)
         found = order[previous_factor(pos[order], lcp) >= LENGTH]
-        rows += [(home, "repeat", b) for home, b in repeats(names, doc[of[found]], from_[found], np.zeros(len(found), np.int64))]
-    doc_id, tie, doc, (at, x, y) = read(crowd_blocks, "<u4", "<u8", "<u8")
-    if len(doc):
-        pos = positions(doc, at.astype(np.int64), ranks(doc_id, tie))
-        order = np.lexsort((pos, y, x))
-        lcp = np.concatenate(([0], np.where((x[order][1:] == x[order][:-1]) & (y[order][1:] == y[order][:-1]), LENGTH, 0)))
-        found = order[previous_factor(pos[order], lcp) >= LENGTH]
-        rows += [(home, "repeat", b) for home, b in repeats(Names(doc_id, tie, groups), doc[found], at[found].astype(np.int64), np.zeros(len(found), np.int64))]
+        rows += marks_of(names, doc[of[found]], from_[found], groups)
     return rows
 
 
+def crowd_repeats(blocks, groups: int) -> list[tuple]:
+    """Rows of repeats among the crowds' strings of one group."""
+    doc_id, tie, doc, (at, x, y) = read(blocks, "<u4", "<u8", "<u8")
+    if not len(doc):
+        return []
+    pos = positions(doc, at.astype(np.int64), ranks(doc_id, tie))
+    order = np.lexsort((pos, y, x))
+    lcp = np.concatenate(([0], np.where((x[order][1:] == x[order][:-1]) & (y[order][1:] == y[order][:-1]), LENGTH, 0)))
+    found = order[previous_factor(pos[order], lcp) >= LENGTH]
+    return [(home, "repeat", b) for home, b in repeats(Names(doc_id, tie, groups), doc[found], at[found].astype(np.int64), np.zeros(len(found), np.int64))]
+
+
+def marks_of(names: Names, doc: np.ndarray, at: np.ndarray, groups: int) -> list[tuple]:
+    return [(home % groups, home, "repeat", b) for home, b in repeats(names, doc, at, np.zeros(len(doc), np.int64))]
+
+
 def read_contexts(blocks):
-    doc_id, tie, doc, (at, more, data) = read(blocks, "<u4", "u1", "u1")
-    return doc_id, tie, doc, (at.astype(np.int64), more.astype(np.int64), data)
+    doc_id, tie, doc, (at, more, a1, a2, data) = read(blocks, "<u4", "u1", "<u4", "<u2", "u1")
+    return doc_id, tie, doc, (at.astype(np.int64), more.astype(np.int64), whole(a1, a2), data)
 
 
 class Texts:
@@ -306,8 +321,8 @@ class Texts:
         return [self.of.get(k, []) for k in zip(doc_id.tolist(), tie.tolist(), strict=True)]
 
 
-def bring(texts: Texts, blocks, groups: int, parts: int) -> list[tuple]:
-    """Rows of open contexts with their bytes, of strings of crowds, and of repeats among those."""
+def bring(texts: Texts, blocks, groups: int) -> list[tuple]:
+    """Rows of open contexts with their bytes; of notices, strings and repeats of crowds."""
     doc_id, tie, doc, (at, more, a1, a2) = read(blocks, *OPEN)
     if not len(doc):
         return []
@@ -315,21 +330,24 @@ def bring(texts: Texts, blocks, groups: int, parts: int) -> list[tuple]:
     row = np.array([r[0] for r in texts.numbers(doc_id, tie)])
     anchor, more, at = whole(a1, a2), more.astype(np.int64), at.astype(np.int64)
     where, size = texts.start[row[doc]] + at, more + LENGTH
-    _, of, many = np.unique(anchor, return_inverse=True, return_counts=True)
-    crowd = many[of] > CROWD
-    rows = []
-    for to, k in by_key(np.where(crowd, -1, (anchor % _U(parts)).astype(np.int64))):
-        if to >= 0:
-            k = k[np.argsort(doc[k], kind="stable")]
-            rows.append((to, -1, "context", names.block(doc[k], at[k].astype("<u4"), more[k].astype("u1"), texts.data[spread(where[k], size[k])])))
+    distinct, of, many = np.unique(anchor, return_inverse=True, return_counts=True)
+    crowd, meet = many[of] > CROWD, (anchor % _U(groups)).astype(np.int64)
+    rows, few = [], np.flatnonzero(~crowd)
+    for to, k in by_key(meet[few]):
+        i = few[k]
+        i = i[np.argsort(doc[i], kind="stable")]
+        rows.append((to, -1, "context", names.block(doc[i], at[i].astype("<u4"), more[i].astype("u1"), *halves(anchor[i]), texts.data[spread(where[i], size[i])])))
     if crowd.any():
-        rows += bring_crowds(names, texts, doc[crowd], at[crowd], more[crowd], where[crowd], groups, parts)
+        told = distinct[many > CROWD]
+        rows += [(to, -1, "notice", pack(*halves(told[k]))) for to, k in by_key((told % _U(groups)).astype(np.int64))]
+        rows += crowd_strings(names, texts.data, doc[crowd], at[crowd], more[crowd], where[crowd], groups)
     return rows
 
 
-def bring_crowds(names: Names, texts: Texts, doc, at, more, where, groups: int, parts: int) -> list[tuple]:
+def crowd_strings(names: Names, data: np.ndarray, doc, at, more, where, groups: int) -> list[tuple]:
+    """Rows of the strings of contexts that lie at where in data, the first of equal ones, by fingerprint; and of repeats among them."""
     size = more + LENGTH
-    data = texts.data[spread(where, size)]
+    data = data[spread(where, size)]
     start = spread(np.cumsum(size) - size, more + 1)
     of = np.repeat(np.arange(len(doc)), more + 1)
     from_ = spread(at, more + 1)
@@ -339,10 +357,10 @@ def bring_crowds(names: Names, texts: Texts, doc, at, more, where, groups: int,
     order = np.lexsort((pos, y, x))
     new = np.concatenate(([True], (x[order][1:] != x[order][:-1]) | (y[order][1:] != y[order][:-1])))
     again = order[pos[order] > pos[order][np.flatnonzero(new)][np.cumsum(new) - 1]]
-    rows = [(home % parts, home, "repeat", b) for home, b in repeats(names, doc[of[again]], from_[again], np.zeros(len(again), np.int64))]
+    rows = marks_of(names, doc[of[again]], from_[again], groups)
     first = order[new]
     first = first[np.argsort(doc[of[first]], kind="stable")]
-    for to, k in by_key((x[first] % _U(parts)).astype(np.int64)):
+    for to, k in by_key((x[first] % _U(groups)).astype(np.int64)):
         i = first[k]
         rows.append((to, -1, "crowd", names.block(doc[of[i]], from_[i].astype("<u4"), x[i], y[i])))
     return rows
@@ -397,13 +415,17 @@ def apply(docs: DataFrame, finish, schema) -> DataFrame:
         return rows_of(_HOMED, out + settle_anchors((b for k, b in zip(kinds, data, strict=True) if k == "entry"), groups))
 
     def fetch(texts: pa.Table, rows: pa.Table) -> pa.Table:
-        return rows_of(_DEALT, bring(Texts(texts), rows.column("data").to_pylist(), groups, groups) if rows.num_rows else [])
+        return rows_of(_DEALT, bring(Texts(texts), rows.column("data").to_pylist(), groups) if rows.num_rows else [])
 
     def order(rows: pa.Table) -> pa.Table:
-        kinds, data = rows.column("kind").to_pylist(), rows.column("data").to_pylist()
-        out = [(h, k, b) for h, k, b in zip(rows.column("home").to_pylist(), kinds, data, strict=True) if k == "repeat"]
-        own = lambda kind: (b for k, b in zip(kinds, data, strict=True) if k == kind)
-        return rows_of(_HOMED, out + suffix_repeats(own("context"), own("crowd"), groups))
+        kind, data = np.array(rows.column("kind").to_pylist()), rows.column("data").to_pylist()
+        own = lambda k: [data[i] for i in np.flatnonzero(kind == k).tolist()]
+        return pa.concat_tables([rows.filter(pa.array((kind == "repeat") | (kind == "crowd"))), rows_of(rows.schema, suffix_repeats(own("context"), own("notice"), groups))])
+
+    def follow(rows: pa.Table) -> pa.Table:
+        kind, data = np.array(rows.column("kind").to_pylist()), rows.column("data").to_pylist()
+        same = rows.filter(pa.array(kind == "repeat")).drop_columns("to")
+        return pa.concat_tables([same, rows_of(same.schema, crowd_repeats([data[i] for i in np.flatnonzero(kind == "crowd").tolist()], groups))])
 
     def end(rows: pa.Table, marks: pa.Table) -> pa.Table:
         texts = Texts(rows)
@@ -413,8 +435,10 @@ def apply(docs: DataFrame, finish, schema) -> DataFrame:
     settled = stash(dealt.groupBy("to").applyInArrow(meet, "home long, kind string, data binary"))
     # Both uses of the texts take the same columns and the same deal, so one exchange serves both.
     homed = docs.withColumn("sa_home", F.pmod("sa_tie", F.lit(groups))).groupBy("sa_home")
-    fetched = homed.cogroup(settled.where("kind = 'open'").groupBy("home")).applyInArrow(fetch, "to long, home long, kind string, data binary")
-    marks = settled.where("kind = 'repeat'").unionByName(fetched.groupBy("to").applyInArrow(order, "home long, kind string, data binary"))
+    four = "to long, home long, kind string, data binary"
+    fetched = homed.cogroup(settled.where("kind = 'open'").groupBy("home")).applyInArrow(fetch, four)
+    found = fetched.groupBy("to").applyInArrow(order, four).groupBy("to").applyInArrow(follow, "home long, kind string, data binary")
+    marks = settled.where("kind = 'repeat'").unionByName(found)
     return homed.cogroup(marks.groupBy("home")).applyInArrow(end, schema)
 
 

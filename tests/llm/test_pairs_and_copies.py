@@ -160,6 +160,9 @@ def test_suffix_crowd(spark):
     want = suffix_brute(rows)
     for parts in (1, 5):
         assert Counter(tuple(r) for r in suffix_dedup.report(frame(spark, rows, parts)).collect()) == want
+    # With about CROWD documents a group, some groups are crowds and others aren't.
+    some = [r for r in rows if r[0] < 4 * suffix_dedup.CROWD]
+    assert Counter(tuple(r) for r in suffix_dedup.report(frame(spark, some, 3)).collect()) == suffix_brute(some)
 
 
 def test_suffix_cut(spark):
