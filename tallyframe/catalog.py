@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import games, quality, scalars, texts
+from .plans import games, quality, scalars, seasons, texts
 
-QUERIES = {name: q for m in (scalars, games, quality, texts) for name, q in m.Q.queries.items()}
-SQL: dict[str, str] = {name: s for m in (scalars, games, quality, texts) for name, s in m.Q.sql.items()}
+QUERIES = {name: q for m in (scalars, games, seasons, quality, texts) for name, q in m.Q.queries.items()}
+SQL: dict[str, str] = {name: s for m in (scalars, games, seasons, quality, texts) for name, s in m.Q.sql.items()}

@@ -78,3 +78,40 @@ def lineup_ids(ids: Column) -> Column:
     """Five ids of a comma-separated list, else null; what is no number is dropped first."""
     got = F.filter(F.transform(F.split(ids, ","), lambda x: F.trim(x).try_cast("int")), lambda x: x.isNotNull())
     return F.when(F.size(got) == 5, got)
+
+
+HEADER = {"GAME_ID": "string", "GAME_DATE_EST": "string", "GAME_STATUS_ID": "int", "HOME_TEAM_ID": "bigint", "VISITOR_TEAM_ID": "bigint", "SEASON": "string", "SEASON_TYPE": "string"}
+TEAMS = {"GAME_ID": "string", "TEAM_ID": "bigint", "TEAM_ABBREVIATION": "string", "PTS": "int", "FGM": "int", "FGA": "int", "FG3M": "int", "FG3A": "int", "FTM": "int", "FTA": "int", "OREB": "int", "DREB": "int", "AST": "int", "STL": "int", "BLK": "int", "TO": "int", "PF": "int"}
+#: Statistics of the advanced, miscellaneous and usage sets: header -> our name.
+ADVANCED = {"OFF_RATING": "offensive_rating", "DEF_RATING": "defensive_rating", "NET_RATING": "net_rating", "AST_PCT": "assist_pct", "AST_TOV": "assist_turnover_ratio", "OREB_PCT": "offensive_rebound_pct", "DREB_PCT": "defensive_rebound_pct", "EFG_PCT": "effective_fg_pct", "TS_PCT": "true_shooting_pct", "USG_PCT": "usage_pct", "PACE": "pace"}
+MISC = {"PTS_OFF_TOV": "points_off_turnovers", "PTS_2ND_CHANCE": "second_chance_points", "PTS_FB": "fast_break_points", "PTS_PAINT": "points_in_paint"}
+USAGE = {"USG_PCT": "usage_pct", "PCT_FGM": "pct_fgm", "PCT_FGA": "pct_fga", "PCT_PTS": "pct_points"}
+
+
+def scoreboard(payloads: DataFrame, body: str = "body", regular_only: bool = False) -> DataFrame:
+    """Games of a day; of the regular season only, told by its type (2 or its name)."""
+    r = rows(payloads, body, "GameHeader", HEADER).where("GAME_ID is not null")
+    return r.where("SEASON_TYPE in ('2', 'Regular Season')") if regular_only else r
+
+
+def team_stats(payloads: DataFrame, body: str = "body") -> DataFrame:
+    return rows(payloads, body, "TeamStats", TEAMS)
+
+
+def rates(payloads: DataFrame, name: str, headers: dict[str, str], ids: tuple[str, ...] = ("GAME_ID", "TEAM_ID", "PLAYER_ID"), body: str = "body") -> DataFrame:
+    """A set of rates by player or team: ids in lower case, headers under our names, as doubles."""
+    r = rows(payloads, body, name, {**dict.fromkeys(ids, "string"), **dict.fromkeys(headers, "double")}, how="contains")
+    return r.select(*[F.col(i).alias(i.lower()) for i in ids], *[F.col(h).alias(n) for h, n in headers.items()])
+
+
+def game_meta(payloads: DataFrame, body: str = "body") -> DataFrame:
+    """One row a game: ids and date of GameSummary, else the teams of TeamStats' rows 0 (away) and 1 (home); missing lists what neither has."""
+    s = games_any(payloads, body)
+    t = team_stats(payloads, body).groupBy("GAME_ID").agg(F.max(F.when(F.col("ordinal") == 0, F.col("TEAM_ID"))).alias("away"), F.max(F.when(F.col("ordinal") == 1, F.col("TEAM_ID"))).alias("home"))
+    m = s.join(t, "GAME_ID", "full_outer")
+    m = m.select("GAME_ID", F.coalesce("HOME_TEAM_ID", "home").alias("home_team_id"), F.coalesce("VISITOR_TEAM_ID", "away").alias("away_team_id"), "GAME_DATE_EST")
+    return m.withColumn("missing", F.array_compact(F.array(F.when(F.col("GAME_DATE_EST").isNull(), "date"), F.when(F.col("home_team_id").isNull() | F.col("away_team_id").isNull(), "team"))))
+
+
+def games_any(payloads: DataFrame, body: str = "body") -> DataFrame:
+    return rows(payloads, body, "GameSummary", SUMMARY).select("GAME_ID", "HOME_TEAM_ID", "VISITOR_TEAM_ID", "GAME_DATE_EST")
