@@ -14,11 +14,6 @@ MIN_SCORE, MIN_Q1, MIN_GAMES, MIN_TIME = 0.95, 0.80, 0.90, 0.95
 MIN_EVENTS, MIN_ELAPSED, MIN_COORDINATES = 400, 0.75, 0.80
 
 
-def smallest(ids: Column, n: int = SHOWN) -> Column:
-    """The n smallest distinct ids as text. Kept small while it is aggregated only if the ids are few; see fk_check."""
-    return F.array_join(F.slice(F.array_sort(F.collect_set(ids.cast("string"))), 1, n), ",")
-
-
 def fk_check(child: DataFrame, parent: DataFrame, key: str, name: str, parent_key: str | None = None) -> DataFrame:
     """One row: table, total, invalid (rows whose key has no parent; null keys are no violation), issues (the smallest such keys)."""
     parents = parent.select(F.col(parent_key or key).alias("p_key")).where("p_key is not null").distinct()

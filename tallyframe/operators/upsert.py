@@ -7,8 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sequence import keep_latest
-
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """old after new, with _action: insert, update, unchanged (an equal row came) or kept (none came).
@@ -61,10 +59,6 @@ def delete_cascade(tables: dict[str, DataFrame], key: str, gone: DataFrame) -> t
     return left, reduce(DataFrame.unionByName, counts)
 
 
-def drop_older(rows: DataFrame, keys: list[str], by: str, tie: str) -> DataFrame:
-    return keep_latest(rows, keys, by, tie)
-
-
 def drop_duplicate_shots(shots: DataFrame) -> DataFrame:
     """Shots fetched for each team, once."""
     return shots.dropDuplicates(["GAME_ID", "PLAYER_ID", "PERIOD", "MINUTES_REMAINING", "SECONDS_REMAINING", "LOC_X", "LOC_Y"])
