@@ -1,10 +1,10 @@
 """Exact n-gram Jaccard join with signature trees, and the components of its links.
 
 1. Each batch of texts hashes the shingles of every document; a document stands for its set (a 128-bit fingerprint), so
-   copies are one node. Each distinct set of a batch sends its tokens to meet by token.
-2. Where a token meets, the number of sets that hold it is known. Tokens of two sets or more go back to their sets; the
-   others can't be in an intersection. A token of HOT sets or more within a batch sends one mark instead of an entry for
-   each set and counts as frequent everywhere.
+   copies are one node. Each distinct set of a batch sends its tokens to meet by token, with its number in the batch.
+2. Where a token meets, the number of sets that hold it is known, a set of several batches counted for each. Tokens of two
+   sets or more go back to their batch; the others can't be in an intersection. A token of HOT sets or more within a batch
+   sends one mark instead of an entry for each set and counts as frequent everywhere.
 3. A set with less than THRESHOLD of its tokens shared has no link and is done. The others are gathered to clusters by
    their prefix: under an order with rare tokens first, linked sets share one of their first n - ceil(THRESHOLD n) + 1.
 4. Clusters are joined by signature trees: leaves are sets, nodes hold the OR of their sets' token bitmaps and size
@@ -26,11 +26,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .arrow import slices, text_bytes
-from .blocks import BATCH_BYTES, by_key, gather, groups_for, pack, rows_of, runs, spread, unpack
+from .blocks import BATCH_BYTES, SLICE_BYTES, by_key, gather, groups_for, pack, rows_of, runs, spread, unpack
 from .common import components, stash, table
 
 #: Words of a shingle; a link has 100 * intersection >= PERCENT * union.
@@ -133,33 +135,32 @@ def whole(high: np.ndarray, low: np.ndarray) -> np.ndarray:
     return high.astype(np.uint64) << _U(16) | low
 
 
-def block(keys: np.ndarray, n: np.ndarray, of: np.ndarray, *arrays: np.ndarray) -> bytes:
-    """A block of rows in order of of: each set once (key, size), with how many rows it has."""
-    first = runs(of)
-    own = of[first]
-    return pack(keys[own], n[own].astype("<u4"), np.diff(np.append(first, len(of))).astype("<u4"), *arrays)
-
-
-def read(blocks, *kinds: str):
-    """Keys, sizes, the set's number of each row, and the rows' arrays."""
-    keys, n, count, *arrays = gather(blocks, "<u8", "<u4", "<u4", *kinds)
-    return keys.reshape(-1, 2), n.astype(np.int64), np.repeat(np.arange(len(count)), count), arrays
+def lengths(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of equal values as 16-bit values and lengths; longer runs are cut."""
+    first = runs(values)
+    size = np.diff(np.append(first, len(values)))
+    parts = -(-size // 65_535)
+    out = np.full(int(parts.sum()), 65_535)
+    if len(size):
+        out[np.cumsum(parts) - 1] = size - (parts - 1) * 65_535
+    return np.repeat(values[first], parts).astype("<u2"), out.astype("<u2")
 
 
-_DEALT = pa.schema([("to", pa.int64()), ("kind", pa.string()), ("data", pa.binary()), ("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.binary())])
+_DEALT = pa.schema([("to", pa.int64()), ("home", pa.int64()), ("kind", pa.string()), ("data", pa.binary()), ("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.binary())])
 _MET = "home long, kind string, data binary, doc_id long, n long, node binary"
-_DEALT_SQL = _MET.replace("home", "to")
+_DEALT_SQL = f"to long, {_MET}"
 
 
 def settle_batch(keys: np.ndarray, n: np.ndarray, tokens: np.ndarray, groups: int) -> Iterator[tuple]:
-    """Rows for step 2 from the distinct sets of a batch: entries and marks by token, and frequent tokens by set."""
-    rep, of = same_sets(keys)
+    """(to or None, kind, data) for step 2 from the sets of a batch: entries and marks by token, frequent tokens, and the sets themselves."""
+    rep, _ = same_sets(keys)
     kept = np.zeros(len(keys), bool)
     kept[rep] = n[rep] > 0
     row = np.repeat(np.arange(len(keys)), n)
     tokens, row = tokens[kept[row]], row[kept[row]]
     if not len(tokens):
         return
+    yield None, "sets", pack(keys, n.astype("<u4"))
     order = np.argsort(tokens, kind="stable")
     first = runs(tokens[order])
     size = np.diff(np.append(first, len(tokens)))
@@ -171,11 +172,10 @@ def settle_batch(keys: np.ndarray, n: np.ndarray, tokens: np.ndarray, groups: in
     cold = np.flatnonzero(~hot)
     for to, k in by_key((tokens[cold] % _U(groups)).astype(np.int64)):
         i = cold[k]
-        yield to, "entry", block(keys, n, row[i], *halves(tokens[i]))
-    hot = np.flatnonzero(hot)
-    for home, k in by_key((keys[row[hot], 0] % _U(groups)).astype(np.int64)):
-        i = hot[k]
-        yield home, "shared", block(keys, n, row[i], whole_tokens(tokens[i], groups), np.full(len(i), FREQUENT, "u1"))
+        yield to, "entry", pack(*lengths(row[i]), *halves(tokens[i]))
+    i = np.flatnonzero(hot)
+    if len(i):
+        yield None, "shared", pack(*lengths(row[i]), whole_tokens(tokens[i], groups), np.full(len(i), FREQUENT, "u1"))
 
 
 def whole_tokens(tokens: np.ndarray, groups: int) -> np.ndarray:
@@ -183,56 +183,48 @@ def whole_tokens(tokens: np.ndarray, groups: int) -> np.ndarray:
     return mix((tokens >> _U(16)) * _ODD[0] + tokens % _U(groups))
 
 
-def count_tokens(entries, marks, group: int, groups: int) -> Iterator[tuple[int, bytes]]:
-    """Step 2: blocks of the tokens that two sets or more share, with their counts, by the sets' home."""
-    keys, n, of, (t1, t2) = read(entries, "<u4", "<u2")
-    if not len(of):
+def count_tokens(entries: list[tuple[int, bytes]], marks: Iterator[bytes], group: int) -> Iterator[tuple[int, bytes]]:
+    """Step 2: blocks of the tokens that two sets or more share, with their counts, by batch. entries: (batch, block)."""
+    if not entries:
         return
-    marked = whole(*gather(marks, "<u4", "<u2"))
-    rep, same = same_sets(keys)
-    of, tokens = same[of], whole(t1, t2)
-    keys, n = keys[rep], n[rep]
-    order = np.lexsort((of, tokens))
-    of, tokens = of[order], tokens[order]
-    new = np.ones(len(of), bool)
-    new[1:] = (tokens[1:] != tokens[:-1]) | (of[1:] != of[:-1])
-    of, tokens = of[new], tokens[new]
-    first = runs(tokens)
-    count = np.diff(np.append(first, len(tokens)))
-    count = np.where(np.isin(tokens[first], marked), FREQUENT, np.minimum(count, FREQUENT))
-    each = np.repeat(count, np.diff(np.append(first, len(tokens))))
-    i = np.flatnonzero(each > 1)
-    i = i[np.argsort(of[i], kind="stable")]
-    names = mix(tokens * _ODD[0] + _U(group))
-    for home, k in by_key((keys[of[i], 0] % _U(groups)).astype(np.int64)):
-        j = i[k]
-        yield home, block(keys, n, of[j], names[j], each[j].astype("u1"))
+    blocks = [unpack(data, "<u2", "<u2", "<u4", "<u2") for _, data in entries]
+    tokens = np.concatenate([whole(b[2], b[3]) for b in blocks])
+    order = np.argsort(tokens, kind="stable")
+    first = runs(tokens[order])
+    size = np.diff(np.append(first, len(tokens)))
+    count = np.where(np.isin(tokens[order][first], whole(*gather(marks, "<u4", "<u2"))), FREQUENT, np.minimum(size, FREQUENT)).astype("u1")
+    each = np.empty(len(tokens), "u1")
+    each[order] = np.repeat(count, size)
+    at = 0
+    for (batch, _), (value, length, high, _) in zip(entries, blocks, strict=True):
+        c = each[at : at + len(high)]
+        keep = c > 1
+        if keep.any():
+            of = np.repeat(value, length)[keep]
+            yield batch, pack(*lengths(of), mix(tokens[at : at + len(high)][keep] * _ODD[0] + _U(group)), c[keep])
+        at += len(high)
 
 
 _SHARING = pa.schema([("node", pa.binary()), ("n", pa.int64()), ("k", pa.int64()), ("tokens", pa.binary()), ("prefix", pa.list_(pa.int64()))])
 
 
-def sharing(blocks) -> list[tuple]:
-    """Step 3: sets with enough shared tokens: those tokens, ascending, and the shared ones of the prefix."""
-    keys, n, of, (tokens, count) = read(blocks, "<u8", "u1")
-    if not len(of):
-        return []
-    rep, same = same_sets(keys)
-    of = same[of]
-    keys, n = keys[rep], n[rep]
+def sharing(sets: bytes, blocks: Iterator[bytes]) -> list[tuple]:
+    """Step 3: sets of a batch with enough shared tokens: those tokens, ascending, and the shared ones of the prefix."""
+    keys, n = unpack(sets, "<u8", "<u4")
+    keys = keys.reshape(-1, 2)
+    value, length, tokens, count = gather(blocks, "<u2", "<u2", "<u8", "u1")
+    of = np.repeat(value, length).astype(np.int64)
+    k = np.bincount(of, minlength=len(n))
+    enough = (100 * k >= PERCENT * n.astype(np.int64))[of]
+    of, tokens, count = of[enough], tokens[enough], count[enough]
     order = np.lexsort((tokens, of))
     of, tokens, count = of[order], tokens[order], count[order]
-    new = np.ones(len(of), bool)  # a frequent token of a set that several batches hold comes from each
-    new[1:] = (tokens[1:] != tokens[:-1]) | (of[1:] != of[:-1])
-    of, tokens, count = of[new], tokens[new], count[new]
     first = runs(of)
     rows = []
     for lo, hi in zip(first.tolist(), np.append(first[1:], len(of)).tolist(), strict=True):
         i, k = of[lo], hi - lo
         size = int(n[i])
         least = -(-PERCENT * size // 100)
-        if k < least:
-            continue
         take = size - least + 1 - (size - k)
         own = np.lexsort((tokens[lo:hi], count[lo:hi]))[:take]
         rows.append((keys[i].tobytes(), size, k, tokens[lo:hi].tobytes(), tokens[lo:hi][own].view(np.int64)))
@@ -351,13 +343,12 @@ _LINKS = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
 def join_block(rows: pa.Table) -> pa.Table:
     """Links of the sets of one task; side 1 is there for a pair of blocks of one cluster."""
-    side = np.array(rows.column("side").to_pylist())
-    names, tree = tree_of(rows.filter(pa.array(side == 0)))
-    if not (side == 1).any():
-        return rows_of(_LINKS, [(names[i], names[j]) for i, j in join_trees(tree)])
-    if not names:
+    first, second = (rows.filter(pc.equal(rows.column("side"), k)) for k in (0, 1))
+    pair = pc.any(pc.not_equal(rows.column("one"), rows.column("two"))).as_py()
+    if not first.num_rows or pair and not second.num_rows:
         return rows_of(_LINKS, [])
-    others, right = tree_of(rows.filter(pa.array(side == 1)))
+    names, tree = tree_of(first)
+    others, right = tree_of(second) if pair else (names, None)
     return rows_of(_LINKS, [(names[i], others[j]) for i, j in join_trees(tree, right)])
 
 
@@ -386,39 +377,46 @@ def join(docs: DataFrame, task_tokens: int = TASK_TOKENS) -> DataFrame:
     groups = groups_for(docs, F.col("text"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, total = [], 0
+        held, total, batch = [], 0, TaskContext.get().partitionId() << 32
 
         def flush():
             keys, n, tokens = (np.concatenate(x) for x in zip(*held, strict=True))
             for to, kind, data in settle_batch(keys, n, tokens, groups):
-                yield from rows_of(_DEALT, [(to, kind, data, None, None, None)]).to_batches()
+                yield from rows_of(_DEALT, [(batch % groups if to is None else to, batch, kind, data, None, None, None)]).to_batches()
 
-        for batch in (x for b in batches for x in slices(b, 1)):
-            data, start, size = text_bytes(batch.column(1))
+        for part in (y for b in batches for x in slices(b, 1, SLICE_BYTES) for y in (x.slice(lo, 30_000) for lo in range(0, x.num_rows, 30_000))):
+            data, start, size = text_bytes(part.column(1))
+            if held and total + len(data) > BATCH_BYTES or sum(len(h[1]) for h in held) > 30_000:
+                yield from flush()
+                held, total, batch = [], 0, batch + 1
             tokens, n = shingle_sets(data, start, size)
             keys = fingerprints(tokens, n)
             held.append((keys, n, tokens))
+            total += len(data)
             m, raw = len(n), keys.tobytes()
             node = pa.array([raw[16 * i : 16 * i + 16] if n[i] else None for i in range(m)], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array((keys[:, 1] % _U(groups)).astype(np.int64)), pa.array(["document"] * m), pa.nulls(m, pa.binary()), batch.column(0), pa.array(n, pa.int64()), node], schema=_DEALT)
-            total += len(data)
-            if total >= BATCH_BYTES:
-                yield from flush()
-                held, total = [], 0
+            yield pa.RecordBatch.from_arrays([pa.array((keys[:, 1] % _U(groups)).astype(np.int64)), pa.nulls(m, pa.int64()), pa.array(["document"] * m), pa.nulls(m, pa.binary()), part.column(0), pa.array(n, pa.int64()), node], schema=_DEALT)
         if held:
             yield from flush()
 
     def meet(key: tuple, rows: pa.Table) -> pa.Table:
-        kind, data = np.array(rows.column("kind").to_pylist()), rows.column("data")
-        same = rows.filter(pa.array((kind == "document") | (kind == "shared")))
-        own = lambda k: (data[int(i)].as_py() for i in np.flatnonzero(kind == k))
-        found = [(h, "shared", b, None, None, None) for h, b in count_tokens(own("entry"), own("mark"), key[0].as_py(), groups)]
-        return pa.concat_tables([same, rows_of(_DEALT, found)]).rename_columns(["home", *_DEALT.names[1:]])
+        kind, home, data = np.array(rows.column("kind").to_pylist()), rows.column("home"), rows.column("data")
+        same = rows.filter(pa.array((kind != "entry") & (kind != "mark"))).drop_columns("to")
+        places = lambda k: np.flatnonzero(kind == k).tolist()
+        entries = [(home[i].as_py(), data[i].as_py()) for i in places("entry")]
+        found = [(h, "shared", b, None, None, None) for h, b in count_tokens(entries, (data[i].as_py() for i in places("mark")), key[0].as_py())]
+        return pa.concat_tables([same, rows_of(same.schema, found)])
+
+    def share(rows: pa.Table) -> pa.Table:
+        kind, data = rows.column("kind").to_pylist(), rows.column("data")
+        (sets,) = [data[i].as_py() for i, k in enumerate(kind) if k == "sets"]
+        return rows_of(_SHARING, sharing(sets, (data[i].as_py() for i, k in enumerate(kind) if k == "shared")))
 
     dealt = docs.mapInArrow(find, _DEALT_SQL)
     met = stash(dealt.groupBy("to").applyInArrow(meet, _MET))
-    share = lambda rows: rows_of(_SHARING, sharing(rows.column("data").to_pylist()))
-    sets = stash(met.where("kind = 'shared'").select("home", "data").groupBy("home").applyInArrow(share, "node binary, n long, k long, tokens binary, prefix array<long>"))
+    sets = met.where("kind <> 'document'").select("home", "kind", "data").groupBy("home").applyInArrow(share, "node binary, n long, k long, tokens binary, prefix array<long>")
+    # A set that several batches hold is one node.
+    sets = stash(sets.dropDuplicates(["node"]))
     roots = components(find_links(sets, task_tokens))
     rows = met.where("kind = 'document'").select("doc_id", "n", "node")
     least = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
