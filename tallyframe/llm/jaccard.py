@@ -395,7 +395,7 @@ def join(docs: DataFrame, task_tokens: int = TASK_TOKENS) -> DataFrame:
             total += len(data)
             m, raw = len(n), keys.tobytes()
             node = pa.array([raw[16 * i : 16 * i + 16] if n[i] else None for i in range(m)], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array((keys[:, 1] % _U(groups)).astype(np.int64)), pa.nulls(m, pa.int64()), pa.array(["document"] * m), pa.nulls(m, pa.binary()), part.column(0), pa.array(n, pa.int64()), node], schema=_DEALT)
+            yield pa.RecordBatch.from_arrays([pa.array((batch + np.arange(m)) % groups), pa.nulls(m, pa.int64()), pa.array(["document"] * m), pa.nulls(m, pa.binary()), part.column(0), pa.array(n, pa.int64()), node], schema=_DEALT)
         if held:
             yield from flush()
 
