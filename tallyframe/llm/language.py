@@ -77,7 +77,7 @@ def scores(data: np.ndarray, start: np.ndarray, size: np.ndarray, weights: np.nd
 
 
 class Model:
-    """families: names; groups: languages of each; weights, biases: one-versus-rest rows of the families, then a row for each pair within a family."""
+    """x is overwritten. families: names; groups: languages of each; weights, biases: one-versus-rest rows of the families, then a row for each pair within a family."""
 
     def __init__(self, langs: np.ndarray, x: np.ndarray):
         self.languages = sorted(set(langs))
@@ -85,8 +85,11 @@ class Model:
         self.groups = [[v for v in self.languages if family(v) == f] for f in self.families]
         self.pairs = [p for g in self.groups for p in combinations(g, 2)]
         own = np.array([family(v) for v in langs])
-        scale = 1 / (x.std(0) + 1e-4)
-        z = ((x - x.mean(0)) * scale).astype(np.float32)
+        mean = x.mean(0, dtype=np.float64)
+        scale = 1 / (np.sqrt(np.maximum(np.einsum("ij,ij->j", x, x, dtype=np.float64) / len(x) - mean**2, 0)) + 1e-4)
+        z = x  # in place: x isn't used after
+        z -= mean.astype(np.float32)
+        z *= scale.astype(np.float32)
         rows = []
         if len(self.families) > 1:
             rows += [svm.fit(z, np.where(own == f, 1.0, -1.0)) for f in self.families]
@@ -94,7 +97,7 @@ class Model:
             keep = (langs == a) | (langs == b)
             rows.append(svm.fit(z[keep], np.where(langs[keep] == a, 1.0, -1.0)))
         w = np.array([r[0] * scale for r in rows]).reshape(len(rows), x.shape[1])
-        self.biases = np.array([r[1] for r in rows]) - w @ x.mean(0) if rows else np.zeros(0)
+        self.biases = np.array([r[1] for r in rows]) - w @ mean if rows else np.zeros(0)
         self.weights = w.astype(np.float32)
 
     def decide(self, margins: np.ndarray) -> tuple[list[str], np.ndarray]:
@@ -144,7 +147,13 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.string()), pa.array(x, pa.binary())], ["doc_id", "lang", "x"])
 
     rows = drawn.mapInArrow(run, "doc_id long, lang string, x binary").orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(sample).collect()
-    return Model(np.array([r.lang for r in rows], object), np.array([np.frombuffer(r.x, np.float32) for r in rows])) if rows else None
+    if not rows:
+        return None
+    names, x = np.array([r.lang for r in rows], object), np.empty((len(rows), FEATURES), np.float32)
+    while rows:  # row by row, so that both forms aren't held at once
+        r = rows.pop()
+        x[len(rows)] = np.frombuffer(r.x, np.float32)
+    return Model(names, x)
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -7,24 +7,27 @@ import numpy as np
 
 def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 1e-3, rounds: int = 80) -> tuple[np.ndarray, float]:
     """w, b with least ridge/2 |w|^2 + mean of weighted max(0, 1 - y (x w + b))^2; y: 1 or -1. weight: balances the classes by default."""
-    x = np.hstack((x, np.ones((len(x), 1), x.dtype)))
     if weight is None:
         weight = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
     weight, y = (weight / weight.sum()).astype(x.dtype), y.astype(x.dtype)
-    v = np.ones(x.shape[1], x.dtype)
+    # The bias is a column of ones that is never written down: x may be most of the driver's memory.
+    v, c, norm = np.ones(x.shape[1], x.dtype), 1.0, 1.0
     for _ in range(20):
-        v = x.T @ (weight * (x @ v))
-        norm = np.linalg.norm(v) or 1.0
-        v /= norm
+        m = weight * (x @ v + x.dtype.type(c))
+        v, c = x.T @ m, float(m.sum())
+        norm = float(np.sqrt(v @ v + c * c)) or 1.0
+        v, c = v / x.dtype.type(norm), c / norm
     step = 1 / (2 * norm * 1.1 + ridge)
     w = last = np.zeros(x.shape[1], x.dtype)
-    keep = np.append(np.full(x.shape[1] - 1, ridge), ridge * 1e-2).astype(x.dtype)
+    b = old = 0.0
     for k in range(rounds):
-        at = w + x.dtype.type(k / (k + 3)) * (w - last)
-        slack = np.maximum(0, 1 - y * (x @ at))
-        grad = keep * at - 2 * x.T @ (weight * y * slack)
-        last, w = w, at - x.dtype.type(step) * grad
-    return w[:-1], float(w[-1])
+        go = k / (k + 3)
+        at, at_b = w + x.dtype.type(go) * (w - last), b + go * (b - old)
+        pull = weight * y * np.maximum(0, 1 - y * (x @ at + x.dtype.type(at_b)))
+        last, old = w, b
+        w = at - x.dtype.type(step) * (x.dtype.type(ridge) * at - 2 * (x.T @ pull))
+        b = at_b - step * (ridge * 1e-2 * at_b - 2 * float(pull.sum()))
+    return w, b
 
 
 def calibrate(f: np.ndarray, y: np.ndarray) -> np.ndarray:
