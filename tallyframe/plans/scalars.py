@@ -107,7 +107,7 @@ def name_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
 md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(trim(coalesce(text, '')), '[ \t\n\x0B\f\r]+', ' ', 'g'), '\.{2,}', '.', 'g'), '!{2,}', '!', 'g'), '\?{2,}', '?', 'g')) AS described_md5 FROM documents WHERE NOT regexp_matches(coalesce(text, ''), '[.!?]{2,}')""")
 def text_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.coalesce("text", F.lit(""))
-    return table(spark, sf_dir, "documents").where(~t.rlike("[.!?]{2,}")).select("doc_id", F.md5(text.clean_text(t)).alias("ascii_md5"), F.md5(F.coalesce(text.normalize_description(t), F.lit(""))).alias("described_md5"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.clean_text(t)).alias("ascii_md5"), F.md5(F.coalesce(text.normalize_description(t), F.lit(""))).alias("described_md5"))
 
 
 @Q.add(r"""WITH m AS (SELECT page_id, 'GET ' || coalesce(url, '') || ' failed for 0022300' || lpad(CAST(page_id % 1000 AS VARCHAR), 3, '0') || ' on 2024-01-0' || CAST(1 + page_id % 9 AS VARCHAR) || ' from 10.0.0.' || CAST(page_id % 200 AS VARCHAR) AS message FROM pages),
