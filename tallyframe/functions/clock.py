@@ -42,12 +42,22 @@ def parse_game_clock(text: Column) -> Column:
     return F.when(t.startswith("PT"), iso).when(minutes.isNotNull(), F.when(seconds < 60, minutes * 60 + seconds)).when(bare >= 0, bare)
 
 
+def tenths(x: Column) -> Column:
+    """x >= 0 to one place as a long of tenths: the nearest of its exact binary value, ties to even, as C and Python print it."""
+    # 2 ** 58 units hold a fraction's bits; ten times that fits a long.
+    units = ((x - F.floor(x)) * float(1 << 58)).cast("long") * 10
+    down, rest = F.shiftright(units, 58), units.bitwiseAND(F.lit((1 << 58) - 1))
+    up = (rest > 1 << 57) | ((rest == 1 << 57) & (down % 2 == 1))
+    return F.floor(x) * 10 + down + up.cast("long")
+
+
 def normalize_clock(text: Column) -> Column:
-    """m:ss, or m:ss.f where there is a fraction."""
+    """m:ss, or m:ss.f where there is a fraction; hundredths are rounded by tenths()."""
     s = parse_game_clock(text)
     minutes = F.floor(s / 60)
     left = s - minutes * 60
-    return F.when(s.isNull(), None).when(left == F.floor(left), F.format_string("%d:%02d", minutes, left.cast("long"))).otherwise(F.format_string("%d:%04.1f", minutes, left))
+    t = tenths(left)
+    return F.when(s.isNull(), None).when(left == F.floor(left), F.format_string("%d:%02d", minutes, left.cast("long"))).otherwise(F.format_string("%d:%02d.%d", minutes, F.floor(t / 10), t % 10))
 
 
 def split_clock(text: Column) -> Column:

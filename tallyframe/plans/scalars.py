@@ -33,8 +33,7 @@ def clock_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_idx, seconds, CAST(floor(seconds / 60) AS BIGINT) || ':' || CASE WHEN seconds % 60 = floor(seconds % 60) THEN lpad(CAST(CAST(seconds % 60 AS BIGINT) AS VARCHAR), 2, '0') ELSE lpad(printf('%.1f', seconds % 60), 4, '0') END AS normalized FROM s WHERE seconds IS NULL OR (seconds * 10) % 1 = 0""")
 def clock_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col("time_remaining")
-    e = events(spark, sf_dir).select("event_idx", clock.parse_game_clock(t).alias("seconds"), clock.normalize_clock(t).alias("normalized"))
-    return e.where("seconds is null or (seconds * 10) % 1 = 0")
+    return events(spark, sf_dir).select("event_idx", clock.parse_game_clock(t).alias("seconds"), clock.normalize_clock(t).alias("normalized"))
 
 
 _season = "CAST({y} AS VARCHAR) || '-' || lpad(CAST(({y} + 1) % 100 AS VARCHAR), 2, '0')"

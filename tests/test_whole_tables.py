@@ -24,3 +24,33 @@ def test_text_clean_keeps_runs_of_marks(spark):
     assert any(re.search("[.!?]{2,}", r.text or "") for r in rows)
     got = catalog.QUERIES["text_clean"](spark, SF).collect()
     assert len(got) == len(rows) and {r.doc_id: (r.ascii_md5, r.described_md5) for r in got} == want
+
+
+def clock(t):
+    """The seconds of a clock, and its text with one place by Python's own rounding."""
+    if t is None or t == "bad":
+        return None, None
+    m, s = re.fullmatch(r"(?:PT)?(\d+)[M:]([\d.]+)S?", t).groups()
+    total = float(m) * 60 + float(s)
+    left = total % 60
+    return total, f"{int(total // 60)}:" + (f"{int(left):02d}" if left == int(left) else f"{left:04.1f}")
+
+
+def test_clock_normalize_keeps_hundredths(spark):
+    from tallyframe.plans import adapters
+
+    want = {r.event_idx: clock(r.time_remaining) for r in adapters.events(spark, SF).select("event_idx", "time_remaining").collect()}
+    got = catalog.QUERIES["clock_normalize"](spark, SF).collect()
+    assert len(got) == spark.read.parquet(f"{SF}/events.parquet").count()
+    assert {r.event_idx: (r.seconds, r.normalized) for r in got} == want
+
+
+def test_clock_rounding(spark):
+    """Every hundredth of a minute, and thousandths beside the ties, as Python prints them."""
+    from pyspark.sql import functions as F
+
+    from tallyframe.functions.clock import normalize_clock
+
+    texts = [f"{m}:{s // 100:02d}.{s % 100:02d}" for m in (0, 1, 11) for s in range(6000)] + [f"{m}:{s:02d}.{f}" for m in (0, 7) for s in (0, 9, 59) for f in ("001", "049", "051", "249", "251", "949", "951", "999")]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", normalize_clock(F.col("t")).alias("n")).collect()
+    assert [r.n for r in got] == [clock(r.t)[1] for r in got]
