@@ -47,9 +47,9 @@ def lineup_sanity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @Q.add("""WITH s AS (SELECT user_id AS game_id, bool_or(event_type = 'view') AS feed, bool_or(event_type = 'click') AS box, bool_or(event_type = 'error') AS book FROM events WHERE event_id % 40 = 0 AND event_type IN ('view', 'click', 'error') GROUP BY 1)
 SELECT game_id, concat_ws(',', CASE WHEN feed THEN 'early_shocks' END, CASE WHEN feed OR box OR book THEN 'outcomes' END, CASE WHEN feed THEN 'q1_window_12_8' END, CASE WHEN feed OR box OR book THEN 'schedule_travel' END) AS tables FROM s""")
 def derivable_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The adapter takes each fortieth event as a fetched source of its game."""
-    e = table(spark, sf_dir, "events").where("event_id % 40 = 0 and event_type in ('view', 'click', 'error')")
-    source = F.when(F.col("event_type") == "view", "stats_feed").when(F.col("event_type") == "click", "box_pages").otherwise("game_books")
+    """The adapter takes each event as a fetched source of its game; other types than those three are one that no table needs."""
+    e, kind = table(spark, sf_dir, "events"), F.col("event_type")
+    source = F.when(kind == "view", "stats_feed").when(kind == "click", "box_pages").when(kind == "error", "game_books").otherwise("other")
     return seasons.derivable_tables(e.select(F.col("user_id").alias("game_id"), source.alias("source")))
 
 

@@ -54,3 +54,18 @@ def test_clock_rounding(spark):
     texts = [f"{m}:{s // 100:02d}.{s % 100:02d}" for m in (0, 1, 11) for s in range(6000)] + [f"{m}:{s:02d}.{f}" for m in (0, 7) for s in (0, 9, 59) for f in ("001", "049", "051", "249", "251", "949", "951", "999")]
     got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", normalize_clock(F.col("t")).alias("n")).collect()
     assert [r.n for r in got] == [clock(r.t)[1] for r in got]
+
+
+def test_derivable_tables_takes_every_event(spark, tmp_path):
+    """Every game of the table is there, and games of one type of event have what that source gives."""
+    have = {}
+    for r in spark.read.parquet(f"{SF}/events.parquet").collect():
+        have.setdefault(r.user_id, set()).add(r.event_type)
+    few = [(1, 7, "view"), (2, 8, "click"), (3, 9, "error"), (4, 10, "signup"), (5, 11, "purchase"), (6, 11, "click"), (7, 12, None)]
+    spark.createDataFrame(few, "event_id long, user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    some = {}
+    for _, u, t in few:
+        some.setdefault(u, set()).add(t)
+    for path, types in ((SF, have), (str(tmp_path), some)):
+        want = {u: ",".join((["early_shocks"] if "view" in t else []) + (["outcomes"] if t & {"view", "click", "error"} else []) + (["q1_window_12_8"] if "view" in t else []) + (["schedule_travel"] if t & {"view", "click", "error"} else [])) for u, t in types.items()}
+        assert {r.game_id: r.tables for r in catalog.QUERIES["derivable_tables"](spark, path).collect()} == want
