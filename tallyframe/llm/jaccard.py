@@ -236,13 +236,13 @@ class SignatureTree:
 
     A node has the OR of bitmaps, the least and greatest size, and the most tokens that a set under it has beyond its
     bitmap's ones: tokens that share a bit with another. Two sets share at most as many tokens as the AND of their
-    bitmaps has ones, plus those of either.
+    bitmaps has ones, plus those of either. Trees that are joined have bitmaps of the same width, bits.
     """
 
-    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray):
+    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray, bits: int | None = None):
         self.sets, self.sizes = sets, sizes
         own = np.array([len(s) for s in sets])
-        bits = 1 << int(np.clip(8 * np.median(own), 512, 16384)).bit_length()
+        self.bits = bits = bits or 1 << int(np.clip(8 * np.median(own), 512, 16384)).bit_length()
         flat = np.concatenate(sets)
         maps = np.zeros((len(sets), bits // 8), np.uint8)
         at = (flat % _U(bits)).astype(np.int64)
@@ -331,11 +331,11 @@ def uniform(part: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return change[hi - 1] == change[lo]
 
 
-def tree_of(rows: pa.Table) -> tuple[list[bytes], SignatureTree]:
+def tree_of(rows: pa.Table, bits: int | None = None) -> tuple[list[bytes], SignatureTree]:
     """Sets in an order that puts similar ones near each other: by cluster, then size."""
     order = sorted(range(rows.num_rows), key=list(zip(rows.column("cluster").to_pylist(), rows.column("n").to_pylist(), rows.column("node").to_pylist(), strict=True)).__getitem__)
     node, n, tokens = (rows.column(c).to_pylist() for c in ("node", "n", "tokens"))
-    return [node[i] for i in order], SignatureTree([np.frombuffer(tokens[i], np.uint64) for i in order], np.array([n[i] for i in order]))
+    return [node[i] for i in order], SignatureTree([np.frombuffer(tokens[i], np.uint64) for i in order], np.array([n[i] for i in order]), bits)
 
 
 _LINKS = pa.schema([("a", pa.binary()), ("b", pa.binary())])
@@ -348,7 +348,7 @@ def join_block(rows: pa.Table) -> pa.Table:
     if not first.num_rows or pair and not second.num_rows:
         return rows_of(_LINKS, [])
     names, tree = tree_of(first)
-    others, right = tree_of(second) if pair else (names, None)
+    others, right = tree_of(second, tree.bits) if pair else (names, None)
     return rows_of(_LINKS, [(names[i], others[j]) for i, j in join_trees(tree, right)])
 
 
