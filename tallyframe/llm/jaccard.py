@@ -11,7 +11,8 @@
    ranges, and a dual traversal drops pairs of nodes whose sizes or largest possible overlap rule a link out. What is
    left is verified on the tokens, except within what is already connected. Large clusters are cut into blocks, a task
    for each pair of blocks.
-5. Links that connect go to components.
+5. Links that connect go to components. join() finds no others; join(links=True) counts all links of each set too: the
+   sizes of intersections within a task, 256 sets by 256 sets, with no pair given out.
 
 Tokens are compared by 48 bits and the group that they meet in.
 
@@ -39,6 +40,8 @@ from .common import components, stash, table
 SHINGLE, PERCENT = 5, 80
 #: Sets of a batch that make a token frequent, the count that stands for frequent, tokens of a task of step 4, fan-out of a tree.
 HOT, FREQUENT, TASK_TOKENS, FAN_OUT = 64, 255, 2_000_000, 16
+#: For counts of links: sets of a group, pairs of a token that make it dense, dense tokens of one product.
+GROUP, DENSE, WIDE = 256, 400, 4096
 _U = np.uint64
 _ODD = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -331,29 +334,91 @@ def uniform(part: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return change[hi - 1] == change[lo]
 
 
-def tree_of(rows: pa.Table, bits: int | None = None) -> tuple[list[bytes], SignatureTree]:
-    """Sets in an order that puts similar ones near each other: by cluster, then size."""
+def shared_tokens(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each of left with each of right. Tokens of many pairs are multiplied as 0/1 matrices, the others paired."""
+    out = np.zeros(len(left) * len(right), np.int64)
+    (x, i), (y, j) = ((np.concatenate(s), np.repeat(np.arange(len(s)), [len(v) for v in s])) for s in (left, right))
+    known = np.intersect1d(x, y)
+    if not len(known):
+        return out.reshape(len(left), -1)
+
+    def held(tokens, of):
+        at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
+        ok = known[at] == tokens
+        order = np.argsort(at[ok], kind="stable")
+        return at[ok][order], of[ok][order], np.bincount(at[ok], minlength=len(known))
+
+    (x, i, m), (y, j, n) = held(x, i), held(y, j)
+    dense = m * n > DENSE
+    columns = np.flatnonzero(dense)
+    for lo in range(0, len(columns), WIDE):
+        c = columns[lo : lo + WIDE]
+        place = np.full(len(known), -1)
+        place[c] = np.arange(len(c))
+        one, two = (np.zeros((len(s), len(c)), np.float32) for s in (left, right))
+        for matrix, token, of in ((one, x, i), (two, y, j)):
+            k = place[token] >= 0
+            matrix[of[k], place[token[k]]] = 1
+        out += (one @ two.T).astype(np.int64).ravel()
+    # Each entry on the left meets all entries of its token on the right.
+    k = np.flatnonzero(~dense[x])
+    begin = np.cumsum(n) - n
+    for part in np.array_split(k, max(1, int(n[x[k]].sum()) >> 20)):
+        size = n[x[part]]
+        out += np.bincount(np.repeat(i[part], size) * len(right) + j[spread(begin[x[part]], size)], minlength=len(out))
+    return out.reshape(len(left), -1)
+
+
+def count_links(left: SignatureTree, weights: np.ndarray, right: SignatureTree | None = None, others: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of all sets that each set of left, and of right, is linked to: within left, or between left and right."""
+    own = right is None
+    if own:
+        right, others = left, weights
+    a_out, b_out = np.zeros(len(left.sets), np.int64), np.zeros(len(right.sets), np.int64)
+    for a in range(0, len(left.sets), GROUP):
+        for b in range(a if own else 0, len(right.sets), GROUP):
+            i, j = slice(a, a + GROUP), slice(b, b + GROUP)
+            p, q = left.sizes[i], right.sizes[j]
+            if 100 * p.max() < PERCENT * q.min() or 100 * q.max() < PERCENT * p.min():
+                continue
+            linked = (100 + PERCENT) * shared_tokens(left.sets[i], right.sets[j]) >= PERCENT * (p[:, None] + q)
+            if own and a == b:
+                np.fill_diagonal(linked, False)
+            a_out[i] += linked @ others[j]
+            if not own or a != b:
+                b_out[j] += weights[i] @ linked
+    return (a_out + b_out, b_out) if own else (a_out, b_out)
+
+
+def tree_of(rows: pa.Table, bits: int | None = None) -> tuple[list[bytes], np.ndarray, SignatureTree]:
+    """Sets, and their copies, in an order that puts similar ones near each other: by cluster, then size."""
     order = sorted(range(rows.num_rows), key=list(zip(rows.column("cluster").to_pylist(), rows.column("n").to_pylist(), rows.column("node").to_pylist(), strict=True)).__getitem__)
     node, n, tokens = (rows.column(c).to_pylist() for c in ("node", "n", "tokens"))
-    return [node[i] for i in order], SignatureTree([np.frombuffer(tokens[i], np.uint64) for i in order], np.array([n[i] for i in order]), bits)
+    copies = rows.column("copies").to_numpy()[order] if "copies" in rows.column_names else None
+    return [node[i] for i in order], copies, SignatureTree([np.frombuffer(tokens[i], np.uint64) for i in order], np.array([n[i] for i in order]), bits)
 
 
-_LINKS = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+_LINKS = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("n_links", pa.int64())])
 
 
 def join_block(rows: pa.Table) -> pa.Table:
-    """Links of the sets of one task; side 1 is there for a pair of blocks of one cluster."""
+    """Links of the sets of one task; side 1 is there for a pair of blocks of one cluster. With copies, also rows (a, null, n_links)."""
     first, second = (rows.filter(pc.equal(rows.column("side"), k)) for k in (0, 1))
     pair = pc.any(pc.not_equal(rows.column("one"), rows.column("two"))).as_py()
     if not first.num_rows or pair and not second.num_rows:
         return rows_of(_LINKS, [])
-    names, tree = tree_of(first)
-    others, right = tree_of(second, tree.bits) if pair else (names, None)
-    return rows_of(_LINKS, [(names[i], others[j]) for i, j in join_trees(tree, right)])
+    names, copies, tree = tree_of(first)
+    others, more, right = tree_of(second, tree.bits) if pair else (names, None, None)
+    out = [(names[i], others[j], None) for i, j in join_trees(tree, right)]
+    if copies is not None:
+        a, b = count_links(tree, copies, right, more)
+        out += [(x, None, n) for x, n in [*zip(names, a.tolist(), strict=True), *(zip(others, b.tolist(), strict=True) if pair else ())] if n]
+    return rows_of(_LINKS, out)
 
 
 def find_links(sets: DataFrame, task_tokens: int = TASK_TOKENS) -> DataFrame:
-    """Links (a, b) that connect all linked sets of sets (node, n, k, tokens, prefix)."""
+    """Links (a, b) that connect all linked sets of sets (node, n, k, tokens, prefix). With a column copies, also (a, null, n_links) by task: copies of sets linked to a."""
+    held = ["node", "n", "tokens", *(["copies"] if "copies" in sets.columns else [])]
     meets = sets.select("node", F.explode("prefix").alias("token"))
     heads = meets.groupBy("token").agg(F.min("node").alias("head"), F.count("*").alias("m")).where("m > 1")
     edges = meets.join(heads, "token").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
@@ -362,17 +427,17 @@ def find_links(sets: DataFrame, task_tokens: int = TASK_TOKENS) -> DataFrame:
     total = sized.agg(F.sum("weight")).first()[0] or 0
     bundles = max(1, -(-total // task_tokens))
     placed = clusters.join(sized.withColumn("blocks", F.expr(f"int(ceil(weight / {task_tokens}))")), "root")
-    placed = sets.select("node", "n", "tokens").join(placed, "node").withColumn("block", F.expr("int(pmod(xxhash64(node), blocks))"))
-    small = placed.where("blocks = 1").select(F.pmod(F.xxhash64("root"), F.lit(bundles)).alias("task"), F.lit(-1).alias("one"), F.lit(-1).alias("two"), F.lit(0).alias("side"), F.col("root").alias("cluster"), "node", "n", "tokens")
+    placed = sets.select(*held).join(placed, "node").withColumn("block", F.expr("int(pmod(xxhash64(node), blocks))"))
+    small = placed.where("blocks = 1").select(F.pmod(F.xxhash64("root"), F.lit(bundles)).alias("task"), F.lit(-1).alias("one"), F.lit(-1).alias("two"), F.lit(0).alias("side"), F.col("root").alias("cluster"), *held)
     each = placed.where("blocks > 1").withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
     large = each.select(
-        F.xxhash64("root").alias("task"), F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two"), (F.col("block") > F.col("with")).cast("int").alias("side"), F.col("root").alias("cluster"), "node", "n", "tokens"
+        F.xxhash64("root").alias("task"), F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two"), (F.col("block") > F.col("with")).cast("int").alias("side"), F.col("root").alias("cluster"), *held
     )
-    return small.unionByName(large).groupBy("task", "one", "two").applyInArrow(join_block, "a binary, b binary")
+    return small.unionByName(large).groupBy("task", "one", "two").applyInArrow(join_block, "a binary, b binary, n_links long")
 
 
-def join(docs: DataFrame, task_tokens: int = TASK_TOKENS) -> DataFrame:
-    """doc_id, n_shingles, component_id for each row of docs (doc_id, text)."""
+def join(docs: DataFrame, task_tokens: int = TASK_TOKENS, links: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id for each row of docs (doc_id, text); with links also n_links, the other rows that it is linked to."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     groups = groups_for(docs, F.col("text"))
 
@@ -417,14 +482,30 @@ def join(docs: DataFrame, task_tokens: int = TASK_TOKENS) -> DataFrame:
     sets = met.where("kind <> 'document'").select("home", "kind", "data").groupBy("home").applyInArrow(share, "node binary, n long, k long, tokens binary, prefix array<long>")
     # A set that several batches hold is one node.
     sets = stash(sets.dropDuplicates(["node"]))
-    roots = components(find_links(sets, task_tokens))
     rows = met.where("kind = 'document'").select("doc_id", "n", "node")
+    if links:
+        copies = stash(rows.where("node is not null").groupBy("node").agg(F.count("*").alias("copies")))
+        found = stash(find_links(sets.join(copies, "node"), task_tokens))
+        edges = found.where("b is not null").select("a", "b")
+    else:
+        edges = find_links(sets, task_tokens).select("a", "b")
+    roots = components(edges)
     least = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = least.groupBy("root").agg(F.min("least").alias("component_id"))
     named = least.select("node", "root").join(named, "root").select("node", "component_id")
-    linked = rows.where("node is not null").join(named, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return linked.unionByName(rows.where("node is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    out = ["doc_id", F.col("n").alias("n_shingles"), "component_id"]
+    if links:
+        counts = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n_links").alias("others"))
+        counts = copies.join(counts, "node", "left").select("node", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+        named, out = named.join(counts, "node"), [*out, "n_links"]
+    linked = rows.where("node is not null").join(named, "node").select(*out)
+    alone = rows.where("node is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), *([F.lit(0).cast("long").alias("n_links")] if links else []))
+    return linked.unionByName(alone)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(table(spark, sf_dir, "documents"))
+
+
+def links_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join(table(spark, sf_dir, "documents"), links=True)

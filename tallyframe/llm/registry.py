@@ -15,6 +15,7 @@ QUERIES = {
     "op8_fingerprints": fingerprints.query,
     "op9_language_id": language.query,
     "op10_word_bpe": word_bpe.query,
+    "op1_ngram_links": jaccard.links_query,
 }
 SQL = {
     "op2_license_scan": licences.SQL,
