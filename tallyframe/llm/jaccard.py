@@ -9,10 +9,14 @@
    their prefix: under an order with rare tokens first, linked sets share one of their first n - ceil(THRESHOLD n) + 1.
 4. Clusters are joined by signature trees: leaves are sets, nodes hold the OR of their sets' token bitmaps and size
    ranges, and a dual traversal drops pairs of nodes whose sizes or largest possible overlap rule a link out. What is
-   left is verified on the tokens, except within what is already connected. Large clusters are cut into blocks, a task
-   for each pair of blocks.
-5. Links that connect go to components. join() finds no others; join(links=True) counts all links of each set too: the
-   sizes of intersections within a task, 256 sets by 256 sets, with no pair given out.
+   left is verified on the tokens, except within what is already connected. A cluster holds whole components, so a task
+   names each set's smallest connected one. Large clusters are cut into blocks, a task for each pair of blocks.
+5. What the blocks of large clusters connect goes to components. join() finds no links but those that connect;
+   join(links=True) counts all links of each set too: the sizes of intersections within a task, 256 sets by 256 sets,
+   with no pair given out.
+
+Hot groups: a token that many prefixes hold meets in two steps, by token and salt and then by token; rows that share a set,
+a cluster or a component of many are joined where they lie (common.join_counted).
 
 Tokens are compared by 48 bits and the group that they meet in.
 
@@ -34,12 +38,14 @@ from pyspark.sql import functions as F
 
 from .arrow import slices, text_bytes
 from .blocks import BATCH_BYTES, SLICE_BYTES, by_key, gather, groups_for, pack, rows_of, runs, spread, unpack
-from .common import components, stash, table
+from .common import components, join_counted, stash, table
 
 #: Words of a shingle; a link has 100 * intersection >= PERCENT * union.
 SHINGLE, PERCENT = 5, 80
 #: Sets of a batch that make a token frequent, the count that stands for frequent, tokens of a task of step 4, fan-out of a tree.
 HOT, FREQUENT, TASK_TOKENS, FAN_OUT = 64, 255, 2_000_000, 16
+#: Parts of a token's sets that meet by themselves first.
+SALTS = 256
 #: For counts of links: sets of a group, pairs of a token that make it dense, dense tokens of one product.
 GROUP, DENSE, WIDE = 256, 400, 4096
 _U = np.uint64
@@ -398,42 +404,67 @@ def tree_of(rows: pa.Table, bits: int | None = None) -> tuple[list[bytes], np.nd
     return [node[i] for i in order], copies, SignatureTree([np.frombuffer(tokens[i], np.uint64) for i in order], np.array([n[i] for i in order]), bits)
 
 
-_LINKS = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("n_links", pa.int64())])
+_LINKS = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("n_links", pa.int64()), ("part", pa.bool_())])
+
+
+def stars(links: list[tuple[bytes, bytes]]) -> list[tuple[bytes, bytes]]:
+    """Each linked set but the least with the least set that it is connected to."""
+    least: dict[bytes, bytes] = {}
+
+    def root(x: bytes) -> bytes:
+        while (up := least.get(x, x)) != x:
+            least[x] = x = least.get(up, up)
+        return x
+
+    for a, b in links:
+        a, b = sorted((root(a), root(b)))
+        least[b] = a
+    return [(x, root(x)) for x in least if root(x) != x]
 
 
 def join_block(rows: pa.Table) -> pa.Table:
-    """Links of the sets of one task; side 1 is there for a pair of blocks of one cluster. With copies, also rows (a, null, n_links)."""
+    """Rows (a, b, null, part) of the sets of one task: b is the least set that a is connected to there; part: of a cluster cut into blocks.
+    Side 1 is there for a pair of blocks of one cluster. With copies, also rows (a, null, n_links, part)."""
     first, second = (rows.filter(pc.equal(rows.column("side"), k)) for k in (0, 1))
     pair = pc.any(pc.not_equal(rows.column("one"), rows.column("two"))).as_py()
     if not first.num_rows or pair and not second.num_rows:
         return rows_of(_LINKS, [])
     names, copies, tree = tree_of(first)
     others, more, right = tree_of(second, tree.bits) if pair else (names, None, None)
-    out = [(names[i], others[j], None) for i, j in join_trees(tree, right)]
+    part = pc.any(pc.greater_equal(rows.column("one"), 0)).as_py()
+    out = [(a, b, None, part) for a, b in stars([(names[i], others[j]) for i, j in join_trees(tree, right)])]
     if copies is not None:
         a, b = count_links(tree, copies, right, more)
-        out += [(x, None, n) for x, n in [*zip(names, a.tolist(), strict=True), *(zip(others, b.tolist(), strict=True) if pair else ())] if n]
+        out += [(x, None, n, part) for x, n in [*zip(names, a.tolist(), strict=True), *(zip(others, b.tolist(), strict=True) if pair else ())] if n]
     return rows_of(_LINKS, out)
 
 
+def clusters_of(sets: DataFrame) -> DataFrame:
+    """(node, root): sets whose prefixes are connected by common tokens have one root."""
+    meets = sets.select("node", F.explode("prefix").alias("token")).withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)))
+    parts = meets.groupBy("token", "salt").agg(F.min("node").alias("head"), F.count("*").alias("m"))
+    within = meets.join(parts.where("m > 1"), ["token", "salt"]).where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    firsts = parts.groupBy("token").agg(F.min("head").alias("first"), F.count("*").alias("n")).where("n > 1")
+    across = parts.join(firsts, "token").where("head <> first").select(F.col("head").alias("a"), F.col("first").alias("b"))
+    return stash(components(within.unionByName(across)))
+
+
 def find_links(sets: DataFrame, task_tokens: int = TASK_TOKENS) -> DataFrame:
-    """Links (a, b) that connect all linked sets of sets (node, n, k, tokens, prefix). With a column copies, also (a, null, n_links) by task: copies of sets linked to a."""
+    """Rows (a, b, null, part) that connect all linked sets of sets (node, n, k, tokens, prefix): all there is to a where not part, within the
+    task where part. With a column copies, also (a, null, n_links, part) by task: copies of sets linked to a."""
     held = ["node", "n", "tokens", *(["copies"] if "copies" in sets.columns else [])]
-    meets = sets.select("node", F.explode("prefix").alias("token"))
-    heads = meets.groupBy("token").agg(F.min("node").alias("head"), F.count("*").alias("m")).where("m > 1")
-    edges = meets.join(heads, "token").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
-    clusters = stash(components(edges))
-    sized = sets.select("node", "k").join(clusters, "node").groupBy("root").agg(F.sum("k").alias("weight"))
-    total = sized.agg(F.sum("weight")).first()[0] or 0
-    bundles = max(1, -(-total // task_tokens))
-    placed = clusters.join(sized.withColumn("blocks", F.expr(f"int(ceil(weight / {task_tokens}))")), "root")
+    clusters = clusters_of(sets)
+    sized = stash(sets.select("node", "k").join(clusters, "node").groupBy("root").agg(F.sum("k").alias("weight"), F.count("*").alias("nodes")))
+    total, nodes = sized.agg(F.sum("weight"), F.sum("nodes")).first()
+    bundles = max(1, -(-(total or 0) // task_tokens))
+    placed = join_counted(clusters, sized.withColumn("blocks", F.expr(f"int(ceil(weight / {task_tokens}))")), "root", "nodes", nodes or 0)
     placed = sets.select(*held).join(placed, "node").withColumn("block", F.expr("int(pmod(xxhash64(node), blocks))"))
     small = placed.where("blocks = 1").select(F.pmod(F.xxhash64("root"), F.lit(bundles)).alias("task"), F.lit(-1).alias("one"), F.lit(-1).alias("two"), F.lit(0).alias("side"), F.col("root").alias("cluster"), *held)
     each = placed.where("blocks > 1").withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
     large = each.select(
         F.xxhash64("root").alias("task"), F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two"), (F.col("block") > F.col("with")).cast("int").alias("side"), F.col("root").alias("cluster"), *held
     )
-    return small.unionByName(large).groupBy("task", "one", "two").applyInArrow(join_block, "a binary, b binary, n_links long")
+    return small.unionByName(large).groupBy("task", "one", "two").applyInArrow(join_block, "a binary, b binary, n_links long, part boolean")
 
 
 def join(docs: DataFrame, task_tokens: int = TASK_TOKENS, links: bool = False) -> DataFrame:
@@ -483,22 +514,20 @@ def join(docs: DataFrame, task_tokens: int = TASK_TOKENS, links: bool = False) -
     # A set that several batches hold is one node.
     sets = stash(sets.dropDuplicates(["node"]))
     rows = met.where("kind = 'document'").select("doc_id", "n", "node")
-    if links:
-        copies = stash(rows.where("node is not null").groupBy("node").agg(F.count("*").alias("copies")))
-        found = stash(find_links(sets.join(copies, "node"), task_tokens))
-        edges = found.where("b is not null").select("a", "b")
-    else:
-        edges = find_links(sets, task_tokens).select("a", "b")
-    roots = components(edges)
-    least = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = least.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = least.select("node", "root").join(named, "root").select("node", "component_id")
+    copies = stash(rows.where("node is not null").groupBy("node").agg(F.count("*").alias("copies"), F.min("doc_id").alias("least")))
+    found = stash(find_links(sets.join(copies.select("node", "copies"), "node") if links else sets, task_tokens))
+    connected = found.where("b is not null")
+    roots = connected.where("not part").select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(components(connected.where("part").select("a", "b")))
+    joined = stash(copies.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    total, nodes = joined.agg(F.sum("copies"), F.count("*")).first()
+    named = joined.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("nodes"))
+    named = join_counted(joined.select("node", "root", "copies"), named, "root", "nodes", nodes).drop("root")
     out = ["doc_id", F.col("n").alias("n_shingles"), "component_id"]
     if links:
         counts = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n_links").alias("others"))
-        counts = copies.join(counts, "node", "left").select("node", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
-        named, out = named.join(counts, "node"), [*out, "n_links"]
-    linked = rows.where("node is not null").join(named, "node").select(*out)
+        named = named.join(counts, "node", "left").withColumn("n_links", F.col("copies") - 1 + F.coalesce("others", F.lit(0))).drop("others")
+        out = [*out, "n_links"]
+    linked = join_counted(rows.where("node is not null"), named, "node", "copies", total or 0).select(*out)
     alone = rows.where("node is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), *([F.lit(0).cast("long").alias("n_links")] if links else []))
     return linked.unionByName(alone)
 
