@@ -1,11 +1,16 @@
 """Language identification in two steps: the family first, then one-versus-one linear SVMs between the family's languages.
 
 Features are frequencies of hashed byte n-grams of the lower-cased whole text, so a text's score is the mean of its
-n-grams' weights. The models learn from a sample of at most SAMPLE documents with a label, drawn evenly from the
-languages by a hash of the id; every text is scored.
+n-grams' weights. The models learn from a sample of documents with a label, drawn evenly from the languages by a hash of
+the id: at most SAMPLE, or EACH of a language where there are too many for that; no language is left out. Each machine
+learns in a task of its own from the rows that it separates; only weights reach the driver. Every text is scored.
+
+recognised() drops documents whose text can't be told to be in one of the wanted languages: without a letter, predicted as
+another, or too unsure (score under LEAST; an even chance in both steps scores 0.25).
 
 Defined cases: null texts and texts without a letter are `und` with score 1; with no labelled document all are `und`;
-a language of no known family is a family of its own; rows that repeat are each predicted; other columns are ignored.
+a language of no known family is a family of its own; of equal margins the first language in the alphabet wins; rows that
+repeat are each predicted, and each learnt from if drawn; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -15,15 +20,17 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import svm
 from .arrow import slices, text_bytes
-from .common import table
+from .common import stash, table
 
-#: Labelled documents that the models learn from at most, hashed features, sizes of n-grams in bytes.
-SAMPLE, FEATURES, GRAMS = 3000, 4096, (1, 2, 3)
+#: Labelled documents that the models learn from at most, but this many of each language; hashed features, sizes of n-grams in bytes.
+SAMPLE, EACH, FEATURES, GRAMS = 3000, 20, 4096, (1, 2, 3)
+#: Least score of a document that recognised() keeps.
+LEAST = 0.3
 #: Closely related languages by family, as ISO 639-1 codes.
 FAMILIES = {
     "germanic": "af da de en fy is lb nb nl nn no sv yi",
@@ -77,28 +84,13 @@ def scores(data: np.ndarray, start: np.ndarray, size: np.ndarray, weights: np.nd
 
 
 class Model:
-    """x is overwritten. families: names; groups: languages of each; weights, biases: one-versus-rest rows of the families, then a row for each pair within a family."""
+    """families: names; groups: languages of each; weights, biases: a row for each of problems()."""
 
-    def __init__(self, langs: np.ndarray, x: np.ndarray):
-        self.languages = sorted(set(langs))
-        self.families = sorted({family(v) for v in self.languages})
-        self.groups = [[v for v in self.languages if family(v) == f] for f in self.families]
+    def __init__(self, languages: list[str], weights: np.ndarray, biases: np.ndarray):
+        self.languages, self.weights, self.biases = languages, weights.astype(np.float32), biases
+        self.families = sorted({family(v) for v in languages})
+        self.groups = [[v for v in languages if family(v) == f] for f in self.families]
         self.pairs = [p for g in self.groups for p in combinations(g, 2)]
-        own = np.array([family(v) for v in langs])
-        mean = x.mean(0, dtype=np.float64)
-        scale = 1 / (np.sqrt(np.maximum(np.einsum("ij,ij->j", x, x, dtype=np.float64) / len(x) - mean**2, 0)) + 1e-4)
-        z = x  # in place: x isn't used after
-        z -= mean.astype(np.float32)
-        z *= scale.astype(np.float32)
-        rows = []
-        if len(self.families) > 1:
-            rows += [svm.fit(z, np.where(own == f, 1.0, -1.0)) for f in self.families]
-        for a, b in self.pairs:
-            keep = (langs == a) | (langs == b)
-            rows.append(svm.fit(z[keep], np.where(langs[keep] == a, 1.0, -1.0)))
-        w = np.array([r[0] * scale for r in rows]).reshape(len(rows), x.shape[1])
-        self.biases = np.array([r[1] for r in rows]) - w @ mean if rows else np.zeros(0)
-        self.weights = w.astype(np.float32)
 
     def decide(self, margins: np.ndarray) -> tuple[list[str], np.ndarray]:
         """Language and score of each row of margins (scores plus biases): the family of the largest margin, then the language of most won pairs, margins breaking ties."""
@@ -123,6 +115,25 @@ class Model:
         return langs.tolist(), sure
 
 
+def problems(languages: list[str]) -> list[tuple[list[str], list[str]]]:
+    """Languages on either side of each machine: each family against the others where there are several, then each pair within a family."""
+    families = sorted({family(v) for v in languages})
+    groups = [[v for v in languages if family(v) == f] for f in families]
+    rest = [(g, [v for v in languages if v not in g]) for g in groups] if len(groups) > 1 else []
+    return rest + [([a], [b]) for g in groups for a, b in combinations(g, 2)]
+
+
+def separate(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and bias of the machine between rows of y = 1 and of y = -1. x is overwritten."""
+    mean = x.mean(0, dtype=np.float64)
+    scale = 1 / (np.sqrt(np.maximum(np.einsum("ij,ij->j", x, x, dtype=np.float64) / len(x) - mean**2, 0)) + 1e-4)
+    x -= mean.astype(np.float32)
+    x *= scale.astype(np.float32)
+    w, b = svm.fit(x, y)
+    w = w * scale
+    return w, b - float(w @ mean)
+
+
 def held_out() -> Column:
     return F.expr("coalesce(pmod(crc32(cast(doc_id as string)), 4) = 2, false)")
 
@@ -131,29 +142,45 @@ def has_letter() -> Column:
     return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
 
 
-def learn(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """The model of the labelled documents of docs (doc_id, text, lang) that are not held out."""
+def sampled(docs: DataFrame, sample: int = SAMPLE, each: int = EACH) -> tuple[list[str], DataFrame]:
+    """The labels of documents that are not held out, and doc_id, lang, x (frequencies) of those drawn from each."""
     known = docs.where(~held_out() & F.col("lang").isNotNull() & has_letter())
-    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(sample // 10).collect()}
-    if not counts:
-        return None
-    each = sample // len(counts)
-    rate = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, 1.3 * each / n))])
-    drawn = known.where(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 20)) < rate[F.col("lang")] * (1 << 20)).select("doc_id", "lang", "text")
+    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    each = max(each, sample // max(1, len(counts)))
+    rate = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, 1.3 * each / n))]) if counts else None
+    drawn = known.where(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 20)) < rate[F.col("lang")] * (1 << 20)) if counts else known.limit(0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (x for whole in batches for x in slices(whole, 2)):
             x = [frequencies(t.as_py().encode()).tobytes() for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.string()), pa.array(x, pa.binary())], ["doc_id", "lang", "x"])
 
-    rows = drawn.mapInArrow(run, "doc_id long, lang string, x binary").orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(sample).collect()
-    if not rows:
+    rows = drawn.select("doc_id", "lang", "text").mapInArrow(run, "doc_id long, lang string, x binary")
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id", "x"))
+    return sorted(counts), rows.withColumn("nth", nth).where(F.col("nth") <= each).drop("nth")
+
+
+def learn(docs: DataFrame, sample: int = SAMPLE, each: int = EACH) -> Model | None:
+    """The model of the labelled documents of docs (doc_id, text, lang) that are not held out."""
+    languages, rows = sampled(docs, sample, each)
+    if not languages:
         return None
-    names, x = np.array([r.lang for r in rows], object), np.empty((len(rows), FEATURES), np.float32)
-    while rows:  # row by row, so that both forms aren't held at once
-        r = rows.pop()
-        x[len(rows)] = np.frombuffer(r.x, np.float32)
-    return Model(names, x)
+    tasks = problems(languages)
+    if not tasks:
+        return Model(languages, np.zeros((0, FEATURES)), np.zeros(0))
+
+    def fit(rows: pa.Table) -> pa.Table:
+        order = sorted(range(rows.num_rows), key=list(zip(rows.column("doc_id").to_pylist(), rows.column("x").to_pylist(), strict=True)).__getitem__)
+        x = np.empty((rows.num_rows, FEATURES), np.float32)
+        for i, k in enumerate(order):
+            x[i] = np.frombuffer(rows.column("x")[k].as_py(), np.float32)
+        w, b = separate(x, rows.column("side").to_numpy()[order].astype(np.float64))
+        return pa.table({"problem": pa.array([rows.column("problem")[0].as_py()], pa.int32()), "w": pa.array([w.astype(np.float32).tobytes()], pa.binary()), "b": pa.array([b], pa.float64())})
+
+    sides = [(k, lang, side) for k, task in enumerate(tasks) for side, langs in zip((1, -1), task, strict=True) for lang in langs]
+    dealt = stash(rows.where("doc_id is not null")).join(F.broadcast(docs.sparkSession.createDataFrame(sides, "problem int, lang string, side int")), "lang")
+    done = sorted(dealt.groupBy("problem").applyInArrow(fit, "problem int, w binary, b double").collect(), key=lambda r: r.problem)
+    return Model(languages, np.array([np.frombuffer(r.w, np.float32) for r in done]), np.array([r.b for r in done]))
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -173,8 +200,9 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     return cols.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def known(docs: DataFrame) -> DataFrame:
-    """docs without the rows that are rejected: those predicted `und`. Without any label to learn from, those without a letter."""
+def recognised(docs: DataFrame, languages: list[str] | None = None, least: float = LEAST) -> DataFrame:
+    """docs without the rows that are rejected: no letter, predicted as none of languages (default: all learnt), or with a score under least.
+    Without any label to learn from, those without a letter are rejected."""
     model, names = learn(docs), docs.columns
     plain = docs.select(*[F.col(c).alias("text" if c == "text" else f"d{i}") for i, c in enumerate(names)]).withColumn("letter", has_letter())
     at = names.index("text")
@@ -182,9 +210,9 @@ def known(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (x for whole in batches for x in slices(whole, at)):
             letter = batch.column(len(names)).to_numpy(zero_copy_only=False).astype(bool)
-            langs, _ = model.decide(scores(*text_bytes(batch.column(at)), model.weights) + model.biases)
-            kept = letter & (np.array(langs, object) != "und")
-            yield batch.filter(pa.array(kept))
+            langs, sure = model.decide(scores(*text_bytes(batch.column(at)), model.weights) + model.biases)
+            wanted = np.ones(len(langs), bool) if languages is None else np.isin(np.array(langs, object).astype(str), languages)
+            yield batch.filter(pa.array(letter & wanted & (sure >= least)))
 
     kept = plain.where("letter") if model is None else plain.mapInArrow(run, plain.schema)
     return kept.select(*[F.col("text" if c == "text" else f"d{i}").alias(c) for i, c in enumerate(names)])
