@@ -2,9 +2,9 @@
 
 Words are counted over all documents; the most frequent ones, at most LEXICON_WORDS, are compiled into a minimal acyclic automaton
 whose states share suffixes. Each edge carries the number of words before it, so the sum along a word's path is the
-word's number, and a table gives its ids. The compiled form is one file of fixed size bound, broadcast, written once to
-each worker's temporary folder and memory-mapped. A batch's distinct words walk the automaton together, one step for each
-byte; words that it lacks are merged pair by pair, least rank first.
+word's number, and a table gives its ids. The compiled form is one file of fixed size bound, broadcast; each worker maps it
+from a temporary file that has no name any more, so nothing is left behind. A batch's distinct words walk the automaton
+together, one step for each byte; words that it lacks are merged pair by pair, least rank first, in n log n steps.
 
 Defined cases: a null text is empty: no ids, digests of the empty string; strings of special tokens in a text give their
 ids, as in the library; rows that repeat are each encoded; other columns are ignored. Texts with characters on which
@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import heapq
+import itertools
 import json
 import os
 import re
@@ -77,15 +79,27 @@ class WordBpe:
         raw = word.encode(errors="surrogateescape")
         ids = [self.inner[b] for b in raw[:-1]] + [self.final[raw[-1]]]
         ids = [i for i in ids if i is not None]
-        rank = self.pairs.get
-        none = (1 << 60, 0)
-        while len(ids) > 1:
-            least = min(found := [rank(p, none) for p in zip(ids, ids[1:])])  # noqa: B905
-            if least is none:
-                break
-            k = found.index(least)
-            ids[k : k + 2] = [least[1]]
-        return ids
+        n, pair = len(ids), self.pairs.get
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        # Pairs as (rank, place of the left one, what the pair was, what it becomes); those that have changed meanwhile are passed over.
+        todo = [(*r, k, a, b) for k, (a, b) in enumerate(itertools.pairwise(ids)) if (r := pair((a, b)))]
+        todo = [(rank, k, a, b, made) for rank, made, k, a, b in todo]
+        heapq.heapify(todo)
+        while todo:
+            _, k, a, b, made = heapq.heappop(todo)
+            right = after[k]
+            if right >= n or ids[k] != a or ids[right] != b:
+                continue
+            ids[k], ids[right] = made, -1
+            after[k] = right = after[right]
+            if right < n:
+                before[right] = k
+                if r := pair((made, ids[right])):
+                    heapq.heappush(todo, (r[0], k, made, ids[right], r[1]))
+            left = before[k]
+            if left >= 0 and (r := pair((ids[left], made))):
+                heapq.heappush(todo, (r[0], left, ids[left], made, r[1]))
+        return [i for i in ids if i >= 0]
 
 
 def compile_lexicon(words: list[bytes], ids: list[list[int]]) -> bytes:
@@ -144,12 +158,13 @@ def compile_lexicon(words: list[bytes], ids: list[list[int]]) -> bytes:
 
 
 class Lexicon:
-    """A compiled transducer, mapped from a file."""
+    """A compiled transducer, mapped from a file without a name."""
 
-    def __init__(self, path: str):
-        if not os.path.getsize(path):
-            raise ValueError("empty lexicon")
-        whole = np.memmap(path, "<i4", "r")
+    def __init__(self, data: bytes):
+        with tempfile.TemporaryFile() as f:
+            f.write(data)
+            f.flush()
+            whole = np.memmap(f, "<i4", "r")
         at, got = 6, []
         for n in whole[:6]:
             got.append(whole[at : at + n])
@@ -190,21 +205,15 @@ def bpe(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-_mapped: dict[str, tuple] = {}
+_mapped: dict[bytes, tuple] = {}
 
 
 def mapped(data: bytes) -> tuple[Lexicon, dict]:
-    """The lexicon from this worker's temporary folder, where the first to come has written it, and the words in memory."""
-    name = hashlib.sha256(data).hexdigest()
+    """This worker's map of the lexicon, and the words in memory."""
+    name = hashlib.sha256(data).digest()
     if name not in _mapped:
-        path = os.path.join(tempfile.gettempdir(), f"lexicon-{name[:32]}")
-        if not os.path.exists(path):
-            fd, part = tempfile.mkstemp(dir=tempfile.gettempdir())
-            with os.fdopen(fd, "wb") as f:
-                f.write(data)
-            os.replace(part, path)
         _mapped.clear()
-        _mapped[name] = Lexicon(path), {}
+        _mapped[name] = Lexicon(data), {}
     return _mapped[name]
 
 
