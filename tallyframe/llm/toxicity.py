@@ -8,11 +8,12 @@ dot product of explicit weights, so the landmarks and the machine fold into one
 score takes the sum of its subsequences' weights, over all distinct words of every whole text. The text's score is
 calibrated from its two most toxic words and its length.
 
-It learns from a sample of at most SAMPLE labelled documents that are not held out, drawn by a hash of the id; and of
-those at most SENTENCES sentences of each kind of at most SENTENCE_CHARS code points.
+It learns from a sample of at most SAMPLE labelled documents of each kind that are not held out, drawn by a hash of the id
+(of rows that repeat an id one, by a hash of the text); the machine from at most SENTENCES of their sentences of each kind,
+of at most SENTENCE_CHARS code points. Words of more than LONGEST letters are learnt from and scored by all their windows.
 
 Defined cases: null, empty and wordless texts have the score of no toxic word; without labels of both kinds every score
-is 0; of several labels of one document the greatest counts; rows that repeat are each scored; other columns are ignored.
+is 0; of several labels of one document the greatest counts; rows that repeat are each scored alike; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import svm
@@ -64,6 +65,13 @@ def spell(token: str) -> str:
     return _OTHER.sub("", token.strip(".,;:!?()[]{}\"'«»„“”*#%&|-").translate(LEET))
 
 
+def windows(word: str) -> list[str]:
+    """The word, or overlapping windows of LONGEST letters that cover it."""
+    if len(word) <= LONGEST:
+        return [word]
+    return [word[lo : lo + LONGEST] for lo in range(0, len(word) - LONGEST // 2, LONGEST // 2)]
+
+
 @functools.lru_cache(64)
 def triples(length: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of all three-letter subsequences of a word of that length, and their weights."""
@@ -131,7 +139,7 @@ class Model:
 
     def words(self, words: list[str]) -> np.ndarray:
         """Score of each word: the greatest of its windows for one longer than LONGEST."""
-        parts = [[w[lo : lo + LONGEST] for lo in range(0, max(len(w) - LONGEST // 2, 1), LONGEST // 2)] if len(w) > LONGEST else [w] for w in words]
+        parts = [windows(w) for w in words]
         flat = [p for ps in parts for p in ps]
         got = np.full(len(flat), self.bias)
         for rows, ws in by_length(flat):
@@ -165,7 +173,9 @@ def sampled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFra
     rate = F.create_map(*[F.lit(v) for t, n in counts.items() for v in (t, min(1.0, sample / n))])
     drawn = known.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < rate[F.col("toxic")] * (1 << 20))
     drawn = drawn.orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * sample)
-    return docs.join(F.broadcast(drawn), "doc_id").select("doc_id", "toxic", F.coalesce("text", F.lit("")).alias("text"))
+    met = docs.join(F.broadcast(drawn), "doc_id").select("doc_id", "toxic", F.coalesce("text", F.lit("")).alias("text"))
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
+    return met.withColumn("nth", nth).where("nth = 1").drop("nth")
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
@@ -178,12 +188,12 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
             cols = list(zip(*rows, strict=True)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.string())], ["doc_id", "toxic", "sentence"])
 
-    drawn = drawn.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"), "text")
+    drawn = stash(drawn.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"), "text"))
     sentences = drawn.mapInArrow(cut, "doc_id long, toxic int, sentence string")
 
     def spelt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(t, w) for t, s in zip(*[c.to_pylist() for c in batch.columns], strict=True) for w in {spell(x)[:LONGEST] for x in tokens(s)} if len(w) > 2]
+            rows = [(t, w) for t, s in zip(*[c.to_pylist() for c in batch.columns], strict=True) for w in {p for x in tokens(s) for p in windows(spell(x))} if len(w) > 2]
             cols = list(zip(*rows, strict=True)) or [(), ()]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.string())], ["toxic", "word"])
 
@@ -197,6 +207,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     odds = F.log((F.col("bad") + 0.5) / (size[1] + 1.0)) - F.log((F.col("good") + 0.5) / (size[0] + 1.0))
     sure = odds / F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
     ranked = seen.withColumn("sure", sure).withColumn("precise", (F.col("bad") - F.sqrt("bad")) / size[1] / ((F.col("bad") / size[1]) + F.col("good") / size[0]))
+    ranked = stash(ranked)
     bad = [(r.word, r.sure) for r in ranked.where((F.col("precise") > PRECISE) & (F.col("sure") > SURE)).orderBy(F.desc("sure"), "word").limit(2 * LANDMARKS).collect()]
     bad = bad or [(r.word, r.sure) for r in ranked.where("bad > 0").orderBy(F.desc("sure"), "word").limit(LANDMARKS).collect()]
     good = [r.word for r in ranked.orderBy(F.desc(F.col("good") - F.col("bad")), "word").limit(5 * LANDMARKS).collect()]
@@ -231,7 +242,7 @@ def machine(bad: list[str], good: list[str], strong: dict[str, float], common: l
     if not kept.any() or not bad or not good:
         return None
     white = axes[:, kept] / np.sqrt(values[kept])
-    bags = [sorted({w for x in tokens(s) if len(w := spell(x)[:LONGEST]) > 2}) for s in [*bad, *good]]
+    bags = [sorted({p for x in tokens(s) for p in windows(spell(x)) if len(p) > 2}) for s in [*bad, *good]]
     bags.append([w for w in common if len(w) > 2])
     words = sorted({w for b in bags for w in b})
     place = {w: i for i, w in enumerate(words)}
