@@ -16,13 +16,15 @@ from pyspark.sql import functions as F
 from tallyframe.llm import exact_dedup, jaccard, language, packing, suffix_dedup
 from tallyframe.llm.common import keep_rows, scratch, table
 
+#: Languages that stay (None: all that the labels of docs teach) and least score of a prediction.
+LANGUAGES, LEAST_SCORE = None, language.LEAST
 #: SQL can't express the language models, the removal of byte spans or the tokenizer.
 ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """docs without those whose language can't be told (`und`: no letter at all)."""
-    return language.known(docs)
+    """docs in one of LANGUAGES that language identification is sure enough of; without a letter, or unsure, they go."""
+    return language.recognised(docs, LANGUAGES, LEAST_SCORE)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
