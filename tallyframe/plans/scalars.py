@@ -30,7 +30,7 @@ def clock_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @Q.add(f"""WITH {E_SQL}, s AS (SELECT event_idx, time_remaining AS t, CASE WHEN time_remaining LIKE 'PT%' THEN coalesce(try_cast(regexp_extract(time_remaining, '^PT(\\d+)M', 1) AS DOUBLE), 0) * 60 + coalesce(try_cast(regexp_extract(time_remaining, '^PT(?:\\d+M)?(\\d+(?:\\.\\d+)?)S', 1) AS DOUBLE), 0)
   WHEN regexp_matches(time_remaining, '^\\d+:\\d+') THEN try_cast(split_part(time_remaining, ':', 1) AS DOUBLE) * 60 + try_cast(split_part(time_remaining, ':', 2) AS DOUBLE) ELSE try_cast(time_remaining AS DOUBLE) END AS seconds FROM e)
-SELECT event_idx, seconds, CAST(floor(seconds / 60) AS BIGINT) || ':' || CASE WHEN seconds % 60 = floor(seconds % 60) THEN lpad(CAST(CAST(seconds % 60 AS BIGINT) AS VARCHAR), 2, '0') ELSE lpad(printf('%.1f', seconds % 60), 4, '0') END AS normalized FROM s WHERE seconds IS NULL OR (seconds * 10) % 1 = 0""")
+SELECT event_idx, seconds, CAST(floor(seconds / 60) AS BIGINT) || ':' || CASE WHEN seconds % 60 = floor(seconds % 60) THEN lpad(CAST(CAST(seconds % 60 AS BIGINT) AS VARCHAR), 2, '0') ELSE lpad(printf('%.1f', seconds % 60), 4, '0') END AS normalized FROM s""")
 def clock_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col("time_remaining")
     return events(spark, sf_dir).select("event_idx", clock.parse_game_clock(t).alias("seconds"), clock.normalize_clock(t).alias("normalized"))
@@ -103,7 +103,7 @@ def name_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @Q.add(r"""SELECT doc_id, md5(trim(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '[^\x20-\x7E\n]', ' ', 'g'), ' *\n\s*', chr(10), 'g'), ' +', ' ', 'g'))) AS ascii_md5,
-md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(trim(coalesce(text, '')), '[ \t\n\x0B\f\r]+', ' ', 'g'), '\.{2,}', '.', 'g'), '!{2,}', '!', 'g'), '\?{2,}', '?', 'g')) AS described_md5 FROM documents WHERE NOT regexp_matches(coalesce(text, ''), '[.!?]{2,}')""")
+md5(regexp_replace(regexp_replace(trim(coalesce(text, '')), '[ \t\n\x0B\f\r]+', ' ', 'g'), '([.!?]){2,}', '\1', 'g')) AS described_md5 FROM documents""")
 def text_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.coalesce("text", F.lit(""))
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.clean_text(t)).alias("ascii_md5"), F.md5(F.coalesce(text.normalize_description(t), F.lit(""))).alias("described_md5"))
