@@ -57,6 +57,11 @@ def with_advanced(stats: DataFrame) -> DataFrame:
     )
 
 
+def with_opponents(rows: DataFrame, value: str, name: str) -> DataFrame:
+    """rows (game_id, value) with what the game's other rows have together: a window in place of a self-join."""
+    return rows.withColumn(name, F.sum(value).over(Window.partitionBy("game_id")) - F.col(value))
+
+
 def with_efficiency(stats: DataFrame) -> DataFrame:
     """defensive_rating from the opponent, net_rating and z-scores against all rows.
 
@@ -88,6 +93,16 @@ def head_to_head(games: DataFrame, last_n: int | None = None) -> DataFrame:
     return out.withColumn("team2_wins", c("total_games") - c("team1_wins"))
 
 
+def outcomes_of_box(boxes: DataFrame) -> DataFrame:
+    """The same of box scores (game_id, home_team_tricode, away_team_tricode, home_q1, away_q1, home_final, away_final, ot_periods): points that aren't there are 0."""
+    c = F.col
+    home, away = (F.coalesce(c(f"{s}_final"), F.lit(0)) for s in ("home", "away"))
+    return boxes.select(
+        "game_id", "home_team_tricode", "away_team_tricode", c("home_q1").alias("q1_home_points"), c("away_q1").alias("q1_away_points"), home.alias("final_home_points"), away.alias("final_away_points"), (home + away).alias("total_points"),
+        (home > away).alias("home_win"), (home - away).alias("margin"), F.coalesce(c("ot_periods"), F.lit(0)).alias("overtime_periods"),
+    )
+
+
 def outcomes(games: DataFrame) -> DataFrame:
     """Result of each finished game with scores: signed and absolute margin, overtime."""
     c = F.col

@@ -22,8 +22,8 @@ def in_window(period: int, start_sec: float, end_sec: float) -> Column:
 def window_team_metrics(events: DataFrame, games: DataFrame | None = None, period: int = 1, start_sec: float = 0, end_sec: float = 240, expected_pace: float = 100.0) -> DataFrame:
     """One row for each game whose window has exactly two teams.
 
-    games (game_id, home_team_tricode, away_team_tricode) tells home from away; without it the first in the alphabet is home.
-    One exchange by game: dedup and the team windows share their key, then one conditional aggregate.
+    games (game_id, home_team_tricode, away_team_tricode) tells home from away; without it events' own columns of these names do,
+    and without those the first in the alphabet is home. One exchange by game: dedup and the team windows share their key, then one conditional aggregate.
     """
     e = dedup_consecutive(events.where(in_window(period, start_sec, end_sec)))
     e = e.withColumn("team", F.nullif("team_tricode", F.lit("")))
@@ -31,12 +31,15 @@ def window_team_metrics(events: DataFrame, games: DataFrame | None = None, perio
     low, high = F.min("team").over(every), F.max("team").over(every)
     odd = F.max(((F.col("team") != low) & (F.col("team") != high)).cast("int")).over(every)
     e = e.withColumn("low", low).withColumn("high", high).withColumn("odd", odd).where("low <> high and coalesce(odd, 0) = 0")
-    if games is None:
+    if games is None and "home_team_tricode" not in events.columns:
         e = e.withColumn("home", F.col("low")).withColumn("away", F.col("high"))
     else:
         # A game has one row, and the window keeps the key of the exchange.
-        known = games.select("game_id", F.col("home_team_tricode").alias("g_home"), F.col("away_team_tricode").alias("g_away"))
-        e = e.join(known, "game_id", "left")
+        if games is None:
+            e = e.withColumn("g_home", F.max("home_team_tricode").over(every)).withColumn("g_away", F.max("away_team_tricode").over(every))
+        else:
+            known = games.select("game_id", F.col("home_team_tricode").alias("g_home"), F.col("away_team_tricode").alias("g_away"))
+            e = e.drop("home_team_tricode", "away_team_tricode").join(known, "game_id", "left")
         swapped = (F.col("g_home") == F.col("high")) & (F.col("g_away") == F.col("low"))
         e = e.withColumn("home", F.when(swapped, F.col("high")).otherwise(F.col("low"))).withColumn("away", F.when(swapped, F.col("low")).otherwise(F.col("high")))
     kind, made = F.col("event_type"), F.coalesce(F.col("shot_made"), F.lit(False))

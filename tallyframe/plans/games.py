@@ -48,9 +48,7 @@ SELECT {columns or "game_id, home_team_tricode, away_team_tricode, n AS possessi
 @Q.add(_opening_sql(1, 0, 240, 720_000, False, ""))
 def window_team_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: metrics of the opening window of each game, home and away by the games."""
-    e = events(spark, sf_dir)
-    known = e.select("game_id", "home_team_tricode", "away_team_tricode").distinct()
-    return rounded(windows.window_team_metrics(e.drop("home_team_tricode", "away_team_tricode"), known))
+    return rounded(windows.window_team_metrics(events(spark, sf_dir)))
 
 
 @Q.add(_opening_sql(2, 360, 600, 720_000, True, ""))
@@ -229,8 +227,5 @@ def team_zscores(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT game_id, team_id, round(v, 2) AS own_value, round(o, 2) + 0.0 AS opponents_value FROM t""")
 def opponent_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each supplier of an order against the order's other suppliers: a window in place of a self-join."""
-    from pyspark.sql import Window
-
     x = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("game_id"), F.col("l_suppkey").alias("team_id")).agg(F.sum("l_extendedprice").alias("own_value"))
-    others = F.sum("own_value").over(Window.partitionBy("game_id")) - F.col("own_value")
-    return rounded(x.withColumn("opponents_value", others), 2)
+    return rounded(teams.with_opponents(x, "own_value", "opponents_value"), 2)
