@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,41 +13,62 @@ from ..functions import text
 
 @F.pandas_udf(DoubleType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """100 * 2 LCS / (m + n) of two strings, the longest common subsequence in bits; SQL functions have no such distance."""
-
-    def one(x: str | None, y: str | None) -> float | None:
-        if x is None or y is None:
-            return None
-        if not x and not y:
-            return 100.0
-        at: dict[str, int] = {}
-        for i, ch in enumerate(x):
-            at[ch] = at.get(ch, 0) | 1 << i
-        full = (1 << len(x)) - 1
-        row = full
-        for ch in y:
-            hit = row & at.get(ch, 0)
-            row = (row + hit | row - hit) & full
-        return 200.0 * (len(x) - row.bit_count()) / (len(x) + len(y))
-
-    return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+    """100 * 2 LCS / (m + n) of two strings, the longest common subsequence in bits, all pairs of a batch together; SQL functions have no such distance.
+
+    A column of at most 63 letters a side fits 64 bits; pairs with a longer string take Python's integers one by one.
+    """
+    out = np.full(len(a), np.nan)
+    x, y = a.to_numpy(object), b.to_numpy(object)
+    here = np.array([p is not None and q is not None for p, q in zip(x, y, strict=True)], bool)
+    m, n = (np.array([len(s) if ok else 0 for s, ok in zip(z, here, strict=True)], np.int64) for z in (x, y))
+    short = here & (m < 64) & (n < 64)
+    for i in np.flatnonzero(here & ~short).tolist():
+        out[i] = _ratio(x[i], y[i])
+    i = np.flatnonzero(short)
+    if len(i):
+        width = max(1, int(max(m[i].max(), n[i].max())))
+        left, right = (np.array(z[i].tolist(), f"U{width}").view(np.uint32).reshape(len(i), width) for z in (x, y))
+        power = np.uint64(1) << np.arange(width, dtype=np.uint64)
+        full = (np.uint64(1) << m[i].astype(np.uint64)) - np.uint64(1)
+        row, inside = full.copy(), np.arange(width) < m[i][:, None]
+        for k in range(int(n[i].max())):
+            hit = row & (((left == right[:, k : k + 1]) & inside) * power).sum(1, dtype=np.uint64)
+            row = np.where(k < n[i], (row + hit | row - hit) & full, row)
+        common = m[i] - np.bitwise_count(row)
+        out[i] = np.where(m[i] + n[i] > 0, 200.0 * common / np.maximum(m[i] + n[i], 1), 100.0)
+    return pd.Series(np.where(np.isnan(out), None, out)).astype("Float64") if not here.all() else pd.Series(out)
+
+
+def _ratio(x: str, y: str) -> float:
+    at: dict[str, int] = {}
+    for i, ch in enumerate(x):
+        at[ch] = at.get(ch, 0) | 1 << i
+    row = full = (1 << len(x)) - 1
+    for ch in y:
+        hit = row & at.get(ch, 0)
+        row = (row + hit | row - hit) & full
+    return 200.0 * (len(x) - row.bit_count()) / (len(x) + len(y))
 
 
 def fuzzy_match(names: DataFrame, known: DataFrame, least: float = 85.0) -> DataFrame:
     """(name, match, score): the best known name, case ignored, of score least or more; of equals the first in order.
 
-    A score of least or more bounds the lengths' ratio and needs a common character pair unless a name is very short, so
-    names meet by (length class, pair) instead of all with all.
+    Names meet by common character pairs instead of all with all. A score of least or more bounds the lengths' ratio and
+    the letters without a partner; each of those breaks two of the name's pairs at most, which tells how many pairs the
+    two must share at least. Only then the score is worked out.
     """
     def keyed(d: DataFrame, c: str) -> DataFrame:
         low = F.lower(c)
         grams = F.when(F.length(low) < 2, F.array(low)).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(F.length(low) - 1, F.lit(1))), lambda i: F.substr(low, i, F.lit(2))))
-        return d.select(c, F.explode(F.array_distinct(grams)).alias("gram"))
+        grams = F.array_distinct(grams)
+        return d.select(c, F.size(grams).alias(f"{c}_grams"), F.explode(grams).alias("gram"))
 
     a, b = keyed(names.select(F.col("name")).distinct(), "name"), keyed(known.select(F.col("known")).distinct(), "known")
-    pairs = a.join(b, "gram").groupBy("name", "known").agg(F.count("*").alias("shared"))
     la, lb = F.length("name"), F.length("known")
-    pairs = pairs.where(200.0 * F.least(la, lb) >= least * (la + lb)).withColumn("score", ratio(F.lower("name"), F.lower("known"))).where(F.col("score") >= least)
+    sized = 200.0 * F.least(la, lb) >= least * (la + lb)
+    pairs = a.join(b.drop("known_grams"), "gram").where(sized).groupBy("name", "known", "name_grams").agg(F.count("*").alias("shared"))
+    common = F.ceil(least * (la + lb) / 200.0)
+    pairs = pairs.where(F.col("shared") >= F.col("name_grams") - (2 * la + lb - 3 * common)).withColumn("score", ratio(F.lower("name"), F.lower("known"))).where(F.col("score") >= least)
     best = Window.partitionBy("name").orderBy(F.desc("score"), "known")
     return pairs.withColumn("nth", F.row_number().over(best)).where("nth = 1").select("name", F.col("known").alias("match"), "score")
 
