@@ -2,26 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .integrity import MIN_GAMES, MIN_Q1, MIN_SCORE, MIN_TIME
 
-#: Sources that each derived table needs (any one of them), and sources that can stand in.
-NEEDS = {"q1_window_12_8": ["stats_feed"], "early_shocks": ["stats_feed"], "schedule_travel": ["box_pages", "stats_feed", "game_books"], "outcomes": ["box_pages"]}
-STAND_IN = {"outcomes": ["stats_feed", "game_books"]}
-
-
-def derivable(available: Column, table: str) -> Column:
-    """Whether the table can be made from array<string> available."""
-    return F.arrays_overlap(available, F.array(*map(F.lit, NEEDS[table] + STAND_IN.get(table, []))))
-
-
-def derivable_tables(sources: DataFrame) -> DataFrame:
-    """sources (game_id, source) -> game_id and the derived tables that can be made, sorted."""
-    have = sources.groupBy("game_id").agg(F.collect_set("source").alias("have"))
-    tables = F.array_compact(F.array(*[F.when(derivable(F.col("have"), t), F.lit(t)) for t in sorted(NEEDS)]))
-    return have.select("game_id", F.array_join(tables, ",").alias("tables"))
+def derivable_tables(sources: DataFrame, needs: DataFrame) -> DataFrame:
+    """sources (game_id, source), needs (table, source: any one of a table's sources will do) -> game_id and the derived tables that can
+    be made, sorted and comma-joined; none: empty. needs is a small dimension, which Spark broadcasts by its own size check."""
+    have = sources.select("game_id", "source").distinct()
+    can = have.join(needs.select("source", "table").distinct(), "source", "left").groupBy("game_id").agg(F.collect_set("table").alias("tables"))
+    return can.select("game_id", F.array_join(F.array_sort("tables"), ",").alias("tables"))
 
 
 def season_completeness(games: DataFrame, parts: dict[str, DataFrame]) -> DataFrame:
@@ -55,3 +48,18 @@ def minutes_valid(rows: DataFrame, text: str = "min") -> DataFrame:
 
     failed = minutes_played(F.col(text))["seconds"].isNull()
     return rows.groupBy("game_id").agg(F.count("*").alias("n_rows"), F.count_if(failed).alias("n_failed")).withColumn("is_valid", F.col("n_failed") * 2 <= F.col("n_rows"))
+
+
+def recent_rollup(games: DataFrame, parts: dict[str, DataFrame], as_of: Column, days_back: int = 3) -> DataFrame:
+    """(table, n_games, n_rows) of each part's rows of the games from days_back days before as_of up to it; parts without any are there with 0."""
+    recent = games.where(F.col("game_date_local").between(F.date_sub(as_of, days_back), as_of)).select("game_id").distinct()
+    one = lambda name, rows: rows.join(recent, "game_id", "left_semi").groupBy("game_id").agg(F.count("*").alias("n")).agg(F.count("*").alias("n_games"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows")).select(F.lit(name).alias("table"), "n_games", "n_rows")
+    return reduce(DataFrame.unionByName, [one(n, r) for n, r in parts.items()])
+
+
+def chosen_sources(available: DataFrame, capabilities: DataFrame) -> DataFrame:
+    """available (game_id, source), capabilities (source, data_type, is_preferred: a small dimension) -> for each game and data type that a source
+    of its own gives: source, the preferred one, else the first in order, and n_sources."""
+    met = available.select("game_id", "source").distinct().join(capabilities, "source")
+    first = F.min(F.struct((~F.coalesce("is_preferred", F.lit(False))).alias("later"), "source"))
+    return met.groupBy("game_id", "data_type").agg(first.alias("f"), F.count("*").alias("n_sources")).select("game_id", "data_type", F.col("f.source").alias("source"), "n_sources")

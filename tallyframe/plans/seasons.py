@@ -44,13 +44,17 @@ def lineup_sanity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shots.lineup_sizes(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("game_id"), (F.col("l_suppkey") % 3).alias("team_id"), F.lit(1).alias("period")))
 
 
-@Q.add("""WITH s AS (SELECT user_id AS game_id, bool_or(event_type = 'view') AS feed, bool_or(event_type = 'click') AS box, bool_or(event_type = 'error') AS book FROM events WHERE event_id % 40 = 0 AND event_type IN ('view', 'click', 'error') GROUP BY 1)
-SELECT game_id, concat_ws(',', CASE WHEN feed THEN 'early_shocks' END, CASE WHEN feed OR box OR book THEN 'outcomes' END, CASE WHEN feed THEN 'q1_window_12_8' END, CASE WHEN feed OR box OR book THEN 'schedule_travel' END) AS tables FROM s""")
+#: The query's own dependencies: what can be made from which type of event.
+_NEEDS = "VALUES ('activity', 'view'), ('activity', 'click'), ('funnel', 'purchase'), ('health', 'error'), ('opening', 'signup'), ('opening', 'view')"
+
+
+@Q.add(f"""SELECT CAST(user_id AS VARCHAR) || '-' || CAST(day(ts) AS VARCHAR) AS game_id, coalesce(string_agg(DISTINCT n.t, ',' ORDER BY n.t), '') AS tables FROM events LEFT JOIN ({_NEEDS}) n(t, s) ON event_type = n.s GROUP BY 1""")
 def derivable_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The adapter takes each event as a fetched source of its game; other types than those three are one that no table needs."""
-    e, kind = table(spark, sf_dir, "events"), F.col("event_type")
-    source = F.when(kind == "view", "stats_feed").when(kind == "click", "box_pages").when(kind == "error", "game_books").otherwise("other")
-    return seasons.derivable_tables(e.select(F.col("user_id").alias("game_id"), source.alias("source")))
+    """A user's day as a game, each of its events as a fetched source."""
+    e = table(spark, sf_dir, "events")
+    needs = spark.sql(f"SELECT * FROM {_NEEDS} AS n(table, source)")
+    game = F.concat(F.col("user_id").cast("string"), F.lit("-"), F.day("ts").cast("string"))
+    return seasons.derivable_tables(e.select(game.alias("game_id"), F.col("event_type").alias("source")), needs)
 
 
 _season = "CAST(y AS VARCHAR) || '-' || lpad(CAST((y + 1) % 100 AS VARCHAR), 2, '0')"

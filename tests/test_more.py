@@ -73,8 +73,6 @@ def test_more_writes(spark):
 
 
 def test_more_seasons(spark):
-    src = spark.createDataFrame([("g", "game_books"), ("h", "other")], "game_id string, source string")
-    assert {r.game_id: r.tables for r in seasons.derivable_tables(src).collect()} == {"g": "outcomes,schedule_travel", "h": ""}
     games = spark.createDataFrame([("g", "FINAL"), ("h", "LIVE")], "game_id string, status string")
     wanted = spark.createDataFrame([("g",), ("h",), ("i",)], "game_id string")
     assert {r.game_id for r in seasons.to_reprocess(wanted, games).collect()} == {"h", "i"} and seasons.to_reprocess(wanted, games, True).count() == 3

@@ -56,16 +56,19 @@ def test_clock_rounding(spark):
     assert [r.n for r in got] == [clock(r.t)[1] for r in got]
 
 
-def test_derivable_tables_takes_every_event(spark, tmp_path):
-    """Every game of the table is there, and games of one type of event have what that source gives."""
-    have = {}
+def test_derivable_tables_takes_every_event(spark):
+    """Every user's day of the table is there, with what its own events allow."""
+    needs = {"view": {"activity", "opening"}, "click": {"activity"}, "purchase": {"funnel"}, "error": {"health"}, "signup": {"opening"}}
+    want = {}
     for r in spark.read.parquet(f"{SF}/events.parquet").collect():
-        have.setdefault(r.user_id, set()).add(r.event_type)
-    few = [(1, 7, "view"), (2, 8, "click"), (3, 9, "error"), (4, 10, "signup"), (5, 11, "purchase"), (6, 11, "click"), (7, 12, None)]
-    spark.createDataFrame(few, "event_id long, user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
-    some = {}
-    for _, u, t in few:
-        some.setdefault(u, set()).add(t)
-    for path, types in ((SF, have), (str(tmp_path), some)):
-        want = {u: ",".join((["early_shocks"] if "view" in t else []) + (["outcomes"] if t & {"view", "click", "error"} else []) + (["q1_window_12_8"] if "view" in t else []) + (["schedule_travel"] if t & {"view", "click", "error"} else [])) for u, t in types.items()}
-        assert {r.game_id: r.tables for r in catalog.QUERIES["derivable_tables"](spark, path).collect()} == want
+        want.setdefault(f"{r.user_id}-{r.ts.day}", set()).update(needs[r.event_type])
+    got = {r.game_id: r.tables for r in catalog.QUERIES["derivable_tables"](spark, SF).collect()}
+    assert got == {k: ",".join(sorted(v)) for k, v in want.items()} and len(set(got.values())) > 3
+
+
+def test_derivable_tables_of_unknown_sources(spark):
+    from tallyframe.operators import seasons
+
+    sources = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "c"), (3, None)], "game_id int, source string")
+    needs = spark.createDataFrame([("t", "a"), ("u", "b"), ("t", "b"), ("v", None)], "table string, source string")
+    assert {tuple(r) for r in seasons.derivable_tables(sources, needs).collect()} == {(1, "t,u"), (2, ""), (3, "")}
