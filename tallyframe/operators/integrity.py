@@ -117,6 +117,32 @@ def box_mismatch(players: DataFrame, totals: DataFrame, keys: list[str], stats:
     return sums.join(long(totals, "team_total"), [*keys, "stat"]).where(F.abs(F.col("players_sum") - F.col("team_total")) > tolerance)
 
 
+def health(events: DataFrame, thin: int) -> DataFrame:
+    """(check, n): games, games of under thin events, events without team or clock, of ids that are none, and (game, index) pairs that repeat. One pass."""
+    bad = ~F.coalesce(F.col("game_id").rlike(r"^\d{10}$"), F.lit(False))
+    once = events.groupBy("game_id", "event_idx").agg(F.count("*").alias("k"), F.count_if(F.col("team_tricode").isNull()).alias("no_team"), F.count_if(F.col("clock_ms_remaining").isNull()).alias("no_clock"))
+    g = once.groupBy("game_id").agg(F.sum("k").alias("k"), F.sum("no_team").alias("no_team"), F.sum("no_clock").alias("no_clock"), F.count_if(F.col("k") > 1).alias("twice"))
+    figures = {"games": F.count("game_id"), "thin_games": F.count_if(F.col("k") < thin), "no_team": F.sum("no_team"), "no_clock": F.sum("no_clock"), "bad_ids": F.sum(F.when(bad, F.col("k"))), "duplicate_idx": F.sum("twice")}
+    one = g.agg(*[F.coalesce(v, F.lit(0)).alias(k) for k, v in figures.items()])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(k).alias("check"), F.col(k).alias("n")) for k in figures])))
+
+
+def density(events: DataFrame, low: int, high: int) -> DataFrame:
+    """game_id and n_events of games with under low or over high events, and which."""
+    n = events.groupBy("game_id").agg(F.count("*").alias("n_events"))
+    return n.where(~F.col("n_events").between(low, high)).withColumn("problem", F.when(F.col("n_events") < low, "few").otherwise("many"))
+
+
+def load_gates(wanted: DataFrame, games: DataFrame, events: DataFrame, least_share: float = 0.95) -> DataFrame:
+    """One row: games wanted, the share that is there, games without a row of wanted (FK), repeated (game, index) pairs, and whether all gates pass."""
+    w = wanted.select("game_id").distinct().join(games.select("game_id").distinct().withColumn("here", F.lit(True)), "game_id", "left")
+    w = w.agg(F.count("*").alias("n_wanted"), F.avg(F.col("here").isNotNull().cast("double")).alias("share"))
+    fk = events.groupBy("game_id", "event_idx").agg(F.count("*").alias("k")).groupBy("game_id").agg(F.count_if(F.col("k") > 1).alias("twice"))
+    fk = fk.join(games.select("game_id").distinct().withColumn("here", F.lit(True)), "game_id", "left").agg(F.count_if(F.col("here").isNull()).alias("n_orphans"), F.coalesce(F.sum("twice"), F.lit(0)).alias("n_repeated"))
+    out = w.crossJoin(F.broadcast(fk))
+    return out.withColumn("passes", (F.coalesce("share", F.lit(0.0)) >= least_share) & (F.col("n_orphans") == 0) & (F.col("n_repeated") == 0))
+
+
 def game_quality(events: DataFrame) -> DataFrame:
     """Flags and a 0-100 score for each game."""
     from ..functions.numbers import game_quality_score

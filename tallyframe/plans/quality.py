@@ -95,11 +95,7 @@ def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 @Q.add(f"""WITH {E_SQL}, h AS (SELECT 'games' AS "check", count(DISTINCT game_id) AS n FROM e UNION ALL SELECT 'thin_games', count(*) FROM (SELECT game_id FROM e GROUP BY 1 HAVING count(*) < 70) UNION ALL SELECT 'no_team', count(*) FROM e WHERE team_tricode IS NULL UNION ALL SELECT 'no_clock', count(*) FROM e WHERE clock_ms_remaining IS NULL UNION ALL SELECT 'bad_ids', count(*) FROM e WHERE NOT regexp_matches(game_id, '^\\d{{10}}$')
 UNION ALL SELECT 'duplicate_idx', count(*) FROM (SELECT 1 FROM e GROUP BY game_id, event_idx HAVING count(*) > 1)) SELECT * FROM h""")
 def health_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir)
-    one = lambda name, rows, agg=F.count("*"): rows.agg(agg.alias("n")).select(F.lit(name).alias("check"), "n")
-    out = one("games", e, F.countDistinct("game_id")).unionByName(one("thin_games", e.groupBy("game_id").agg(F.count("*").alias("k")).where("k < 70")))
-    out = out.unionByName(one("no_team", e.where("team_tricode is null"))).unionByName(one("no_clock", e.where("clock_ms_remaining is null")))
-    return out.unionByName(one("bad_ids", e.where(r"not game_id rlike '^\\d{10}$'"))).unionByName(one("duplicate_idx", integrity.duplicates(e, ["game_id", "event_idx"])))
+    return integrity.health(events(spark, sf_dir), 70)
 
 
 @Q.add("""SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n_games FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1996-12-31' GROUP BY 1""")
