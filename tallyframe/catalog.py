@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from .plans import games, quality, scalars, seasons, texts
+from .plans import feeds, games, quality, scalars, seasons, texts
 
-QUERIES = {name: q for m in (scalars, games, seasons, quality, texts) for name, q in m.Q.queries.items()}
-SQL: dict[str, str] = {name: s for m in (scalars, games, seasons, quality, texts) for name, s in m.Q.sql.items()}
+MODULES = (scalars, games, seasons, quality, texts, feeds)
+QUERIES = {name: q for m in MODULES for name, q in m.Q.queries.items()}
+SQL: dict[str, str] = {name: s for m in MODULES for name, s in m.Q.sql.items()}

@@ -46,6 +46,18 @@ def event_type(code: Column, profile: str = "row_model") -> Column:
     return F.coalesce(mapped(text, EVENT_CODES[profile]), mapped(F.lower(text), EVENT_WORDS), F.when(F.upper(text).isin(*sorted(names)), F.upper(text)))
 
 
+def conditional_fields(code: Column, action: Column, zone: Column, position: Column) -> Column:
+    """struct of the fields that depend on the event code: shot_result (1, 2), rebound_type (4), foul_type (6, 18, 19), turnover_type (5);
+    and shot_zone and position wherever they are given. What isn't known is null, a position stays as it is."""
+    n = code.try_cast("int")
+    fields = {
+        "event_type": event_type(code, "preprocess"), "shot_result": F.when(n == 1, "make").when(n == 2, "miss"), "rebound_type": F.when(n == 4, mapped(action, REBOUND_CODES)),
+        "foul_type": F.when(n.isin(6, 18, 19), mapped(action, FOUL_CODES)), "turnover_type": F.when(n == 5, mapped(action, TURNOVER_CODES)),
+        "shot_zone": mapped(zone, ZONE_WORDS), "position": F.nullif(F.coalesce(mapped(F.upper(position), POSITIONS), position), F.lit("")),
+    }
+    return F.struct(*[v.alias(k) for k, v in fields.items()])
+
+
 def drift(rows: DataFrame, raw: str, value: str) -> DataFrame:
     """Raw codes that have no value, with how many rows have them."""
     return rows.where(F.col(raw).isNotNull() & F.col(value).isNull()).groupBy(F.col(raw).cast("string").alias("code")).agg(F.count("*").alias("n_rows"))

@@ -91,6 +91,17 @@ def resolve_game_date(calendar: Column, iso: Column, zone: Column) -> Column:
     return F.coalesce(parse_date(F.split_part(calendar, F.lit("T"), F.lit(1))), local_date(F.try_to_timestamp(iso), zone))
 
 
+def bridged_date(local: Column, utc: Column, arena_zone: Column, team_zone: Column) -> Column:
+    """struct(day, used): the local date, else that of utc in the arena's zone, the team's zone, or New York; null without both, never today."""
+    derived = local_date(utc, F.coalesce(arena_zone, team_zone))
+    return F.struct(F.coalesce(local, derived).alias("day"), F.when(local.isNotNull(), "local").when(derived.isNotNull(), "derived").alias("used"))
+
+
+def valid_date_text(text: Column) -> Column:
+    """yyyy-MM-dd of a day that there is."""
+    return F.coalesce(text.rlike(r"^\d{4}-\d{2}-\d{2}$") & F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).isNotNull(), F.lit(False))
+
+
 def date_gap(local: Column, derived: Column) -> Column:
     """ok, warn (a day apart) or error (more)."""
     days = F.abs(F.datediff(local, derived))

@@ -85,12 +85,32 @@ def player_rows(books: DataFrame) -> DataFrame:
     return out.withColumn("is_total", F.coalesce(F.upper("player").rlike("^TOTALS?$"), F.lit(False)))
 
 
-def quality(parsed: DataFrame) -> DataFrame:
-    """errors, warnings and a score of each parsed book."""
-    n = F.size("refs")
-    errors = F.array_compact(F.array(F.when(F.col("game_id").isNull(), "Missing game_id"), F.when(n == 0, "No referees found"), F.when(F.col("parsing_confidence") < 0.2, "Very low parsing confidence")))
-    warnings = F.array_compact(F.array(F.when((n > 0) & (n < 2), "Fewer than 2 referees found"), F.when(n > 5, "More than 5 referees found"), F.when(F.col("parsing_confidence").between(0.2, 0.5), "Low parsing confidence")))
-    return parsed.withColumn("errors", errors).withColumn("warnings", warnings).withColumn("is_valid", F.size("errors") == 0)
+def quality(parsed: DataFrame, n_players: Column | None = None) -> DataFrame:
+    """errors, warnings, quality_score (0 to 1), recommended_action and is_valid of each parsed book. n_players: player rows of the book (default 0)."""
+    n, c, players = F.size("refs"), F.col("parsing_confidence"), F.lit(0) if n_players is None else n_players
+    has_id = F.coalesce(F.col("game_id"), F.lit("")) != ""
+    usual = F.coalesce(F.col("game_id").rlike(r"^00\d{8}$"), F.lit(False))
+    errors = F.array_compact(F.array(F.when(~has_id, "Missing game_id"), F.when(n == 0, "No referees found"), F.when(c < 0.2, "Very low parsing confidence")))
+    warnings = F.array_compact(F.array(
+        F.when(has_id & ~usual, "Unusual game_id format"), F.when(n == 1, "Fewer than 2 referees found"), F.when(n > 5, "More than 5 referees found"),
+        F.when(players.between(1, 9), "Fewer than 10 players found"), F.when(players > 30, "More than 30 players found"), F.when((c >= 0.2) & (c < 0.5), "Low parsing confidence"),
+    ))
+    score = c * 0.4 + F.when(n.between(2, 4), 0.2).when(n >= 1, 0.1).otherwise(0.0) + F.when(players >= 10, 0.2).when(players > 0, 0.1).otherwise(0.0) + F.when(usual, 0.2).otherwise(0.0)
+    out = parsed.withColumn("errors", errors).withColumn("warnings", warnings).withColumn("quality_score", F.least(score, F.lit(1.0)))
+    valid = has_id & (n > 0) & (F.col("quality_score") >= 0.4)
+    return out.withColumn("is_valid", valid).withColumn("recommended_action", F.when(~valid, "reject").when(F.col("quality_score") >= 0.7, "accept").otherwise("accept_with_review"))
+
+
+def grade(n_refs: Column, n_players: Column, confidence: Column) -> Column:
+    """excellent, good, fair, poor or failed."""
+    two = n_refs >= 2
+    return F.when((confidence >= 0.8) & two & (n_players >= 10), "excellent").when((confidence >= 0.6) & two & (n_players >= 5), "good").when((confidence >= 0.4) & (n_refs >= 1), "fair").when((n_refs >= 1) | (n_players > 0), "poor").otherwise("failed")
+
+
+def with_fallback_id(parsed: DataFrame) -> DataFrame:
+    """game_id, else the one found in the text, else UNKNOWN_ and ten digits of the text's hash; is_error where the text has under 100 characters, id_differs where the text has another id."""
+    digits = F.lpad(F.pmod(F.xxhash64("text"), F.lit(10**10)).cast("string"), 10, "0")
+    return parsed.withColumn("id_differs", F.coalesce(F.col("game_id") != F.col("game_id_found"), F.lit(False))).withColumn("is_error", F.length(F.coalesce("text", F.lit(""))) < 100).withColumn("game_id", F.coalesce("game_id", "game_id_found", F.concat(F.lit("UNKNOWN_"), digits)))
 
 
 def first_by_name(people: DataFrame) -> DataFrame:

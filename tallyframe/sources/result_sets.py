@@ -74,12 +74,18 @@ def games(payloads: DataFrame, body: str = "body") -> DataFrame:
     return rows(payloads, body, "GameSummary", SUMMARY).where("GAME_DATE_EST is not null and HOME_TEAM_ID is not null and VISITOR_TEAM_ID is not null")
 
 
-def lineup_ids(ids: Column) -> Column:
-    """Five ids of a comma-separated list, else null; what is no number is dropped first."""
-    got = F.filter(F.transform(F.split(ids, ","), lambda x: F.trim(x).try_cast("int")), lambda x: x.isNotNull())
+def five(ids: Column) -> Column:
+    """Five ids of an array, else null; what is no number is dropped first."""
+    got = F.filter(F.transform(ids, lambda x: F.trim(x.cast("string")).try_cast("bigint")), lambda x: x.isNotNull())
     return F.when(F.size(got) == 5, got)
 
 
+def lineup_ids(ids: Column, slots: list[Column] | None = None) -> Column:
+    """Five ids of a comma-separated list, else of slots (one column for each player), else null."""
+    listed = five(F.split(F.coalesce(ids, F.lit("")), ","))
+    return F.coalesce(listed, five(F.array(*[c.cast("string") for c in slots]))) if slots else listed
+
+
 HEADER = {"GAME_ID": "string", "GAME_DATE_EST": "string", "GAME_STATUS_ID": "int", "HOME_TEAM_ID": "bigint", "VISITOR_TEAM_ID": "bigint", "SEASON": "string", "SEASON_TYPE": "string"}
 TEAMS = {"GAME_ID": "string", "TEAM_ID": "bigint", "TEAM_ABBREVIATION": "string", "PTS": "int", "FGM": "int", "FGA": "int", "FG3M": "int", "FG3A": "int", "FTM": "int", "FTA": "int", "OREB": "int", "DREB": "int", "AST": "int", "STL": "int", "BLK": "int", "TO": "int", "PF": "int"}
 #: Statistics of the advanced, miscellaneous and usage sets: header -> our name.

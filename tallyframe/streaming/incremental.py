@@ -27,6 +27,11 @@ def chunks(start: Column, end: Column, days: int) -> Column:
     return F.transform(F.sequence(start, end, F.expr(f"INTERVAL {days} DAYS")), lambda d: F.struct(d.alias("first"), F.least(F.date_add(d, days - 1), end).alias("last")))
 
 
+def open_chunks(start: Column, end: Column, days: int, done_to: Column) -> Column:
+    """The chunks that end after done_to, the last day of the last chunk that went through; all where it is null."""
+    return F.filter(chunks(start, end, days), lambda c: done_to.isNull() | (c["last"] > done_to))
+
+
 def season_days(season: Column) -> Column:
     """Each date from October 1 to April 30."""
     year = F.substring(season, 1, 4).try_cast("int")
