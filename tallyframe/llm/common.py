@@ -56,12 +56,17 @@ def key_filter(df: DataFrame, key: Column) -> DataFrame:
     return df.select(at.alias("at")).groupBy(F.expr(f"int(at div {BITS})").alias("f_bucket")).agg(F.bitmap_construct_agg(F.expr(f"at % {BITS}")).alias("f_bits"))
 
 
-def maybe_in(df: DataFrame, key: Column, made: DataFrame) -> DataFrame:
-    """Rows of df whose key may be in the filter: none that is in it is lost, a few others pass."""
+def marked(df: DataFrame, key: Column, made: DataFrame, name: str) -> DataFrame:
+    """df with a boolean column name: false where key is certainly not in the filter."""
     at = F.pmod(F.xxhash64(key), F.lit(FILTER_BUCKETS * BITS))
-    held = df.withColumn("f_at", at).withColumn("f_bucket", F.expr(f"int(f_at div {BITS})")).join(F.broadcast(made), "f_bucket")
+    held = df.withColumn("f_at", at).withColumn("f_bucket", F.expr(f"int(f_at div {BITS})")).join(F.broadcast(made), "f_bucket", "left")
     byte = F.expr(f"int(conv(hex(substring(f_bits, int(f_at % {BITS} div 8) + 1, 1)), 16, 10))")
-    return held.where(F.getbit(byte, F.expr("int(f_at % 8)")) == 1).drop("f_at", "f_bucket", "f_bits")
+    return held.withColumn(name, F.coalesce(F.getbit(byte, F.expr("int(f_at % 8)")) == 1, F.lit(False))).drop("f_at", "f_bucket", "f_bits")
+
+
+def maybe_in(df: DataFrame, key: Column, made: DataFrame) -> DataFrame:
+    """Rows of df whose key may be in the filter: none that is in it is lost, a few others pass."""
+    return marked(df, key, made, "f_maybe").where("f_maybe").drop("f_maybe")
 
 
 def join_counted(left: DataFrame, right: DataFrame, key: str, rows: str, total: int, how: str = "inner") -> DataFrame:
@@ -79,9 +84,12 @@ def join_counted(left: DataFrame, right: DataFrame, key: str, rows: str, total:
 
 def forget(df: DataFrame) -> None:
     """Delete the files of a stash that no DataFrame reads any more."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df.stash_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete(df.sparkSession, df.stash_path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
