@@ -25,16 +25,21 @@ BASE = [("mit", ["under the mit license"]), ("apache-2", ["apache license versio
 OWN = [
     ("agpl", ["gnu affero general public license"]),
     ("apache-2", ["apache org licenses license 2"]),
+    ("apache-2", ["licensed under the apache license", "you may not use this file except in compliance with the license"]),
     ("bsd", ["redistribution and use in source and binary forms"]),
+    ("bsd-2", ["redistributions of source code must retain the above copyright notice", "redistributions in binary form must reproduce the above copyright notice"]),
     ("bsd-3", ["redistribution and use in source and binary forms", "neither the name of"]),
     ("cc-by", ["creative commons attribution"]),
     ("cc-by-nc", ["creative commons attribution noncommercial"]),
     ("cc0", ["cc0 1 0 universal"]),
     ("gpl", ["gnu general public license"]),
     ("gpl-3", ["gnu general public license version 3"]),
+    ("gpl-3", ["gnu general public license", "either version 3 of the license or"]),
+    ("isc", ["permission to use copy modify and or distribute this software for any purpose", "provided that the above copyright notice and this permission notice appear in all copies"]),
     ("lgpl", ["gnu lesser general public license"]),
     ("mit", ["permission is hereby granted free of charge to any person obtaining a copy"]),
     ("mpl-2", ["mozilla public license version 2"]),
+    ("mpl-2", ["this source code form is subject to the terms of the mozilla public license", "one at mozilla org mpl 2 0"]),
 ]
 
 
@@ -97,18 +102,18 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sql() -> str:
     templates = [*BASE, *OWN]
     phrases = list(dict.fromkeys(p for _, ps in templates for p in ps))
-    quote = lambda p: "[" + ", ".join(f"'{w}'" for w in p.split()) + "]"
-    cols = ",\n  ".join(f"list_filter(range(greatest(len(w) - {len(p.split()) - 1}, 0)), lambda i: w[i + 1 : i + {len(p.split())}] = {quote(p)}) AS p{k}" for k, p in enumerate(phrases))
-    at = {p: f"p{k}" for k, p in enumerate(phrases)}
-    base = "flatten([" + ", ".join(at[p] for _, ps in BASE for p in ps) + "])"
-    labels = lambda of: "list_aggregate(list_sort(list_distinct([x for x in [" + ", ".join(f"CASE WHEN {' AND '.join(f'len({at[p]}) > 0' for p in ps)} THEN '{n}' END" for n, ps in of) + "] if x IS NOT NULL])), 'string_agg', ',')"
+    words = ", ".join(f"({k}, {j}, '{w}', {len(p.split())})" for k, p in enumerate(phrases) for j, w in enumerate(p.split()))
+    wanted = ", ".join(f"({t}, '{n}', {t < len(BASE)}, {phrases.index(p)}, {len(ps)})" for t, (n, ps) in enumerate(templates) for p in ps)
+    base = ", ".join(str(phrases.index(p)) for _, ps in BASE for p in ps)
     return rf"""
 WITH t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
-f AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
-  {cols} FROM t),
-g AS (SELECT doc_id, n_words, {base} AS b, coalesce({labels(BASE)}, '') AS base_labels, coalesce({labels(templates)}, '') AS labels, {' + '.join(f'len({x})' for x in at.values())} AS n FROM f)
-SELECT doc_id, n_words, CAST(len(b) AS BIGINT) AS n_base, CAST(list_min(b) AS BIGINT) AS first_word, CAST(list_max(b) AS BIGINT) AS last_word,
-  base_labels, labels, CASE WHEN labels = '' THEN 0.0::DOUBLE ELSE 1 - pow(0.2::DOUBLE, n) END AS score FROM g
+u AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS i FROM t),
+h AS (SELECT doc_id, k, i - j AS at FROM u JOIN (VALUES {words}) p(k, j, x, n) USING (x) GROUP BY doc_id, k, i - j HAVING count(*) = any_value(n)),
+f AS (SELECT doc_id, count(*) AS n, count(*) FILTER (k IN ({base})) AS n_base, min(at) FILTER (k IN ({base})) AS first_word, max(at) FILTER (k IN ({base})) AS last_word FROM h GROUP BY 1),
+g AS (SELECT doc_id, label, is_base FROM (SELECT DISTINCT doc_id, k FROM h) JOIN (VALUES {wanted}) v(template, label, is_base, k, n) USING (k) GROUP BY doc_id, template, label, is_base HAVING count(*) = any_value(n)),
+l AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (is_base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM g GROUP BY 1)
+SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  CASE WHEN labels IS NULL THEN 0.0::DOUBLE ELSE 1 - pow(0.2::DOUBLE, n) END AS score FROM t LEFT JOIN f ON f.doc_id = t.doc_id LEFT JOIN l ON l.doc_id = t.doc_id
 """
 
 
