@@ -18,7 +18,9 @@ QUERIES = {
     "op1_ngram_links": jaccard.links_query,
 }
 SQL = {
+    "op1_ngram_jaccard": jaccard.SQL,
     "op2_license_scan": licences.SQL,
     "op3_chat_format": chat.SQL,
+    "op4_suffix_dedup": suffix_dedup.SQL,
     "op5_exact_dedup": exact_dedup.SQL,
 }

@@ -480,3 +480,17 @@ def cut(docs: DataFrame) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"))
+
+
+SQL = """
+WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c0 AS (SELECT doc_id, h, unnest(range(0, length(h) // 2, 500)) AS base FROM t),
+c1 AS (SELECT doc_id, base, substr(h, 2 * base + 1, 1198) AS part FROM c0),
+p AS (SELECT doc_id, base, part, unnest(range(0, greatest(length(part) // 2 - 99, 0))) AS o FROM c1),
+m AS (SELECT doc_id, k FROM (SELECT doc_id, base + o AS k, row_number() OVER (PARTITION BY md5(substr(part, 2 * o + 1, 200)) ORDER BY doc_id, base + o) AS nth FROM p) WHERE nth > 1),
+i AS (SELECT doc_id, k, sum(new) OVER (PARTITION BY doc_id ORDER BY k) AS span FROM (SELECT doc_id, k, CASE WHEN k <= lag(k) OVER (PARTITION BY doc_id ORDER BY k) + 100 THEN 0 ELSE 1 END AS new FROM m)),
+r AS (SELECT doc_id, min(k) AS lo, max(k) + 100 AS hi FROM i GROUP BY doc_id, span),
+b AS (SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS before FROM r),
+c AS (SELECT b.doc_id, string_agg(substr(h, CAST(2 * before + 1 AS BIGINT), CAST(2 * (lo - before) AS BIGINT)), '' ORDER BY lo) AS head, max(hi) AS last, CAST(sum(hi - lo) AS BIGINT) AS n_removed, count(*) AS n_spans FROM b JOIN t ON t.doc_id = b.doc_id GROUP BY b.doc_id)
+SELECT t.doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(head, '') || substr(h, CAST(2 * coalesce(last, 0) + 1 AS BIGINT)))) AS kept_sha256 FROM t LEFT JOIN c ON c.doc_id = t.doc_id
+"""

@@ -40,8 +40,71 @@ def test_language_odd(spark, odd, none):
     got = {(r.doc_id, r.lang_pred) for r in language.identify(more).collect() if r.doc_id is None or r.doc_id >= 10**6}
     assert got == {(10**6, "und"), (None, "und"), (10**6 + 1, "en")}
     assert language.identify(none).collect() == []
-    assert language.known(docs).count() == sum(any(c.isalpha() for c in t or "") for _, t in rows)
-    assert language.known(labelled).count() == labelled.count()
+    assert language.recognised(docs).count() == sum(any(c.isalpha() for c in t or "") for _, t in rows)
+
+
+def plain_language(model, text):
+    """Language and score of one text, n-gram by n-gram."""
+    import math
+
+    data = bytearray()
+    for b in text.encode():
+        data.append(b + 32 if 65 <= b < 91 or (data and data[-1] == 0xC3 and 0x80 <= b <= 0x9E) else b)
+    found = []
+    for n in language.GRAMS:
+        for k in range(len(data) - n + 1):
+            code = 0
+            for b in data[k : k + n]:
+                code = (code * 257 + b + 1) & 0xFFFFFFFF
+            found.append(((code * 2654435761 + n) & 0xFFFFFFFF) >> 20)
+    margins = [sum(float(w[f]) for f in found) / len(found) + b for w, b in zip(model.weights, model.biases, strict=True)]
+    chance = lambda m: 1 / (1 + math.exp(-2 * m))
+    many = len(model.families)
+    best = max(range(many), key=lambda k: (margins[k], -k))
+    pairs = {p: margins[many + k] for k, p in enumerate(model.pairs)}
+    group = model.groups[best]
+    against = {a: [pairs.get((a, b), -pairs.get((b, a), 0)) for b in group if b != a] for a in group}
+    lang = max(group, key=lambda a: sum((m >= 0) + math.tanh(m) * 1e-3 for m in against[a]))
+    return lang, chance(margins[best]) * (chance(min(against[lang])) if len(group) > 1 else 1)
+
+
+def test_language_score_by_definition(spark):
+    """Predictions against a plain sum of the fitted weights; texts that repeat, and repeat in the sample, change nothing."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    model = language.learn(docs)
+    assert len(model.families) == 2 and len(model.pairs) >= 1
+    for r in language.predict(docs, model).join(docs.select("doc_id", "text"), "doc_id").where("length(text) between 1 and 600").limit(40).collect():
+        lang, score = plain_language(model, r.text)
+        assert r.lang_pred == lang and abs(r.score - score) < 1e-3
+    twice = language.identify(docs.unionByName(docs))
+    got = {}
+    for r in twice.collect():
+        got.setdefault(r.doc_id, set()).add((r.lang_pred, r.score))
+    assert all(len(x) == 1 for x in got.values())
+
+
+def test_language_many(spark):
+    """Each of many languages is learnt, also rare ones."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(100 * k + i, (letters[k % 26] * 3 + letters[(k * 7 + 3) % 26] + " ") * (3 + i), f"l{k:02}") for k in range(30) for i in range(8 if k else 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language.learn(docs, sample=60).languages == sorted({r[2] for r in rows})
+    got = language.predict(docs, language.learn(docs, sample=60)).join(docs, "doc_id")
+    assert got.where("lang = lang_pred").count() > 0.9 * len(rows)
+
+
+def test_recognised(spark):
+    """Documents of unwanted languages go, and so do those with letters that no language is sure of; the others stay whole."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language.learn(docs)
+    said = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(docs, model).collect()}
+    some = language.recognised(docs, ["en", "de"])
+    assert some.columns == docs.columns
+    assert {r.doc_id for r in some.collect()} == {d for d, (v, s) in said.items() if v in ("en", "de") and s >= language.LEAST}
+    assert 0 < some.count() < docs.count()
+    strict = {r.doc_id for r in language.recognised(docs, None, 0.8).collect()}
+    assert strict == {d for d, (_, s) in said.items() if s >= 0.8} and 0 < len(said) - len(strict) < 0.2 * len(said)
+    assert language.recognised(docs).count() >= 0.999 * docs.count()
 
 
 def test_toxicity(spark):
@@ -65,6 +128,50 @@ def test_toxicity_odd(spark, odd, none):
     assert toxicity.score(none, toxicity.learn(none, labels)).collect() == []
 
 
+def test_toxicity_score_by_definition(spark):
+    """Scores against a plain sum over subsequences with the fitted weights; ties and rows that repeat score alike."""
+    import itertools
+    import math
+
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.learn(docs, labels)
+
+    def code(c):
+        return ord(c) - 97 if 97 <= ord(c) <= 125 else 29 + ord(c) % 35
+
+    def word(w):
+        best = []
+        for p in toxicity.windows(toxicity.spell(w)):
+            if len(p) < 3:
+                best.append(model.bias)
+                continue
+            weight, p = {}, "{" + p + "}"
+            for i, j, k in itertools.combinations(range(len(p)), 3):
+                key = (code(p[i]) * 64 + code(p[j])) * 64 + code(p[k])
+                key = (key * 2654435761 & 0xFFFFFFFF) >> 16
+                weight[key] = weight.get(key, 0) + toxicity.DECAY ** (k - i + 1)
+            norm = math.sqrt(sum(v * v for v in weight.values()))
+            best.append(sum(v * float(model.weights[k]) for k, v in weight.items()) / norm + model.bias)
+        return max(best)
+
+    texts = [(r.doc_id, r.text) for r in docs.where("length(text) < 400").limit(25).collect()] + [(-1, None), (-2, ""), (-3, "ab " + "worthless" * 9), (-4, "same"), (-5, "same")]
+    got = {r.doc_id: r.score for r in toxicity.score(frame(spark, texts + texts[:3]), model).collect()}
+    for d, t in texts:
+        found = toxicity.tokens(t or "")
+        top = sorted((word(w) for w in found), reverse=True)[:2] + [toxicity.NOTHING] * 2
+        x = [min(max(top[0], toxicity.NOTHING), 1), min(max(top[1], toxicity.NOTHING), 1), math.log1p(len(found)), 1]
+        assert abs(got[d] - 1 / (1 + math.exp(-sum(a * b for a, b in zip(x, model.slopes, strict=True))))) < 1e-3
+    assert got[-4] == got[-5]
+
+
+def test_toxicity_repeated_rows_in_the_sample(spark):
+    """Of rows that repeat an id one is learnt from."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    once, twice = toxicity.sampled(docs, labels), toxicity.sampled(docs.unionByName(docs), labels)
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+    assert toxicity.windows("a" * 24) == ["a" * 24] and [len(w) for w in toxicity.windows("b" * 60)] == [24, 24, 24, 24]
+
+
 def test_string_kernel():
     """The kernel against its definition, and a gapped insult nearer its landmark than another word."""
     import itertools

@@ -74,6 +74,14 @@ def test_chat(spark):
         assert chat.unescape(safe) == text and not any(c in safe for c in chat.CONTROL)
 
 
+def test_chat_long(spark):
+    """A very long text, and a conversation of many turns, some of them alike."""
+    rows = [(1, 0, "user", "q</s>"), (1, 1, "assistant", prose(1, 200_000) + " [INST]")] + [(2, k // 2, "assistant" if k % 3 else "user", f"turn {k % 50}") for k in range(6000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.digests(df, BYTE).collect()}
+    assert got == chat_brute(rows)
+
+
 def test_chat_masks(spark):
     """Loss covers the assistant's text alone; reserved ids stand between turns only."""
     df = spark.createDataFrame(CHATS, "conv_id long, turn long, role string, text string")
@@ -165,6 +173,52 @@ def test_fingerprints(spark, odd, none):
     assert len(twice) == 4 and len({tuple(r) for r in twice}) == 3
 
 
+def murmur(values, seed=42):
+    """Spark's hash() of ints."""
+    for v in values:
+        k = (v & 0xFFFFFFFF) * 0xCC9E2D51 & 0xFFFFFFFF
+        k = (k << 15 | k >> 17) & 0xFFFFFFFF
+        seed ^= k * 0x1B873593 & 0xFFFFFFFF
+        seed = (seed << 13 | seed >> 19) & 0xFFFFFFFF
+        seed = (seed * 5 + 0xE6546B64) & 0xFFFFFFFF
+        seed ^= 4
+        for shift, by in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
+            seed = (seed ^ seed >> shift) * by & 0xFFFFFFFF
+    return seed
+
+
+def plain_fingerprint(text):
+    """Bins, minima and densification one by one."""
+    import xxhash
+
+    words = [xxhash.xxh64(w.encode(), 42).intdigest() for w in re.split(r"[\x20\x09-\x0D]+", text.lower()) if w]
+    if not words:
+        return ""
+    least = {}
+    for k in range(max(len(words) - 4, 1)):
+        h = 42
+        for w in words[k : k + 5]:
+            h = xxhash.xxh64(w.to_bytes(8, "little"), h).intdigest()
+        value = min(h >> 7 & (1 << 40) - 1, (1 << 40) - 2)
+        least[h & 127] = min(value, least.get(h & 127, value))
+    donor = lambda i: min(least, key=lambda c: (murmur([i, c]) & 0x7FFFFFFF, c))
+    return "".join(f"{least[i if i in least else donor(i)] & 15:x}" for i in range(128))
+
+
+def test_fingerprints_bin_by_bin(spark):
+    """Fingerprints, and the likeness of digits, against plain MinHash."""
+    rows = [(1, prose(1, 4000)), (2, prose(2, 200)), (3, prose(2, 200) + " more"), (4, prose(3, 12)), (5, "one two"), (6, ""), (7, None), (8, prose(4, 60))]
+    order = sorted(rows, reverse=True)
+    for k, r in enumerate(sorted(fingerprints.fingerprints(frame(spark, rows)).collect(), key=lambda r: -r.doc_id)):
+        text, after = order[k][1] or "", order[(k + 1) % len(order)][1] or ""
+        edited = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
+        assert (r.fingerprint, r.edited_fingerprint) == (plain_fingerprint(text), plain_fingerprint(edited))
+        for other, got in ((edited, r.near_edited), (after, r.near_next)):
+            a, b = plain_fingerprint(text), plain_fingerprint(other)
+            same = sum(x == y for x, y in zip(a, b, strict=False)) / 128
+            assert got == pytest.approx(float(a == b) if not a or not b else max(0.0, (same - 1 / 16) * 16 / 15))
+
+
 SPECIAL = [(1, "<|startoftext|>Hello<|endoftext|> world"), (2, "İstanbul ﬁ ＡＢ １２ ½ ǅ"), (3, "it's we'LL 12345 !?"), (4, "a​b ć"), (5, "\x00\x1f\x7f"), (6, "日本語 العربية हिन्दी")]
 
 
@@ -184,17 +238,32 @@ def test_word_bpe(spark, odd, none):
     assert word_bpe.encode(none, WORD).collect() == []
 
 
-def test_lexicon(tmp_path):
+def test_lexicon():
     words = sorted({w.encode() for w in (prose(1, 300) + " walking talking stalking walk").split()})
     ids = [[len(w), i] for i, w in enumerate(words)]
-    path = tmp_path / "lexicon"
-    path.write_bytes(word_bpe.compile_lexicon(words, ids))
-    lex = word_bpe.Lexicon(str(path))
+    lex = word_bpe.Lexicon(word_bpe.compile_lexicon(words, ids))
     assert [lex.ids(k) for k in lex.numbers(words)] == ids
     assert lex.numbers([b"", b"zzzzzzzz", words[0] + b"!"]).tolist() == [-1, -1, -1]
     assert len(lex.ends) < sum(map(len, words)) / 2
 
 
+def test_lexicon_leaves_no_file(tmp_path, monkeypatch):
+    monkeypatch.setattr("tempfile.tempdir", str(tmp_path))
+    lex = word_bpe.Lexicon(word_bpe.compile_lexicon([b"a", b"ab"], [[1], [2, 3]]))
+    assert list(tmp_path.iterdir()) == [] and lex.ids(int(lex.numbers([b"ab"])[0])) == [2, 3]
+
+
+def test_merge_of_very_long_words():
+    """Runs of a million letters in some seconds, and ties, as the library merges them."""
+    import random
+
+    own, rng = word_bpe.WordBpe(WORD), random.Random(4)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(10**6)), "a" * 10**6, "ab" * 5000, "z" * 777]
+    words += ["".join(rng.choice("etaoinsh") for _ in range(rng.randint(1, 60))) for _ in range(3000)]
+    for w in words:
+        assert own.merge(w) == own.library.encode(w, add_special_tokens=False).ids
+
+
 def test_byte_bpe():
     from tokenizers import Tokenizer
 
