@@ -108,8 +108,8 @@ def _sql() -> str:
     return rf"""
 WITH t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 u AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS i FROM t),
-h AS (SELECT doc_id, k, i - j AS at FROM u JOIN (VALUES {words}) p(k, j, x, n) USING (x) GROUP BY doc_id, k, i - j HAVING count(*) = any_value(n)),
-f AS (SELECT doc_id, count(*) AS n, count(*) FILTER (k IN ({base})) AS n_base, min(at) FILTER (k IN ({base})) AS first_word, max(at) FILTER (k IN ({base})) AS last_word FROM h GROUP BY 1),
+h AS (SELECT doc_id, k, i - j AS s FROM u JOIN (VALUES {words}) p(k, j, x, n) USING (x) GROUP BY doc_id, k, i - j HAVING count(*) = any_value(n)),
+f AS (SELECT doc_id, count(*) AS n, count(*) FILTER (k IN ({base})) AS n_base, min(s) FILTER (k IN ({base})) AS first_word, max(s) FILTER (k IN ({base})) AS last_word FROM h GROUP BY 1),
 g AS (SELECT doc_id, label, is_base FROM (SELECT DISTINCT doc_id, k FROM h) JOIN (VALUES {wanted}) v(template, label, is_base, k, n) USING (k) GROUP BY doc_id, template, label, is_base HAVING count(*) = any_value(n)),
 l AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (is_base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM g GROUP BY 1)
 SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
