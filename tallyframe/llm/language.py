@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from . import svm
 from .arrow import slices, text_bytes
+from .blocks import SLICE_BYTES
 from .common import stash, table
 
 #: Labelled documents that the models learn from at most, but this many of each language; hashed features, sizes of n-grams in bytes.
@@ -170,15 +171,21 @@ def learn(docs: DataFrame, sample: int = SAMPLE, each: int = EACH) -> Model | No
         return Model(languages, np.zeros((0, FEATURES)), np.zeros(0))
 
     def fit(rows: pa.Table) -> pa.Table:
-        order = sorted(range(rows.num_rows), key=list(zip(rows.column("doc_id").to_pylist(), rows.column("x").to_pylist(), strict=True)).__getitem__)
-        x = np.empty((rows.num_rows, FEATURES), np.float32)
-        for i, k in enumerate(order):
-            x[i] = np.frombuffer(rows.column("x")[k].as_py(), np.float32)
-        w, b = separate(x, rows.column("side").to_numpy()[order].astype(np.float64))
-        return pa.table({"problem": pa.array([rows.column("problem")[0].as_py()], pa.int32()), "w": pa.array([w.astype(np.float32).tobytes()], pa.binary()), "b": pa.array([b], pa.float64())})
+        problem = rows.column("problem")[0].as_py()
+        order = np.lexsort((rows.column("tie").to_numpy(), rows.column("doc_id").to_numpy()))
+        y = rows.column("side").to_numpy()[order].astype(np.float64)
+        # Each row goes from its Arrow buffer to its place, so that the sample is held twice at most.
+        place, x, at = np.argsort(order), np.empty((len(order), FEATURES), np.float32), 0
+        for chunk in rows.column("x").chunks:
+            for row in chunk:
+                x[place[at]] = np.frombuffer(row.as_buffer(), np.float32)
+                at += 1
+        del rows
+        w, b = separate(x, y)
+        return pa.table({"problem": pa.array([problem], pa.int32()), "w": pa.array([w.astype(np.float32).tobytes()], pa.binary()), "b": pa.array([b], pa.float64())})
 
     sides = [(k, lang, side) for k, task in enumerate(tasks) for side, langs in zip((1, -1), task, strict=True) for lang in langs]
-    dealt = stash(rows.where("doc_id is not null")).join(F.broadcast(docs.sparkSession.createDataFrame(sides, "problem int, lang string, side int")), "lang")
+    dealt = stash(rows.where("doc_id is not null")).withColumn("tie", F.xxhash64("x")).join(F.broadcast(docs.sparkSession.createDataFrame(sides, "problem int, lang string, side int")), "lang")
     done = sorted(dealt.groupBy("problem").applyInArrow(fit, "problem int, w binary, b double").collect(), key=lambda r: r.problem)
     return Model(languages, np.array([np.frombuffer(r.w, np.float32) for r in done]), np.array([r.b for r in done]))
 
@@ -190,7 +197,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
         return cols.select("doc_id", "held_out", F.lit("und").alias("lang_pred"), F.lit(1.0).alias("score"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (x for whole in batches for x in slices(whole, 3)):
+        for batch in (x for whole in batches for x in slices(whole, 3, SLICE_BYTES)):
             margins = scores(*text_bytes(batch.column(3)), model.weights) + model.biases
             langs, sure = model.decide(margins)
             letter = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
@@ -208,7 +215,7 @@ def recognised(docs: DataFrame, languages: list[str] | None = None, least: float
     at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (x for whole in batches for x in slices(whole, at)):
+        for batch in (x for whole in batches for x in slices(whole, at, SLICE_BYTES)):
             letter = batch.column(len(names)).to_numpy(zero_copy_only=False).astype(bool)
             langs, sure = model.decide(scores(*text_bytes(batch.column(at)), model.weights) + model.biases)
             wanted = np.ones(len(langs), bool) if languages is None else np.isin(np.array(langs, object).astype(str), languages)
