@@ -1,8 +1,9 @@
-"""Arrow batches cut to a bound of text bytes."""
+"""Arrow batches cut to a bound of text bytes; functions on Arrow data that hand their memory back when they are done."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +11,8 @@ import pyarrow.compute as pc
 
 #: Text bytes of a slice; a longer text is a slice of its own.
 SLICE = 4 << 20
+#: The C library's call that returns freed memory to the system, where it has one.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 def slices(batch: pa.RecordBatch, column: int, most: int = SLICE) -> Iterator[pa.RecordBatch]:
@@ -32,3 +35,42 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     data = column.buffers()[2]
     data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     return data[at[0] : at[-1]], at[:-1] - at[0], np.diff(at)
+
+
+def give_back() -> None:
+    """Return freed memory to the system. Arrow's pool and the C library keep it otherwise, and an idle worker would hold it while other stages run."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
+def task(run: Callable) -> Callable:
+    """run for mapInArrow, with its memory handed back at the task's end."""
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return tidy
+
+
+def group(run: Callable) -> Callable:
+    """run for applyInArrow, with its memory handed back after each group."""
+
+    def tidy(rows):
+        out = run(rows)
+        give_back()
+        return out
+
+    return tidy
+
+
+def group_of_two(run: Callable) -> Callable:
+    """group() for functions of two arguments: a key and its rows, or the two sides of a cogroup."""
+
+    def tidy(left, right):
+        out = run(left, right)
+        give_back()
+        return out
+
+    return tidy

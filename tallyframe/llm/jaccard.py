@@ -36,6 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import arrow
 from .arrow import slices, text_bytes
 from .blocks import BATCH_BYTES, SLICE_BYTES, by_key, gather, groups_for, pack, rows_of, runs, spread, unpack
 from .common import components, join_counted, stash, table
@@ -464,7 +465,7 @@ def find_links(sets: DataFrame, task_tokens: int = TASK_TOKENS) -> DataFrame:
     large = each.select(
         F.xxhash64("root").alias("task"), F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two"), (F.col("block") > F.col("with")).cast("int").alias("side"), F.col("root").alias("cluster"), *held
     )
-    return small.unionByName(large).groupBy("task", "one", "two").applyInArrow(join_block, "a binary, b binary, n_links long, part boolean")
+    return small.unionByName(large).groupBy("task", "one", "two").applyInArrow(arrow.group(join_block), "a binary, b binary, n_links long, part boolean")
 
 
 def join(docs: DataFrame, task_tokens: int = TASK_TOKENS, links: bool = False) -> DataFrame:
@@ -508,9 +509,9 @@ def join(docs: DataFrame, task_tokens: int = TASK_TOKENS, links: bool = False) -
         (sets,) = [data[i].as_py() for i, k in enumerate(kind) if k == "sets"]
         return rows_of(_SHARING, sharing(sets, (data[i].as_py() for i, k in enumerate(kind) if k == "shared")))
 
-    dealt = docs.mapInArrow(find, _DEALT_SQL)
-    met = stash(dealt.groupBy("to").applyInArrow(meet, _MET))
-    sets = met.where("kind <> 'document'").select("home", "kind", "data").groupBy("home").applyInArrow(share, "node binary, n long, k long, tokens binary, prefix array<long>")
+    dealt = docs.mapInArrow(arrow.task(find), _DEALT_SQL)
+    met = stash(dealt.groupBy("to").applyInArrow(arrow.group_of_two(meet), _MET))
+    sets = met.where("kind <> 'document'").select("home", "kind", "data").groupBy("home").applyInArrow(arrow.group(share), "node binary, n long, k long, tokens binary, prefix array<long>")
     # A set that several batches hold is one node.
     sets = stash(sets.dropDuplicates(["node"]))
     rows = met.where("kind = 'document'").select("doc_id", "n", "node")

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
+from . import arrow
 from .arrow import slices
 from .byte_bpe import encoder
 from .common import table
@@ -156,7 +157,7 @@ def pack(docs: DataFrame, path: str) -> DataFrame:
                     yield from out(stream.settle(False))
         yield from out(stream.settle(True))
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(arrow.task(run), SCHEMA)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import arrow
 from .arrow import slices, text_bytes
 from .blocks import BATCH_BYTES, SLICE_BYTES, by_key, gather, groups_for, pack, rows_of, runs, spread
 from .common import stash, table
@@ -431,15 +432,15 @@ def apply(docs: DataFrame, finish, schema) -> DataFrame:
         texts = Texts(rows)
         return finish(rows.combine_chunks(), texts, removed(texts, marks.column("data").to_pylist()))
 
-    dealt = docs.select("sa_id", "sa_tie", "text").mapInArrow(find, "to long, home long, kind string, data binary")
-    settled = stash(dealt.groupBy("to").applyInArrow(meet, "home long, kind string, data binary"))
+    dealt = docs.select("sa_id", "sa_tie", "text").mapInArrow(arrow.task(find), "to long, home long, kind string, data binary")
+    settled = stash(dealt.groupBy("to").applyInArrow(arrow.group(meet), "home long, kind string, data binary"))
     # Both uses of the texts take the same columns and the same deal, so one exchange serves both.
     homed = docs.withColumn("sa_home", F.pmod("sa_tie", F.lit(groups))).groupBy("sa_home")
     four = "to long, home long, kind string, data binary"
-    fetched = homed.cogroup(settled.where("kind = 'open'").groupBy("home")).applyInArrow(fetch, four)
-    found = fetched.groupBy("to").applyInArrow(order, four).groupBy("to").applyInArrow(follow, "home long, kind string, data binary")
+    fetched = homed.cogroup(settled.where("kind = 'open'").groupBy("home")).applyInArrow(arrow.group_of_two(fetch), four)
+    found = fetched.groupBy("to").applyInArrow(arrow.group(order), four).groupBy("to").applyInArrow(arrow.group(follow), "home long, kind string, data binary")
     marks = settled.where("kind = 'repeat'").unionByName(found)
-    return homed.cogroup(marks.groupBy("home")).applyInArrow(end, schema)
+    return homed.cogroup(marks.groupBy("home")).applyInArrow(arrow.group_of_two(end), schema)
 
 
 def report(docs: DataFrame) -> DataFrame:
