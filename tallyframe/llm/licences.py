@@ -1,8 +1,9 @@
 """License scans by a positional rare-token index, in DataFrame operations only.
 
 Each template is one or more key phrases, all mandatory. The document frequency of every template word is counted over
-all documents; a phrase is looked up by its ANCHORS rarest words. A document's postings of those words give candidate
-starts (place less the word's place in the phrase); the starts that the anchors share are verified word by word.
+all documents; a phrase is indexed by its ANCHORS rarest words, those of highest inverse document frequency. A document
+looks up those that it has: only phrases all of whose anchors it has are candidates. Their postings give starts (place less
+the word's place in the phrase); the starts that the anchors share are verified word by word.
 
 Defined cases: a null text is empty: no words, no label, score 0, null places; overlapping places all count; rows that
 repeat are each scanned; other columns are ignored.
@@ -10,6 +11,9 @@ repeat are each scanned; other columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +57,11 @@ def document_frequencies(docs: DataFrame, vocabulary: list[str]) -> dict[str, in
     return dict.fromkeys(vocabulary, 0) | {r.w: r.n for r in found.groupBy("w").agg(F.count("*").alias("n")).collect()}
 
 
+def anchors_of(phrase: str, df: dict[str, int]) -> list[str]:
+    """The ANCHORS rarest words of phrase, rarest first."""
+    return sorted(set(phrase.split()), key=lambda w: (df[w], w))[:ANCHORS]
+
+
 def _less(w: str, i: int) -> Column:
     return F.transform(F.filter("l_post", lambda p: p.w == w), lambda p: p.at - i)
 
@@ -60,9 +69,8 @@ def _less(w: str, i: int) -> Column:
 def places(phrase: str, df: dict[str, int]) -> Column:
     """The starts of phrase in l_words, from the postings l_post of the anchor words."""
     parts = phrase.split()
-    rare = sorted(set(parts), key=lambda w: (df[w], w))[:ANCHORS]
     starts = None
-    for w in rare:
+    for w in anchors_of(phrase, df):
         at = [i for i, x in enumerate(parts) if x == w]
         own = F.flatten(F.array(*[_less(w, i) for i in at]))
         starts = own if starts is None else F.array_intersect(starts, own)
@@ -77,10 +85,15 @@ def scan(docs: DataFrame, base=BASE, own=OWN) -> DataFrame:
     vocabulary = sorted({w for p in phrases for w in p.split()})
     cut = docs.select("doc_id", licence_words(F.col("text")).alias("l_words"))
     df = document_frequencies(cut, vocabulary)
-    anchors = sorted({w for p in phrases for w in sorted(set(p.split()), key=lambda w: (df[w], w))[:ANCHORS]})
+    anchors = sorted({w for p in phrases for w in anchors_of(p, df)})
     posted = cut.withColumn("l_post", F.filter(F.transform("l_words", lambda w, i: F.when(w.isin(anchors), F.struct(w.alias("w"), i.alias("at")))), lambda p: p.isNotNull()))
+    posted = posted.withColumn("l_rare", F.array_distinct(F.col("l_post.w")))
     none = F.array().cast("array<int>")
-    found = posted.withColumn("l_found", F.when(F.size("l_post") == 0, F.array(*[none for _ in phrases])).otherwise(F.array(*[places(p, df) for p in phrases])))
+
+    def looked_up(p: str) -> Column:
+        return F.when(reduce(and_, [F.array_contains("l_rare", w) for w in anchors_of(p, df)]), places(p, df)).otherwise(none)
+
+    found = posted.withColumn("l_found", F.when(F.size("l_post") == 0, F.array(*[none for _ in phrases])).otherwise(F.array(*map(looked_up, phrases))))
     at = {p: F.element_at("l_found", i + 1) for i, p in enumerate(phrases)}
     bases = F.flatten(F.array(*[at[p] for _, ps in base for p in ps]))
 
