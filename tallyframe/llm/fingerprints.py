@@ -7,7 +7,7 @@ each bin are kept, one hexadecimal digit a bin. Digits agree by chance once in s
 
 Defined cases: a null text is empty; a text without words has the empty fingerprint, likeness 1 to another such and 0 to
 any other; under five words the whole sequence is one shingle; rows that repeat a doc_id come in order of a text hash, and
-rows that repeat id and text have the same result; a lone document is its own next one; a null doc_id comes below all others, as does -2^63, which is taken for null; other columns are ignored.
+rows that repeat id and text have the same result; a lone document is its own next one; a null doc_id comes below all others, with -2^63, the least id; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from .common import stash, table, words
 #: Bins, words of a shingle; a bin's minimum has VALUE_BITS bits, all set: empty.
 BINS, SHINGLE, VALUE_BITS = 128, 5, 40
 EMPTY = (1 << VALUE_BITS) - 1
-#: Stands for a null doc_id meanwhile, so that it joins.
+#: Where a null doc_id comes in the order, so that it joins; a flag tells it from that id.
 NO_ID = -(1 << 63)
 
 
@@ -48,7 +48,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def next_documents(base: DataFrame) -> DataFrame:
-    """base (doc_id, rid, n_chars, fp, one row for each pair of doc_id and rid) with next_fp, of the document next in descending doc_id, and with
+    """base (doc_id, rid, none, n_chars, fp, one row for each pair of doc_id and rid) with next_fp, of the document next in descending doc_id, and with
     to_id, to_rid and take: the document whose next one this is, and the code points of this one that it takes.
 
     Ids are dealt by range and windowed within each range; only the first and last row of each range, as many as there are
@@ -65,23 +65,23 @@ def next_documents(base: DataFrame) -> DataFrame:
     ends = ends.select("pid", F.coalesce(F.lag("high").over(over), F.max("high").over(every)).alias("below"), F.coalesce(F.lead("low").over(over), F.min("low").over(every)).alias("above"))
     near = ranged.withColumn("down", F.lag(row).over(inner)).withColumn("up", F.lead(row).over(inner))
     near = near.join(F.broadcast(ends), "pid").withColumn("down", F.coalesce("down", "below")).withColumn("up", F.coalesce("up", "above"))
-    return near.select("doc_id", "rid", "n_chars", "fp", F.col("down.fp").alias("next_fp"), F.col("up.doc_id").alias("to_id"), F.col("up.rid").alias("to_rid"), F.expr("cast(up.n_chars div 2 as int)").alias("take"))
+    return near.select("doc_id", "rid", "none", "n_chars", "fp", F.col("down.fp").alias("next_fp"), F.col("up.doc_id").alias("to_id"), F.col("up.rid").alias("to_rid"), F.expr("cast(up.n_chars div 2 as int)").alias("take"))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for each row of docs (doc_id, text)."""
-    docs = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    docs = docs.select("doc_id", F.xxhash64("text").alias("rid"), "text")
-    base = with_fingerprint(docs.withColumn("n_chars", F.length("text")), "text", "fp").select("doc_id", "rid", "n_chars", "fp")
+    docs = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.col("doc_id").isNull().alias("none"), F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.select("doc_id", F.when(F.col("none"), F.xxhash64("text", F.lit(1))).otherwise(F.xxhash64("text")).alias("rid"), "none", "text")
+    base = with_fingerprint(docs.withColumn("n_chars", F.length("text")), "text", "fp").select("doc_id", "rid", "none", "n_chars", "fp")
     links = stash(next_documents(stash(base).dropDuplicates(["doc_id", "rid"])))
     # Both uses of whole take the same columns of docs, so that one exchange of the texts serves both.
-    whole = docs.join(links, ["doc_id", "rid"])
+    whole = docs.drop("none").join(links, ["doc_id", "rid"])
     heads = whole.withColumn("copy", F.row_number().over(Window.partitionBy("doc_id", "rid").orderBy("take"))).where("copy = 1").select(F.col("to_id").alias("doc_id"), F.col("to_rid").alias("rid"), F.expr("left(text, take)").alias("head"))
     edited = F.expr("concat(left(text, n_chars - n_chars div 2), head)")
-    out = whole.join(heads, ["doc_id", "rid"]).select("doc_id", "n_chars", "fp", "next_fp", edited.alias("edited"))
+    out = whole.join(heads, ["doc_id", "rid"]).select("doc_id", "none", "n_chars", "fp", "next_fp", edited.alias("edited"))
     out = with_fingerprint(out.withColumn("edited_sha256", F.sha2("edited", 256)), "edited", "edited_fingerprint")
     return out.select(
-        F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256", F.col("fp").alias("fingerprint"), "edited_fingerprint",
+        F.when(~F.col("none"), F.col("doc_id")).alias("doc_id"), F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256", F.col("fp").alias("fingerprint"), "edited_fingerprint",
         likeness(F.col("fp"), F.col("edited_fingerprint")).alias("near_edited"), likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
     )
 

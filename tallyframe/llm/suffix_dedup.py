@@ -17,9 +17,9 @@ substring of least hash, which depends on its bytes alone. An anchor and the str
 
 Contexts are compared by 48 bits of anchor and 48 of context, with their places in between.
 
-Defined cases: a null text is empty; a text of under LENGTH bytes loses nothing; a null doc_id comes before all others, as
-does -2^63, which is taken for null; rows that share a doc_id come in order of a hash of the text, and rows that repeat
-both have the same result; bytes of a cut character that stay are dropped from text (not from kept_sha256); other columns
+Defined cases: a null text is empty; a text of under LENGTH bytes loses nothing; a null doc_id comes before all others, with
+-2^63, the least id; rows that share a place come in order of a hash of the text, and rows that repeat both have the same
+result; bytes of a cut character that stay are dropped from text (not from kept_sha256); other columns
 are passed on by cut() and ignored by report(), whatever their names.
 """
 
@@ -41,7 +41,7 @@ from .common import stash, table
 #: Bytes of a repeat, bytes of an anchor, open contexts of one anchor in a group above which its strings meet one by one.
 LENGTH, GRAM, CROWD = 100, 32, 32
 WIDTH = LENGTH - GRAM + 1
-#: Stands for a null doc_id.
+#: Where a null doc_id comes in the order.
 NO_ID = -(1 << 63)
 #: Starts whose anchors are found at a time.
 STEP = 1 << 18
@@ -448,16 +448,16 @@ def report(docs: DataFrame) -> DataFrame:
     out = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
 
     def finish(rows: pa.Table, texts: Texts, gone: np.ndarray) -> pa.Table:
-        ids, found = rows.column("sa_id").to_pylist(), []
+        ids, found = rows.column("doc_id").to_pylist(), []
         for i, lo, n in zip(ids, texts.start.tolist(), texts.size.tolist(), strict=True):
             g = gone[lo : lo + n]
             k = int(g.sum())
             spans = int(np.count_nonzero(g[1:] & ~g[:-1])) + int(g[0]) if k else 0
             kept = texts.data[lo : lo + n][~g] if k else texts.data[lo : lo + n]
-            found.append((None if i == NO_ID else i, n, k, spans, hashlib.sha256(kept).hexdigest()))
+            found.append((i, n, k, spans, hashlib.sha256(kept).hexdigest()))
         return rows_of(out, found)
 
-    return apply(docs.select("doc_id", "text"), finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return apply(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def cut(docs: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from tallyframe.llm import byte_bpe, chat, fingerprints, licences, packing, registry, word_bpe
+from tallyframe.llm import byte_bpe, chat, fingerprints, licences, packing, registry, suffix_dedup, word_bpe
 from tests.llm.conftest import SF, frame, prose
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -173,6 +173,12 @@ def test_fingerprints(spark, odd, none):
     assert len(twice) == 4 and len({tuple(r) for r in twice}) == 3
 
 
+def test_no_id_is_not_the_least_id(spark):
+    rows = [(None, "a b c d e f"), (-(1 << 63), "a b c d e f"), (1, "g h")]
+    for out in (fingerprints.fingerprints(frame(spark, rows)), suffix_dedup.report(frame(spark, rows))):
+        assert sorted([r.doc_id for r in out.collect()], key=str) == [-(1 << 63), 1, None]
+
+
 def murmur(values, seed=42):
     """Spark's hash() of ints."""
     for v in values:
