@@ -8,9 +8,14 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 #: Text bytes of a slice; a longer text is a slice of its own.
 SLICE = 4 << 20
+#: Bytes of a batch of rows on its way to a Python worker; a longer row is a batch of its own.
+BATCH = 4 << 20
+#: The session's setting for that. Spark fills batches of 10,000 rows up to 64 MiB, which JVM and worker each hold, with as much again while they grow.
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: The C library's call that returns freed memory to the system, where it has one.
 _TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
@@ -37,6 +42,15 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data[at[0] : at[-1]], at[:-1] - at[0], np.diff(at)
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """df, with the session's batches for Python workers bounded to BATCH bytes from now on; a lower bound stays. Results don't depend on it."""
+    spark = df.sparkSession
+    now = spark.conf.get(_BATCH_KEY)
+    if now.startswith("-") or not 0 < spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(now) <= BATCH:
+        spark.conf.set(_BATCH_KEY, str(BATCH))
+    return df
+
+
 def give_back() -> None:
     """Return freed memory to the system. Arrow's pool and the C library keep it otherwise, and an idle worker would hold it while other stages run."""
     pa.default_memory_pool().release_unused()

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .arrow import slices
+from .arrow import in_small_batches, slices
 from .byte_bpe import encoder
 from .common import table
 
@@ -63,7 +63,7 @@ def turns(conversations: DataFrame, path: str) -> DataFrame:
                 out.append(np.concatenate((head, ids, [TURN_END])).astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays([*[batch.column(k).cast(t) for k, t in enumerate((pa.int64(), pa.int64(), pa.string(), pa.string()))], pa.array(out, pa.binary())], ["conv_id", "turn", "role", "text", "ids"])
 
-    return conversations.select("conv_id", "turn", "role", "text").mapInArrow(run, "conv_id long, turn long, role string, text string, ids binary")
+    return in_small_batches(conversations).select("conv_id", "turn", "role", "text").mapInArrow(run, "conv_id long, turn long, role string, text string, ids binary")
 
 
 class Assembly:

@@ -509,7 +509,7 @@ def join(docs: DataFrame, task_tokens: int = TASK_TOKENS, links: bool = False) -
         (sets,) = [data[i].as_py() for i, k in enumerate(kind) if k == "sets"]
         return rows_of(_SHARING, sharing(sets, (data[i].as_py() for i, k in enumerate(kind) if k == "shared")))
 
-    dealt = docs.mapInArrow(arrow.task(find), _DEALT_SQL)
+    dealt = arrow.in_small_batches(docs).mapInArrow(arrow.task(find), _DEALT_SQL)
     met = stash(dealt.groupBy("to").applyInArrow(arrow.group_of_two(meet), _MET))
     sets = met.where("kind <> 'document'").select("home", "kind", "data").groupBy("home").applyInArrow(arrow.group(share), "node binary, n long, k long, tokens binary, prefix array<long>")
     # A set that several batches hold is one node.

@@ -156,7 +156,7 @@ def sampled(docs: DataFrame, sample: int = SAMPLE, each: int = EACH) -> tuple[li
             x = [frequencies(t.as_py().encode()).tobytes() for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.string()), pa.array(x, pa.binary())], ["doc_id", "lang", "x"])
 
-    rows = drawn.select("doc_id", "lang", "text").mapInArrow(arrow.task(run), "doc_id long, lang string, x binary")
+    rows = arrow.in_small_batches(drawn).select("doc_id", "lang", "text").mapInArrow(arrow.task(run), "doc_id long, lang string, x binary")
     nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id", "x"))
     return sorted(counts), rows.withColumn("nth", nth).where(F.col("nth") <= each).drop("nth")
 
@@ -204,7 +204,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
             langs = [v if ok else "und" for v, ok in zip(langs, letter, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1), pa.array(langs, pa.string()), pa.array(np.where(letter, sure, 1.0))], ["doc_id", "held_out", "lang_pred", "score"])
 
-    return cols.mapInArrow(arrow.task(run), "doc_id long, held_out boolean, lang_pred string, score double")
+    return arrow.in_small_batches(cols).mapInArrow(arrow.task(run), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def recognised(docs: DataFrame, languages: list[str] | None = None, least: float = LEAST) -> DataFrame:
@@ -221,7 +221,7 @@ def recognised(docs: DataFrame, languages: list[str] | None = None, least: float
             wanted = np.ones(len(langs), bool) if languages is None else np.isin(np.array(langs, object).astype(str), languages)
             yield batch.filter(pa.array(letter & wanted & (sure >= least)))
 
-    kept = plain.where("letter") if model is None else plain.mapInArrow(arrow.task(run), plain.schema)
+    kept = plain.where("letter") if model is None else arrow.in_small_batches(plain).mapInArrow(arrow.task(run), plain.schema)
     return kept.select(*[F.col("text" if c == "text" else f"d{i}").alias(c) for i, c in enumerate(names)])
 
 

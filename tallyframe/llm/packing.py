@@ -157,7 +157,7 @@ def pack(docs: DataFrame, path: str) -> DataFrame:
                     yield from out(stream.settle(False))
         yield from out(stream.settle(True))
 
-    return docs.select("doc_id", "text").mapInArrow(arrow.task(run), SCHEMA)
+    return arrow.in_small_batches(docs).select("doc_id", "text").mapInArrow(arrow.task(run), SCHEMA)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -432,7 +432,7 @@ def apply(docs: DataFrame, finish, schema) -> DataFrame:
         texts = Texts(rows)
         return finish(rows.combine_chunks(), texts, removed(texts, marks.column("data").to_pylist()))
 
-    dealt = docs.select("sa_id", "sa_tie", "text").mapInArrow(arrow.task(find), "to long, home long, kind string, data binary")
+    dealt = arrow.in_small_batches(docs).select("sa_id", "sa_tie", "text").mapInArrow(arrow.task(find), "to long, home long, kind string, data binary")
     settled = stash(dealt.groupBy("to").applyInArrow(arrow.group(meet), "home long, kind string, data binary"))
     # Both uses of the texts take the same columns and the same deal, so one exchange serves both.
     homed = docs.withColumn("sa_home", F.pmod("sa_tie", F.lit(groups))).groupBy("sa_home")

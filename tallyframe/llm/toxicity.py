@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import svm
-from .arrow import slices
+from .arrow import in_small_batches, slices
 from .common import stash, table
 
 #: Bounds of the learning sample: labelled documents of each kind, sentences of each kind, code points of a sentence, landmarks of each kind.
@@ -278,7 +278,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
             p = model.chance(model.texts([t or "" for t in batch.column(2).to_pylist()], known))
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
-    return cols.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return in_small_batches(cols).mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrow import slices
+from .arrow import in_small_batches, slices
 from .byte_bpe import ODD, byte_letters
 from .common import stash, table
 
@@ -235,7 +235,7 @@ def word_counts(docs: DataFrame, path: str) -> DataFrame:
                 seen = Counter()
         yield out()
 
-    return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return in_small_batches(docs).select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def frequent_words(counts: DataFrame, most: int) -> list[bytes]:
@@ -289,7 +289,7 @@ def encode(docs: DataFrame, path: str, lexicon_words: int = LEXICON_WORDS) -> Da
             cols = list(zip(*rows, strict=True)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return in_small_batches(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
