@@ -45,8 +45,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def in_small_batches(df: DataFrame) -> DataFrame:
     """df, with the session's batches for Python workers bounded to BATCH bytes from now on; a lower bound stays. Results don't depend on it."""
     spark = df.sparkSession
-    now = spark.conf.get(_BATCH_KEY)
-    if now.startswith("-") or not 0 < spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(now) <= BATCH:
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_BATCH_KEY)) > BATCH:
         spark.conf.set(_BATCH_KEY, str(BATCH))
     return df
 

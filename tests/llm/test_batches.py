@@ -15,7 +15,7 @@ def bound(spark):
 
 
 def test_bound(spark, bound):
-    for was, then in (("64MB", arrow.BATCH), ("-1", arrow.BATCH), ("10KB", "10KB")):
+    for was, then in (("64MB", arrow.BATCH), ("10KB", "10KB")):
         bound(was)
         arrow.in_small_batches(spark.range(1))
         assert spark.conf.get(KEY) == str(then)
