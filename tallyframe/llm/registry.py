@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, exact_dedup, fingerprints, jaccard, language, licences, packing, suffix_dedup, toxicity, word_bpe
+from . import chat, exact_dedup, fingerprints, jaccard, language, licences, line_dedup, packing, search, suffix_dedup, toxicity, whitening, word_bpe
 
 QUERIES = {
     "op1_ngram_jaccard": jaccard.query,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_fingerprints": fingerprints.query,
     "op9_language_id": language.query,
     "op10_word_bpe": word_bpe.query,
+    "op11_line_dedup": line_dedup.query,
+    "op12_ranked_search": search.query,
+    "op13_whitening": whitening.query,
     "op1_ngram_links": jaccard.links_query,
 }
 SQL = {
@@ -23,4 +26,6 @@ SQL = {
     "op3_chat_format": chat.SQL,
     "op4_suffix_dedup": suffix_dedup.SQL,
     "op5_exact_dedup": exact_dedup.SQL,
+    "op11_line_dedup": line_dedup.SQL,
+    "op12_ranked_search": search.SQL,
 }
