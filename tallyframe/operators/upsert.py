@@ -40,6 +40,16 @@ def require(rows: DataFrame, fields: list[str]) -> tuple[DataFrame, DataFrame]:
     return marked.where(F.size("missing") == 0).drop("missing"), marked.where(F.size("missing") > 0)
 
 
+def require_any(rows: DataFrame, rules: list[list[list[str]]]) -> tuple[DataFrame, DataFrame]:
+    """Rows that meet all rules, and the others with missing (the rules that they don't meet, as texts). A rule is a list of groups of fields,
+    of which one must be there as a whole: neither null nor empty. Rows of a game, say, need a team or both sides."""
+    there = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) != ""
+    holds = lambda rule: reduce(lambda a, b: a | b, [reduce(lambda a, b: a & b, [there(c) for c in group]) for group in rule])
+    missing = F.array_compact(F.array(*[F.when(~holds(rule), F.lit(" or ".join(", ".join(g) for g in rule))) for rule in rules]))
+    marked = rows.withColumn("missing", missing)
+    return marked.where(F.size("missing") == 0).drop("missing"), marked.where(F.size("missing") > 0)
+
+
 def with_parent(rows: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     """Rows whose key is null or among the parents'."""
     return rows.where(F.col(key).isNotNull()).join(parents.select(key).distinct(), key, "left_semi").unionByName(rows.where(F.col(key).isNull()).select(key, *[c for c in rows.columns if c != key]))
