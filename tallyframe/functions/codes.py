@@ -22,10 +22,29 @@ REBOUND_CODES = {0: "off", 1: "def"}
 TURNOVER_CODES = {1: "bad_pass", 2: "lost_ball", 3: "traveling", 4: "double_dribble", 5: "shot_clock", 6: "kicked_ball", 7: "lane_violation", 8: "offensive_foul", 9: "discontinued_dribble", 10: "backcourt", 11: "palming", 40: "step_out_of_bounds", 41: "out_of_bounds", 42: "steal"}
 ZONE_WORDS = {"Restricted Area": "rim", "In The Paint (Non-RA)": "short_mid", "Mid-Range": "long2", "Left Corner 3": "corner3", "Right Corner 3": "corner3", "Above the Break 3": "abovebreak3"}
 POSITIONS = {"G": "G", "F": "F", "C": "C", "PG": "G", "SG": "G", "SF": "F", "PF": "F"}
-#: Game status by number and word, injury status by word and number, referee roles.
-STATUS = {"1": "SCHEDULED", "2": "LIVE", "3": "FINAL", "SCHEDULED": "SCHEDULED", "LIVE": "LIVE", "FINAL": "FINAL", "POSTPONED": "POSTPONED", "PPD": "POSTPONED", "CANCELLED": "POSTPONED"}
-INJURY = {"OUT": "OUT", "QUESTIONABLE": "QUESTIONABLE", "DOUBTFUL": "QUESTIONABLE", "PROBABLE": "PROBABLE", "ACTIVE": "ACTIVE"}
-ROLES = {"1": "CREW_CHIEF", "2": "REFEREE", "3": "UMPIRE", "CREW CHIEF": "CREW_CHIEF", "CREW_CHIEF": "CREW_CHIEF", "REFEREE": "REFEREE", "UMPIRE": "UMPIRE", "OFFICIAL": "REFEREE"}
+#: Game status by profile: words and numbers of rows, of the enumeration, of the bridge, and those that are shown.
+STATUS = {
+    "rows": {"FINAL": "FINAL", "FINISHED": "FINAL", "COMPLETED": "FINAL", "LIVE": "LIVE", "IN_PROGRESS": "LIVE", "IN PROGRESS": "LIVE", "SCHEDULED": "SCHEDULED", "UPCOMING": "SCHEDULED", "POSTPONED": "POSTPONED", "CANCELLED": "CANCELLED", "CANCELED": "CANCELLED", "SUSPENDED": "SUSPENDED", "RESCHEDULED": "RESCHEDULED"},
+    "enum": {"1": "SCHEDULED", "2": "LIVE", "3": "FINAL", "FINAL": "FINAL", "FINISHED": "FINAL", "COMPLETED": "FINAL", "LIVE": "LIVE", "IN_PROGRESS": "IN_PROGRESS", "ACTIVE": "LIVE", "SCHEDULED": "SCHEDULED", "UPCOMING": "SCHEDULED", "POSTPONED": "POSTPONED", "CANCELLED": "CANCELLED", "CANCELED": "CANCELLED", "SUSPENDED": "SUSPENDED", "RESCHEDULED": "RESCHEDULED"},
+    "bridge": {"SCHEDULED": "SCHEDULED", "FINAL": "FINAL", "LIVE": "LIVE", "IN_PROGRESS": "LIVE", "POSTPONED": "POSTPONED", "CANCELLED": "POSTPONED", "PPD": "POSTPONED"},
+    "shown": {"FINAL": "Final", "FINISHED": "Final", "COMPLETED": "Final", "SCHEDULED": "Scheduled", "PREGAME": "Scheduled", "IN PROGRESS": "Live", "LIVE": "Live", "HALFTIME": "Live", "POSTPONED": "Postponed", "SUSPENDED": "Suspended"},
+}
+#: Injury status by word and number.
+INJURY = {
+    "OUT": "OUT", "QUESTIONABLE": "QUESTIONABLE", "PROBABLE": "PROBABLE", "ACTIVE": "ACTIVE", "DNP": "DNP", "INACTIVE": "INACTIVE", "AVAILABLE": "ACTIVE", "HEALTHY": "ACTIVE", "DOUBTFUL": "QUESTIONABLE", "DAY_TO_DAY": "QUESTIONABLE", "INJURED": "OUT",
+    "0": "ACTIVE", "1": "QUESTIONABLE", "2": "PROBABLE", "3": "OUT", "4": "DNP", "5": "INACTIVE",
+}
+#: Lineup positions by word and number.
+LINEUP_POSITIONS = {
+    "PG": "PG", "SG": "SG", "SF": "SF", "PF": "PF", "C": "C", "G": "G", "F": "F", "POINT_GUARD": "PG", "SHOOTING_GUARD": "SG", "SMALL_FORWARD": "SF", "POWER_FORWARD": "PF", "CENTER": "C", "GUARD": "G", "FORWARD": "F",
+    "1": "PG", "2": "SG", "3": "SF", "4": "PF", "5": "C",
+}
+#: officials' roles by profile: rows, and what books call them.
+ROLES = {
+    "rows": {"CREW_CHIEF": "CREW_CHIEF", "CREW CHIEF": "CREW_CHIEF", "CHIEF": "CREW_CHIEF", "REFEREE": "REFEREE", "REF": "REFEREE", "UMPIRE": "UMPIRE", "UMP": "UMPIRE", "OFFICIAL": "OFFICIAL", "1": "CREW_CHIEF", "2": "REFEREE", "3": "UMPIRE"},
+    "enum": {"CREW_CHIEF": "CREW_CHIEF", "CREW CHIEF": "CREW_CHIEF", "CHIEF": "CREW_CHIEF", "REFEREE": "REFEREE", "REF": "REFEREE", "UMPIRE": "UMPIRE", "UMP": "UMPIRE", "OFFICIAL": "OFFICIAL", "1": "CREW_CHIEF", "2": "REFEREE", "3": "UMPIRE", "4": "OFFICIAL"},
+    "books": {"CREW CHIEF": "CREW_CHIEF", "CREW_CHIEF": "CREW_CHIEF", "REFEREE": "REFEREE", "UMPIRE": "UMPIRE", "OFFICIAL": "REFEREE", "OFFICIAL_1": "REFEREE", "OFFICIAL_2": "REFEREE", "OFFICIAL_3": "REFEREE"},
+}
 
 
 def dimension(spark: SparkSession, maps: dict[str, dict]) -> DataFrame:
@@ -63,12 +82,38 @@ def drift(rows: DataFrame, raw: str, value: str) -> DataFrame:
     return rows.where(F.col(raw).isNotNull() & F.col(value).isNull()).groupBy(F.col(raw).cast("string").alias("code")).agg(F.count("*").alias("n_rows"))
 
 
-def status(text: Column) -> Column:
-    return F.coalesce(mapped(F.upper(F.trim(text)), STATUS), F.lit("SCHEDULED"))
+def _key(text: Column) -> Column:
+    return F.upper(F.trim(text.cast("string")))
+
+
+def status(text: Column, profile: str = "enum") -> Column:
+    """Game status by a profile of STATUS; unknown words are scheduled, or shown with capitals. Unknown ones can be listed by unknown()."""
+    known = mapped(_key(text), STATUS[profile])
+    if profile == "shown":
+        # A capital after each character that is no letter, not only after blanks.
+        parts = F.transform(F.split(F.trim(text), r"(?<=[^\p{L}])"), F.initcap)
+        return F.coalesce(known, F.nullif(F.array_join(parts, ""), F.lit("")), F.lit("Scheduled"))
+    return F.coalesce(known, F.lit("SCHEDULED"))
 
 
 def injury_status(text: Column) -> Column:
-    return F.coalesce(mapped(F.upper(F.trim(text)), INJURY), F.lit("ACTIVE"))
+    """Injury status; unknown words are active."""
+    return F.coalesce(mapped(_key(text), INJURY), F.lit("ACTIVE"))
+
+
+def lineup_position(text: Column) -> Column:
+    """A lineup's position; unknown words are guards."""
+    return F.coalesce(mapped(_key(text), LINEUP_POSITIONS), F.lit("G"))
+
+
+def role(text: Column, profile: str = "rows") -> Column:
+    """An official's role by a profile of ROLES; unknown words are referees."""
+    return F.coalesce(mapped(_key(text), ROLES[profile]), F.lit("REFEREE"))
+
+
+def unknown(text: Column, values: dict) -> Column:
+    """Whether a word that is there is none of values, so that a default took its place."""
+    return F.coalesce(~_key(text).isin(*[str(k) for k in values]), F.lit(False)) & (F.trim(F.coalesce(text.cast("string"), F.lit(""))) != "")
 
 
 def severity(shock_type: Column, notes: Column) -> Column:

@@ -143,12 +143,13 @@ def lineups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.select("o_orderkey", F.array_join("l", ",").alias("ids"), text.lineup_hash(F.col("l")).alias("lineup_hash"))
 
 
-_words = lambda m, c: f"CASE {c} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in m.items()) + " END"
-
-
-@Q.add(f"""WITH r AS (SELECT l_orderkey, l_linenumber, CAST((l_orderkey + l_linenumber) % 22 AS VARCHAR) AS c, CAST(l_suppkey % 44 AS VARCHAR) AS a, CASE l_partkey % 3 WHEN 0 THEN 'Mid-Range' WHEN 1 THEN 'Backcourt' END AS z, CASE l_partkey % 4 WHEN 0 THEN 'pg' WHEN 1 THEN 'X' WHEN 2 THEN '' END AS p FROM lineitem)
-SELECT l_orderkey, l_linenumber, {_words(codes.EVENT_CODES["preprocess"], "c")} AS event_type, CASE c WHEN '1' THEN 'make' WHEN '2' THEN 'miss' END AS shot_result, CASE WHEN c = '4' THEN {_words(codes.REBOUND_CODES, "a")} END AS rebound_type, CASE WHEN c IN ('6', '18', '19') THEN {_words(codes.FOUL_CODES, "a")} END AS foul_type,
-CASE WHEN c = '5' THEN {_words(codes.TURNOVER_CODES, "a")} END AS turnover_type, CASE WHEN z = 'Mid-Range' THEN 'long2' END AS shot_zone, CASE p WHEN 'pg' THEN 'G' WHEN 'X' THEN 'X' END AS position FROM r""")
+@Q.add("""WITH r AS (SELECT l_orderkey, l_linenumber, (l_orderkey + l_linenumber) % 22 AS c, l_suppkey % 44 AS a, CASE l_partkey % 3 WHEN 0 THEN 'Mid-Range' WHEN 1 THEN 'Backcourt' END AS z, CASE l_partkey % 4 WHEN 0 THEN 'pg' WHEN 1 THEN 'X' WHEN 2 THEN '' END AS p FROM lineitem)
+SELECT l_orderkey, l_linenumber,
+  CASE c WHEN 1 THEN 'shot' WHEN 2 THEN 'shot' WHEN 3 THEN 'free_throw' WHEN 4 THEN 'rebound' WHEN 5 THEN 'turnover' WHEN 6 THEN 'foul' WHEN 7 THEN 'violation' WHEN 8 THEN 'substitution' WHEN 9 THEN 'timeout' WHEN 10 THEN 'jump_ball' WHEN 11 THEN 'ejection' WHEN 12 THEN 'period_start' WHEN 13 THEN 'period_end' WHEN 18 THEN 'technical' WHEN 19 THEN 'flagrant' WHEN 20 THEN 'instant_replay' END AS event_type,
+  CASE c WHEN 1 THEN 'make' WHEN 2 THEN 'miss' END AS shot_result, CASE WHEN c = 4 THEN CASE a WHEN 0 THEN 'off' WHEN 1 THEN 'def' END END AS rebound_type,
+  CASE WHEN c IN (6, 18, 19) THEN CASE a WHEN 1 THEN 'personal' WHEN 2 THEN 'shooting' WHEN 3 THEN 'loose_ball' WHEN 4 THEN 'offensive' WHEN 5 THEN 'inbound' WHEN 6 THEN 'away_from_play' WHEN 7 THEN 'punch' WHEN 8 THEN 'clear_path' WHEN 9 THEN 'double' WHEN 10 THEN 'technical' WHEN 11 THEN 'flagrant1' WHEN 12 THEN 'flagrant2' WHEN 13 THEN 'defensive' WHEN 14 THEN 'take' WHEN 15 THEN 'transition_take' END END AS foul_type,
+  CASE WHEN c = 5 THEN CASE a WHEN 1 THEN 'bad_pass' WHEN 2 THEN 'lost_ball' WHEN 3 THEN 'traveling' WHEN 4 THEN 'double_dribble' WHEN 5 THEN 'shot_clock' WHEN 6 THEN 'kicked_ball' WHEN 7 THEN 'lane_violation' WHEN 8 THEN 'offensive_foul' WHEN 9 THEN 'discontinued_dribble' WHEN 10 THEN 'backcourt' WHEN 11 THEN 'palming' WHEN 40 THEN 'step_out_of_bounds' WHEN 41 THEN 'out_of_bounds' WHEN 42 THEN 'steal' END END AS turnover_type,
+  CASE WHEN z = 'Mid-Range' THEN 'long2' END AS shot_zone, CASE p WHEN 'pg' THEN 'G' WHEN 'X' THEN 'X' END AS position FROM r""")
 def conditional_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     pk = F.col("l_partkey")
     code, action = (F.col("l_orderkey") + F.col("l_linenumber")) % 22, F.col("l_suppkey") % 44
@@ -157,8 +158,8 @@ def conditional_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", fields.alias("f")).select("l_orderkey", "l_linenumber", "f.*")
 
 
-@Q.add(f"""WITH r AS (SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'ppd' WHEN 1 THEN ' Final' WHEN 2 THEN '2' WHEN 3 THEN 'cancelled' ELSE 'who knows' END AS s, CASE o_orderkey % 4 WHEN 0 THEN 'Doubtful' WHEN 1 THEN 'out' WHEN 2 THEN 'PROBABLE ' ELSE 'x' END AS i, CASE o_orderkey % 3 WHEN 0 THEN CAST(o_orderkey % 20 AS VARCHAR) WHEN 1 THEN 'Jump_Ball' ELSE 'technical' END AS e FROM orders)
-SELECT o_orderkey, CASE s WHEN 'ppd' THEN 'POSTPONED' WHEN ' Final' THEN 'FINAL' WHEN '2' THEN 'LIVE' WHEN 'cancelled' THEN 'POSTPONED' ELSE 'SCHEDULED' END AS status, CASE i WHEN 'Doubtful' THEN 'QUESTIONABLE' WHEN 'out' THEN 'OUT' WHEN 'PROBABLE ' THEN 'PROBABLE' ELSE 'ACTIVE' END AS injury, CASE e WHEN 'Jump_Ball' THEN 'JUMP_BALL' WHEN 'technical' THEN 'TECHNICAL_FOUL' ELSE {_words(codes.EVENT_CODES["enum"], "e")} END AS event_type FROM r""")
+@Q.add("""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'SCHEDULED' WHEN 1 THEN 'FINAL' WHEN 2 THEN 'LIVE' WHEN 3 THEN 'CANCELLED' ELSE 'SCHEDULED' END AS status, CASE o_orderkey % 4 WHEN 0 THEN 'QUESTIONABLE' WHEN 1 THEN 'OUT' WHEN 2 THEN 'PROBABLE' ELSE 'ACTIVE' END AS injury,
+  CASE o_orderkey % 3 WHEN 1 THEN 'JUMP_BALL' WHEN 2 THEN 'TECHNICAL_FOUL' ELSE CASE o_orderkey % 20 WHEN 1 THEN 'SHOT_MADE' WHEN 2 THEN 'SHOT_MISSED' WHEN 3 THEN 'FREE_THROW_MADE' WHEN 4 THEN 'FREE_THROW_MISSED' WHEN 5 THEN 'REBOUND' WHEN 6 THEN 'FOUL' WHEN 7 THEN 'FOUL' WHEN 8 THEN 'SUBSTITUTION' WHEN 9 THEN 'TIMEOUT' WHEN 10 THEN 'JUMP_BALL' WHEN 11 THEN 'EJECTION' WHEN 12 THEN 'PERIOD_BEGIN' WHEN 13 THEN 'PERIOD_END' WHEN 18 THEN 'INSTANT_REPLAY' END END AS event_type FROM orders""")
 def code_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     s = F.when(k % 5 == 0, "ppd").when(k % 5 == 1, " Final").when(k % 5 == 2, "2").when(k % 5 == 3, "cancelled").otherwise("who knows")
@@ -167,6 +168,32 @@ def code_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", codes.status(s).alias("status"), codes.injury_status(i).alias("injury"), codes.event_type(e, "enum").alias("event_type"))
 
 
+_spelt = lambda words, k: F.element_at(F.array(*map(F.lit, words)), (k % len(words) + 1).cast("int"))
+
+
+@Q.add("""WITH s(i, status_rows, status_enum, status_bridge, status_shown) AS (VALUES
+  (0, 'FINAL', 'FINAL', 'FINAL', 'Final'), (1, 'FINAL', 'FINAL', 'SCHEDULED', 'Final'), (2, 'FINAL', 'FINAL', 'SCHEDULED', 'Final'), (3, 'LIVE', 'LIVE', 'LIVE', 'Live'), (4, 'LIVE', 'IN_PROGRESS', 'LIVE', 'In_Progress'), (5, 'LIVE', 'SCHEDULED', 'SCHEDULED', 'Live'),
+  (6, 'SCHEDULED', 'SCHEDULED', 'SCHEDULED', 'Scheduled'), (7, 'SCHEDULED', 'SCHEDULED', 'SCHEDULED', 'Upcoming'), (8, 'POSTPONED', 'POSTPONED', 'POSTPONED', 'Postponed'), (9, 'CANCELLED', 'CANCELLED', 'POSTPONED', 'Cancelled'), (10, 'CANCELLED', 'CANCELLED', 'SCHEDULED', 'Canceled'),
+  (11, 'SUSPENDED', 'SUSPENDED', 'SCHEDULED', 'Suspended'), (12, 'RESCHEDULED', 'RESCHEDULED', 'SCHEDULED', 'Rescheduled'), (13, 'SCHEDULED', 'SCHEDULED', 'SCHEDULED', '1'), (14, 'SCHEDULED', 'LIVE', 'SCHEDULED', '2'), (15, 'SCHEDULED', 'FINAL', 'SCHEDULED', '3'),
+  (16, 'SCHEDULED', 'LIVE', 'SCHEDULED', 'Active'), (17, 'SCHEDULED', 'SCHEDULED', 'POSTPONED', 'Ppd'), (18, 'SCHEDULED', 'SCHEDULED', 'SCHEDULED', 'Scheduled'), (19, 'SCHEDULED', 'SCHEDULED', 'SCHEDULED', 'Live'), (20, 'SCHEDULED', 'SCHEDULED', 'SCHEDULED', 'Who Knows'), (21, 'SCHEDULED', 'SCHEDULED', 'SCHEDULED', 'Scheduled')),
+n(i, injury) AS (VALUES (0, 'OUT'), (1, 'QUESTIONABLE'), (2, 'PROBABLE'), (3, 'ACTIVE'), (4, 'DNP'), (5, 'INACTIVE'), (6, 'ACTIVE'), (7, 'ACTIVE'), (8, 'QUESTIONABLE'), (9, 'QUESTIONABLE'), (10, 'OUT'), (11, 'ACTIVE'), (12, 'QUESTIONABLE'), (13, 'PROBABLE'), (14, 'OUT'), (15, 'DNP'), (16, 'INACTIVE'), (17, 'ACTIVE'), (18, 'ACTIVE')),
+p(i, position) AS (VALUES (0, 'PG'), (1, 'SG'), (2, 'SF'), (3, 'PF'), (4, 'C'), (5, 'G'), (6, 'F'), (7, 'PG'), (8, 'SG'), (9, 'SF'), (10, 'PF'), (11, 'C'), (12, 'G'), (13, 'F'), (14, 'PG'), (15, 'SG'), (16, 'SF'), (17, 'PF'), (18, 'C'), (19, 'G'), (20, 'G')),
+r(i, role_rows, role_enum, role_books) AS (VALUES (0, 'CREW_CHIEF', 'CREW_CHIEF', 'CREW_CHIEF'), (1, 'CREW_CHIEF', 'CREW_CHIEF', 'CREW_CHIEF'), (2, 'CREW_CHIEF', 'CREW_CHIEF', 'REFEREE'), (3, 'REFEREE', 'REFEREE', 'REFEREE'), (4, 'REFEREE', 'REFEREE', 'REFEREE'), (5, 'UMPIRE', 'UMPIRE', 'UMPIRE'), (6, 'UMPIRE', 'UMPIRE', 'REFEREE'), (7, 'OFFICIAL', 'OFFICIAL', 'REFEREE'),
+  (8, 'CREW_CHIEF', 'CREW_CHIEF', 'REFEREE'), (9, 'REFEREE', 'REFEREE', 'REFEREE'), (10, 'UMPIRE', 'UMPIRE', 'REFEREE'), (11, 'REFEREE', 'OFFICIAL', 'REFEREE'), (12, 'REFEREE', 'REFEREE', 'REFEREE'), (13, 'REFEREE', 'REFEREE', 'REFEREE'), (14, 'REFEREE', 'REFEREE', 'REFEREE'), (15, 'REFEREE', 'REFEREE', 'REFEREE'))
+SELECT o_orderkey, status_rows, status_enum, status_bridge, status_shown, injury, position, role_rows, role_enum, role_books, o_orderkey % 19 = 18 AS injury_unknown
+FROM orders JOIN s ON s.i = o_orderkey % 22 JOIN n ON n.i = o_orderkey % 19 JOIN p ON p.i = o_orderkey % 21 JOIN r ON r.i = o_orderkey % 16""")
+def code_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word and number of the status, injury, position and role maps, some that are in none, by each profile."""
+    k = F.col("o_orderkey")
+    s = _spelt(["final", " Finished", "COMPLETED", "live ", "in_progress", "In Progress", "scheduled", "upcoming", "Postponed", "cancelled", "canceled", "suspended", "rescheduled", "1", "2", "3", "active", "ppd", "pregame", "halftime", "who knows", ""], k)
+    i = _spelt(["out", "Questionable", "probable", "active ", "dnp", "Inactive", "available", "healthy", "Doubtful", "day_to_day", "injured", "0", "1", "2", "3", "4", "5", "", "resting"], k)
+    p = _spelt(["pg", "SG", "sf", "pf", " C", "g", "f", "point_guard", "Shooting_Guard", "small_forward", "power_forward", "center", "guard", "forward", "1", "2", "3", "4", "5", "", "9"], k)
+    r = _spelt(["crew_chief", "Crew Chief", "chief", "referee", "ref", "umpire", "ump", "official", "1", "2", "3", "4", "official_1", "official_2", "official_3", "timekeeper"], k)
+    named = {f"status_{x}": codes.status(s, x) for x in ("rows", "enum", "bridge", "shown")} | {"injury": codes.injury_status(i), "position": codes.lineup_position(p)}
+    named |= {f"role_{x}": codes.role(r, x) for x in ("rows", "enum", "books")} | {"injury_unknown": codes.unknown(i, codes.INJURY)}
+    return table(spark, sf_dir, "orders").select("o_orderkey", *[v.alias(n) for n, v in named.items()])
+
+
 @Q.add(f"""WITH {E_SQL}, t AS (SELECT event_idx, period, time_remaining AS t, clock_ms_remaining / 1000.0 AS left_sec, least(seconds_elapsed, 720) AS el, event_idx % 4 = 0 AS odd FROM e),
 c AS (SELECT *, CASE WHEN regexp_matches(t, '^\\d+:\\d') THEN try_cast(split_part(t, ':', 1) AS INT) END AS m, CASE WHEN regexp_matches(t, '^\\d+:\\d') THEN try_cast(split_part(t, ':', 2) AS DOUBLE) END AS s, CASE WHEN el IS NULL THEN '00:00:00' ELSE printf('00:%02d:%02d', CAST(floor((720 - el) / 60) AS INT), CAST(floor((720 - el) % 60) AS INT)) END AS h FROM t)
 SELECT event_idx, m AS minutes, s AS seconds, m * 60 + CAST(floor(s) AS INT) AS whole_seconds, t IS NOT NULL AND t <> 'bad' AS looks, coalesce(left_sec BETWEEN 0 AND CASE WHEN period <= 4 THEN 720 ELSE 300 END, false) AS in_bounds, CASE WHEN odd THEN '12:00' ELSE substr(h, 4) END AS short, CASE WHEN odd THEN 0 ELSE 720 - CAST(substr(h, 4, 2) AS INT) * 60 - CAST(substr(h, 7, 2) AS INT) END::DOUBLE AS elapsed FROM c""")
@@ -215,10 +242,7 @@ def text_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_ids = {t: i for t, i, _ in dimensions._TEAMS}
-
-
-@Q.add(f"""WITH t AS (SELECT s_suppkey, (1610612736 + s_suppkey % 40)::VARCHAR AS id FROM supplier), m AS (SELECT *, {_words({i: t for t, i in _ids.items()}, "id")} AS c FROM t)
+@Q.add("""WITH v(id, c) AS (VALUES (1610612737, 'ATL'), (1610612738, 'BOS'), (1610612751, 'BRK'), (1610612766, 'CHA'), (1610612741, 'CHI'), (1610612739, 'CLE'), (1610612742, 'DAL'), (1610612743, 'DEN'), (1610612765, 'DET'), (1610612744, 'GSW'), (1610612745, 'HOU'), (1610612754, 'IND'), (1610612746, 'LAC'), (1610612747, 'LAL'), (1610612763, 'MEM'), (1610612748, 'MIA'), (1610612749, 'MIL'), (1610612750, 'MIN'), (1610612740, 'NOP'), (1610612752, 'NYK'), (1610612760, 'OKC'), (1610612753, 'ORL'), (1610612755, 'PHI'), (1610612756, 'PHX'), (1610612757, 'POR'), (1610612758, 'SAC'), (1610612759, 'SAS'), (1610612761, 'TOR'), (1610612762, 'UTA'), (1610612764, 'WAS')), m AS (SELECT s_suppkey, c FROM supplier LEFT JOIN v ON v.id = 1610612736 + s_suppkey % 40)
 SELECT s_suppkey, coalesce(c, 'UNK') AS tricode, CASE WHEN c IN ('LAL', 'LAC', 'GSW', 'SAC', 'POR') THEN 'America/Los_Angeles' WHEN c IN ('DEN', 'UTA') THEN 'America/Denver' WHEN c = 'PHX' THEN 'America/Phoenix' WHEN c = 'DET' THEN 'America/Detroit' WHEN c = 'TOR' THEN 'America/Toronto' WHEN c IN ('CHI', 'DAL', 'HOU', 'MEM', 'MIL', 'MIN', 'NOP', 'OKC', 'SAS') THEN 'America/Chicago' ELSE 'America/New_York' END AS arena_zone,
 CASE c WHEN 'BRK' THEN 'NJN,BKN' WHEN 'OKC' THEN 'SEA' WHEN 'CHA' THEN 'CHO' WHEN 'PHX' THEN 'PHO' ELSE coalesce(c, 'UNK') END AS others FROM m""")
 def team_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,6 +285,40 @@ def book_alternates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return game_books.alternate_rows(game_books.parse(_books(spark, sf_dir).withColumn("game_id", F.col("c_custkey")))).withColumnRenamed("game_id", "c_custkey")
 
 
+@Q.add("""SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN '0022' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') WHEN 1 THEN '0022' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') WHEN 2 THEN 'AB' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') WHEN 3 THEN 'XY' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') WHEN 4 THEN '20240105B' || lpad(CAST(c_custkey % 100 AS VARCHAR), 2, '0') END AS game_id,
+  CASE c_custkey % 6 WHEN 0 THEN 'labelled' WHEN 1 THEN 'digits' WHEN 2 THEN 'game' WHEN 3 THEN 'id' WHEN 4 THEN 'date' END AS pattern FROM customer""")
+def book_id_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids in each way that books give them, with what looks like one before; the pattern that found it."""
+    k = F.col("c_custkey")
+    n = lambda w: F.lpad(k.cast("string"), w, "0")
+    body = F.concat(F.lit("Ref 0012345678 of the book\n"), F.when(k % 6 == 0, F.concat(F.lit("seen 0022999999, Game Number: 0022"), n(6))).when(k % 6 == 1, F.concat(F.lit("no. 0022"), n(6))).when(k % 6 == 2, F.concat(F.lit("Game: AB"), n(7))).when(k % 6 == 3, F.concat(F.lit("ID: XY"), n(7))).when(k % 6 == 4, F.concat(F.lit("on 20240105B"), F.lpad((k % 100).cast("string"), 2, "0"))).otherwise("none"))
+    return table(spark, sf_dir, "customer").select("c_custkey", game_books.found_id(body, "0022").alias("f")).select("c_custkey", F.col("f.value").alias("game_id"), "f.pattern")
+
+
+@Q.add(f"""WITH b AS (SELECT c_custkey AS k, {_name("c_custkey", 2)} AS n2, {_name("c_custkey", 4)} AS n4 FROM customer)
+SELECT k AS c_custkey, n2 AS name, CASE k % 5 WHEN 0 THEN 'section' WHEN 1 THEN 'alternate' WHEN 2 THEN 'standby' WHEN 3 THEN 'backup' ELSE 'substitute' END AS pattern FROM b UNION ALL SELECT k, n4, CASE k % 5 WHEN 0 THEN 'section' ELSE 'substitute' END FROM b WHERE k % 5 IN (0, 2)""")
+def book_standby(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alternates by section or by each word that names one, without the referee who is named again."""
+    k = F.col("c_custkey")
+    word = F.when(k % 5 == 1, "Alternate").when(k % 5 == 2, "Standby").when(k % 5 == 3, "Backups").otherwise("Substitute")
+    other = F.concat(F.lit("Alternate"), F.when(k % 5 == 1, F.concat(F.lit(": "), F.col("n2"))).otherwise(F.concat(F.lit(" - none\n\n"), word, F.lit(": "), F.col("n2"))), F.lit(" -\nstandby: "), F.col("n0"), F.when(k % 5 == 2, F.concat(F.lit(" -\nsubstitute: "), F.col("n4"))).otherwise(""))
+    body = F.concat(F.lit("Crew Chief: "), F.col("n0"), F.lit(" -\n"), F.when(k % 5 == 0, F.concat(F.lit("Alternates:\n"), F.col("n2"), F.lit("\n"), F.col("n4"), F.lit("\n\nEnd"))).when(k % 5 == 1, F.concat(F.lit("1 alternate"), F.col("n2"), F.lit(" -\nstandby: "), F.col("n0"))).otherwise(other))
+    c = table(spark, sf_dir, "customer").select("c_custkey", *[F.expr(_name("c_custkey", a)).alias(f"n{a}") for a in (0, 2, 4)])
+    return c.select("c_custkey", F.explode(game_books.alternates(body, F.array("n0"))).alias("a")).select("c_custkey", "a.name", "a.pattern")
+
+
+@Q.add(f"""WITH b AS (SELECT c_custkey AS k, {_name("c_custkey", 0)} AS n0, {_name("c_custkey", 2)} AS n2, CASE c_custkey % 3 WHEN 0 THEN 'Bears' WHEN 1 THEN 'Lions' ELSE 'Big Hawks' END AS h FROM customer)
+SELECT k AS c_custkey, 5 AS at, 'technicals' AS section, h AS heading, n0 AS player, 'BOS' AS team, CAST(k % 4 + 1 AS INT) AS period, '10:3' || CAST(k % 10 AS VARCHAR) AS clock, 'player' AS kind, 'Arguing a call' AS reason, 'reason' AS pattern FROM b
+UNION ALL SELECT k, 7, 'technicals', 'Wolves', 'Bench Technical', 'NYK', 2, '5:15', 'bench', NULL, 'bench' FROM b WHERE k % 2 = 0 UNION ALL SELECT k, CASE WHEN k % 2 = 0 THEN 9 ELSE 8 END, 'notes', NULL, n2, 'LAL', 3, '8:45', 'player', NULL, 'plain' FROM b""")
+def book_technicals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Technical fouls with the section and team heading that they stand under, their team, clock, kind and reason; one that is told twice counts once."""
+    k = F.col("c_custkey")
+    first = F.concat(F.lit("T1: "), F.col("n0"), F.lit(" (BOS) - 10:3"), (k % 10).cast("string"), F.lit(" Q"), (k % 4 + 1).cast("string"), F.lit("  - Arguing  a call "))
+    lines = [F.lit("OFFICIAL GAME BOOK"), F.lit("Officials:"), F.concat(F.lit("Crew Chief: "), F.col("n0")), F.lit("TECHNICAL FOULS"), F.concat(F.lit("HOME TEAM: "), F.when(k % 3 == 0, "Bears").when(k % 3 == 1, "Lions").otherwise("Big Hawks")), first, F.lit("Away: Wolves"), F.when(k % 2 == 0, "T2: Bench Technical (NYK) - 5:15 Q2"), F.lit("Notes"), F.concat(F.lit("T3: "), F.col("n2"), F.lit(" (LAL) - 8:45 Q3")), F.trim(first), F.lit("Talk (of the) town - 1:00")]
+    c = table(spark, sf_dir, "customer").select("c_custkey", *[F.expr(_name("c_custkey", a)).alias(f"n{a}") for a in (0, 2)])
+    return game_books.technicals(c.select("c_custkey", F.array_join(F.array_compact(F.array(*lines)), "\n").alias("text")))
+
+
 @Q.add("""WITH b AS (SELECT c_custkey AS k, c_custkey % 3 + 1 AS n, least(1.0, (c_custkey % 3 + 1) * 0.3::DOUBLE) AS c, CASE WHEN c_custkey % 4 > 0 THEN 1 WHEN c_custkey % 8 = 0 THEN 0 END AS id, c_custkey % 13 AS p FROM customer),
 q AS (SELECT *, c * 0.4 + CASE WHEN n >= 2 THEN 0.2 ELSE 0.1 END + CASE WHEN p >= 10 THEN 0.2 WHEN p > 0 THEN 0.1 ELSE 0 END + CASE WHEN id = 1 THEN 0.2 ELSE 0 END AS s FROM b)
 SELECT k AS c_custkey, round(c, 6)::DOUBLE AS confidence, round(s, 6)::DOUBLE AS quality_score, CASE WHEN coalesce(id, 0) = 0 OR s < 0.3999999 THEN 'reject' WHEN s >= 0.6999999 THEN 'accept' ELSE 'accept_with_review' END AS recommended_action, CASE WHEN coalesce(id, 0) = 0 THEN 'Missing game_id' ELSE '' END AS errors,

@@ -19,6 +19,84 @@ KEYWORDS = ["referee", "official", "crew", "umpire"]
 ALIASES = {"PLAYER": "player", "NAME": "player", "MIN": "min", "PTS": "pts", "REB": "reb", "TOT": "reb", "AST": "ast", "STL": "stl", "TO": "tov", "TOV": "tov", "PF": "pf", "BS": "blk", "BLK": "blk"}
 
 
+#: Patterns of a game's id in their order, of alternates where no section names them, of a technical foul's line (player, team, time, reason), and heads of sections.
+GAME_IDS = [
+    ("labelled", r"(?i)(?:game\s+id|game\s+number)[:\s]*(\d{10})"),
+    ("digits", r"(\d{10})"),
+    ("game", r"(?i)game[:\s]*([A-Z0-9]{8,12})"),
+    ("id", r"(?i)id[:\s]*([A-Z0-9]{8,12})"),
+    ("date", r"(?i)(\d{8}[A-Z0-9]{2,4})"),
+]
+ALTERNATES = ["alternate", "standby", "backup", "substitute"]
+TECHNICALS = [
+    ("reason", r"(?i)T\d*[:\s]*([A-Z][a-z]+(?:\s+[A-Z][a-z]+)?)\s*\(([A-Z]{3})\)\s*-\s*(\d{1,2}:\d{2}\s*Q\d)\s*-\s*([A-Za-z\s]+?)\s*$"),
+    ("bench", r"(?i)T\d*[:\s]*(Bench\s+Technical)\s*\(([A-Z]{3})\)\s*-\s*(\d{1,2}:\d{2}\s*Q\d)\s*$()"),
+    ("plain", r"(?i)T\d*[:\s]*([A-Z][a-z]+\s+[A-Z][a-z]+)\s*\(([A-Z]{3})\)\s*-\s*(\d{1,2}:\d{2}\s*Q\d)\s*$()"),
+]
+SECTIONS = {
+    "game_info": r"game\s+information|game\s+details",
+    "officials": r"officials?|referees?|crew",
+    "alternates": r"alternates?",
+    "technicals": r"technical(?:\s+foul)?s?",
+    "summary": r"game\s+summary|final\s+score",
+    "notes": r"notes?|comments?",
+}
+
+
+def first_valid(text: Column, patterns: list[tuple[str, str]], valid) -> Column:
+    """struct(value, pattern): the first match of the first pattern that has a valid one, and that pattern's name; null if none has. valid: of a match."""
+    found = [(name, F.filter(F.regexp_extract_all(text, F.lit(p), 1), valid)) for name, p in patterns]
+    return F.coalesce(*[F.when(F.size(v) > 0, F.struct(v[0].alias("value"), F.lit(name).alias("pattern"))) for name, v in found])
+
+
+def found_id(text: Column, prefix: str = "00") -> Column:
+    """The id of a game in its book's text. Ten digits must begin with prefix (0022: regular season only); else 8 to 12 letters and digits count."""
+    return first_valid(text, GAME_IDS, lambda x: F.when(x.rlike(r"^\d{10}$"), x.startswith(prefix)).otherwise(x.rlike("^[A-Za-z0-9]{8,12}$")))
+
+
+def alternates(text: Column, refs: Column) -> Column:
+    """array<struct(name, pattern)> of alternates who are none of refs (names), each once: those of the section, or where it names none, those after
+    the words of ALTERNATES, in the words' order."""
+    names = lambda found: F.filter(F.transform(found, clean_name), lambda n: n.isNotNull())
+    section = names(F.regexp_extract_all(part(text, r"(?is)alternates?[:\s]+(.*?)(?:\n\s*\n|$)", 1), F.lit(rf"({NAME})"), 1))
+    listed = lambda ns, label: F.transform(F.coalesce(ns, F.array().cast("array<string>")), lambda n: F.struct(n.alias("name"), F.lit(label).alias("pattern")))
+    everyone = F.concat(listed(section, "section"), *[listed(names(F.regexp_extract_all(text, F.lit(rf"(?i:{w}s?)[:\s]*({NAME})"), 1)), w) for w in ALTERNATES])
+    # Bound once: what a lambda's variable stands for is worked out one time.
+    others = F.transform(F.array(refs), lambda r: F.filter(everyone, lambda p: ~F.array_contains(r, p["name"])))
+    chosen = F.transform(others, lambda o: F.when(F.exists(o, lambda p: p["pattern"] == "section"), F.filter(o, lambda p: p["pattern"] == "section")).otherwise(o))
+    return once(chosen[0])
+
+
+def scanned(books: DataFrame, text: str = "text") -> DataFrame:
+    """books without the text, with a row for each line (at, line), the section that it stands in and the team heading above it in that section.
+
+    A line that is a section's head opens it until the next head, and a team's heading (HOME TEAM: ..., AWAY: ...) holds until
+    the next one or the section's end: islands of lines of one book, which is what is grouped.
+    """
+    keep = [c for c in books.columns if c != text]
+    book = F.xxhash64(*[F.col(c).cast("string") for c in keep], F.col(text))
+    each = books.select(*keep, book.alias("_book"), F.posexplode(F.split(text, "\n")).alias("at", "line"))
+    head = F.coalesce(*[F.when(F.col("line").rlike(rf"(?i)^\s*(?:{p})\s*:?\s*$"), F.lit(n)) for n, p in SECTIONS.items()])
+    team = F.nullif(F.trim(F.regexp_extract("line", r"(?i)^\s*(?:HOME|AWAY|VISITING|VISITOR)(?:\s+TEAM)?:\s*(.+)$", 1)), F.lit(""))
+    by_book = Window.partitionBy("_book").orderBy("at")
+    marked = each.withColumn("_head", head).withColumn("section", F.last("_head", ignorenulls=True).over(by_book)).withColumn("_island", F.count("_head").over(by_book))
+    return marked.withColumn("heading", F.last(team, ignorenulls=True).over(Window.partitionBy("_book", "_island").orderBy("at"))).drop("_book", "_head", "_island")
+
+
+def technicals(books: DataFrame, text: str = "text") -> DataFrame:
+    """books without the text, with a row for each technical foul: at, section and heading that it stands under, player, team, period, clock, kind (bench or player), reason and the pattern that told it.
+    A line that repeats in a book counts once, where it stands first."""
+    keep = [c for c in books.columns if c != text]
+    lines = scanned(books, text)
+    group = lambda p, k: F.nullif(F.trim(F.regexp_replace(F.regexp_extract("line", p, k), r"\s+", " ")), F.lit(""))
+    told = F.coalesce(*[F.when(F.col("line").rlike(p), F.struct(*[group(p, k + 1).alias(n) for k, n in enumerate(("player", "team", "time", "reason"))], F.lit(name).alias("pattern"))) for name, p in TECHNICALS])
+    fouls = lines.withColumn("f", told).where("f is not null").withColumn("raw", F.trim("line"))
+    nth = F.row_number().over(Window.partitionBy(*keep, "raw").orderBy("at"))
+    clock, period = F.regexp_extract("f.time", r"^(\d{1,2}:\d{2})", 1), F.regexp_extract("f.time", r"(\d)$", 1).cast("int")
+    kind = F.when(F.lower("f.player").startswith("bench"), "bench").otherwise("player")
+    return fouls.withColumn("nth", nth).where("nth = 1").select(*keep, "at", "section", "heading", "f.player", "f.team", period.alias("period"), clock.alias("clock"), kind.alias("kind"), "f.reason", "f.pattern")
+
+
 def clean_name(name: Column) -> Column:
     """Capitalised words of a plausible name: two words at least, none twice, 3 to 50 characters."""
     t = F.trim(F.regexp_replace(name, r"[^\w\s.]", ""))
@@ -40,20 +118,22 @@ def officials(text: Column) -> Column:
 
 def once(people: Column) -> Column:
     """The first entry of each name."""
-    real = F.filter(people, lambda p: p["name"].isNotNull())
-    return F.filter(real, lambda p, i: F.array_position(F.transform(real, lambda q: q["name"]), p["name"]) == i + 1)
+    real = F.transform(F.array(people), lambda ps: F.filter(ps, lambda p: p["name"].isNotNull()))
+    return F.transform(real, lambda ps: F.filter(ps, lambda p, i: F.array_position(F.transform(ps, lambda q: q["name"]), p["name"]) == i + 1))[0]
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df behind a Generate of one row, so that long expressions of its columns aren't repeated wherever later columns use them."""
+    return df.select(F.inline(F.array(F.struct("*"))))
 
 
 def parse(books: DataFrame, text: str = "text") -> DataFrame:
     """books with game_id_found, refs, alternates, technical_fouls, arena, teams and parsing_confidence."""
     t = F.col(text)
     refs = officials(t)
-    ids = F.filter(F.regexp_extract_all(t, F.lit(r"\b(\d{10})\b"), 1), lambda x: x.startswith("00"))
-    section = part(t, r"(?is)alternates?[:\s]+(.*?)(?:\n\s*\n|$)", 1)
-    alternates = F.filter(F.transform(F.regexp_extract_all(section, F.lit(rf"({NAME})"), 1), clean_name), lambda x: x.isNotNull())
     technicals = F.regexp_extract_all(t, F.lit(rf"(?i:technical\s+foul)[:\s-]*({NAME})"), 1)
-    out = books.withColumn("game_id_found", F.get(ids, F.lit(0))).withColumn("refs", refs)
-    out = out.withColumn("alternates", F.array_except(F.coalesce(alternates, F.array().cast("array<string>")), F.transform("refs", lambda r: r["name"])))
+    out = settled(books.withColumn("game_id_found", found_id(t)["value"]).withColumn("refs", refs))
+    out = out.withColumn("alternates", F.transform(alternates(t, F.transform("refs", lambda r: r["name"])), lambda x: x["name"]))
     by_role = F.col("refs")[0]["role"].isNotNull() & ~F.forall("refs", lambda r: r["role"] == "OFFICIAL")
     confidence = F.least(F.lit(1.0), F.size("refs") * F.when(by_role, 0.3).otherwise(0.2))
     return out.withColumn("technical_fouls", F.transform(technicals, clean_name)).withColumn("arena", F.trim(part(t, r"(?i)arena[:\s]+([^\n,]+)", 1))).withColumn("teams", F.struct(part(t, r"(?i)home(?: team)?[:\s]+([^\n]+)", 1).alias("home"), part(t, r"(?i)(?:visitor|away)(?: team)?[:\s]+([^\n]+)", 1).alias("away"))).withColumn("parsing_confidence", confidence)
