@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ..functions import text
+from ..sinks.places import work_folder
 
 
 @F.pandas_udf(DoubleType())
@@ -50,27 +53,78 @@ def _ratio(x: str, y: str) -> float:
     return 200.0 * (len(x) - row.bit_count()) / (len(x) + len(y))
 
 
+#: Scores that names are looked for with first: the higher the score, the fewer grams two names must be compared for.
+STAGES = (97.0, 93.0, 89.0)
+
+
+def ordered_grams(names: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(name, low, grams) and (known, low, grams): each different name in lower case, and its different character pairs, those that fewest names have first."""
+    def keyed(d: DataFrame, c: str) -> DataFrame:
+        low = F.lower(c)
+        pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.length(low) - 1, F.lit(1))), lambda i: F.substr(low, i, F.lit(2)))
+        return d.select(c).where(F.col(c).isNotNull()).distinct().select(c, low.alias("low"), F.array_distinct(F.when(F.length(low) < 2, F.array(low)).otherwise(pairs)).alias("g"))
+
+    a, b = keyed(names, "name"), keyed(known, "known")
+    seen = a.select(F.explode("g").alias("gram")).unionAll(b.select(F.explode("g").alias("gram"))).groupBy("gram").agg(F.count("*").alias("n"))
+    def ranked(d: DataFrame, c: str) -> DataFrame:
+        each = d.select(c, "low", F.explode("g").alias("gram")).join(seen, "gram").groupBy(c, "low").agg(F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("r"))
+        return each.select(c, "low", F.transform("r", lambda x: x["gram"]).alias("grams"))
+    return ranked(a, "name"), ranked(b, "known")
+
+
+def least_shared(grams: Column, own: Column, other: Column, least: float) -> Column:
+    """How many of a name's grams a name of length other must share with it for a score of least: each letter without a partner breaks two of the name's
+    own pairs, or one where the other name has it in between; and two letters that stand together in both are never all broken."""
+    common = F.ceil(F.lit(least) * (own + other) / 200.0)
+    return F.greatest(F.lit(1), grams - (2 * own + other - 3 * common)).cast("int")
+
+
+def candidates(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
+    """Pairs (name, known, low, known_low) of ordered_grams() that may have a score of least: those that share enough grams for their lengths.
+
+    For each length that the other may have, a name is filed under its rarest grams only: of enough shared grams the rarest
+    is among them on either side. So two names meet by rare grams, and grams that all names have bring none together.
+    """
+    def filed(d: DataFrame, c: str, mine: str, theirs: str) -> DataFrame:
+        n = F.length("low")
+        lengths = F.sequence(F.ceil(n * F.lit(least) / (200.0 - least)).cast("int"), F.floor(n * (200.0 - least) / F.lit(least)).cast("int"))
+        each = d.select(c, F.col("low").alias(f"{c}_low"), F.col("grams").alias(f"{c}_grams"), n.alias(mine), F.explode(lengths).alias(theirs))
+        first = F.slice(f"{c}_grams", F.lit(1), F.greatest(F.lit(1), F.size(f"{c}_grams") - least_shared(F.size(f"{c}_grams"), F.col(mine), F.col(theirs), least) + 1))
+        return each.withColumn("gram", F.explode(first))
+
+    left, right = filed(a, "name", "la", "lb"), filed(b, "known", "lb", "la")
+    met = left.join(right, ["gram", "la", "lb"])
+    shared = F.size(F.array_intersect("name_grams", "known_grams"))
+    enough = (shared >= least_shared(F.size("name_grams"), F.col("la"), F.col("lb"), least)) & (shared >= least_shared(F.size("known_grams"), F.col("lb"), F.col("la"), least))
+    # Letters that the other name lacks have no partner either.
+    held = lambda x, y: F.expr(f"length({x}) - length(translate({x}, {y}, ''))")
+    enough &= F.least(held("name_low", "known_low"), held("known_low", "name_low")) >= F.ceil(F.lit(least) * (F.col("la") + F.col("lb")) / 200.0)
+    return met.where(enough).select("name", "known", F.col("name_low").alias("low"), "known_low").distinct()
+
+
 def fuzzy_match(names: DataFrame, known: DataFrame, least: float = 85.0) -> DataFrame:
     """(name, match, score): the best known name, case ignored, of score least or more; of equals the first in order.
 
-    Names meet by common character pairs instead of all with all. A score of least or more bounds the lengths' ratio and
-    the letters without a partner; each of those breaks two of the name's pairs at most, which tells how many pairs the
-    two must share at least. Only then the score is worked out.
+    High scores are looked for first (STAGES); names that have found one are done, since all names of such a score were found.
+    Each stage is written below the session's checkpoint folder.
     """
-    def keyed(d: DataFrame, c: str) -> DataFrame:
-        low = F.lower(c)
-        grams = F.when(F.length(low) < 2, F.array(low)).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(F.length(low) - 1, F.lit(1))), lambda i: F.substr(low, i, F.lit(2))))
-        grams = F.array_distinct(grams)
-        return d.select(c, F.size(grams).alias(f"{c}_grams"), F.explode(grams).alias("gram"))
-
-    a, b = keyed(names.select(F.col("name")).distinct(), "name"), keyed(known.select(F.col("known")).distinct(), "known")
-    la, lb = F.length("name"), F.length("known")
-    sized = 200.0 * F.least(la, lb) >= least * (la + lb)
-    pairs = a.join(b.drop("known_grams"), "gram").where(sized).groupBy("name", "known", "name_grams").agg(F.count("*").alias("shared"))
-    common = F.ceil(least * (la + lb) / 200.0)
-    pairs = pairs.where(F.col("shared") >= F.col("name_grams") - (2 * la + lb - 3 * common)).withColumn("score", ratio(F.lower("name"), F.lower("known"))).where(F.col("score") >= least)
-    best = Window.partitionBy("name").orderBy(F.desc("score"), "known")
-    return pairs.withColumn("nth", F.row_number().over(best)).where("nth = 1").select("name", F.col("known").alias("match"), "score")
+    spark, root = names.sparkSession, work_folder(names.sparkSession, "fuzzy")
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{root}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{root}/{name}")
+
+    a, b = ordered_grams(names.select("name"), known.select("known"))
+    a, b, found = kept(a, "names"), kept(b, "known"), []
+    for k, stage in enumerate([s for s in STAGES if s > least] + [least]):
+        scored = candidates(a, b, stage).withColumn("score", ratio("low", "known_low")).where(F.col("score") >= stage)
+        best = Window.partitionBy("name").orderBy(F.desc("score"), "known")
+        hits = kept(scored.withColumn("nth", F.row_number().over(best)).where("nth = 1").select("name", F.col("known").alias("match"), "score"), f"stage-{k}")
+        found.append(hits)
+        a = a.join(hits.select("name"), "name", "left_anti")
+        if a.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, found)
 
 
 def resolve_aliases(rows: DataFrame, column: str, aliases: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.dates import season_from_game_id
+
 #: Ids that a report shows at most, in order.
 SHOWN = 10
 #: Thresholds of the quality report and of a complete game.
@@ -127,6 +129,43 @@ def health(events: DataFrame, thin: int) -> DataFrame:
     return one.select(F.inline(F.array(*[F.struct(F.lit(k).alias("check"), F.col(k).alias("n")) for k in figures])))
 
 
+def health_suite(events: DataFrame, by_game: list[str], thin: int = 300, dense: int = 700, starters: int = 5) -> DataFrame:
+    """dimension, value and the suite's figures: for all events, by each column of by_game (one value a game, such as its day or status), by game and by team.
+
+    n_games, n_events; thin_games and dense_games (under or over so many events); repeated (game and index pairs that occur again), no_team, no_clock, n_shots,
+    no_place (shots without coordinates), bad_ids (events of ids that are none), other_season (events whose season isn't the id's), no_season; bad_lineups
+    (a game's teams that don't have as many players as starters in the first period); clock_pct and place_pct, null without events or shots.
+
+    One scan and two exchanges: events meet by game, and all that needs a whole game, which is bounded, is worked out there;
+    what is left, a row for each game and team, is dealt to all dimensions at once by grouping sets.
+    """
+    shot = F.col("event_type").isin("SHOT_MADE", "SHOT_MISSED")
+    bad = ~F.coalesce(F.col("game_id").rlike(r"^\d{10}$"), F.lit(False))
+    own = season_from_game_id(F.col("game_id"))
+    known = F.coalesce(F.col("season"), F.lit("UNKNOWN")) != "UNKNOWN"
+    counts = {
+        "n_events": F.lit(True), "repeated": F.col("nth") == 2, "no_team": F.col("team_tricode").isNull(), "no_clock": F.col("seconds_elapsed").isNull(), "n_shots": shot,
+        "no_place": shot & (F.col("shot_x").isNull() | F.col("shot_y").isNull()), "bad_ids": bad, "other_season": known & (F.col("season") != own), "no_season": ~known,
+    }
+    met = events.repartition("game_id").withColumn("nth", F.row_number().over(Window.partitionBy("game_id", "event_idx").orderBy("event_idx")))
+    players = F.size(F.collect_set(F.when(F.col("period") == 1, F.col("player1_name_slug"))))
+    teams = met.groupBy("game_id", *by_game, "team_tricode").agg(*[F.count_if(c).alias(n) for n, c in counts.items()], players.alias("players"))
+    game = Window.partitionBy("game_id")
+    teams = teams.withColumn("in_game", F.sum("n_events").over(game)).withColumn("first", F.row_number().over(game.orderBy(F.asc_nulls_first("team_tricode"))) == 1)
+    named = F.col("team_tricode").isNotNull()
+    figures = {n: F.sum(n) for n in counts} | {"bad_lineups": F.count_if(named & (F.col("players") != starters))}
+    dimensions = [*by_game, "game_id", "team_tricode"]
+    # A game counts once, with its first row, and once with each of its teams.
+    by_team = F.grouping("team_tricode") == 0
+    once = lambda c: F.when(by_team, F.count_if(c)).otherwise(F.count_if(F.col("first") & c))
+    figures |= {"n_games": once(F.lit(True)), "thin_games": once(F.col("in_game") < thin), "dense_games": once(F.col("in_game") > dense)}
+    which = F.coalesce(*[F.when(F.grouping(d) == 0, F.lit(d)) for d in dimensions], F.lit("all"))
+    value = F.coalesce(*[F.when(F.grouping(d) == 0, F.col(d).cast("string")) for d in dimensions])
+    out = teams.groupingSets([[], *[[d] for d in dimensions]], *dimensions).agg(which.alias("dimension"), value.alias("value"), *[v.alias(n) for n, v in figures.items()])
+    pct = lambda missing, of: 100.0 * F.try_divide((F.col(of) - F.col(missing)).cast("double"), F.col(of).cast("double"))
+    return out.where("n_events > 0").select("dimension", "value", *figures, pct("no_clock", "n_events").alias("clock_pct"), pct("no_place", "n_shots").alias("place_pct"))
+
+
 def density(events: DataFrame, low: int, high: int) -> DataFrame:
     """game_id and n_events of games with under low or over high events, and which."""
     n = events.groupBy("game_id").agg(F.count("*").alias("n_events"))

@@ -98,9 +98,30 @@ def health_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity.health(events(spark, sf_dir), 70)
 
 
-@Q.add("""SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n_games FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1996-12-31' GROUP BY 1""")
+@Q.add("""SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n_games FROM orders GROUP BY 1""")
 def health_games_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").where("o_orderdate between timestamp'1996-01-01' and timestamp'1996-12-31'").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("n_games"))
+    return table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("n_games"))
+
+
+_figures = """count(*) AS n_events, count(*) FILTER (nth = 2) AS repeated, count(*) FILTER (team_tricode IS NULL) AS no_team, count(*) FILTER (seconds_elapsed IS NULL) AS no_clock, count(*) FILTER (shot) AS n_shots, count(*) FILTER (shot AND shot_x IS NULL) AS no_place, 0 AS bad_ids,
+  count(*) FILTER (season NOT IN ('2023-24', 'UNKNOWN')) AS other_season, count(*) FILTER (season IS NULL OR season = 'UNKNOWN') AS no_season"""
+_sides = "(SELECT game_id, day, status, team_tricode, count(DISTINCT player1_name_slug) FILTER (period = 1) AS players FROM s WHERE team_tricode IS NOT NULL GROUP BY 1, 2, 3, 4)"
+_sizes = "(SELECT game_id, day, status, count(*) AS n FROM s GROUP BY 1, 2, 3)"
+_part = lambda name, key: f"""SELECT '{name}' AS dimension, f.value, f.* EXCLUDE (value), (SELECT count(*) FROM {_sides} x WHERE x.players <> 5 AND {key.format('x')}) AS bad_lineups, (SELECT count(*) FROM {_sizes} z WHERE {key.format('z')}) AS n_games, (SELECT count(*) FROM {_sizes} z WHERE z.n < 60 AND {key.format('z')}) AS thin_games, (SELECT count(*) FROM {_sizes} z WHERE z.n > 70 AND {key.format('z')}) AS dense_games"""
+
+
+@Q.add(f"""WITH {E_SQL}, d AS (SELECT *, CAST(right(game_id, 5) AS INT) AS u FROM e), s AS (SELECT *, DATE '2024-01-01' + u % 30 AS day, CASE u % 3 WHEN 0 THEN 'FINAL' WHEN 1 THEN 'LIVE' ELSE 'Final' END AS status, CASE u % 5 WHEN 0 THEN '2022-23' WHEN 1 THEN 'UNKNOWN' WHEN 2 THEN NULL ELSE '2023-24' END AS season, event_type IN ('SHOT_MADE', 'SHOT_MISSED') AS shot,
+  row_number() OVER (PARTITION BY game_id, event_idx ORDER BY event_idx) AS nth FROM d),
+t AS (SELECT team_tricode AS value, {_figures} FROM s GROUP BY 1), n AS (SELECT game_id, count(*) AS n FROM s GROUP BY 1), tg AS (SELECT DISTINCT game_id, team_tricode FROM s)
+{_part("all", "true")} FROM (SELECT NULL AS value, {_figures} FROM s) f UNION ALL {_part("day", "CAST({}.day AS VARCHAR) = f.value")} FROM (SELECT CAST(day AS VARCHAR) AS value, {_figures} FROM s GROUP BY 1) f
+UNION ALL {_part("status", "{}.status = f.value")} FROM (SELECT status AS value, {_figures} FROM s GROUP BY 1) f UNION ALL {_part("game_id", "{}.game_id = f.value")} FROM (SELECT game_id AS value, {_figures} FROM s GROUP BY 1) f
+UNION ALL SELECT 'team_tricode', t.value, t.* EXCLUDE (value), (SELECT count(*) FROM {_sides} x WHERE x.players <> 5 AND x.team_tricode = t.value), (SELECT count(*) FROM tg WHERE tg.team_tricode IS NOT DISTINCT FROM t.value), (SELECT count(*) FROM tg JOIN n USING (game_id) WHERE n.n < 60 AND tg.team_tricode IS NOT DISTINCT FROM t.value), (SELECT count(*) FROM tg JOIN n USING (game_id) WHERE n.n > 70 AND tg.team_tricode IS NOT DISTINCT FROM t.value) FROM t""")
+def health_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every check's figures by day, status, game and team. Games of two statuses and seasons of three kinds; some casings and seasons are wrong on purpose."""
+    u = F.substring("game_id", 6, 5).cast("int")
+    e = events(spark, sf_dir).withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), u % 30)).withColumn("status", F.when(u % 3 == 0, "FINAL").when(u % 3 == 1, "LIVE").otherwise("Final"))
+    e = e.withColumn("season", F.when(u % 5 == 0, "2022-23").when(u % 5 == 1, "UNKNOWN").when(u % 5 > 2, "2023-24"))
+    return integrity.health_suite(e, ["day", "status"], 60, 70).drop("clock_pct", "place_pct")
 
 
 @Q.add(f"""WITH {E_SQL}, c AS (SELECT game_id, round(100.0 * count(seconds_elapsed) / count(*), 2)::DOUBLE AS coverage_pct, count(*) AS n_events FROM e GROUP BY 1) SELECT * FROM c ORDER BY coverage_pct, n_events DESC, game_id LIMIT 20""")
