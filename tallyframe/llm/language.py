@@ -2,7 +2,7 @@
 
 Features are frequencies of hashed byte n-grams of the lower-cased whole text, so a text's score is the mean of its
 n-grams' weights. The models learn from a sample of documents with a label, drawn evenly from the languages by a hash of
-the id: at most SAMPLE, or EACH of a language where there are too many for that; no language is left out. Each machine
+id and text: at most SAMPLE, or EACH of a language where there are too many for that; no language is left out. Each machine
 learns in a task of its own from the rows that it separates; only weights reach the driver. Every text is scored.
 
 recognised() drops documents whose text can't be told to be in one of the wanted languages: without a letter, predicted as
@@ -10,7 +10,7 @@ another, or too unsure (score under LEAST; an even chance in both steps scores 0
 
 Defined cases: null texts and texts without a letter are `und` with score 1; with no labelled document all are `und`;
 a language of no known family is a family of its own; of equal margins the first language in the alphabet wins; rows that
-repeat are each predicted, and each learnt from if drawn; other columns are ignored.
+repeat are each predicted, but learnt from once; rows without an id are learnt from like others; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -144,26 +144,49 @@ def has_letter() -> Column:
 
 
 def sampled(docs: DataFrame, sample: int = SAMPLE, each: int = EACH) -> tuple[list[str], DataFrame]:
-    """The labels of documents that are not held out, and doc_id, lang, x (frequencies) of those drawn from each."""
-    known = docs.where(~held_out() & F.col("lang").isNotNull() & has_letter())
+    """The labels of documents that are not held out, and lang, mark, x (frequencies) of those drawn from each, written to the shared folder.
+
+    mark is a hash of id and text that draws; rows that agree in both and in the label are drawn once. A language of which
+    that gives fewer than each rows gives those of its least marks.
+    """
+    mark = F.xxhash64("doc_id", "text", F.lit(9))
+    known = docs.where(~held_out() & F.col("lang").isNotNull() & has_letter()).select("lang", mark.alias("mark"), "text")
     counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    each = max(each, sample // max(1, len(counts)))
-    rate = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, 1.3 * each / n))]) if counts else None
-    drawn = known.where(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 20)) < rate[F.col("lang")] * (1 << 20)) if counts else known.limit(0)
+    if not counts:
+        return [], known.limit(0).select("lang", "mark", F.lit(None).cast("binary").alias("x"))
+    least, each = each, max(each, sample // len(counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in (x for whole in batches for x in slices(whole, 2)):
-            x = [frequencies(t.as_py().encode()).tobytes() for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.string()), pa.array(x, pa.binary())], ["doc_id", "lang", "x"])
-
-    rows = arrow.in_small_batches(drawn).select("doc_id", "lang", "text").mapInArrow(arrow.task(run), "doc_id long, lang string, x binary")
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id", "x"))
+            rows = []
+            for i, at in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                if at not in seen:
+                    seen.add(at)
+                    rows.append(i)
+            own = batch.take(pa.array(rows, pa.int64()))
+            x = [frequencies(t.as_py().encode()).tobytes() for t in own.column(2)]
+            yield pa.RecordBatch.from_arrays([own.column(0).cast(pa.string()), own.column(1), pa.array(x, pa.binary())], ["lang", "mark", "x"])
+
+    def drawn(most: dict[str, int]) -> DataFrame:
+        """Of the languages in most, each once: rows whose mark is under the language's bound, as a number from -2**63."""
+        bound = F.create_map(*[F.lit(v) for lang, m in most.items() for v in (lang, m)])
+        some = known.where(F.col("mark") <= F.try_element_at(bound, F.col("lang")))
+        return stash(arrow.in_small_batches(some).mapInArrow(arrow.task(run), "lang string, mark long, x binary").dropDuplicates(["lang", "mark"]))
+
+    rows = drawn({lang: min(2**63 - 1, int(min(1.0, 1.3 * each / n) * 2**64) - 2**63) for lang, n in counts.items()})
+    got = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    few = [lang for lang, n in counts.items() if got.get(lang, 0) < min(least, n)]
+    if few:
+        ends = {lang: [r.mark for r in known.where(F.col("lang") == lang).select("mark").distinct().orderBy("mark").limit(each).collect()][-1] for lang in few}
+        rows = rows.where(~F.col("lang").isin(few)).unionByName(drawn(ends))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("mark"))
     return sorted(counts), rows.withColumn("nth", nth).where(F.col("nth") <= each).drop("nth")
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE, each: int = EACH) -> Model | None:
     """The model of the labelled documents of docs (doc_id, text, lang) that are not held out."""
-    languages, rows = sampled(docs, sample, each)
+    languages, rows = sampled(docs.select("doc_id", "text", "lang"), sample, each)
     if not languages:
         return None
     tasks = problems(languages)
@@ -172,7 +195,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE, each: int = EACH) -> Model | No
 
     def fit(rows: pa.Table) -> pa.Table:
         problem = rows.column("problem")[0].as_py()
-        order = np.lexsort((rows.column("tie").to_numpy(), rows.column("doc_id").to_numpy()))
+        order = np.argsort(rows.column("mark").to_numpy(), kind="stable")
         y = rows.column("side").to_numpy()[order].astype(np.float64)
         # Each row goes from its Arrow buffer to its place, so that the sample is held twice at most.
         place, x, at = np.argsort(order), np.empty((len(order), FEATURES), np.float32), 0
@@ -185,9 +208,11 @@ def learn(docs: DataFrame, sample: int = SAMPLE, each: int = EACH) -> Model | No
         return pa.table({"problem": pa.array([problem], pa.int32()), "w": pa.array([w.astype(np.float32).tobytes()], pa.binary()), "b": pa.array([b], pa.float64())})
 
     sides = [(k, lang, side) for k, task in enumerate(tasks) for side, langs in zip((1, -1), task, strict=True) for lang in langs]
-    dealt = stash(rows.where("doc_id is not null")).withColumn("tie", F.xxhash64("x")).join(F.broadcast(docs.sparkSession.createDataFrame(sides, "problem int, lang string, side int")), "lang")
-    done = sorted(dealt.groupBy("problem").applyInArrow(arrow.group(fit), "problem int, w binary, b double").collect(), key=lambda r: r.problem)
-    return Model(languages, np.array([np.frombuffer(r.w, np.float32) for r in done]), np.array([r.b for r in done]))
+    dealt = rows.join(F.broadcast(docs.sparkSession.createDataFrame(sides, "problem int, lang string, side int")), "lang")
+    weights, biases = np.zeros((len(tasks), FEATURES), np.float32), np.zeros(len(tasks))
+    for r in dealt.groupBy("problem").applyInArrow(arrow.group(fit), "problem int, w binary, b double").collect():
+        weights[r.problem], biases[r.problem] = np.frombuffer(r.w, np.float32), r.b
+    return Model(languages, weights, biases)
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
