@@ -166,14 +166,14 @@ def held_out() -> Column:
 
 def sampled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, toxic, text of at most sample labelled documents of each kind that are not held out."""
-    known = labels.where(~held_out() & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = labels.select("doc_id", "toxic").where(~held_out() & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(counts) < 2:
         return known.limit(0).withColumn("text", F.lit(""))
     rate = F.create_map(*[F.lit(v) for t, n in counts.items() for v in (t, min(1.0, sample / n))])
     drawn = known.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < rate[F.col("toxic")] * (1 << 20))
     drawn = drawn.orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * sample)
-    met = docs.join(F.broadcast(drawn), "doc_id").select("doc_id", "toxic", F.coalesce("text", F.lit("")).alias("text"))
+    met = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("doc_id", "toxic", F.coalesce("text", F.lit("")).alias("text"))
     nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
     return met.withColumn("nth", nth).where("nth = 1").drop("nth")
 
