@@ -73,10 +73,10 @@ class MergeIndex:
         return self.read().where("rows > 1").select("digest", F.col("best.doc_id").alias("keep_id"), F.col("rows").alias("group_size"))
 
     def close(self) -> None:
-        """Remove the last level; what was read from it must be stashed."""
-        name, path = self._place(self.level)
-        self.spark.sql(f"DROP TABLE {name}")
-        delete(self.spark, path)
+        """Remove what there is of the index, also after a failure; what was read from it must be stashed."""
+        for level in range(self.level + 2):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._place(level)[0]}")
+        delete(self.spark, self.path)
 
 
 def exact_dedup(docs: DataFrame, memtable_rows: int = MEMTABLE_ROWS, fan_out: int = FAN_OUT, digest=lambda text: F.sha2(text, 256)) -> DataFrame:
@@ -85,10 +85,12 @@ def exact_dedup(docs: DataFrame, memtable_rows: int = MEMTABLE_ROWS, fan_out: in
     body = normalised(F.col("text"))
     keyed = stash(docs.select("doc_id", F.length(F.coalesce("text", F.lit(""))).alias("n_chars"), digest(body).alias("digest"), F.sha2(body, 256).alias("text_sha256")))
     index = MergeIndex(spark, memtable_rows=memtable_rows, fan_out=fan_out)
-    index.flush(keyed)
-    index.compact()
-    hits = stash(index.hits())
-    index.close()
+    try:
+        index.flush(keyed)
+        index.compact()
+        hits = stash(index.hits())
+    finally:
+        index.close()
     looked_up = marked(keyed, F.col("digest"), key_filter(hits, F.col("digest")), "maybe")
     met = join_counted(looked_up.where("maybe").drop("maybe"), hits.withColumn("n", F.col("group_size")), "digest", "n", index.rows, "left")
     alone = looked_up.where("not maybe").drop("maybe").withColumn("keep_id", F.lit(None).cast(docs.schema["doc_id"].dataType)).withColumn("group_size", F.lit(None).cast("long"))
