@@ -215,6 +215,8 @@ class LineIndex:
 
     def lookup(self, docs: DataFrame) -> Filters | None:
         """Filters with the exceptions that docs need, or None if they are too large to be sent to every task."""
+        if not self.filters:
+            return Filters(1, {})
         size = self._filters().agg(F.sum(F.length("slots"))).first()[0] or 0
         if size > self.filter_bytes:
             return None

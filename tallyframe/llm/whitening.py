@@ -191,7 +191,7 @@ def identity_error(codes: DataFrame, model: Fit) -> float:
     sums = codes.select("code").mapInArrow(arrow.task(run), "at int, part double").groupBy("at").agg(F.sum("part").alias("part")).collect()
     got = np.zeros(len(live) ** 2)
     got[[r["at"] for r in sums]] = [r.part for r in sums]
-    return float(np.abs(got.reshape(len(live), -1) / model.n - np.eye(len(live))).max(initial=0))
+    return float(np.abs(got.reshape(len(live), len(live)) / model.n - np.eye(len(live))).max(initial=0))
 
 
 def whiten(vectors: DataFrame, model: Fit, error: float) -> DataFrame:

@@ -4,12 +4,13 @@ import pytest
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 SF = "/root/testdata/sf0.001"
+CLASHING = ["toxic", "quality", "nth", "letter", "problem", "side", "x", "word", "n", "class", "mark", "term", "postings", "score", "rank", "row", "docs", "shard", "held_out", "keep_id"]
 
 
 def frame(spark, rows, parts=3):
     """Documents (doc_id, text) with columns whose names the operators use themselves."""
-    full = [(i, t, None, None, None if t is None else len(t), f"r{k}", k, k % 2) for k, (i, t) in enumerate(rows)]
-    return spark.createDataFrame(full, DOCS + ", node string, root long, digest int").repartition(parts)
+    full = [(i, t, None, None, None if t is None else len(t), f"r{k}", k, k % 2, *[k % 3] * len(CLASHING)) for k, (i, t) in enumerate(rows)]
+    return spark.createDataFrame(full, DOCS + ", node string, root long, digest int" + "".join(f", {c} int" for c in CLASHING)).repartition(parts)
 
 
 def prose(seed, n_words):

@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tallyframe.llm import language, toxicity
 from tests.llm.conftest import frame
@@ -192,3 +193,52 @@ def test_string_kernel():
     want = np.array([[brute(a, b) for b in words] for a in words])
     assert np.abs(k - want).max() < 0.02
     assert k[0, 1] > 0.5 > k[0, 2]
+
+
+def labelled(spark, rows):
+    """Documents (doc_id, text, lang)."""
+    return frame(spark, [(i, t) for i, t, _ in rows]).drop("lang").join(spark.createDataFrame([(t, x) for t, x in {(t, x) for _, t, x in rows}], "text string, lang string"), "text")
+
+
+def texts_in(k, words):
+    return [f"{words[i % len(words)]} {words[(i * 3 + 1) % len(words)]} {words[(i * 7 + 2) % len(words)]} {words[(i * i + 3) % len(words)]} {i}" for i in range(k)]
+
+
+EN, DE = ["the", "with", "which", "there", "should", "they", "though"], ["und", "nicht", "auch", "über", "schön", "zwischen", "würde"]
+FR, ES = ["était", "avec", "vous", "leçon", "toujours", "jamais", "chaque"], ["señor", "mañana", "pero", "también", "siempre", "nunca", "cuando"]
+
+
+def right(spark, rows, **size):
+    got = {r.text: r.lang_pred for r in language.predict(labelled(spark, rows).withColumn("doc_id", F.xxhash64("text")), language.learn(labelled(spark, rows), **size)).join(labelled(spark, rows).select(F.xxhash64("text").alias("doc_id"), "text").distinct(), "doc_id").collect()}
+    return np.mean([got[t] == x for _, t, x in rows])
+
+
+def test_language_without_ids(spark):
+    assert right(spark, [(None, t, "en") for t in texts_in(20, EN)] + [(None, t, "de") for t in texts_in(20, DE)]) > 0.9
+
+
+def test_language_some_without_ids(spark):
+    ids = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(ids[k], t, "en") for k, t in enumerate(texts_in(40, EN))] + [(ids[100 + k], t, "de") for k, t in enumerate(texts_in(40, DE))]
+    rows += [(None, t, "fr") for t in texts_in(20, FR)] + [(None, t, "es") for t in texts_in(20, ES)]
+    assert right(spark, rows) > 0.9
+
+
+def test_language_repeated_ids(spark):
+    for a, b in ((3, 4), (6, 8)):
+        assert right(spark, [(a, t, "en") for t in texts_in(200, EN)] + [(b, t, "de") for t in texts_in(200, DE)], sample=40) > 0.9
+
+
+def test_language_one_text(spark):
+    """Copies are learnt from once, and a language whose rows are all equal isn't lost."""
+    rows = [(None, " ".join(EN), "en")] * 50 + [(3, " ".join(DE), "de")] * 400 + [(None, t, "fr") for t in texts_in(50, FR)]
+    languages, drawn = language.sampled(labelled(spark, rows).select("doc_id", "text", "lang"), 60, 5)
+    assert languages == ["de", "en", "fr"] and {r.lang for r in drawn.collect()} == set(languages)
+    assert right(spark, rows, sample=60, each=5) > 0.9
+
+
+def test_toxicity_clashing_columns(spark):
+    docs = frame(spark, [(i, f"you are a {'zorgblat' if i % 3 == 0 else 'fine'} reader, number {i}. Have a day.") for i in range(90)])
+    labels = spark.createDataFrame([(i, int(i % 3 == 0), 1) for i in range(90)], "doc_id long, toxic int, text int")
+    got = toxicity.score(docs, toxicity.learn(docs, labels)).collect()
+    assert len(got) == 90 and np.mean([r.predicted == (r.doc_id % 3 == 0) for r in got]) > 0.9
