@@ -57,10 +57,12 @@ def split_score(score: Column) -> Column:
 
 
 def split_matchup(text: Column) -> Column:
-    """struct(home, away): 'A @ B' is played at B, 'A vs. B' and 'A v B' at A."""
-    left, right = part(text, r"^(\w+) (?:@|vs\.|v) (\w+)$", 1), part(text, r"^(\w+) (?:@|vs\.|v) (\w+)$", 2)
-    at = text.contains(" @ ")
-    return F.struct(F.when(at, right).otherwise(left).alias("home"), F.when(at, left).otherwise(right).alias("away"))
+    """struct(home, away): 'A @ B' is played at B, 'A vs. B' and 'A v B' at A; names of any length, cut at the first of these in that order."""
+    cut = [(F.instr(text, mark), len(mark), mark == " @ ") for mark in (" @ ", " vs. ", " v ")]
+    left = F.coalesce(*[F.when(at > 0, F.trim(F.substr(text, F.lit(1), at - 1))) for at, _, _ in cut])
+    right = F.coalesce(*[F.when(at > 0, F.trim(F.substr(text, at + n))) for at, n, _ in cut])
+    away_first = F.coalesce(F.instr(text, " @ ") > 0, F.lit(False))
+    return F.struct(F.when(away_first, right).otherwise(left).alias("home"), F.when(away_first, left).otherwise(right).alias("away"))
 
 
 def shot_value(event_type: Column, description: Column) -> Column:

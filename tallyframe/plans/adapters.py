@@ -36,12 +36,12 @@ FROM (
         SELECT event_id, user_id, event_type, cast(CASE WHEN event_id % 2 = 0 THEN 1 ELSE 2 + cast(floor(event_id / 2) AS bigint) % 4 END AS int) AS period FROM {{events}}) q1) q2) q3) q4
 """
 
-#: An order as a game between customers.
+#: An order as a game between customers; one that would meet itself meets customer 101.
 GAMES_SQL = """
-SELECT '00' || lpad(cast(o_orderkey AS string), 8, '0') AS game_id, 'C' || cast(o_custkey AS string) AS home_team_id, 'C' || cast(1 + (o_custkey * 7 + o_orderkey) % 100 AS string) AS away_team_id,
+SELECT '00' || lpad(cast(o_orderkey AS string), 8, '0') AS game_id, 'C' || cast(o_custkey AS string) AS home_team_id, 'C' || cast(CASE WHEN o_custkey = 1 + (o_custkey * 7 + o_orderkey) % 100 THEN 101 ELSE 1 + (o_custkey * 7 + o_orderkey) % 100 END AS string) AS away_team_id,
   o_orderdate AS game_date_utc, cast(o_orderdate AS date) AS game_date_local, CASE o_orderstatus WHEN 'F' THEN 'FINAL' WHEN 'O' THEN 'SCHEDULED' ELSE 'LIVE' END AS status,
   cast(80 + o_orderkey * 13 % 50 AS int) AS home_score, cast(80 + o_orderkey * 29 % 50 AS int) AS away_score, cast(CASE WHEN o_orderkey % 10 = 0 THEN 1 ELSE 0 END AS int) AS overtime_periods
-FROM {orders} WHERE o_custkey <> 1 + (o_custkey * 7 + o_orderkey) % 100
+FROM {orders}
 """
 
 #: A customer as a venue.

@@ -42,23 +42,30 @@ def silver_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.project(table(spark, sf_dir, "orders").select(payload(result_set("GameSummary", cells)).alias("body")), "games")
 
 
-@Q.add("""SELECT l_orderkey AS game_id, CASE WHEN l_linenumber % 4 <> 0 THEN l_linenumber END AS event_num, CAST(l_linenumber % 4 + 1 AS INT) AS period, CAST(l_suppkey % 12 AS VARCHAR) || ':00' AS clock, l_partkey AS player1_id, l_returnflag AS player1_name, l_suppkey AS team_id, CASE WHEN l_linestatus = 'O' THEN l_returnflag END AS home_description FROM lineitem WHERE l_linenumber % 4 <> 0""")
+@Q.add("""SELECT l_orderkey AS game_id, l_linenumber AS event_num, CAST(l_linenumber % 4 + 1 AS INT) AS period, CAST(l_suppkey % 12 AS VARCHAR) || ':00' AS clock, CAST(l_suppkey % 20 AS INT) AS event_type, CAST(l_partkey % 7 AS INT) AS event_subtype, l_partkey AS player1_id, l_returnflag AS player1_name, CASE WHEN l_suppkey % 2 = 0 THEN l_suppkey END AS player2_id, l_linestatus AS player2_name, NULL::BIGINT AS player3_id,
+'P' || CAST(l_linenumber AS VARCHAR) AS player3_name, l_suppkey AS team_id, CASE WHEN l_linestatus = 'O' THEN l_returnflag END AS home_description, CASE WHEN l_linestatus <> 'O' THEN l_returnflag END AS away_description, NULL::VARCHAR AS neutral_description, CAST(CAST(l_quantity AS INT) AS VARCHAR) || ' - ' || CAST(l_linenumber AS VARCHAR) AS score, CASE WHEN l_suppkey % 3 = 0 THEN 'TIE' ELSE CAST(l_linenumber AS VARCHAR) END AS score_margin FROM lineitem WHERE l_linenumber % 4 <> 0""")
 def silver_pbp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = F.col("l_linenumber")
+    """All columns of plays, two of which the source doesn't have."""
+    n, s = F.col("l_linenumber"), F.col("l_suppkey")
+    t = lambda c: c.cast("string")
     cells = {
-        "EVENTNUM": F.when(n % 4 != 0, n), "PERIOD": n % 4 + 1, "PCTIMESTRING": F.concat((F.col("l_suppkey") % 12).cast("string"), F.lit(":00")), "PLAYER1_ID": F.col("l_partkey"), "PLAYER1_NAME": F.col("l_returnflag"),
-        "PLAYER1_TEAM_ID": F.col("l_suppkey"), "HOMEDESCRIPTION": F.when(F.col("l_linestatus") == "O", F.col("l_returnflag")),
+        "EVENTNUM": F.when(n % 4 != 0, n), "PERIOD": n % 4 + 1, "PCTIMESTRING": F.concat(t(s % 12), F.lit(":00")), "EVENTMSGTYPE": s % 20, "EVENTMSGACTIONTYPE": F.col("l_partkey") % 7, "PLAYER1_ID": F.col("l_partkey"), "PLAYER1_NAME": F.col("l_returnflag"), "PLAYER2_ID": F.when(s % 2 == 0, s), "PLAYER2_NAME": F.col("l_linestatus"),
+        "PLAYER3_NAME": F.concat(F.lit("P"), t(n)), "PLAYER1_TEAM_ID": s, "HOMEDESCRIPTION": F.when(F.col("l_linestatus") == "O", F.col("l_returnflag")), "VISITORDESCRIPTION": F.when(F.col("l_linestatus") != "O", F.col("l_returnflag")), "SCORE": F.concat(t(F.col("l_quantity").cast("int")), F.lit(" - "), t(n)), "SCOREMARGIN": F.when(s % 3 == 0, "TIE").otherwise(t(n)),
     }
-    p = collected(table(spark, sf_dir, "lineitem"), F.col("l_orderkey"), "PlayByPlay", cells, "l_linenumber")
-    return silver.project(p, "pbp").select("game_id", "event_num", "period", "clock", "player1_id", "player1_name", "team_id", "home_description")
+    return silver.project(collected(table(spark, sf_dir, "lineitem"), F.col("l_orderkey"), "PlayByPlay", cells, "l_linenumber"), "pbp")
 
 
-@Q.add("""SELECT l_orderkey AS game_id, l_partkey AS player_id, l_suppkey AS team_id, l_linenumber AS period, CAST(l_quantity AS INT) AS shot_distance, CAST(l_partkey % 500 - 250 AS INT) AS loc_x, CAST((l_returnflag = 'A')::INT AS INT) AS shot_made_flag, 1 AS shot_attempted_flag, l_linestatus AS htm FROM lineitem WHERE l_partkey % 9 <> 0""")
+@Q.add("""SELECT l_orderkey AS game_id, l_partkey AS player_id, l_returnflag AS player_name, l_suppkey AS team_id, 'Team ' || CAST(l_suppkey % 30 AS VARCHAR) AS team_name, l_linenumber AS period, CAST(l_suppkey % 12 AS INT) AS minutes_remaining, CAST(l_partkey % 60 AS INT) AS seconds_remaining, 'Made Shot' AS event_type, 'Jump' AS action_type, CASE WHEN l_suppkey % 3 = 0 THEN '3PT' ELSE '2PT' END AS shot_type, l_linestatus AS shot_zone_basic, NULL::VARCHAR AS shot_zone_area,
+CAST(CAST(l_quantity AS INT) AS VARCHAR) || ' ft.' AS shot_zone_range, CAST(l_quantity AS INT) AS shot_distance, CAST(l_partkey % 500 - 250 AS INT) AS loc_x, CAST(l_suppkey % 400 - 50 AS INT) AS loc_y, CAST((l_returnflag = 'A')::INT AS INT) AS shot_made_flag, CASE WHEN l_suppkey % 4 = 0 THEN 0 ELSE 1 END AS shot_attempted_flag, l_linestatus AS htm, 'V' || CAST(l_suppkey % 30 AS VARCHAR) AS vtm FROM lineitem WHERE l_partkey % 9 <> 0""")
 def silver_shots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pk = F.col("l_partkey")
-    cells = {"PLAYER_ID": F.when(pk % 9 != 0, pk), "TEAM_ID": F.col("l_suppkey"), "PERIOD": F.col("l_linenumber"), "SHOT_DISTANCE": F.col("l_quantity").cast("int"), "LOC_X": pk % 500 - 250, "SHOT_MADE_FLAG": (F.col("l_returnflag") == "A").cast("int"), "HTM": F.col("l_linestatus")}
-    p = collected(table(spark, sf_dir, "lineitem"), F.col("l_orderkey"), "Shot_Chart_Detail", cells, "l_linenumber")
-    return silver.project(p, "shots").select("game_id", "player_id", "team_id", "period", "shot_distance", "loc_x", "shot_made_flag", "shot_attempted_flag", "htm")
+    """All columns of shots, one of which the source doesn't have, and one with a default."""
+    pk, s, q = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_quantity").cast("int")
+    cells = {
+        "PLAYER_ID": F.when(pk % 9 != 0, pk), "PLAYER_NAME": F.col("l_returnflag"), "TEAM_ID": s, "TEAM_NAME": F.concat(F.lit("Team "), (s % 30).cast("string")), "PERIOD": F.col("l_linenumber"), "MINUTES_REMAINING": s % 12, "SECONDS_REMAINING": pk % 60, "EVENT_TYPE": F.lit("Made Shot"), "ACTION_TYPE": F.lit("Jump"),
+        "SHOT_TYPE": F.when(s % 3 == 0, "3PT").otherwise("2PT"), "SHOT_ZONE_BASIC": F.col("l_linestatus"), "SHOT_ZONE_RANGE": F.concat(q.cast("string"), F.lit(" ft.")), "SHOT_DISTANCE": q, "LOC_X": pk % 500 - 250, "LOC_Y": s % 400 - 50, "SHOT_MADE_FLAG": (F.col("l_returnflag") == "A").cast("int"), "SHOT_ATTEMPTED_FLAG": F.when(s % 4 == 0, 0),
+        "HTM": F.col("l_linestatus"), "VTM": F.concat(F.lit("V"), (s % 30).cast("string")),
+    }
+    return silver.project(collected(table(spark, sf_dir, "lineitem"), F.col("l_orderkey"), "Shot_Chart_Detail", cells, "l_linenumber"), "shots")
 
 
 _official = "SELECT s_nationkey AS game_id, CASE WHEN s_suppkey % 3 <> 0 THEN s_suppkey END AS official_id, 'A' AS first_name, CASE WHEN s_suppkey % 2 = 0 THEN s_name END AS last_name, CAST(s_suppkey % 90 AS VARCHAR) AS jersey_num FROM supplier WHERE {}(s_suppkey % 3 <> 0 OR s_suppkey % 2 = 0)"
@@ -227,13 +234,14 @@ def date_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("o_orderkey", "w.day", "w.source", "resolved", F.col("b.day").alias("bridged"), F.col("b.used").alias("used"), "gap", "id_day", "yesterday", "lenient", "in_range", "in_season", "expanded", "is_date")
 
 
-@Q.add("""WITH r AS (SELECT p_partkey AS k, CASE p_partkey % 4 WHEN 0 THEN '$1,' || lpad(CAST(p_size AS VARCHAR), 3, '0') WHEN 1 THEN CAST(p_size AS VARCHAR) || '%' WHEN 2 THEN 'null' ELSE CAST(p_size AS VARCHAR) END AS raw, CASE p_partkey % 4 WHEN 0 THEN 'AA @ BB' WHEN 1 THEN 'AA vs. BB' WHEN 2 THEN 'AA v BB' ELSE 'AA' END AS m FROM part)
-SELECT k AS p_partkey, try_cast(replace(replace(replace(raw, '$', ''), ',', ''), '%', '') AS DOUBLE) AS money, try_cast(nullif(raw, 'null') AS BIGINT) AS id, CASE WHEN k % 4 = 0 THEN 'BB' WHEN k % 4 < 3 THEN 'AA' END AS home, CASE WHEN k % 4 = 0 THEN 'AA' WHEN k % 4 < 3 THEN 'BB' END AS away,
+@Q.add("""WITH r AS (SELECT p_partkey AS k, CASE p_partkey % 4 WHEN 0 THEN '$1,' || lpad(CAST(p_size AS VARCHAR), 3, '0') WHEN 1 THEN CAST(p_size AS VARCHAR) || '%' WHEN 2 THEN 'null' ELSE CAST(p_size AS VARCHAR) END AS raw, p_size AS z FROM part)
+SELECT k AS p_partkey, try_cast(replace(replace(replace(raw, '$', ''), ',', ''), '%', '') AS DOUBLE) AS money, try_cast(nullif(raw, 'null') AS BIGINT) AS id, CASE WHEN k % 4 = 0 THEN 'B' || z || ' City' WHEN k % 4 < 3 THEN 'Los A' || z END AS home, CASE WHEN k % 4 = 0 THEN 'Los A' || z WHEN k % 4 < 3 THEN 'B' || z || ' City' END AS away,
 CASE WHEN k % 2 = 0 THEN '20240101' || '0T' || CAST(k AS VARCHAR) END AS page_id, CASE k % 3 WHEN 0 THEN 'BRK' WHEN 1 THEN 'BOS' END AS tricode, CASE k % 5 WHEN 0 THEN 3 WHEN 1 THEN 2 WHEN 2 THEN 1 END AS shot_value FROM r""")
 def text_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, s = F.col("p_partkey"), F.col("p_size").cast("string")
     raw = F.when(k % 4 == 0, F.concat(F.lit("$1,"), F.lpad(s, 3, "0"))).when(k % 4 == 1, F.concat(s, F.lit("%"))).when(k % 4 == 2, "null").otherwise(s)
-    m = text.split_matchup(F.when(k % 4 == 0, "AA @ BB").when(k % 4 == 1, "AA vs. BB").when(k % 4 == 2, "AA v BB").otherwise("AA"))
+    mark = F.when(k % 4 == 0, "  @  ").when(k % 4 == 1, " vs. ").when(k % 4 == 2, " v ").otherwise("-")
+    m = text.split_matchup(F.concat(F.lit("Los A"), s, mark, F.lit("B"), s, F.lit(" City")))
     url = F.concat(F.when(k % 2 == 0, "http://x/boxscores/202401010T").otherwise("http://x/teams/T"), k.cast("string"), F.lit(".html"))
     kind = F.when(k % 5 < 2, "SHOT_MISSED").when(k % 5 == 2, "FREE_THROW_MADE").otherwise("FOUL")
     return table(spark, sf_dir, "part").select(
@@ -396,14 +404,14 @@ def box_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return teams.outcomes_of_box(b).select("game_id", "q1_home_points", "final_home_points", "final_away_points", "total_points", "home_win", "margin", "overtime_periods")
 
 
-@Q.add("""WITH o AS (SELECT c_custkey, c_nationkey AS game_id, c_name AS v FROM customer WHERE c_custkey % 2 = 0), n AS (SELECT c_custkey, c_nationkey AS game_id, CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment END AS v FROM customer WHERE c_custkey % 4 < 3),
+@Q.add("""WITH o AS (SELECT c_custkey, c_nationkey AS game_id, c_name AS v FROM customer WHERE c_custkey % 2 = 0), n AS (SELECT c_custkey, c_nationkey AS game_id, CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment END AS v FROM customer WHERE c_custkey % 4 <> 2),
 g AS (SELECT * FROM n WHERE v IS NOT NULL AND game_id % 5 <> 0 AND game_id IN (SELECT n_nationkey FROM nation WHERE n_nationkey % 4 <> 0))
 SELECT coalesce(g.c_custkey, o.c_custkey) AS c_custkey, coalesce(g.game_id, o.game_id) AS game_id, CASE WHEN g.c_custkey IS NULL THEN o.v ELSE g.v END AS v, CASE WHEN o.c_custkey IS NULL THEN 'insert' WHEN g.c_custkey IS NULL THEN 'kept' WHEN o.v IS DISTINCT FROM g.v THEN 'update' ELSE 'unchanged' END AS _action FROM o FULL JOIN g ON o.c_custkey = g.c_custkey""")
 def derived_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An upsert of rows that have their fields, a complete game and a parent."""
     c, k = table(spark, sf_dir, "customer"), F.col("c_custkey")
     old = c.where("c_custkey % 2 = 0").select("c_custkey", F.col("c_nationkey").alias("game_id"), F.col("c_name").alias("v"))
-    new = c.where("c_custkey % 4 < 3").select("c_custkey", F.col("c_nationkey").alias("game_id"), F.when(k % 3 > 0, F.col("c_mktsegment")).alias("v"))
+    new = c.where("c_custkey % 4 <> 2").select("c_custkey", F.col("c_nationkey").alias("game_id"), F.when(k % 3 > 0, F.col("c_mktsegment")).alias("v"))
     n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("game_id"))
     return upsert.load_derived(old, new, ["c_custkey"], ["v"], n.where("game_id % 5 <> 0"), n.where("game_id % 4 <> 0"))
 
@@ -445,8 +453,8 @@ def recent_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows by table of the games of the last 300 days of the orders."""
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("game_id"), F.to_date("o_orderdate").alias("game_date_local"))
     li = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "game_id")
-    last = o.agg(F.max("game_date_local").alias("hi")).first()["hi"]
-    return seasons.recent_rollup(o, {"lines": li, "returns": li.where("l_returnflag = 'R'"), "none": li.where("l_quantity < 0")}, F.lit(last), 300)
+    o = o.crossJoin(F.broadcast(o.agg(F.max("game_date_local").alias("hi"))))
+    return seasons.recent_rollup(o, {"lines": li, "returns": li.where("l_returnflag = 'R'"), "none": li.where("l_quantity < 0")}, F.col("hi"), 300)
 
 
 _CAN = "VALUES ('click', 'plays', true), ('click', 'games', false), ('view', 'plays', false), ('view', 'people', true), ('purchase', 'games', false), ('error', 'people', false)"
@@ -467,11 +475,15 @@ def game_density(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @Q.add("""WITH l AS (SELECT l_orderkey AS g, l_suppkey % 4 AS i, count(*) AS k FROM lineitem GROUP BY 1, 2), w AS (SELECT count(*) AS n_wanted, avg((o_orderkey % 20 > 0)::INT) AS share FROM orders)
-SELECT n_wanted, round(share, 6) AS share, (SELECT count(DISTINCT g) FROM l WHERE g NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 20 > 0)) AS n_orphans, (SELECT count(*) FROM l WHERE k > 1) AS n_repeated, false AS passes FROM w""")
+, f AS (SELECT n_wanted, share, (SELECT count(DISTINCT g) FROM l WHERE g NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 20 > 0)) AS n_orphans, (SELECT count(*) FROM l WHERE k > 1) AS n_repeated FROM w
+UNION ALL SELECT n_wanted, avg((o_orderkey % 50 > 0)::INT), (SELECT count(DISTINCT g) FROM l WHERE g % 50 > 0 AND g NOT IN (SELECT o_orderkey FROM orders)), 0 FROM w, orders GROUP BY n_wanted)
+SELECT n_wanted, round(share, 6) AS share, n_orphans, n_repeated, share >= 0.95 AND n_orphans = 0 AND n_repeated = 0 AS passes FROM f""")
 def load_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("game_id"))
     e = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("game_id"), (F.col("l_suppkey") % 4).alias("event_idx"))
-    return rounded(integrity.load_gates(o, o.where("game_id % 20 > 0"), e))
+    """Gates of a load that lacks every twentieth game, and of one that lacks every fiftieth and has each event once."""
+    once = e.where("game_id % 50 > 0").dropDuplicates()
+    return rounded(integrity.load_gates(o, o.where("game_id % 20 > 0"), e).unionByName(integrity.load_gates(o, o.where("game_id % 50 > 0"), once)))
 
 
 @Q.add("SELECT l_orderkey AS game_id, l_partkey AS player_id FROM lineitem GROUP BY 1, 2")

@@ -50,9 +50,11 @@ def duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity.duplicates(table(spark, sf_dir, "events"), ["user_id", "event_type"], days)
 
 
-@Q.add("""SELECT * FROM (SELECT l_orderkey, lag(l_linenumber) OVER w AS prev_index, l_linenumber, l_linenumber - lag(l_linenumber) OVER w AS gap_size FROM (SELECT * FROM lineitem WHERE (l_orderkey + l_linenumber) % 3 <> 0) WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber)) WHERE gap_size > 1""")
+@Q.add("""SELECT * FROM (SELECT l_orderkey, lag(l_linenumber) OVER w AS prev_index, l_linenumber, l_linenumber - lag(l_linenumber) OVER w AS gap_size FROM (SELECT l_orderkey, l_linenumber + CASE WHEN (l_orderkey + l_suppkey) % 3 = 0 THEN 10 ELSE 0 END AS l_linenumber FROM lineitem) WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber)) WHERE gap_size > 1""")
 def index_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return integrity.index_gaps(table(spark, sf_dir, "lineitem").where("(l_orderkey + l_linenumber) % 3 <> 0"), ["l_orderkey"], "l_linenumber")
+    """All lines, a third of them with a number that is ten too high."""
+    shifted = F.col("l_linenumber") + F.when((F.col("l_orderkey") + F.col("l_suppkey")) % 3 == 0, 10).otherwise(0)
+    return integrity.index_gaps(table(spark, sf_dir, "lineitem").select("l_orderkey", shifted.alias("l_linenumber")), ["l_orderkey"], "l_linenumber")
 
 
 @Q.add("""SELECT user_id, event_id, p AS prev_value, value, d AS time_diff FROM (SELECT user_id, event_id, value, lag(value) OVER w AS p, value - lag(value) OVER w AS d FROM events WHERE value IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) WHERE d < -5""")

@@ -109,7 +109,7 @@ def text_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.clean_text(t)).alias("ascii_md5"), F.md5(F.coalesce(text.normalize_description(t), F.lit(""))).alias("described_md5"))
 
 
-@Q.add(r"""WITH m AS (SELECT page_id, 'GET ' || coalesce(url, '') || ' failed for 0022300' || lpad(CAST(page_id % 1000 AS VARCHAR), 3, '0') || ' on 2024-01-0' || CAST(1 + page_id % 9 AS VARCHAR) || ' from 10.0.0.' || CAST(page_id % 200 AS VARCHAR) AS message FROM pages),
+@Q.add(r"""WITH m AS (SELECT page_id, 'GET ' || coalesce(url, '') || CASE page_id % 4 WHEN 0 THEN ' failed' WHEN 1 THEN ' timed out' WHEN 2 THEN ' was refused' ELSE ' is gone' END || ' for 0022300' || lpad(CAST(page_id % 1000 AS VARCHAR), 3, '0') || ' on 2024-01-0' || CAST(1 + page_id % 9 AS VARCHAR) || ' from 10.0.0.' || CAST(page_id % 200 AS VARCHAR) AS message FROM pages),
 n AS (SELECT regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(message), '\b00\d{8}\b', '[GAME_ID]', 'g'), '\d{4}-\d{2}-\d{2}', '[DATE]', 'g'), 'https?://[^\s]+', '[URL]', 'g'), '\b\d+\.\d+\.\d+\.\d+\b', '[IP]', 'g') AS t FROM m)
 SELECT trim(CASE WHEN length(t) > 100 THEN substr(t, 1, 100) || '...' ELSE t END) AS error, count(*) AS n_rows FROM n GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""")
 def error_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +117,7 @@ def error_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.manifest import top_errors
 
     k = F.col("page_id")
-    message = F.concat(F.lit("GET "), F.coalesce("url", F.lit("")), F.lit(" failed for 0022300"), F.lpad((k % 1000).cast("string"), 3, "0"), F.lit(" on 2024-01-0"), (1 + k % 9).cast("string"), F.lit(" from 10.0.0."), (k % 200).cast("string"))
+    message = F.concat(F.lit("GET "), F.coalesce("url", F.lit("")), F.when(k % 4 == 0, " failed").when(k % 4 == 1, " timed out").when(k % 4 == 2, " was refused").otherwise(" is gone"), F.lit(" for 0022300"), F.lpad((k % 1000).cast("string"), 3, "0"), F.lit(" on 2024-01-0"), (1 + k % 9).cast("string"), F.lit(" from 10.0.0."), (k % 200).cast("string"))
     return top_errors(table(spark, sf_dir, "pages").select(message.alias("message")), "message")
 
 
@@ -169,11 +169,11 @@ def text_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", text.pair_key(a, b).alias("pair"), score["home"].alias("home"), score["away"].alias("away"), game["home"].alias("matchup_home"), game["away"].alias("matchup_away"), text.lineup_hash(F.array(s(k % 9), s(c))).alias("lineup"))
 
 
-@Q.add(r"""WITH q AS (SELECT 'SELECT * FROM t WHERE id IN (' || CAST(p_partkey AS VARCHAR) || ', 2) AND name = ''' || p_brand || ''' -- note' AS sql, p_size / 10.0 AS sec FROM part),
+@Q.add(r"""WITH q AS (SELECT 'SELECT * FROM ' || CASE p_partkey % 3 WHEN 0 THEN 'games' WHEN 1 THEN 'events' ELSE 'shots  s' END || ' WHERE id IN (' || CAST(p_partkey AS VARCHAR) || ', 2) AND name = ''' || p_brand || ''' -- note' AS sql, p_size / 10.0 AS sec FROM part),
 n AS (SELECT trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(sql, '--.*$', '', 'g'), '''[^'']*''', '''?''', 'g'), '\b\d+\b', '?', 'g'), 'IN\s*\([^)]+\)', 'IN (?)', 'gi'), '\s+', ' ', 'g')) AS t, sec FROM q)
 SELECT substr(md5(t), 1, 16) AS query_hash, count(*) AS n_runs, round(sum(sec)::DOUBLE, 6) AS total_sec, min(sec)::DOUBLE AS min_sec, max(sec)::DOUBLE AS max_sec, round(avg(sec)::DOUBLE, 6) AS avg_sec, count(*) FILTER (sec > 1) AS n_slow FROM n GROUP BY 1""")
 def query_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.manifest import query_stats
 
-    sql = F.concat(F.lit("SELECT * FROM t WHERE id IN ("), F.col("p_partkey").cast("string"), F.lit(", 2) AND name = '"), F.col("p_brand"), F.lit("' -- note"))
+    sql = F.concat(F.lit("SELECT * FROM "), F.when(F.col("p_partkey") % 3 == 0, "games").when(F.col("p_partkey") % 3 == 1, "events").otherwise("shots  s"), F.lit(" WHERE id IN ("), F.col("p_partkey").cast("string"), F.lit(", 2) AND name = '"), F.col("p_brand"), F.lit("' -- note"))
     return rounded(query_stats(table(spark, sf_dir, "part").select(sql.alias("sql"), (F.col("p_size") / 10.0).cast("double").alias("seconds"))))

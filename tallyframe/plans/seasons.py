@@ -13,11 +13,13 @@ Q = Queries()
 _zone = "CASE WHEN {d} <= 4 THEN 'RIM' WHEN {d} <= 10 THEN 'SHORT_MID' WHEN {d} <= 23 THEN 'LONG_MID' WHEN {d} IS NOT NULL THEN 'THREE' END"
 
 
-@Q.add(f"""WITH {E_SQL}, s AS (SELECT game_id, event_idx, event_idx % 200 AS x, event_idx % 90 AS y FROM e WHERE event_idx % 3 <> 0), j AS (SELECT e.game_id, e.event_idx, CASE WHEN event_type LIKE 'SHOT%' THEN s.x::DOUBLE END AS shot_x, CASE WHEN event_type LIKE 'SHOT%' THEN s.y::DOUBLE END AS shot_y FROM e LEFT JOIN s ON e.game_id = s.game_id AND e.event_idx = s.event_idx)
+@Q.add(f"""WITH {E_SQL}, s AS (SELECT game_id, CASE WHEN event_idx % 3 = 0 THEN -1 - event_idx ELSE event_idx END AS event_idx, event_idx % 200 AS x, event_idx % 90 AS y FROM e), j AS (SELECT e.game_id, e.event_idx, CASE WHEN event_type LIKE 'SHOT%' THEN s.x::DOUBLE END AS shot_x, CASE WHEN event_type LIKE 'SHOT%' THEN s.y::DOUBLE END AS shot_y FROM e LEFT JOIN s ON e.game_id = s.game_id AND e.event_idx = s.event_idx)
 SELECT game_id, event_idx, shot_x, shot_y, round(sqrt(shot_x * shot_x + shot_y * shot_y) / 10, 6) AS shot_distance_ft, {_zone.format(d="(sqrt(shot_x * shot_x + shot_y * shot_y) / 10)")} AS shot_zone FROM j""")
 def shot_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A shot for each event; a third of them name an event that isn't there."""
     e = events(spark, sf_dir)
-    s = e.where("event_idx % 3 <> 0").select("game_id", F.col("event_idx").alias("event_num"), (F.col("event_idx") % 200).alias("loc_x"), (F.col("event_idx") % 90).alias("loc_y"), F.lit(0).alias("shot_ordinal"))
+    number = F.when(F.col("event_idx") % 3 == 0, -1 - F.col("event_idx")).otherwise(F.col("event_idx"))
+    s = e.select("game_id", number.alias("event_num"), (F.col("event_idx") % 200).alias("loc_x"), (F.col("event_idx") % 90).alias("loc_y"), F.lit(0).alias("shot_ordinal"))
     return rounded(shots.enrich(e, s).select("game_id", "event_idx", "shot_x", "shot_y", "shot_distance_ft", "shot_zone"))
 
 
@@ -86,11 +88,12 @@ def quality_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @Q.add("""SELECT CAST(c_nationkey AS VARCHAR) AS game_id, count(*) AS n_rows, count(*) FILTER (c_custkey % 3 = 0) AS n_failed, 2 * count(*) FILTER (c_custkey % 3 = 0) <= count(*) AS is_valid FROM customer GROUP BY 1""")
 def minutes_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = F.when(F.col("c_custkey") % 3 == 0, "DNP").when(F.col("c_custkey") % 3 == 1, "61:05").otherwise("0:00")
+    k = F.col("c_custkey")
+    raw = F.when(k % 3 == 0, F.element_at(F.array(F.lit("DNP"), F.lit("12:60"), F.lit("PT5M"), k.cast("string")), (k % 4 + 1).cast("int"))).when(k % 3 == 1, F.concat((k % 75).cast("string"), F.lit(":"), F.lpad((k % 60).cast("string"), 2, "0"))).otherwise(F.when(k % 2 == 0, "0:00").otherwise(""))
     return seasons.minutes_valid(table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("string").alias("game_id"), raw.alias("min")))
 
 
-@Q.add(f"""WITH {G_SQL} SELECT game_id AS "GAME_ID", o AS home_team_id, a AS away_team_id, nullif(concat_ws(',', CASE WHEN k % 4 = 0 THEN 'date' END), '') AS missing FROM (SELECT game_id, CAST(substr(home_team_id, 2) AS BIGINT) AS o, CAST(substr(away_team_id, 2) AS BIGINT) AS a, CAST(game_id AS BIGINT) AS k FROM g)""")
+@Q.add(f"""WITH {G_SQL} SELECT game_id AS "GAME_ID", o AS home_team_id, a AS away_team_id, CASE WHEN k % 4 > 0 THEN '2024-01-' || lpad(CAST(1 + k % 28 AS VARCHAR), 2, '0') END AS game_date_est, nullif(concat_ws(',', CASE WHEN k % 4 = 0 THEN 'date' END), '') AS missing FROM (SELECT game_id, CAST(substr(home_team_id, 2) AS BIGINT) AS o, CAST(substr(away_team_id, 2) AS BIGINT) AS a, CAST(game_id AS BIGINT) AS k FROM g)""")
 def game_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payloads written from the games, every fourth without a summary, read back through the fallback chain."""
     from ..sources import result_sets
@@ -98,9 +101,9 @@ def game_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = games(spark, sf_dir)
     number = lambda c: F.expr(f"substring({c}, 2)")
     sets = lambda name, heads, rows: F.struct(F.lit(name).alias("name"), F.array(*map(F.lit, heads)).alias("headers"), rows.alias("rowSet"))
-    summary = sets("GameSummary", ["GAME_ID", "GAME_DATE_EST", "HOME_TEAM_ID", "VISITOR_TEAM_ID"], F.array(F.array(F.col("game_id"), F.lit("2024-01-01"), number("home_team_id"), number("away_team_id"))))
+    summary = sets("GameSummary", ["GAME_ID", "GAME_DATE_EST", "HOME_TEAM_ID", "VISITOR_TEAM_ID"], F.array(F.array(F.col("game_id"), F.concat(F.lit("2024-01-"), F.lpad((1 + F.col("game_id").cast("long") % 28).cast("string"), 2, "0")), number("home_team_id"), number("away_team_id"))))
     stats = sets("TeamStats", ["GAME_ID", "TEAM_ID"], F.array(F.array(F.col("game_id"), number("away_team_id")), F.array(F.col("game_id"), number("home_team_id"))))
     both, one = F.to_json(F.struct(F.array(summary, stats).alias("resultSets"))), F.to_json(F.struct(F.array(stats).alias("resultSets")))
     body = F.when(F.col("game_id").cast("long") % 4 == 0, one).otherwise(both)
     m = result_sets.game_meta(g.select(body.alias("body")))
-    return m.select("GAME_ID", "home_team_id", "away_team_id", F.nullif(F.array_join("missing", ","), F.lit("")).alias("missing"))
+    return m.select("GAME_ID", "home_team_id", "away_team_id", F.col("GAME_DATE_EST").alias("game_date_est"), F.nullif(F.array_join("missing", ","), F.lit("")).alias("missing"))

@@ -44,15 +44,16 @@ def html_line_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.line_score(table(spark, sf_dir, "orders").select("o_orderkey", html.alias("html"))).select("o_orderkey", "away_q1", "home_q1", "away_final", "home_final", "ot_periods")
 
 
-_names = ["Adam Able", "Bert Baker", "Carl Cole", "Dora Dean"]
+_first, _last = ["Adam", "Bert", "Carl", "Dora", "Ella"], ["Able", "Baker", "Cole", "Dean", "Early", "Field", "Green"]
+_person = lambda k, a: "CASE {} % 5 {} END || ' ' || CASE {} % 7 {} END".format(k, " ".join(f"WHEN {i} THEN '{_first[(i + a) % 5]}'" for i in range(5)), k, " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(_last)))
 
 
-@Q.add("SELECT s_suppkey, CASE s_suppkey % 2 WHEN 0 THEN 'Adam Able:CREW_CHIEF,Carl Cole:REFEREE' ELSE 'Bert Baker:CREW_CHIEF,Dora Dean:UMPIRE' END AS refs, 0.6::DOUBLE AS confidence, '00' || lpad(CAST(s_suppkey AS VARCHAR), 8, '0') AS game_id_found, true AS is_valid FROM supplier")
+@Q.add(f"SELECT s_suppkey, {_person('s_suppkey', 0)} || ':CREW_CHIEF,' || {_person('s_suppkey', 3)} || CASE s_suppkey % 2 WHEN 0 THEN ':REFEREE' ELSE ':UMPIRE' END AS refs, 0.6::DOUBLE AS confidence, '00' || lpad(CAST(s_suppkey AS VARCHAR), 8, '0') AS game_id_found, true AS is_valid FROM supplier")
 def gamebook_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A game book's text written from each supplier and parsed."""
     k = F.col("s_suppkey")
     game = F.concat(F.lit("00"), F.lpad(k.cast("string"), 8, "0"))
-    body = F.concat(F.lit("OFFICIAL GAME BOOK\nGame "), game, F.lit("\n"), F.when(k % 2 == 0, "Crew Chief: Adam Able\nReferee: Carl Cole\n").otherwise("Crew Chief: Bert Baker\nUmpire: Dora Dean\n"), F.lit("Arena: Big Hall, Town\n"))
+    body = F.concat(F.lit("OFFICIAL GAME BOOK\nGame "), game, F.lit("\n"), F.lit("Crew Chief: "), F.expr(_person("s_suppkey", 0)), F.when(k % 2 == 0, "\nReferee: ").otherwise("\nUmpire: "), F.expr(_person("s_suppkey", 3)), F.lit("\nArena: Big Hall, Town\n"))
     parsed = game_books.quality(game_books.parse(table(spark, sf_dir, "supplier").select("s_suppkey", game.alias("game_id"), body.alias("text"))))
     people = F.array_join(F.transform("refs", lambda r: F.concat(r["name"], F.lit(":"), r["role"])), ",")
     return rounded(parsed.select("s_suppkey", people.alias("refs"), F.col("parsing_confidence").alias("confidence"), "game_id_found", "is_valid"))

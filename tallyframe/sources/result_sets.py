@@ -52,6 +52,16 @@ def plays(payloads: DataFrame, body: str = "body") -> DataFrame:
     return out.where("event_num >= 1 and period between 1 and 10")
 
 
+def loose_plays(payloads: DataFrame, body: str = "body") -> DataFrame:
+    """Events of any of the shapes that plays come in: a set whose name holds PlayByPlay, under either spelling of the sets, in rows as long as their headers
+    with a number and a period; or a list of events that have a number. Other payloads give none."""
+    others, columns = [c for c in payloads.columns if c != body], ["EVENTNUM", "PERIOD", "PCTIMESTRING", "EVENTMSGTYPE"]
+    listed = F.from_json(body, "array<struct<" + ",".join(f"{c}:{PLAYS[c]}" for c in columns) + ">>")
+    sets_ = rows(payloads, body, "PlayByPlay", {c: PLAYS[c] for c in columns}, how="contains", strict=True).where("EVENTNUM is not null and PERIOD is not null")
+    flat = payloads.where(F.ltrim(body).startswith("[")).select(*others, F.posexplode(listed).alias("ordinal", "e")).select(*others, "ordinal", "e.*").where("EVENTNUM is not null")
+    return sets_.unionByName(flat)
+
+
 def shots(payloads: DataFrame, body: str = "body") -> DataFrame:
     """Shot rows, places default to 0; a player is required, flags are 0 or 1."""
     r = rows(payloads, body, "shot|chart", SHOTS, how="fuzzy")

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import codes, text
 from .result_sets import rows
 
 #: Header, our name and type of each entity's columns.
@@ -54,6 +55,20 @@ def _marked(payloads: DataFrame, entity: str, body: str) -> DataFrame:
     return out.withColumn("is_complete", reduce(lambda a, b: a | b, there))
 
 
+def injuries(payloads: DataFrame, source: str) -> DataFrame:
+    """Rows of injured players from payloads (game_id, team_tricode, people: array of structs) by source: 'notes' of pages (player, status, reason) or
+    'reports' of teams (name, status, injury, player_id). The status is one of codes.INJURY; an empty reason is none."""
+    each = payloads.select("game_id", "team_tricode", F.explode("people").alias("p"))
+    if source == "notes":
+        name, reason, player_id, label = F.col("p.player"), F.col("p.reason"), F.lit(None).cast("string"), "bref_notes"
+    elif source == "reports":
+        name, reason, player_id, label = F.col("p.name"), F.col("p.injury"), F.col("p.player_id").cast("string"), "team_report"
+    else:
+        raise ValueError(f"injuries: unknown source {source}")
+    named = each.select("game_id", F.upper("team_tricode").alias("team_tricode"), F.coalesce(name, F.lit("")).alias("player_display_name"), player_id.alias("player_id"), codes.injury_status(F.col("p.status")).alias("status"), F.nullif(reason, F.lit("")).alias("reason"), F.lit(label).alias("source"))
+    return named.withColumn("player_name_slug", text.name_slug(F.col("player_display_name")))
+
+
 def referees(payloads: DataFrame, source: str) -> DataFrame:
     """game_id, name, position, years from payloads (game_id, people: array of structs) by source: 'pages' (name, position, years_experience),
     'stats' (FIRST_NAME, LAST_NAME, JERSEY_NUM), 'books' (name, position, experience). A missing position is Official k."""
