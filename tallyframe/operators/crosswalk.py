@@ -141,10 +141,20 @@ def id_candidates(games: DataFrame, days: int = 7) -> DataFrame:
 
 
 def crosswalk(games: DataFrame, pages: DataFrame, days: int = 7) -> DataFrame:
-    """(game_id, page_id, confidence): 1.0 for the page of the day itself, 0.8 for the nearest other, 0.0 with UNRESOLVED_<id>. pages: (page_id)."""
-    met = id_candidates(games, days).join(pages.select("page_id").distinct(), "page_id", "left_semi")
-    nearest = Window.partitionBy("game_id").orderBy(F.abs("offset"), "offset")
-    met = met.withColumn("nth", F.row_number().over(nearest)).where("nth = 1").select("game_id", "page_id", "offset")
-    out = games.select("game_id").join(met, "game_id", "left")
-    confidence: Column = F.when(F.col("offset") == 0, 1.0).when(F.col("offset").isNotNull(), 0.8).otherwise(0.0)
-    return out.select("game_id", F.coalesce("page_id", F.concat(F.lit("UNRESOLVED_"), F.col("game_id"))).alias("page_id"), confidence.alias("confidence"))
+    """(game_id, page_id, confidence): 1.0 for the page of the day itself, 0.8 for the nearest other, 0.0 with UNRESOLVED_<id>; a game_id occurs once. pages: (page_id).
+
+    Spans of 2 * days + 1 days: what a game may meet lies in its own span or a neighbour, two in all, whose pages of its team it is joined with.
+    """
+    span = 2 * days + 1
+    number = lambda day: F.datediff(day, F.lit("1900-01-01").cast("date"))
+    place = r"^(\d{8})0(.+)$"
+    p = pages.select("page_id").distinct().select("page_id", number(F.try_to_date(F.regexp_extract("page_id", place, 1), "yyyyMMdd")).alias("p_day"), F.regexp_extract("page_id", place, 2).alias("team")).where("p_day is not null")
+    p = p.withColumn("span", F.floor(F.col("p_day") / span))
+    g = games.select("game_id", number("game_date_local").alias("g_day"), F.upper("home_team_tricode").alias("team"))
+    near = F.array_distinct(F.array(F.floor((F.col("g_day") - days) / span), F.floor((F.col("g_day") + days) / span)))
+    offset = F.col("p_day") - F.col("g_day")
+    met = g.select("*", F.explode_outer(near).alias("span")).join(p, ["team", "span"], "left")
+    nearest = F.min(F.when(F.abs(offset) <= days, F.struct(F.abs(offset).alias("gap"), offset.alias("offset"), "page_id"))).alias("near")
+    out = met.groupBy("game_id").agg(nearest)
+    confidence: Column = F.when(F.col("near.offset") == 0, 1.0).when(F.col("near").isNotNull(), 0.8).otherwise(0.0)
+    return out.select("game_id", F.coalesce("near.page_id", F.concat(F.lit("UNRESOLVED_"), F.col("game_id"))).alias("page_id"), confidence.alias("confidence"))

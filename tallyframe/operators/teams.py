@@ -73,13 +73,14 @@ def with_efficiency(stats: DataFrame) -> DataFrame:
     stats = stats.withColumn("defensive_rating", F.when(two, F.sum("offensive_rating").over(game) - F.col("offensive_rating")))
     stats = stats.withColumn("net_rating", F.col("offensive_rating") - F.col("defensive_rating"))
     kinds = ("offensive", "defensive", "net")
-    league = stats.agg(*[f(f"{k}_rating").alias(f"{k}_{n}") for k in kinds for n, f in (("mean", F.avg), ("sd", F.stddev_samp))])
+    # Counting whole rows keeps all columns in this branch too, so that both take the same exchange.
+    league = stats.agg(F.count(F.struct(*stats.columns)).alias("league_rows"), *[f(f"{k}_rating").alias(f"{k}_{n}") for k in kinds for n, f in (("mean", F.avg), ("sd", F.stddev_samp))])
     out = stats.crossJoin(F.broadcast(league))
     for k in kinds:
         gap = F.col(f"{k}_rating") - F.col(f"{k}_mean")
         gap = -gap if k == "defensive" else gap
         out = out.withColumn(f"{k}_z", F.when(F.col(f"{k}_sd") > 0, F.coalesce(gap / F.col(f"{k}_sd"), F.lit(0.0))).otherwise(0.0))
-    return out.drop(*[f"{k}_{n}" for k in kinds for n in ("mean", "sd")])
+    return out.drop("league_rows", *[f"{k}_{n}" for k in kinds for n in ("mean", "sd")])
 
 
 def head_to_head(games: DataFrame, last_n: int | None = None) -> DataFrame:
