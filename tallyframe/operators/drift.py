@@ -11,21 +11,26 @@ def key_paths(body: Column, depth: int = 4) -> Column:
 
     Types are OBJECT, ARRAY, STRING, BIGINT, DECIMAL, DOUBLE, BOOLEAN and VOID (null).
     """
-    at = lambda path, v: F.struct(path.alias("path"), v.alias("v"))
-    root = F.array(at(F.lit("$"), F.try_parse_json(body)))
+    kind = lambda v: F.substring_index(F.substring_index(F.schema_of_variant(v), "<", 1), "(", 1)
+    at = lambda path, v: F.struct(path.alias("path"), v.alias("v"), kind(v).alias("type"))
+    none = F.expr("cast(array() as array<struct<path:string,v:variant,type:string>>)")
 
     def children(x: Column) -> Column:
-        keys = F.transform(F.map_entries(F.try_variant_get(x["v"], "$", "map<string,variant>")), lambda e: at(F.concat(x["path"], F.lit("."), e["key"]), e["value"]))
-        items = F.transform(F.try_variant_get(x["v"], "$", "array<variant>"), lambda e: at(F.concat(x["path"], F.lit("[]")), e))
-        return F.coalesce(keys, items, F.slice(root, 1, 0))
+        keys = F.transform(F.map_entries(F.variant_get(x["v"], "$", "map<string,variant>")), lambda e: at(F.concat(x["path"], F.lit("."), e["key"]), e["value"]))
+        items = F.transform(F.variant_get(x["v"], "$", "array<variant>"), lambda e: at(F.concat(x["path"], F.lit("[]")), e))
+        return F.when(x["type"] == "OBJECT", keys).when(x["type"] == "ARRAY", items).otherwise(none)
 
-    levels, now = [], root
-    for _ in range(depth):
-        now = F.flatten(F.transform(now, children))
-        levels.append(now)
-    kind = lambda v: F.regexp_extract(F.schema_of_variant(v), "^([A-Z]+)", 1)
-    found = F.array_distinct(F.transform(F.concat(*levels), lambda x: F.struct(x["path"].alias("path"), kind(x["v"]).alias("type"))))
-    return F.when(F.try_parse_json(body).isNotNull(), found)
+    def deeper(acc: Column, _: Column) -> Column:
+        return bound(F.flatten(F.transform(acc["now"], children)), lambda n: F.struct(F.concat(acc["found"], n).alias("found"), n.alias("now")))
+
+    every = lambda v: F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.struct(none.alias("found"), F.array(at(F.lit("$"), v)).alias("now")), deeper)["found"]
+    named = lambda v: F.array_distinct(F.transform(every(v), lambda x: F.struct(x["path"].alias("path"), x["type"].alias("type"))))
+    return bound(F.try_parse_json(body), lambda v: F.when(v.isNotNull(), named(v)))
+
+
+def bound(value: Column, use) -> Column:
+    """use(value) with value worked out once, however often use names it."""
+    return F.transform(F.array(value), use)[0]
 
 
 def payload_drift(rows: DataFrame, body: str, expected: DataFrame, depth: int = 4) -> DataFrame:
@@ -36,9 +41,9 @@ def payload_drift(rows: DataFrame, body: str, expected: DataFrame, depth: int =
     """
     paths = F.coalesce(key_paths(F.col(body), depth), F.array(F.struct(F.lit("$").alias("path"), F.lit("INVALID").alias("type"))))
     # A path counts once for each of its types, once for itself and, as the empty path, once for the body, so that rows are read once.
-    itself = F.array_distinct(F.transform(paths, lambda p: F.struct(p["path"].alias("path"), F.lit("ANY").alias("type"))))
     whole = F.array(F.struct(F.lit("").alias("path"), F.lit("ANY").alias("type")))
-    counts = rows.select(F.explode(F.concat(paths, itself, whole)).alias("p")).groupBy("p.path", "p.type").agg(F.count("*").alias("n"))
+    itself = lambda ps: F.array_distinct(F.transform(ps, lambda p: F.struct(p["path"].alias("path"), F.lit("ANY").alias("type"))))
+    counts = rows.select(F.explode(bound(paths, lambda ps: F.concat(ps, itself(ps), whole))).alias("p")).groupBy("p.path", "p.type").agg(F.count("*").alias("n"))
     seen = counts.groupBy("path").agg(F.max(F.when(F.col("type") == "ANY", F.col("n"))).alias("n_path"), F.expr("collect_list(struct(type, n)) FILTER (WHERE type <> 'ANY')").alias("types"))
     want = expected.select("path", F.col("type").alias("expected")).unionByName(expected.sparkSession.createDataFrame([("", "ANY")], "path string, expected string"))
     both = seen.join(want, "path", "full_outer")
