@@ -134,6 +134,13 @@ def resolve_aliases(rows: DataFrame, column: str, aliases: DataFrame) -> tuple[D
     return met.where("canonical is not null"), met.where("canonical is null")
 
 
+def id_rows(mapping: DataFrame, ids: list[str], source: str = "mapping") -> DataFrame:
+    """game_id, page_id, the other sources' ids (null where a column of ids isn't there) and source, from a table of ids, or from column url of box-score pages:
+    the page's id is the one in the url, else the url as it is."""
+    page = F.coalesce(F.nullif(text.box_page_id_of_url(F.col("url")), F.lit("")), F.col("url")) if "page_id" not in mapping.columns else F.col("page_id")
+    return mapping.select("game_id", page.alias("page_id"), *[F.col(c) if c in mapping.columns else F.lit(None).cast("string").alias(c) for c in ids], F.lit(source).alias("source"))
+
+
 def id_candidates(games: DataFrame, days: int = 7) -> DataFrame:
     """games (game_id, game_date_local, home_team_tricode) with a candidate page id for each day within days, and the offset."""
     around = games.withColumn("offset", F.explode(F.sequence(F.lit(-days), F.lit(days))))

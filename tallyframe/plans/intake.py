@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import crosswalk
 from ..sinks.places import work_folder
 from ..sources import dimensions, result_sets, silver
 from .adapters import Queries, rounded, table
@@ -103,7 +104,7 @@ def alias_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @Q.add("""SELECT s_nationkey AS game_id, 'T' || CAST(s_suppkey % 30 AS VARCHAR) AS team_tricode, 'Ann ' || CASE s_suppkey % 3 WHEN 0 THEN 'Able' WHEN 1 THEN 'Baker' ELSE 'Cole' END AS player_display_name, CASE WHEN s_suppkey % 2 = 0 THEN CAST(s_suppkey AS VARCHAR) END AS player_id, CASE s_suppkey % 5 WHEN 0 THEN 'QUESTIONABLE' WHEN 1 THEN 'OUT' WHEN 2 THEN 'DNP' WHEN 3 THEN 'ACTIVE' ELSE 'PROBABLE' END AS status,
-CASE WHEN s_suppkey % 4 > 1 THEN 'knee ' || CAST(s_suppkey AS VARCHAR) END AS reason, CASE s_suppkey % 2 WHEN 0 THEN 'team_report' ELSE 'bref_notes' END AS source, 'Ann' || CASE s_suppkey % 3 WHEN 0 THEN 'Able' WHEN 1 THEN 'Baker' ELSE 'Cole' END AS player_name_slug FROM supplier""")
+CASE WHEN s_suppkey % 4 > 1 THEN 'knee ' || CAST(s_suppkey AS VARCHAR) END AS reason, CASE s_suppkey % 2 WHEN 0 THEN 'team_report' ELSE 'page_notes' END AS source, 'Ann' || CASE s_suppkey % 3 WHEN 0 THEN 'Able' WHEN 1 THEN 'Baker' ELSE 'Cole' END AS player_name_slug FROM supplier""")
 def injury_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Injured players from teams' reports and from pages' notes."""
     s, k = table(spark, sf_dir, "supplier"), F.col("s_suppkey")
@@ -114,3 +115,53 @@ def injury_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports = s.where("s_suppkey % 2 = 0").select(*ids, F.array(F.struct(name.alias("name"), status.alias("status"), reason.alias("injury"), k.alias("player_id"))).alias("people"))
     notes = s.where("s_suppkey % 2 = 1").select(*ids, F.array(F.struct(name.alias("player"), status.alias("status"), reason.alias("reason"))).alias("people"))
     return silver.injuries(reports, "reports").unionByName(silver.injuries(notes, "notes"))
+
+
+_page = """p AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 = 0 THEN 'twenty' ELSE '2023-24' END AS season, o_orderdate + INTERVAL 3 HOUR AS utc, CAST(o_orderdate AS DATE) AS d, CASE WHEN o_orderkey % 3 = 0 THEN 'America/Los_Angeles' END AS tz FROM orders),
+q AS (SELECT *, coalesce(tz, 'America/New_York') AS zone, CAST((utc AT TIME ZONE 'UTC') AT TIME ZONE coalesce(tz, 'America/New_York') AS DATE) AS derived FROM p), r AS (SELECT *, CASE k % 4 WHEN 0 THEN derived WHEN 1 THEN d ELSE d - CAST(k % 4 AS INT) END AS local FROM q),
+s AS (SELECT *, CASE WHEN season = 'twenty' THEN 'season' WHEN abs(date_diff('day', derived, local)) > 1 THEN 'date' END AS problem FROM r)"""
+
+
+def _page_games(spark: SparkSession, sf_dir: str):
+    k, d = F.col("o_orderkey"), F.to_date("o_orderdate")
+    t = F.col("o_orderdate").cast("timestamp_ntz").cast("timestamp") + F.expr("INTERVAL 3 HOURS")
+    local = F.when(k % 4 == 1, d).when(k % 4 > 1, F.date_sub(d, (k % 4).cast("int")))
+    rows = table(spark, sf_dir, "orders").select(
+        k.cast("string").alias("game_id"), F.when(k % 7 == 0, "twenty").otherwise("2023-24").alias("season"), t.alias("game_date_utc"), local.alias("game_date_local"), F.when(k % 3 == 0, "America/Los_Angeles").alias("arena_tz"),
+        F.lit(" bos").alias("home_team"), F.lit("LAL").alias("away_team"), F.concat(F.date_format(d, "yyyyMMdd"), F.lit("0BOS")).alias("page_id"),
+    )
+    return silver.page_games(rows)
+
+
+@Q.add(f"""WITH {_page} SELECT CAST(k AS VARCHAR) AS game_id, season, local AS game_date_local, zone AS arena_tz, 'BOS' AS home_team_tricode, 'LAL' AS away_team_tricode, strftime(d, '%Y%m%d') || '0BOS' AS page_id, strftime(local, '%Y%m%d') AS odds_join_key FROM s WHERE problem IS NULL""")
+def page_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Games from pages whose local date is given, missing, or off by a day."""
+    return _page_games(spark, sf_dir)[0].drop("game_date_utc")
+
+
+@Q.add(f"""WITH {_page} SELECT CAST(k AS VARCHAR) AS game_id, problem FROM s WHERE problem IS NOT NULL""")
+def page_games_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Games from pages without a season, or with a date that can't be right."""
+    return _page_games(spark, sf_dir)[1].select("game_id", "problem")
+
+
+@Q.add("""SELECT CAST(p_partkey AS VARCHAR) AS game_id, CASE p_partkey % 3 WHEN 0 THEN '20240101' || CAST(p_partkey AS VARCHAR) || 'BOS' WHEN 1 THEN 'http://x/teams/' || CAST(p_partkey AS VARCHAR) ELSE 'P' || CAST(p_partkey AS VARCHAR) END AS page_id, CASE WHEN p_partkey % 3 = 2 THEN 'S' || CAST(p_size AS VARCHAR) END AS stats_id, NULL::VARCHAR AS other_id, CASE WHEN p_partkey % 3 = 2 THEN 'mapping' ELSE 'url' END AS source FROM part""")
+def crosswalk_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids across sources from a mapping, and from urls with and without an id."""
+    p, k = table(spark, sf_dir, "part"), F.col("p_partkey")
+    t = lambda c: c.cast("string")
+    url = F.when(k % 3 == 0, F.concat(F.lit("http://x/boxscores/20240101"), t(k), F.lit("BOS.html"))).otherwise(F.concat(F.lit("http://x/teams/"), t(k)))
+    urls = crosswalk.id_rows(p.where("p_partkey % 3 < 2").select(t(k).alias("game_id"), url.alias("url")), ["stats_id", "other_id"], "url")
+    mapped = crosswalk.id_rows(p.where("p_partkey % 3 = 2").select(t(k).alias("game_id"), F.concat(F.lit("P"), t(k)).alias("page_id"), F.concat(F.lit("S"), t(F.col("p_size"))).alias("stats_id")), ["stats_id", "other_id"])
+    return urls.unionByName(mapped)
+
+
+@Q.add("""SELECT c_nationkey AS game_id, 'BOS' AS team_tricode, c_name AS player_display_name, CASE WHEN c_custkey % 2 = 0 THEN CAST(c_custkey AS VARCHAR) END AS player_id, CASE WHEN c_custkey % 2 = 0 THEN CASE c_custkey % 10 WHEN 0 THEN 'PG' WHEN 2 THEN 'G' WHEN 4 THEN 'C' WHEN 6 THEN 'F' END ELSE CASE c_custkey % 3 WHEN 0 THEN 'SF' END END AS position, CASE WHEN c_custkey % 2 = 0 THEN 'stats' ELSE 'pages' END AS source FROM customer""")
+def starter_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starters from statistics, with positions in letters and in words, and from pages."""
+    c, k = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    at = F.when(k % 10 == 0, "pg").when(k % 10 == 2, "Guard").when(k % 10 == 4, "center").when(k % 10 == 6, "FORWARD").otherwise("wing")
+    ids = [F.col("c_nationkey").alias("game_id"), F.lit("BOS").alias("team_tricode")]
+    stats = silver.starters(c.where("c_custkey % 2 = 0").select(*ids, F.col("c_name").alias("PLAYER_NAME"), k.alias("PLAYER_ID"), at.alias("START_POSITION")), "stats")
+    pages = silver.starters(c.where("c_custkey % 2 = 1").select(*ids, F.col("c_name").alias("player"), F.when(k % 3 == 0, "SF").otherwise("bench").alias("pos")), "pages")
+    return stats.unionByName(pages).drop("player_name_slug")

@@ -60,7 +60,7 @@ def injuries(payloads: DataFrame, source: str) -> DataFrame:
     'reports' of teams (name, status, injury, player_id). The status is one of codes.INJURY; an empty reason is none."""
     each = payloads.select("game_id", "team_tricode", F.explode("people").alias("p"))
     if source == "notes":
-        name, reason, player_id, label = F.col("p.player"), F.col("p.reason"), F.lit(None).cast("string"), "bref_notes"
+        name, reason, player_id, label = F.col("p.player"), F.col("p.reason"), F.lit(None).cast("string"), "page_notes"
     elif source == "reports":
         name, reason, player_id, label = F.col("p.name"), F.col("p.injury"), F.col("p.player_id").cast("string"), "team_report"
     else:
@@ -69,6 +69,33 @@ def injuries(payloads: DataFrame, source: str) -> DataFrame:
     return named.withColumn("player_name_slug", text.name_slug(F.col("player_display_name")))
 
 
+def starters(players: DataFrame, source: str) -> DataFrame:
+    """Rows of starters from players by source: 'stats' (game_id, team_tricode, PLAYER_NAME, PLAYER_ID, START_POSITION) or 'pages' (game_id, team_tricode,
+    player, pos). A position is one of PG, SG, SF, PF, C, G, F, by name where stats spell it out, else null."""
+    if source == "stats":
+        name, player_id, at = F.col("PLAYER_NAME"), F.col("PLAYER_ID").cast("string"), F.upper("START_POSITION")
+        position = F.when(at.isin("PG", "SG", "SF", "PF", "C", "G", "F"), at).when(at == "GUARD", "G").when(at == "FORWARD", "F").when(at == "CENTER", "C")
+    elif source == "pages":
+        name, player_id = F.col("player"), F.lit(None).cast("string")
+        position = F.when(F.col("pos").isin("PG", "SG", "SF", "PF", "C", "G", "F"), F.col("pos"))
+    else:
+        raise ValueError(f"starters: unknown source {source}")
+    named = players.select("game_id", "team_tricode", F.coalesce(name, F.lit("")).alias("player_display_name"), player_id.alias("player_id"), position.alias("position"), F.lit(source).alias("source"))
+    return named.withColumn("player_name_slug", text.name_slug(F.col("player_display_name")))
+
+
+def page_games(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Games from pages (game_id, season, game_date_utc, game_date_local, arena_tz, home_team, away_team, page_id), and those that are rejected with problem:
+    'season' (not YYYY-YY) or 'date' (the local date is more than a day off the one that time and zone give). A missing zone is New York's, a missing local
+    date the one that time and zone give; odds_join_key is the local date's digits."""
+    zone = F.coalesce("arena_tz", F.lit("America/New_York"))
+    derived = F.to_date(F.from_utc_timestamp(F.col("game_date_utc"), zone))
+    local = F.coalesce("game_date_local", derived)
+    problem = F.when(~F.coalesce(F.col("season").rlike(r"^\d{4}-\d{2}$"), F.lit(False)), "season").when(F.abs(F.datediff(local, derived)) > 1, "date")
+    out = rows.select("game_id", "season", "game_date_utc", local.alias("game_date_local"), zone.alias("arena_tz"), F.upper(F.trim("home_team")).alias("home_team_tricode"), F.upper(F.trim("away_team")).alias("away_team_tricode"), "page_id", F.date_format(local, "yyyyMMdd").alias("odds_join_key"), problem.alias("problem"))
+    return out.where("problem is null").drop("problem"), out.where("problem is not null")
+
+
 def referees(payloads: DataFrame, source: str) -> DataFrame:
     """game_id, name, position, years from payloads (game_id, people: array of structs) by source: 'pages' (name, position, years_experience),
     'stats' (FIRST_NAME, LAST_NAME, JERSEY_NUM), 'books' (name, position, experience). A missing position is Official k."""
