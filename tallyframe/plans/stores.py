@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime, timedelta
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from ..operators import drift
 from ..operators.upsert import require_any
 from ..sinks import bucketed, partitioned
 from ..sinks.places import work_folder
-from ..sinks.versioned import VersionedTables, into
+from ..sinks.versioned import VersionedTables, into, last_day, load_day
 from ..sources import raw_tree, result_sets
 from ..streaming import incremental
 from .adapters import Queries, table
@@ -98,6 +99,24 @@ def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.read("latest").select("user_id", "event_id", "value").crossJoin(t.log().agg(F.count("*").cast("int").alias("n_batches")))
 
 
+@Q.add("""WITH e AS (SELECT *, CAST((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS DATE) AS d FROM events), k AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM e)
+SELECT user_id, event_id, value, (SELECT CAST(max(d) AS VARCHAR) FROM e) AS loaded_to, 3 AS n_loads FROM k WHERE k = 1""")
+def daily_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's latest event after a backfill and the runs of two days, the second of which runs twice; the last day loaded and the number of loads."""
+    zone = "America/New_York"
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    day = F.to_date(F.from_utc_timestamp("ts", zone))
+    last = events.agg(F.max(day)).first()[0]
+    noon = lambda d: datetime(d.year, d.month, d.day, 17)
+    t, keys, order = VersionedTables(spark, work_folder(spark, "daily")), ["user_id"], [F.col("ts"), F.col("event_id")]
+    old = events.where(day < F.lit(last - timedelta(days=1)))
+    t.publish({"latest": old.groupBy("user_id").agg(F.max_by(F.struct(*old.columns), F.struct(*order)).alias("r")).select("r.*")}, "backfill")
+    for as_of in (last, last + timedelta(days=1), last + timedelta(days=1)):
+        load_day(t, "latest", events, "ts", noon(as_of), keys, order)
+    marks = last_day(t).select(F.col("day").alias("loaded_to")).crossJoin(t.log().agg(F.count("*").cast("int").alias("n_loads")))
+    return t.read("latest").select("user_id", "event_id", "value").crossJoin(F.broadcast(marks))
+
+
 def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A play-by-play and a summary for each user and day; of every seventh user the plays' file breaks off, of every eleventh it is empty."""
     events = table(spark, sf_dir, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..operators.upsert import require
 from .places import delete
 
-#: Keys of each entity. A lineup's players are compared by functions.text.lineup_hash, as lists can't be bucketed.
+#: Keys of each entity. A lineup's players are compared by functions.text.lineup_hash, as lists can't be bucketed.
 KEYS = {
     "games": ["game_id"],
     "pbp_events": ["game_id", "event_num"],

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import date, datetime, timedelta, timezone
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -120,6 +122,34 @@ def keep_newest(old: DataFrame, new: DataFrame, keys: list[str], order: list[Col
     return upsert(old, fresh, keys)
 
 
+def day_before(as_of: datetime, zone: str = "America/New_York") -> date:
+    """The calendar day before as_of (UTC where it has no zone) at a place."""
+    at = as_of if as_of.tzinfo else as_of.replace(tzinfo=timezone.utc)
+    return at.astimezone(ZoneInfo(zone)).date() - timedelta(days=1)
+
+
+def load_day(tables: VersionedTables, name: str, rows: DataFrame, at: str, as_of: datetime, keys: list[str], order: list[Column], zone: str = "America/New_York") -> int | None:
+    """Load the rows whose timestamp at lies on the day before as_of at a place, once: the record's number, or None if that day was loaded.
+
+    The day is in the record that loads it, so a run that fails leaves the mark where it was, and runs may be repeated.
+    """
+    day = day_before(as_of, zone)
+    note = f"daily {day}"
+    if tables.has_note(note):
+        return None
+    news = rows.where(F.to_date(F.from_utc_timestamp(F.col(at), zone)) == F.lit(day))
+    last = tables.record()
+    if last is None or name not in last.tables:
+        news = news.groupBy(*keys).agg(F.max_by(F.struct(*news.columns), F.struct(*order)).alias("r")).select("r.*")
+        return tables.publish({name: news}, "daily", note)
+    return tables.publish({name: keep_newest(tables.read(name), news, keys, order)}, "daily", note)
+
+
+def last_day(tables: VersionedTables) -> DataFrame:
+    """One row: day, the last that load_day() loaded (null: none)."""
+    return tables.log().where("action = 'daily'").agg(F.max(F.regexp_extract("note", r"^daily (\S+)$", 1)).alias("day"))
+
+
 def into(tables: VersionedTables, name: str, keys: list[str], order: list[Column], stream: str) -> Callable[[DataFrame, int], None]:
     """For foreachBatch: each batch of a stream goes into a table once. The batch's number is in the record that loads it, so a batch that comes
     again, after a failure between load and checkpoint or with a lost checkpoint, changes nothing."""

@@ -1,5 +1,6 @@
 """Versioned loads, partitioned and bucketed tables, ledgers of streams, the raw tree, drift, the health suite and the gram index."""
 
+import datetime
 import gzip
 import os
 
@@ -11,7 +12,7 @@ from tallyframe.operators import crosswalk, drift, integrity
 from tallyframe.operators.upsert import require_any
 from tallyframe.plans import adapters
 from tallyframe.sinks import bucketed, partitioned
-from tallyframe.sinks.versioned import VersionedTables, into
+from tallyframe.sinks.versioned import VersionedTables, into, last_day, load_day
 from tallyframe.sources import game_books, raw_tree
 from tallyframe.streaming import incremental
 
@@ -126,6 +127,21 @@ def test_ledger(spark, tmp_path):
     assert rows(t.read("latest").select("user_id", "event_id", "ts")) == want and t.log().count() == 3
 
 
+def test_daily(spark, tmp_path):
+    """A day is loaded once; a run that fails leaves the mark."""
+    at = lambda x: datetime.datetime.fromisoformat(x)
+    rows_ = spark.createDataFrame([(1, at("2024-01-02 04:59:00"), 1.0), (1, at("2024-01-02 05:00:00"), 2.0), (2, at("2024-01-03 04:00:00"), 3.0)], "k int, ts timestamp, v double")
+    t = VersionedTables(spark, f"file://{tmp_path}/d")
+    load = lambda now, r=rows_: load_day(t, "x", r, "ts", at(now), ["k"], [F.col("ts")])
+    assert last_day(t).first().day is None
+    assert load("2024-01-02 12:00:00") == 1 and rows(t.read("x").select("k", "v")) == [(1, 1.0)]
+    with pytest.raises(PySparkException):
+        load("2024-01-03 12:00:00", rows_.withColumn("v", F.when(F.col("k") == 2, F.raise_error(F.lit("broken")).cast("double")).otherwise(F.col("v"))))
+    assert last_day(t).first().day == "2024-01-01"
+    assert load("2024-01-04 04:59:00") == 2 and load("2024-01-03 12:00:00") is None
+    assert rows(t.read("x").select("k", "v")) == [(1, 2.0), (2, 3.0)] and last_day(t).first().day == "2024-01-02"
+
+
 def test_raw_tree(spark, tmp_path):
     root = tmp_path / "raw"
     for name, body in {"2024-01-01/g1/playbyplay.json": '{"a": 1}', "2024-01-01/g1/boxscoresummaryv2.json": "{", "2024-01-01/g2/playbyplay.json": " ", "2024-01-02/g1/playbyplay.json": "[]", "2024-01-02/__x/playbyplay.json": "{}", "2024-01-02/.x/playbyplay.json": "{}", "2024-01-02/manifest.json": "{}"}.items():
