@@ -179,27 +179,32 @@ class LineIndex:
         return path
 
     def _change(self, docs: DataFrame, sign: int) -> None:
+        """A run of counts and new filters. What the index holds changes when both are written; a change that fails leaves it as it was."""
         run = self._write(line_counts(docs, self.shortest, sign), "run")
-        before, now = self.counts(), self.counts([*self.runs, run])
-        if sign < 0 and not now.where("docs < 0").isEmpty():
-            delete(self.spark, run)
-            raise ValueError("a document to be deleted was not inserted")
-        crossed = self._crossed(before, run)
-        self.runs.append(run)
-        self.common += crossed.agg(F.sum(F.when(F.col("enters"), 1).otherwise(-1))).first()[0] or 0
-        wanted, old = 1 << max(0, -(-self.common // self.shard_keys) - 1).bit_length(), None
-        if self.shards >= wanted:
-            old = self.filters
-            held = self._filters()
-        while True:
-            if old is None:
+        runs, before = [*self.runs, run], self.counts()
+        try:
+            if sign < 0 and not self.counts(runs).where("docs < 0").isEmpty():
+                raise ValueError("a document to be deleted was not inserted")
+            crossed = self._crossed(before, run)
+            common = self.common + (crossed.agg(F.sum(F.when(F.col("enters"), 1).otherwise(-1))).first()[0] or 0)
+            wanted = 1 << max(0, -(-common // self.shard_keys) - 1).bit_length()
+            shards, path = self.shards, None
+            if shards >= wanted:
+                path = self._fitting(self._filters(), crossed, shards)
+            while path is None:
                 # More shards, so every digest may change its shard: all filters are made anew.
-                self.shards = max(wanted, 2 * self.shards)
-                crossed, held = self.frequent().select("digest", F.lit(True).alias("enters")), self.spark.createDataFrame([], "shard int, slots binary")
-            self.filters = self._write(updated(held, crossed.withColumn("shard", shard_of(self.shards)), self.shard_keys), "filters")
-            if self._filters().where("slots is null").isEmpty():
-                return
-            old = None
+                shards = max(wanted, 2 * shards)
+                whole = self.counts(runs).where(F.col("docs") >= self.least).select("digest", F.lit(True).alias("enters"))
+                path = self._fitting(self.spark.createDataFrame([], "shard int, slots binary"), whole, shards)
+        except Exception:
+            delete(self.spark, run)
+            raise
+        self.runs, self.common, self.shards, self.filters = runs, common, shards, path
+
+    def _fitting(self, held: DataFrame, crossed: DataFrame, shards: int) -> str | None:
+        """Path of the filters after a change, or None if one of them is too full."""
+        path = self._write(updated(held, crossed.withColumn("shard", shard_of(shards)), self.shard_keys), "filters")
+        return path if self._filters(path).where("slots is null").isEmpty() else None
 
     def _crossed(self, before: DataFrame, run: str) -> DataFrame:
         """digest, enters of the run's keys that reach the bound or fall below it."""
@@ -210,8 +215,8 @@ class LineIndex:
         had, has = F.col("docs") >= self.least, F.col("docs") + F.col("change") >= self.least
         return met.where(had != has).select("digest", has.alias("enters"))
 
-    def _filters(self) -> DataFrame:
-        return self.spark.read.schema("shard int, slots binary").parquet(self.filters)
+    def _filters(self, path: str | None = None) -> DataFrame:
+        return self.spark.read.schema("shard int, slots binary").parquet(path or self.filters)
 
     def lookup(self, docs: DataFrame) -> Filters | None:
         """Filters with the exceptions that docs need, or None if they are too large to be sent to every task."""

@@ -9,6 +9,7 @@ from fractions import Fraction
 import duckdb
 import numpy as np
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tallyframe.llm import line_dedup, registry, search, whitening
@@ -83,8 +84,12 @@ def test_lines_reversible(spark):
         held = made.holds(sorted(common))
         assert held.all()
         assert cleaned(index.clean(frame(spark, rows))) == sorted(plain_lines(now, rows, 4), key=repr)
+    was = index.runs, index.common, index.shards, index.filters
     with pytest.raises(ValueError):
         index.delete(frame(spark, [(9, "never seen")]))
+    with pytest.raises(PySparkException):
+        index.insert(frame(spark, [(9, "x")]).withColumn("text", F.raise_error(F.lit("broken"))))
+    assert was == (index.runs, index.common, index.shards, index.filters)
     index.compact()
     assert len(index.runs) == 1 and cleaned(index.clean(frame(spark, rows))) == sorted(plain_lines(now, rows, 4), key=repr)
 
