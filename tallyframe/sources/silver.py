@@ -11,16 +11,35 @@ from ..functions import codes, text
 from .result_sets import rows
 
 #: Header, our name and type of each entity's columns.
-GAMES = """GAME_ID game_id string, SEASON season string, GAME_DATE_EST game_date_est string, HOME_TEAM_ID home_team_id bigint, VISITOR_TEAM_ID away_team_id bigint, GAME_STATUS_TEXT status string,
-HOME_TEAM_WINS home_team_wins int, HOME_TEAM_LOSSES home_team_losses int, VISITOR_TEAM_WINS away_team_wins int, VISITOR_TEAM_LOSSES away_team_losses int, ARENA_NAME arena_name string, ATTENDANCE attendance int, GAMETIME game_time string"""
-PBP = """EVENTNUM event_num int, PERIOD period int, PCTIMESTRING clock string, EVENTMSGTYPE event_type int, EVENTMSGACTIONTYPE event_subtype int, PLAYER1_ID player1_id bigint, PLAYER1_NAME player1_name string, PLAYER2_ID player2_id bigint,
-PLAYER2_NAME player2_name string, PLAYER3_ID player3_id bigint, PLAYER3_NAME player3_name string, PLAYER1_TEAM_ID team_id bigint, HOMEDESCRIPTION home_description string, VISITORDESCRIPTION away_description string, NEUTRALDESCRIPTION neutral_description string, SCORE score string, SCOREMARGIN score_margin string"""
-SHOTS = """PLAYER_ID player_id bigint, PLAYER_NAME player_name string, TEAM_ID team_id bigint, TEAM_NAME team_name string, PERIOD period int, MINUTES_REMAINING minutes_remaining int, SECONDS_REMAINING seconds_remaining int, EVENT_TYPE event_type string,
-ACTION_TYPE action_type string, SHOT_TYPE shot_type string, SHOT_ZONE_BASIC shot_zone_basic string, SHOT_ZONE_AREA shot_zone_area string, SHOT_ZONE_RANGE shot_zone_range string, SHOT_DISTANCE shot_distance int, LOC_X loc_x int, LOC_Y loc_y int,
-SHOT_MADE_FLAG shot_made_flag int, SHOT_ATTEMPTED_FLAG shot_attempted_flag int, HTM htm string, VTM vtm string"""
-OFFICIALS = "OFFICIAL_ID official_id bigint, FIRST_NAME first_name string, LAST_NAME last_name string, JERSEY_NUM jersey_num string"
-STARTERS = """TEAM_ID team_id bigint, TEAM_ABBREVIATION team_abbreviation string, TEAM_CITY team_city string, PLAYER_ID player_id bigint, PLAYER_NAME player_name string, JERSEY_NUM jersey_num string, POSITION position string, HEIGHT height string,
-WEIGHT weight string, BIRTH_DATE birth_date string, AGE age double, EXP experience string, SCHOOL school string"""
+GAMES = [
+    ("GAME_ID", "game_id", "string"), ("SEASON", "season", "string"), ("GAME_DATE_EST", "game_date_est", "string"), ("HOME_TEAM_ID", "home_team_id", "bigint"),
+    ("VISITOR_TEAM_ID", "away_team_id", "bigint"), ("GAME_STATUS_TEXT", "status", "string"), ("HOME_TEAM_WINS", "home_team_wins", "int"), ("HOME_TEAM_LOSSES", "home_team_losses", "int"),
+    ("VISITOR_TEAM_WINS", "away_team_wins", "int"), ("VISITOR_TEAM_LOSSES", "away_team_losses", "int"), ("ARENA_NAME", "arena_name", "string"), ("ATTENDANCE", "attendance", "int"),
+    ("GAMETIME", "game_time", "string"),
+]
+PBP = [
+    ("EVENTNUM", "event_num", "int"), ("PERIOD", "period", "int"), ("PCTIMESTRING", "clock", "string"), ("EVENTMSGTYPE", "event_type", "int"),
+    ("EVENTMSGACTIONTYPE", "event_subtype", "int"), ("PLAYER1_ID", "player1_id", "bigint"), ("PLAYER1_NAME", "player1_name", "string"), ("PLAYER2_ID", "player2_id", "bigint"),
+    ("PLAYER2_NAME", "player2_name", "string"), ("PLAYER3_ID", "player3_id", "bigint"), ("PLAYER3_NAME", "player3_name", "string"), ("PLAYER1_TEAM_ID", "team_id", "bigint"),
+    ("HOMEDESCRIPTION", "home_description", "string"), ("VISITORDESCRIPTION", "away_description", "string"), ("NEUTRALDESCRIPTION", "neutral_description", "string"), ("SCORE", "score", "string"),
+    ("SCOREMARGIN", "score_margin", "string"),
+]
+SHOTS = [
+    ("PLAYER_ID", "player_id", "bigint"), ("PLAYER_NAME", "player_name", "string"), ("TEAM_ID", "team_id", "bigint"), ("TEAM_NAME", "team_name", "string"),
+    ("PERIOD", "period", "int"), ("MINUTES_REMAINING", "minutes_remaining", "int"), ("SECONDS_REMAINING", "seconds_remaining", "int"), ("EVENT_TYPE", "event_type", "string"),
+    ("ACTION_TYPE", "action_type", "string"), ("SHOT_TYPE", "shot_type", "string"), ("SHOT_ZONE_BASIC", "shot_zone_basic", "string"), ("SHOT_ZONE_AREA", "shot_zone_area", "string"),
+    ("SHOT_ZONE_RANGE", "shot_zone_range", "string"), ("SHOT_DISTANCE", "shot_distance", "int"), ("LOC_X", "loc_x", "int"), ("LOC_Y", "loc_y", "int"),
+    ("SHOT_MADE_FLAG", "shot_made_flag", "int"), ("SHOT_ATTEMPTED_FLAG", "shot_attempted_flag", "int"), ("HTM", "htm", "string"), ("VTM", "vtm", "string"),
+]
+OFFICIALS = [
+    ("OFFICIAL_ID", "official_id", "bigint"), ("FIRST_NAME", "first_name", "string"), ("LAST_NAME", "last_name", "string"), ("JERSEY_NUM", "jersey_num", "string"),
+]
+STARTERS = [
+    ("TEAM_ID", "team_id", "bigint"), ("TEAM_ABBREVIATION", "team_abbreviation", "string"), ("TEAM_CITY", "team_city", "string"), ("PLAYER_ID", "player_id", "bigint"),
+    ("PLAYER_NAME", "player_name", "string"), ("JERSEY_NUM", "jersey_num", "string"), ("POSITION", "position", "string"), ("HEIGHT", "height", "string"),
+    ("WEIGHT", "weight", "string"), ("BIRTH_DATE", "birth_date", "string"), ("AGE", "age", "double"), ("EXP", "experience", "string"),
+    ("SCHOOL", "school", "string"),
+]
 #: Set and columns of each entity, fields of which one group must be there, and defaults.
 ENTITIES = {
     "games": ("GameSummary", GAMES, [["game_id"]], {"status": "Unknown", "home_team_wins": 0, "home_team_losses": 0, "away_team_wins": 0, "away_team_losses": 0}),
@@ -44,12 +63,11 @@ def rejected(payloads: DataFrame, entity: str, body: str = "body") -> DataFrame:
 
 def _marked(payloads: DataFrame, entity: str, body: str) -> DataFrame:
     name, columns, least, defaults = ENTITIES[entity]
-    parts = [c.split() for c in columns.replace("\n", " ").split(",")]
     source = payloads.select(body) if entity == "games" else payloads.select("game_id", body)
-    found = rows(source, body, name, {h: t for h, _, t in parts})
+    found = rows(source, body, name, {h: t for h, _, t in columns})
     if entity == "games":
         found = found.where("ordinal = 0")
-    value = {n: F.coalesce(F.col(h), F.lit(defaults[n])) if n in defaults else F.col(h) for h, n, _ in parts}
+    value = {n: F.coalesce(F.col(h), F.lit(defaults[n])) if n in defaults else F.col(h) for h, n, _ in columns}
     out = found.select(*([] if entity == "games" else ["game_id"]), *[v.alias(n) for n, v in value.items()])
     there = [reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in group]) for group in least]
     return out.withColumn("is_complete", reduce(lambda a, b: a | b, there))
