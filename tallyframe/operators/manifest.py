@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import error_fingerprint
@@ -51,3 +51,12 @@ def query_stats(log: DataFrame, slow_sec: float = 1.0) -> DataFrame:
     return log.groupBy(sql_fingerprint(F.col("sql"))["hash"].alias("query_hash")).agg(
         F.count("*").alias("n_runs"), F.sum("seconds").alias("total_sec"), F.min("seconds").alias("min_sec"), F.max("seconds").alias("max_sec"), F.avg("seconds").alias("avg_sec"), F.count_if(F.col("seconds") > slow_sec).alias("n_slow")
     )
+
+
+def top_queries(stats: DataFrame, metric: str = "total_sec", n: int = 10) -> DataFrame:
+    """The n rows of query_stats() with the highest value of one of its columns, with their rank: a report."""
+    if metric not in ("n_runs", "total_sec", "min_sec", "max_sec", "avg_sec", "n_slow"):
+        raise ValueError(f"top_queries: no metric {metric}")
+    best = stats.orderBy(F.desc(metric), "query_hash").limit(n)
+    # At most n rows.
+    return best.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.desc(metric), "query_hash")))

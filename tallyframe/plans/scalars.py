@@ -177,3 +177,15 @@ def query_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     sql = F.concat(F.lit("SELECT * FROM "), F.when(F.col("p_partkey") % 3 == 0, "games").when(F.col("p_partkey") % 3 == 1, "events").otherwise("shots  s"), F.lit(" WHERE id IN ("), F.col("p_partkey").cast("string"), F.lit(", 2) AND name = '"), F.col("p_brand"), F.lit("' -- note"))
     return rounded(query_stats(table(spark, sf_dir, "part").select(sql.alias("sql"), (F.col("p_size") / 10.0).cast("double").alias("seconds"))))
+
+
+@Q.add(r"""WITH q AS (SELECT 'SELECT * FROM ' || CASE p_partkey % 3 WHEN 0 THEN 'games' WHEN 1 THEN 'events' ELSE 'shots  s' END || ' WHERE id IN (' || CAST(p_partkey AS VARCHAR) || ', 2) AND name = ''' || p_brand || ''' -- note' AS sql, p_size / 10.0 AS sec FROM part),
+n AS (SELECT trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(sql, '--.*$', '', 'g'), '''[^'']*''', '''?''', 'g'), '\b\d+\b', '?', 'g'), 'IN\s*\([^)]+\)', 'IN (?)', 'gi'), '\s+', ' ', 'g')) AS t, sec FROM q), x AS (SELECT substr(md5(t), 1, 16) AS query_hash, count(*) AS n_runs, round(sum(sec)::DOUBLE, 6) AS total_sec, min(sec)::DOUBLE AS min_sec, max(sec)::DOUBLE AS max_sec, round(avg(sec)::DOUBLE, 6) AS avg_sec, count(*) FILTER (sec > 1) AS n_slow FROM n GROUP BY 1) SELECT *, row_number() OVER (ORDER BY max_sec DESC, query_hash) AS rank FROM x ORDER BY max_sec DESC, query_hash LIMIT 2""")
+def top_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two statements that took longest once: a report."""
+    from ..operators.manifest import query_stats, top_queries
+
+    k = F.col("p_partkey")
+    sql = F.concat(F.lit("SELECT * FROM "), F.when(k % 3 == 0, "games").when(k % 3 == 1, "events").otherwise("shots  s"), F.lit(" WHERE id IN ("), k.cast("string"), F.lit(", 2) AND name = '"), F.col("p_brand"), F.lit("' -- note"))
+    stats = query_stats(table(spark, sf_dir, "part").select(sql.alias("sql"), (F.col("p_size") / 10.0).cast("double").alias("seconds")))
+    return rounded(top_queries(stats, "max_sec", 2))

@@ -9,14 +9,14 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import drift
-from ..operators.upsert import require_any
+from ..operators import drift, teams
+from ..operators.upsert import require, require_any
 from ..sinks import bucketed, partitioned
 from ..sinks.places import work_folder
 from ..sinks.versioned import VersionedTables, into, last_day, load_day
 from ..sources import raw_tree, result_sets
 from ..streaming import incremental
-from .adapters import Queries, table
+from .adapters import G_SQL, Queries, games, table
 from .feeds import collected, payload, result_set
 
 Q = Queries()
@@ -169,3 +169,29 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.concat(F.lit('{"id": '), t(k), F.lit(', "status": '), status, date, F.lit(', "detail": {"price": '), t(k), F.lit(".5"), F.when(k % 7 == 0, ', "extra": true').otherwise(""), F.lit('}, "lines": '), lines, F.when(k % 11 > 0, "}").otherwise(""))
     expected = [("$.id", "BIGINT"), ("$.status", "STRING"), ("$.date", "STRING"), ("$.detail", "OBJECT"), ("$.detail.price", "DECIMAL"), ("$.lines", "ARRAY"), ("$.lines[]", "OBJECT"), ("$.lines[].n", "BIGINT"), ("$.gone", "STRING")]
     return drift.payload_drift(table(spark, sf_dir, "orders").select(body.alias("body")), "body", spark.createDataFrame(expected, "path string, type string"))
+
+
+@Q.add("""SELECT 'lines' AS stage, m AS reason, count(*) AS n_rows, CAST(sum(k) AS BIGINT) AS keys FROM (SELECT l_orderkey AS k, concat_ws(',', CASE WHEN l_partkey % 4 = 0 THEN 'part' END, CASE WHEN l_suppkey % 3 = 0 THEN 'supplier' END) AS m FROM lineitem) WHERE m <> '' GROUP BY 2
+UNION ALL SELECT 'orders', 'date', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders WHERE o_orderkey % 6 = 0""")
+def quarantine_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected lines and orders in one table, read back by stage and reason."""
+    path, at = work_folder(spark, "quarantine"), F.lit("2024-01-01 00:00:00")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", F.when(F.col("l_partkey") % 4 > 0, F.col("l_partkey")).alias("part"), F.when(F.col("l_suppkey") % 3 > 0, F.col("l_suppkey")).alias("supplier"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 6 > 0, F.col("o_orderdate")).alias("date"))
+    for stage, rows, fields in (("lines", li, ["part", "supplier"]), ("orders", orders, ["date"])):
+        _, bad = require(rows, fields)
+        partitioned.quarantine(bad, path, stage, F.array_join("missing", ","), at)
+    key = F.coalesce(F.get_json_object("row", "$.l_orderkey"), F.get_json_object("row", "$.o_orderkey")).cast("long")
+    return spark.read.parquet(path).groupBy("stage", "reason").agg(F.count("*").alias("n_rows"), F.sum(key).alias("keys"))
+
+
+@Q.add(f"""WITH {G_SQL}, n AS (SELECT game_id, home_team_id, away_team_id, home_score + CASE WHEN CAST(game_id AS BIGINT) % 3 = 0 THEN 1 ELSE 0 END AS h, away_score AS a FROM g WHERE status = 'FINAL')
+SELECT game_id, CAST(h AS INT) AS final_home_points, CAST(a AS INT) AS final_away_points, h > a AS home_win, CAST(h - a AS INT) AS margin, 2 AS n_loads FROM n""")
+def outcomes_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of all finished games after a load of some and an upsert of all, with corrected scores."""
+    g, t = games(spark, sf_dir), VersionedTables(spark, work_folder(spark, "outcomes"))
+    n = F.col("game_id").cast("long")
+    t.publish({"outcomes": teams.outcomes(g.where(n % 2 == 0))})
+    t.upsert("outcomes", teams.outcomes(g.withColumn("home_score", F.col("home_score") + F.when(n % 3 == 0, 1).otherwise(0))), ["game_id"])
+    loads = t.log().agg(F.count("*").cast("int").alias("n_loads"))
+    return t.read("outcomes").select("game_id", "final_home_points", "final_away_points", "home_win", "margin").crossJoin(F.broadcast(loads))

@@ -15,6 +15,11 @@ def append(df: DataFrame, path: str, by: list[str]) -> None:
     df.hint("rebalance", *by).write.mode("append").partitionBy(*by).parquet(path)
 
 
+def quarantine(bad: DataFrame, path: str, stage: str, reason: Column, as_of: Column) -> None:
+    """Append rejected rows of any shape to a table of (stage, as_of, reason, row as JSON), a folder for each stage."""
+    append(bad.select(F.to_json(F.struct(*bad.columns)).alias("row"), reason.cast("string").alias("reason"), as_of.cast("timestamp").alias("as_of"), F.lit(stage).alias("stage")), path, ["stage"])
+
+
 def files(spark: SparkSession, path: str, by: list[str]) -> DataFrame:
     """The folders' values and the names of their files."""
     return spark.read.parquet(path).select(*by, F.col("_metadata.file_name").alias("file")).distinct()
