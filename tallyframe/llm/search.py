@@ -320,7 +320,7 @@ def search(docs: DataFrame, items: DataFrame, limit: int = LIMIT, tiers: tuple[i
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("tier")
 
 
 SQL = r"""
