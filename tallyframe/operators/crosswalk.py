@@ -53,8 +53,60 @@ def _ratio(x: str, y: str) -> float:
     return 200.0 * (len(x) - row.bit_count()) / (len(x) + len(y))
 
 
-#: Scores that names are looked for with first: the higher the score, the fewer grams two names must be compared for.
+#: Scores that names are looked for with first: the higher the score, the fewer letters may be cut, or the fewer grams two names must be compared for.
 STAGES = (97.0, 93.0, 89.0)
+#: As how many strings a name may be filed for a length of the other and a number of common letters; names that need more meet by grams.
+MOST_CUTS = 500
+
+
+def least_common(la: Column, lb: Column, least: float) -> Column:
+    """How many letters two names of la and lb letters must have in common for a score of least; a score that rounding puts just below counts, callers look at the score."""
+    return F.ceil(F.lit(least) * (la + lb) / 200.0 - 1e-9).cast("int")
+
+
+def few_cuts(la: Column, lb: Column, least: float) -> Column:
+    """Whether names of these lengths are found by cutting letters: 3 at most on a side, in at most MOST_CUTS ways."""
+    def ways(n: Column) -> Column:
+        k = n - least_common(la, lb, least)
+        return F.when(k <= 0, 1.0).when(k == 1, n * 1.0).when(k == 2, n * (n - 1) / 2.0).when(k == 3, n * (n - 1) * (n - 2) / 6.0)
+
+    return F.coalesce((ways(la) <= MOST_CUTS) & (ways(lb) <= MOST_CUTS), F.lit(False))
+
+
+def length_pairs(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
+    """(la, lb, few): the lengths of a and b (n) that a score of least is possible between."""
+    met = a.select(F.col("n").alias("la")).distinct().crossJoin(b.select(F.col("n").alias("lb")).distinct())
+    la, lb = F.col("la"), F.col("lb")
+    return met.where(least_common(la, lb, least) <= F.least(la, lb)).select("la", "lb", few_cuts(la, lb, least).alias("few"))
+
+
+def cut(s: Column, n: Column, k: int, start: Column | None = None) -> Column:
+    """What is left of s, of n letters, without any k of those from place start on; repeats included."""
+    if k == 0:
+        return F.array(s)
+    one = lambda p: F.concat(F.substr(s, F.lit(1), p - 1), F.substr(s, p + 1))
+    places = F.sequence(F.lit(1) if start is None else start, n - k + 1)
+    return F.transform(places, one) if k == 1 else F.flatten(F.transform(places, lambda p: cut(one(p), n - 1, k - 1, p)))
+
+
+def best_by_cuts(a: DataFrame, b: DataFrame, lengths: DataFrame, least: float) -> DataFrame:
+    """(name, known, score) of a (name, low, n) and b (known, low, n) at lengths (la, lb): for each name its best known one, of equals the first, or some of its others too.
+
+    Two names have c letters in common, in order, just when both leave the same c letters after some are cut. So names are filed under all that
+    they may leave, of known names only the first is kept under each, and no pairs are compared: the rows grow with the names.
+    """
+    la, lb = F.col("la"), F.col("lb")
+
+    def filed(d: DataFrame, c: str, mine: str) -> DataFrame:
+        each = d.select(c, "low", F.col("n").alias(mine)).join(F.broadcast(lengths.select("la", "lb")), mine)
+        each = each.withColumn("common", F.explode(F.sequence(least_common(la, lb, least), F.least(la, lb))))
+        k, n = F.col(mine) - F.col("common"), F.col(mine)
+        left = F.when(k == 0, cut(F.col("low"), n, 0)).when(k == 1, cut(F.col("low"), n, 1)).when(k == 2, cut(F.col("low"), n, 2)).when(k == 3, cut(F.col("low"), n, 3))
+        return each.select(c, "la", "lb", F.explode(F.array_distinct(left)).alias("left"))
+
+    first = filed(b, "known", "lb").groupBy("left", "la", "lb").agg(F.min("known").alias("known"))
+    score = F.when(la + lb > 0, F.lit(200.0) * F.length("left") / (la + lb)).otherwise(100.0)
+    return filed(a, "name", "la").join(first, ["left", "la", "lb"]).select("name", "known", score.alias("score")).where(F.col("score") >= least)
 
 
 def ordered_grams(names: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -75,20 +127,22 @@ def ordered_grams(names: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFr
 def least_shared(grams: Column, own: Column, other: Column, least: float) -> Column:
     """How many of a name's grams a name of length other must share with it for a score of least: each letter without a partner breaks two of the name's
     own pairs, or one where the other name has it in between; and two letters that stand together in both are never all broken."""
-    common = F.ceil(F.lit(least) * (own + other) / 200.0)
+    common = least_common(own, other, least)
     return F.greatest(F.lit(1), grams - (2 * own + other - 3 * common)).cast("int")
 
 
-def candidates(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
+def candidates(a: DataFrame, b: DataFrame, least: float, long_only: bool = False) -> DataFrame:
     """Pairs (name, known, low, known_low) of ordered_grams() that may have a score of least: those that share enough grams for their lengths.
 
     For each length that the other may have, a name is filed under its rarest grams only: of enough shared grams the rarest
     is among them on either side. So two names meet by rare grams, and grams that all names have bring none together.
+    Names of few letters share even their rare grams with a part of all the others, so that pairs grow with the square; long_only leaves them to best_by_cuts().
     """
     def filed(d: DataFrame, c: str, mine: str, theirs: str) -> DataFrame:
         n = F.length("low")
         lengths = F.sequence(F.ceil(n * F.lit(least) / (200.0 - least)).cast("int"), F.floor(n * (200.0 - least) / F.lit(least)).cast("int"))
         each = d.select(c, F.col("low").alias(f"{c}_low"), F.col("grams").alias(f"{c}_grams"), n.alias(mine), F.explode(lengths).alias(theirs))
+        each = each.where(~few_cuts(F.col("la"), F.col("lb"), least)) if long_only else each
         first = F.slice(f"{c}_grams", F.lit(1), F.greatest(F.lit(1), F.size(f"{c}_grams") - least_shared(F.size(f"{c}_grams"), F.col(mine), F.col(theirs), least) + 1))
         return each.withColumn("gram", F.explode(first))
 
@@ -98,7 +152,7 @@ def candidates(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
     enough = (shared >= least_shared(F.size("name_grams"), F.col("la"), F.col("lb"), least)) & (shared >= least_shared(F.size("known_grams"), F.col("lb"), F.col("la"), least))
     # Letters that the other name lacks have no partner either.
     held = lambda x, y: F.expr(f"length({x}) - length(translate({x}, {y}, ''))")
-    enough &= F.least(held("name_low", "known_low"), held("known_low", "name_low")) >= F.ceil(F.lit(least) * (F.col("la") + F.col("lb")) / 200.0)
+    enough &= F.least(held("name_low", "known_low"), held("known_low", "name_low")) >= least_common(F.col("la"), F.col("lb"), least)
     return met.where(enough).select("name", "known", F.col("name_low").alias("low"), "known_low").distinct()
 
 
@@ -106,6 +160,7 @@ def fuzzy_match(names: DataFrame, known: DataFrame, least: float = 85.0) -> Data
     """(name, match, score): the best known name, case ignored, of score least or more; of equals the first in order.
 
     High scores are looked for first (STAGES); names that have found one are done, since all names of such a score were found.
+    Lengths at which few letters may be cut are met by what is left (best_by_cuts), the others by grams (candidates).
     Each stage is written below the session's checkpoint folder.
     """
     spark, root = names.sparkSession, work_folder(names.sparkSession, "fuzzy")
@@ -114,12 +169,21 @@ def fuzzy_match(names: DataFrame, known: DataFrame, least: float = 85.0) -> Data
         df.write.parquet(f"{root}/{name}")
         return spark.read.schema(df.schema).parquet(f"{root}/{name}")
 
-    a, b = ordered_grams(names.select("name"), known.select("known"))
-    a, b, found = kept(a, "names"), kept(b, "known"), []
+    def keyed(d: DataFrame, c: str) -> DataFrame:
+        return d.select(c).where(F.col(c).isNotNull()).distinct().select(c, F.lower(c).alias("low"), F.length(F.lower(c)).alias("n"))
+
+    a, b, found = kept(keyed(names, "name"), "names"), kept(keyed(known, "known"), "known"), []
     for k, stage in enumerate([s for s in STAGES if s > least] + [least]):
-        scored = candidates(a, b, stage).withColumn("score", ratio("low", "known_low")).where(F.col("score") >= stage)
-        best = Window.partitionBy("name").orderBy(F.desc("score"), "known")
-        hits = kept(scored.withColumn("nth", F.row_number().over(best)).where("nth = 1").select("name", F.col("known").alias("match"), "score"), f"stage-{k}")
+        lengths = kept(length_pairs(a, b, stage), f"lengths-{k}")
+        few, many = lengths.where("few"), lengths.where("not few")
+        scored = best_by_cuts(a, b, few, stage)
+        if not many.isEmpty():
+            long_a, long_b = (d.join(many.select(F.col(c).alias("n")).distinct(), "n", "left_semi") for d, c in ((a, "la"), (b, "lb")))
+            long_a, long_b = (kept(d, f"{n}-{k}") for d, n in zip(ordered_grams(long_a, long_b), ("long-names", "long-known"), strict=True))
+            pairs = candidates(long_a, long_b, stage, long_only=True).withColumn("score", ratio("low", "known_low")).where(F.col("score") >= stage)
+            scored = scored.unionByName(pairs.select("name", "known", "score"))
+        best = scored.groupBy("name").agg(F.min(F.struct((-F.col("score")).alias("s"), "known")).alias("m"))
+        hits = kept(best.select("name", F.col("m.known").alias("match"), (-F.col("m.s")).alias("score")), f"stage-{k}")
         found.append(hits)
         a = a.join(hits.select("name"), "name", "left_anti")
         if a.isEmpty():

@@ -236,3 +236,34 @@ def test_book_scanner(spark):
     ]
     ids = spark.createDataFrame([("Game ID: 0022300001",), ("0012345678 then id: ABCD1234",), ("nothing",), (None,)], "t string").select(game_books.found_id(F.col("t"), "0022").alias("f"))
     assert [(r.f.value, r.f.pattern) if r.f else None for r in ids.collect()] == [("0022300001", "labelled"), ("ABCD1234", "id"), None, None]
+
+
+def test_fuzzy_by_cuts(spark, monkeypatch):
+    """Short names are matched without pairs; with long ones the best of all pairs is found."""
+    import random
+
+    def brute(names, known, least):
+        out = {}
+        for n in names:
+            s, k = min((-crosswalk._ratio(n.lower(), k.lower()) if n or k else -100.0, k) for k in known)
+            if -s >= least:
+                out[n] = (k, round(-s, 9))
+        return out
+
+    def run(names, known, least):
+        frame = lambda v, c: spark.createDataFrame([(x,) for x in v], f"{c} string")
+        return {r.name: (r.match, round(r.score, 9)) for r in crosswalk.fuzzy_match(frame([*names, None], "name"), frame([*known, None], "known"), least).collect()}
+
+    draw = random.Random(3)
+    some = lambda n, a, b: ["".join(draw.choice("abAé ") for _ in range(draw.randint(a, b))) for _ in range(n)]
+    names, known = [*some(40, 0, 12), "", "Supplier#000000017"], [*some(40, 1, 12), "Supplier#000000018", "suppLier#00000001"]
+    long_names, long_known = [*names, *some(20, 40, 60)], [*known, *some(20, 40, 60)]
+    long_names += [x[:20] + x[22:] for x in long_known[-10:]]
+    for least in (85.0, 70.0):
+        assert run(long_names, long_known, least) == brute(long_names, long_known, least)
+
+    def pairs(*_, **__):
+        raise AssertionError("pairs of short names")
+
+    monkeypatch.setattr(crosswalk, "candidates", pairs)
+    assert run(names, known, 85.0) == brute(names, known, 85.0)
