@@ -22,19 +22,26 @@ def pick(all_: Column, name: str, how: str = "exact") -> Column:
     return F.coalesce(F.get(F.filter(all_, lambda s: F.lower(s["name"]).rlike(name)), F.lit(0)), F.get(all_, F.lit(0)))
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """df behind a Generate of one row, so that payloads are parsed once, not again in each filter above."""
+    return df.select(F.inline(F.array(F.struct("*"))))
+
+
 def rows(payloads: DataFrame, body: str, name: str, columns: dict[str, str], how: str = "exact", strict: bool = False) -> DataFrame:
     """A row for each row of the named set: the other columns of payloads, ordinal, and columns (header -> type).
 
     A header that isn't there gives null. strict drops rows whose length isn't the headers'; otherwise short rows end in nulls.
     """
     others = [c for c in payloads.columns if c != body]
-    found = payloads.select(*others, pick(sets(F.col(body)), name, how).alias("rs")).where("rs is not null")
-    each = found.select(*others, "rs.headers", F.posexplode("rs.rowSet").alias("ordinal", "row"))
+    found = settled(payloads.select(*others, pick(sets(F.col(body)), name, how).alias("rs")))
+    # Where each column stands, looked up once for a payload; a header that isn't there gives -1, at which a row has nothing.
+    at = F.transform(F.array(*map(F.lit, columns)), lambda h: (F.array_position("rs.headers", h) - 1).cast("int"))
+    each = found.where("rs is not null").select(*others, "rs.rowSet", F.size("rs.headers").alias("n_headers"), at.alias("at"))
+    each = each.select(*others, "n_headers", "at", F.posexplode("rowSet").alias("ordinal", "row"))
     if strict:
-        each = each.where(F.size("row") == F.size("headers"))
-    cell = lambda h: F.get("row", (F.array_position("headers", h) - 1).cast("int"))
-    value = {h: F.when(F.array_contains("headers", h), cell(h)) for h in columns}
-    return each.select(*others, "ordinal", *[v.try_cast(columns[h]).alias(h) for h, v in value.items()])
+        each = each.where(F.size("row") == F.col("n_headers"))
+    each = settled(each.select(*others, "ordinal", F.transform("at", lambda i: F.get("row", i)).alias("cells")))
+    return each.select(*others, "ordinal", *[F.get("cells", F.lit(i)).try_cast(t).alias(h) for i, (h, t) in enumerate(columns.items())])
 
 
 #: Columns of the sets that the silver tables take.

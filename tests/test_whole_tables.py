@@ -72,3 +72,30 @@ def test_derivable_tables_of_unknown_sources(spark):
     sources = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "c"), (3, None)], "game_id int, source string")
     needs = spark.createDataFrame([("t", "a"), ("u", "b"), ("t", "b"), ("v", None)], "table string, source string")
     assert {tuple(r) for r in seasons.derivable_tables(sources, needs).collect()} == {(1, "t,u"), (2, ""), (3, "")}
+
+
+def test_rows_of_result_sets(spark):
+    """Payloads are parsed once, and what is generated for the widest set is small enough to be compiled by the JVM (8,000 bytes)."""
+    import contextlib
+    import io
+    import re
+
+    from tallyframe.sources import result_sets, silver
+
+    body = '{"resultSets":[{"name":"S","headers":["B","A","A"],"rowSet":[["1","x","y"],["2"],null,["z","w",null,"v"]]},{"name":"S","headers":[],"rowSet":[["9"]]}]}'
+    p = spark.createDataFrame([(1, body), (2, body.replace("resultSets", "ResultSets")), (3, "no"), (4, None), (5, '{"resultSets":[{"name":"S","headers":null,"rowSet":[["1"]]}]}'), (6, '{"resultSets":[{"name":"S","headers":["A"],"rowSet":null}]}')], "k int, body string")
+    got = sorted(tuple(r) for r in result_sets.rows(p, "body", "S", {"A": "string", "B": "int", "C": "int"}).collect())
+    each = [(0, "x", 1, None), (1, None, 2, None), (2, None, None, None), (3, "w", None, None)]
+    assert got == [(k, *e) for k in (1, 2) for e in each] + [(5, 0, None, None, None)]
+    assert sorted(r.ordinal for r in result_sets.rows(p.where("k = 1"), "body", "S", {"A": "string"}, strict=True).collect()) == [0]
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for entity in silver.ENTITIES:
+            said, out = io.StringIO(), silver.project(spark.read.schema("game_id string, body string").parquet("/root/testdata/sf0.001/nation.parquet"), entity)
+            with contextlib.redirect_stdout(said):
+                out.explain(mode="codegen")
+            assert max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", said.getvalue())) < 8000
+            assert out._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
