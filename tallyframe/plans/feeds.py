@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,11 +26,13 @@ def payload(*sets: Column) -> Column:
     return F.to_json(F.struct(F.array(*sets).alias("resultSets")))
 
 
-def collected(rows: DataFrame, key: Column, name: str, cells: dict[str, Column], order: str) -> DataFrame:
-    """(game_id, body): one payload for each key."""
-    r = rows.select(key.alias("game_id"), F.col(order).alias("o"), F.array(*[c.cast("string") for c in cells.values()]).alias("r"))
-    r = r.groupBy("game_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("o", "r"))), lambda x: x["r"]).alias("rs"))
-    return r.select("game_id", payload(result_set(name, cells, "rs")).alias("body"))
+def collected(rows: DataFrame, key: Column, name: str, cells: Callable[[Callable[[str], Column]], dict[str, Column]], order: str) -> DataFrame:
+    """(game_id, body): one payload for each key. cells: the cells of a row by the columns that it asks for; only those columns move, and texts are made where a payload's rows have met."""
+    used = [order]
+    heads = list(cells(lambda c: used.append(c) or F.col(c)))
+    each = rows.select(key.alias("game_id"), *dict.fromkeys(used)).repartition("game_id").groupBy("game_id").agg(F.collect_list(F.struct(*dict.fromkeys(used))).alias("rs"))
+    texts = F.transform("rs", lambda x: F.struct(x[order].alias("o"), F.array(*[c.cast("string") for c in cells(lambda c: x[c]).values()]).alias("r")))
+    return each.select("game_id", F.transform(F.array_sort(texts), lambda x: x["r"]).alias("rs")).select("game_id", payload(result_set(name, dict.fromkeys(heads), "rs")).alias("body"))
 
 
 @Q.add("""SELECT CAST(o_orderkey AS VARCHAR) AS game_id, CAST(year(o_orderdate) AS VARCHAR) AS season, CASE WHEN o_orderkey % 7 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS game_date_est, o_custkey AS home_team_id, o_custkey + 1 AS away_team_id, CASE WHEN o_orderkey % 5 = 0 THEN 'Unknown' ELSE o_orderstatus END AS status,
@@ -46,12 +50,14 @@ def silver_games(spark: SparkSession, sf_dir: str) -> DataFrame:
 'P' || CAST(l_linenumber AS VARCHAR) AS player3_name, l_suppkey AS team_id, CASE WHEN l_linestatus = 'O' THEN l_returnflag END AS home_description, CASE WHEN l_linestatus <> 'O' THEN l_returnflag END AS away_description, NULL::VARCHAR AS neutral_description, CAST(CAST(l_quantity AS INT) AS VARCHAR) || ' - ' || CAST(l_linenumber AS VARCHAR) AS score, CASE WHEN l_suppkey % 3 = 0 THEN 'TIE' ELSE CAST(l_linenumber AS VARCHAR) END AS score_margin FROM lineitem WHERE l_linenumber % 4 <> 0""")
 def silver_pbp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All columns of plays, two of which the source doesn't have."""
-    n, s = F.col("l_linenumber"), F.col("l_suppkey")
     t = lambda c: c.cast("string")
-    cells = {
-        "EVENTNUM": F.when(n % 4 != 0, n), "PERIOD": n % 4 + 1, "PCTIMESTRING": F.concat(t(s % 12), F.lit(":00")), "EVENTMSGTYPE": s % 20, "EVENTMSGACTIONTYPE": F.col("l_partkey") % 7, "PLAYER1_ID": F.col("l_partkey"), "PLAYER1_NAME": F.col("l_returnflag"), "PLAYER2_ID": F.when(s % 2 == 0, s), "PLAYER2_NAME": F.col("l_linestatus"),
-        "PLAYER3_NAME": F.concat(F.lit("P"), t(n)), "PLAYER1_TEAM_ID": s, "HOMEDESCRIPTION": F.when(F.col("l_linestatus") == "O", F.col("l_returnflag")), "VISITORDESCRIPTION": F.when(F.col("l_linestatus") != "O", F.col("l_returnflag")), "SCORE": F.concat(t(F.col("l_quantity").cast("int")), F.lit(" - "), t(n)), "SCOREMARGIN": F.when(s % 3 == 0, "TIE").otherwise(t(n)),
-    }
+    def cells(c: Callable[[str], Column]) -> dict[str, Column]:
+        n, s = c("l_linenumber"), c("l_suppkey")
+        return {
+            "EVENTNUM": F.when(n % 4 != 0, n), "PERIOD": n % 4 + 1, "PCTIMESTRING": F.concat(t(s % 12), F.lit(":00")), "EVENTMSGTYPE": s % 20, "EVENTMSGACTIONTYPE": c("l_partkey") % 7, "PLAYER1_ID": c("l_partkey"), "PLAYER1_NAME": c("l_returnflag"), "PLAYER2_ID": F.when(s % 2 == 0, s), "PLAYER2_NAME": c("l_linestatus"),
+            "PLAYER3_NAME": F.concat(F.lit("P"), t(n)), "PLAYER1_TEAM_ID": s, "HOMEDESCRIPTION": F.when(c("l_linestatus") == "O", c("l_returnflag")), "VISITORDESCRIPTION": F.when(c("l_linestatus") != "O", c("l_returnflag")), "SCORE": F.concat(t(c("l_quantity").cast("int")), F.lit(" - "), t(n)), "SCOREMARGIN": F.when(s % 3 == 0, "TIE").otherwise(t(n)),
+        }
+
     return silver.project(collected(table(spark, sf_dir, "lineitem"), F.col("l_orderkey"), "PlayByPlay", cells, "l_linenumber"), "pbp")
 
 
@@ -59,12 +65,14 @@ def silver_pbp(spark: SparkSession, sf_dir: str) -> DataFrame:
 CAST(CAST(l_quantity AS INT) AS VARCHAR) || ' ft.' AS shot_zone_range, CAST(l_quantity AS INT) AS shot_distance, CAST(l_partkey % 500 - 250 AS INT) AS loc_x, CAST(l_suppkey % 400 - 50 AS INT) AS loc_y, CAST((l_returnflag = 'A')::INT AS INT) AS shot_made_flag, CASE WHEN l_suppkey % 4 = 0 THEN 0 ELSE 1 END AS shot_attempted_flag, l_linestatus AS htm, 'V' || CAST(l_suppkey % 30 AS VARCHAR) AS vtm FROM lineitem WHERE l_partkey % 9 <> 0""")
 def silver_shots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All columns of shots, one of which the source doesn't have, and one with a default."""
-    pk, s, q = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_quantity").cast("int")
-    cells = {
-        "PLAYER_ID": F.when(pk % 9 != 0, pk), "PLAYER_NAME": F.col("l_returnflag"), "TEAM_ID": s, "TEAM_NAME": F.concat(F.lit("Team "), (s % 30).cast("string")), "PERIOD": F.col("l_linenumber"), "MINUTES_REMAINING": s % 12, "SECONDS_REMAINING": pk % 60, "EVENT_TYPE": F.lit("Made Shot"), "ACTION_TYPE": F.lit("Jump"),
-        "SHOT_TYPE": F.when(s % 3 == 0, "3PT").otherwise("2PT"), "SHOT_ZONE_BASIC": F.col("l_linestatus"), "SHOT_ZONE_RANGE": F.concat(q.cast("string"), F.lit(" ft.")), "SHOT_DISTANCE": q, "LOC_X": pk % 500 - 250, "LOC_Y": s % 400 - 50, "SHOT_MADE_FLAG": (F.col("l_returnflag") == "A").cast("int"), "SHOT_ATTEMPTED_FLAG": F.when(s % 4 == 0, 0),
-        "HTM": F.col("l_linestatus"), "VTM": F.concat(F.lit("V"), (s % 30).cast("string")),
-    }
+    def cells(c: Callable[[str], Column]) -> dict[str, Column]:
+        pk, s, q = c("l_partkey"), c("l_suppkey"), c("l_quantity").cast("int")
+        return {
+            "PLAYER_ID": F.when(pk % 9 != 0, pk), "PLAYER_NAME": c("l_returnflag"), "TEAM_ID": s, "TEAM_NAME": F.concat(F.lit("Team "), (s % 30).cast("string")), "PERIOD": c("l_linenumber"), "MINUTES_REMAINING": s % 12, "SECONDS_REMAINING": pk % 60, "EVENT_TYPE": F.lit("Made Shot"), "ACTION_TYPE": F.lit("Jump"),
+            "SHOT_TYPE": F.when(s % 3 == 0, "3PT").otherwise("2PT"), "SHOT_ZONE_BASIC": c("l_linestatus"), "SHOT_ZONE_RANGE": F.concat(q.cast("string"), F.lit(" ft.")), "SHOT_DISTANCE": q, "LOC_X": pk % 500 - 250, "LOC_Y": s % 400 - 50, "SHOT_MADE_FLAG": (c("l_returnflag") == "A").cast("int"), "SHOT_ATTEMPTED_FLAG": F.when(s % 4 == 0, 0),
+            "HTM": c("l_linestatus"), "VTM": F.concat(F.lit("V"), (s % 30).cast("string")),
+        }
+
     return silver.project(collected(table(spark, sf_dir, "lineitem"), F.col("l_orderkey"), "Shot_Chart_Detail", cells, "l_linenumber"), "shots")
 
 
@@ -72,8 +80,10 @@ _official = "SELECT s_nationkey AS game_id, CASE WHEN s_suppkey % 3 <> 0 THEN s_
 
 
 def _officials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("s_suppkey")
-    cells = {"OFFICIAL_ID": F.when(k % 3 != 0, k), "FIRST_NAME": F.lit("A"), "LAST_NAME": F.when(k % 2 == 0, F.col("s_name")), "JERSEY_NUM": k % 90}
+    def cells(c: Callable[[str], Column]) -> dict[str, Column]:
+        k = c("s_suppkey")
+        return {"OFFICIAL_ID": F.when(k % 3 != 0, k), "FIRST_NAME": F.lit("A"), "LAST_NAME": F.when(k % 2 == 0, c("s_name")), "JERSEY_NUM": k % 90}
+
     return collected(table(spark, sf_dir, "supplier"), F.col("s_nationkey"), "Officials", cells, "s_suppkey")
 
 
@@ -90,8 +100,10 @@ def silver_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @Q.add("""SELECT c_nationkey AS game_id, CAST(c_custkey % 2 AS BIGINT) AS team_id, c_mktsegment AS team_city, c_custkey AS player_id, c_name AS player_name, CASE WHEN c_custkey % 5 <> 0 THEN 'G' END AS position, c_acctbal AS age FROM customer WHERE c_custkey % 7 <> 0""")
 def silver_starters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    cells = {"TEAM_ID": F.when(k % 7 != 0, k % 2), "TEAM_CITY": F.col("c_mktsegment"), "PLAYER_ID": k, "PLAYER_NAME": F.col("c_name"), "POSITION": F.when(k % 5 != 0, "G"), "AGE": F.col("c_acctbal")}
+    def cells(c: Callable[[str], Column]) -> dict[str, Column]:
+        k = c("c_custkey")
+        return {"TEAM_ID": F.when(k % 7 != 0, k % 2), "TEAM_CITY": c("c_mktsegment"), "PLAYER_ID": k, "PLAYER_NAME": c("c_name"), "POSITION": F.when(k % 5 != 0, "G"), "AGE": c("c_acctbal")}
+
     p = collected(table(spark, sf_dir, "customer"), F.col("c_nationkey"), "StartingLineup", cells, "c_custkey")
     return silver.project(p, "starters").select("game_id", "team_id", "team_city", "player_id", "player_name", "position", "age")
 
@@ -115,8 +127,10 @@ def resultset_games(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @Q.add("""SELECT c_nationkey AS nation, c_custkey AS player_id, c_name AS player_name, substr(c_mktsegment, 1, 1) AS position FROM customer WHERE c_custkey % 3 = 1""")
 def resultset_starters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    cells = {"PLAYER_ID": k, "PLAYER_NAME": F.col("c_name"), "START_POSITION": F.when(k % 3 == 0, "").when(k % 3 == 1, F.substring("c_mktsegment", 1, 1))}
+    def cells(c: Callable[[str], Column]) -> dict[str, Column]:
+        k = c("c_custkey")
+        return {"PLAYER_ID": k, "PLAYER_NAME": c("c_name"), "START_POSITION": F.when(k % 3 == 0, "").when(k % 3 == 1, F.substring(c("c_mktsegment"), 1, 1))}
+
     p = collected(table(spark, sf_dir, "customer"), F.col("c_nationkey"), "sqlPlayerStats", cells, "c_custkey")
     s = result_sets.starters(p.withColumnRenamed("game_id", "nation"))
     return s.select("nation", F.col("PLAYER_ID").alias("player_id"), F.col("PLAYER_NAME").alias("player_name"), F.col("START_POSITION").alias("position"))
@@ -125,8 +139,10 @@ def resultset_starters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @Q.add("""SELECT game_id, event_id, p AS player_id, x AS loc_x, y AS loc_y FROM (SELECT CAST(l_orderkey AS VARCHAR) AS game_id, CAST(l_linenumber // 2 AS INT) AS event_id, l_partkey AS p, CAST(l_suppkey AS INT) AS x, CAST(CASE WHEN l_linenumber % 3 = 0 THEN 0 ELSE l_linenumber END AS INT) AS y, row_number() OVER (PARTITION BY l_orderkey, l_linenumber // 2 ORDER BY l_linenumber DESC, CAST(l_partkey AS VARCHAR) DESC, CAST(l_suppkey % 5 AS VARCHAR) DESC, CAST(l_suppkey AS VARCHAR) DESC) AS k FROM lineitem WHERE l_partkey % 8 <> 0 AND l_suppkey % 5 <= 1) WHERE k = 1""")
 def resultset_shots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last shot of each event; a player is required, flags are 0 or 1, and places default to 0."""
-    pk, n = F.col("l_partkey"), F.col("l_linenumber")
-    cells = {"GAME_ID": F.col("l_orderkey"), "GAME_EVENT_ID": F.floor(n / 2), "PLAYER_ID": F.when(pk % 8 != 0, pk), "SHOT_MADE_FLAG": F.col("l_suppkey") % 5, "LOC_X": F.col("l_suppkey"), "LOC_Y": F.when(n % 3 != 0, n)}
+    def cells(c: Callable[[str], Column]) -> dict[str, Column]:
+        pk, n = c("l_partkey"), c("l_linenumber")
+        return {"GAME_ID": c("l_orderkey"), "GAME_EVENT_ID": F.floor(n / 2), "PLAYER_ID": F.when(pk % 8 != 0, pk), "SHOT_MADE_FLAG": c("l_suppkey") % 5, "LOC_X": c("l_suppkey"), "LOC_Y": F.when(n % 3 != 0, n)}
+
     p = collected(table(spark, sf_dir, "lineitem"), F.col("l_orderkey"), "Shot_Chart_Detail", cells, "l_linenumber").drop("game_id")
     s = result_sets.shots_by_event(result_sets.shots(p))
     return s.select(F.col("GAME_ID").alias("game_id"), F.col("GAME_EVENT_ID").alias("event_id"), F.col("PLAYER_ID").alias("player_id"), F.col("LOC_X").alias("loc_x"), F.col("LOC_Y").alias("loc_y"))

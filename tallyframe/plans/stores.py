@@ -121,7 +121,7 @@ def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A play-by-play and a summary for each user and day; of every seventh user the plays' file breaks off, of every eleventh it is empty."""
     events = table(spark, sf_dir, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     key = F.struct("day", "user_id")
-    cells = {"EVENTNUM": F.col("event_id") + 1, "PERIOD": F.lit(1), "PCTIMESTRING": F.lit("11:00"), "VISITORDESCRIPTION": F.col("event_type")}
+    cells = lambda c: {"EVENTNUM": c("event_id") + 1, "PERIOD": F.lit(1), "PCTIMESTRING": F.lit("11:00"), "VISITORDESCRIPTION": c("event_type")}
     plays = collected(events, key, "PlayByPlay", cells, "event_id").select("game_id.day", "game_id.user_id", F.lit("playbyplay").alias("endpoint"), "body")
     cut = F.when(F.col("user_id") % 11 == 0, "").when(F.col("user_id") % 7 == 0, F.expr("left(body, length(body) - 1)")).otherwise(F.col("body"))
     summary = events.select("day", "user_id").distinct().select("day", "user_id", F.lit("boxscoresummary").alias("endpoint"), payload(result_set("GameSummary", {"GAME_ID": F.col("user_id")})).alias("body"))

@@ -99,3 +99,12 @@ def test_rows_of_result_sets(spark):
             assert out._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 2
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_payloads_move_as_columns(spark):
+    """What a payload's rows are moved with is the columns of their table, in one exchange; texts are made after it."""
+    for name in ("silver_pbp", "silver_shots", "resultset_shots"):
+        plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        below = plan[plan.rindex("Exchange "):]
+        assert "FileScan" in below and "CASE WHEN" not in below and "concat(" not in below and "array(" not in below
+        assert plan.count("Exchange ") == (2 if name == "resultset_shots" else 1)
