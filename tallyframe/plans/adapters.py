@@ -56,6 +56,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """table() dealt out by its key over as many tasks as an exchange has: a narrow table of few row groups, each of whose rows takes long to work on, is else read and worked on by a few tasks."""
+    return table(spark, sf_dir, name).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def _prepared(spark: SparkSession, sf_dir: str, sql: str, name: str) -> DataFrame:
     return spark.sql(sql, **{name: table(spark, sf_dir, name)})
 

@@ -11,7 +11,7 @@ from ..functions import clock, codes, dates, numbers, text
 from ..operators import integrity, seasons, teams, upsert
 from ..sources import dimensions, game_books, pages, result_sets, silver
 from ..streaming import incremental
-from .adapters import E_SQL, G_SQL, Queries, events, games, rounded, table
+from .adapters import E_SQL, G_SQL, Queries, events, games, rounded, spread, table
 
 Q = Queries()
 
@@ -289,7 +289,7 @@ _name = lambda k, a: "CASE {} % 7 {} END || ' ' || CASE {} % 5 {} END".format(k,
 
 def _books(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A book for each customer, with one to three officials of names that vary, some without an id of their own."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", *[F.expr(_name("c_custkey", a)).alias(f"n{a}") for a in (0, 2, 4)])
+    c = spread(spark, sf_dir, "customer", "c_custkey").select("c_custkey", *[F.expr(_name("c_custkey", a)).alias(f"n{a}") for a in (0, 2, 4)])
     k = F.col("c_custkey")
     found = F.concat(F.lit("00"), F.lpad(k.cast("string"), 8, "0"))
     body = F.concat(F.lit("OFFICIAL GAME BOOK\nGame "), found, F.lit("\nCrew Chief: "), F.col("n0"), F.lit("\n"), F.when(k % 3 > 0, F.concat(F.lit("Referee: "), F.col("n2"), F.lit("\n"))).otherwise(""), F.when(k % 3 > 1, F.concat(F.lit("Umpire: "), F.col("n4"), F.lit("\n"))).otherwise(""), F.when(k % 2 == 0, "Arena: Big Hall, Town. Attendance 12345. Officials and crew were on time.\n").otherwise(""), F.lit("Alternates: "), F.col("n4"), F.lit("\n\n"))
@@ -316,7 +316,7 @@ def book_id_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     n = lambda w: F.lpad(k.cast("string"), w, "0")
     body = F.concat(F.lit("Ref 0012345678 of the book\n"), F.when(k % 6 == 0, F.concat(F.lit("seen 0022999999, Game Number: 0022"), n(6))).when(k % 6 == 1, F.concat(F.lit("no. 0022"), n(6))).when(k % 6 == 2, F.concat(F.lit("Game: AB"), n(7))).when(k % 6 == 3, F.concat(F.lit("ID: XY"), n(7))).when(k % 6 == 4, F.concat(F.lit("on 20240105B"), F.lpad((k % 100).cast("string"), 2, "0"))).otherwise("none"))
-    return table(spark, sf_dir, "customer").select("c_custkey", game_books.found_id(body, "0022").alias("f")).select("c_custkey", F.col("f.value").alias("game_id"), "f.pattern")
+    return spread(spark, sf_dir, "customer", "c_custkey").select("c_custkey", game_books.found_id(body, "0022").alias("f")).select("c_custkey", F.col("f.value").alias("game_id"), "f.pattern")
 
 
 @Q.add(f"""WITH b AS (SELECT c_custkey AS k, {_name("c_custkey", 2)} AS n2, {_name("c_custkey", 4)} AS n4 FROM customer)
@@ -327,7 +327,7 @@ def book_standby(spark: SparkSession, sf_dir: str) -> DataFrame:
     word = F.when(k % 5 == 1, "Alternate").when(k % 5 == 2, "Standby").when(k % 5 == 3, "Backups").otherwise("Substitute")
     other = F.concat(F.lit("Alternate"), F.when(k % 5 == 1, F.concat(F.lit(": "), F.col("n2"))).otherwise(F.concat(F.lit(" - none\n\n"), word, F.lit(": "), F.col("n2"))), F.lit(" -\nstandby: "), F.col("n0"), F.when(k % 5 == 2, F.concat(F.lit(" -\nsubstitute: "), F.col("n4"))).otherwise(""))
     body = F.concat(F.lit("Crew Chief: "), F.col("n0"), F.lit(" -\n"), F.when(k % 5 == 0, F.concat(F.lit("Alternates:\n"), F.col("n2"), F.lit("\n"), F.col("n4"), F.lit("\n\nEnd"))).when(k % 5 == 1, F.concat(F.lit("1 alternate"), F.col("n2"), F.lit(" -\nstandby: "), F.col("n0"))).otherwise(other))
-    c = table(spark, sf_dir, "customer").select("c_custkey", *[F.expr(_name("c_custkey", a)).alias(f"n{a}") for a in (0, 2, 4)])
+    c = spread(spark, sf_dir, "customer", "c_custkey").select("c_custkey", *[F.expr(_name("c_custkey", a)).alias(f"n{a}") for a in (0, 2, 4)])
     return c.select("c_custkey", F.explode(game_books.alternates(body, F.array("n0"))).alias("a")).select("c_custkey", "a.name", "a.pattern")
 
 
@@ -339,7 +339,7 @@ def book_technicals(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     first = F.concat(F.lit("T1: "), F.col("n0"), F.lit(" (BOS) - 10:3"), (k % 10).cast("string"), F.lit(" Q"), (k % 4 + 1).cast("string"), F.lit("  - Arguing  a call "))
     lines = [F.lit("OFFICIAL GAME BOOK"), F.lit("Officials:"), F.concat(F.lit("Crew Chief: "), F.col("n0")), F.lit("TECHNICAL FOULS"), F.concat(F.lit("HOME TEAM: "), F.when(k % 3 == 0, "Bears").when(k % 3 == 1, "Lions").otherwise("Big Hawks")), first, F.lit("Away: Wolves"), F.when(k % 2 == 0, "T2: Bench Technical (NYK) - 5:15 Q2"), F.lit("Notes"), F.concat(F.lit("T3: "), F.col("n2"), F.lit(" (LAL) - 8:45 Q3")), F.trim(first), F.lit("Talk (of the) town - 1:00")]
-    c = table(spark, sf_dir, "customer").select("c_custkey", *[F.expr(_name("c_custkey", a)).alias(f"n{a}") for a in (0, 2)])
+    c = spread(spark, sf_dir, "customer", "c_custkey").select("c_custkey", *[F.expr(_name("c_custkey", a)).alias(f"n{a}") for a in (0, 2)])
     return game_books.technicals(c.select("c_custkey", F.array_join(F.array_compact(F.array(*lines)), "\n").alias("text")))
 
 

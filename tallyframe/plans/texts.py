@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import crosswalk
 from ..sources import game_books, pages, result_sets
-from .adapters import E_SQL, G_SQL, Queries, events, games, rounded, table
+from .adapters import E_SQL, G_SQL, Queries, events, games, rounded, spread, table
 
 Q = Queries()
 
@@ -54,7 +54,7 @@ def gamebook_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("s_suppkey")
     game = F.concat(F.lit("00"), F.lpad(k.cast("string"), 8, "0"))
     body = F.concat(F.lit("OFFICIAL GAME BOOK\nGame "), game, F.lit("\n"), F.lit("Crew Chief: "), F.expr(_person("s_suppkey", 0)), F.when(k % 2 == 0, "\nReferee: ").otherwise("\nUmpire: "), F.expr(_person("s_suppkey", 3)), F.lit("\nArena: Big Hall, Town\n"))
-    parsed = game_books.quality(game_books.parse(table(spark, sf_dir, "supplier").select("s_suppkey", game.alias("game_id"), body.alias("text"))))
+    parsed = game_books.quality(game_books.parse(spread(spark, sf_dir, "supplier", "s_suppkey").select("s_suppkey", game.alias("game_id"), body.alias("text"))))
     people = F.array_join(F.transform("refs", lambda r: F.concat(r["name"], F.lit(":"), r["role"])), ",")
     return rounded(parsed.select("s_suppkey", people.alias("refs"), F.col("parsing_confidence").alias("confidence"), "game_id_found", "is_valid"))
 

@@ -112,8 +112,9 @@ def officials(text: Column) -> Column:
 
     named = [found(rf"(?i:{word})[:\s]*({NAME})", role) for word, role in ROLES]
     numbered = [found(rf"(?i:official)\s*#?{k}[:\s]*({NAME})", f"OFFICIAL_{k}") for k in (1, 2, 3)]
-    first = once(F.concat(*named, *numbered))
-    return F.when(F.size(first) > 0, first).otherwise(once(F.concat(*[found(p, "OFFICIAL") for p in GENERAL])))
+    # Bound once: what a lambda's variable stands for is worked out one time.
+    first = F.array(once(F.concat(*named, *numbered)))
+    return F.transform(first, lambda f: F.when(F.size(f) > 0, f).otherwise(once(F.concat(*[found(p, "OFFICIAL") for p in GENERAL]))))[0]
 
 
 def once(people: Column) -> Column:
@@ -132,7 +133,7 @@ def parse(books: DataFrame, text: str = "text") -> DataFrame:
     t = F.col(text)
     refs = officials(t)
     technicals = F.regexp_extract_all(t, F.lit(rf"(?i:technical\s+foul)[:\s-]*({NAME})"), 1)
-    out = settled(books.withColumn("game_id_found", found_id(t)["value"]).withColumn("refs", refs))
+    out = settled(books.withColumn("refs", refs)).withColumn("game_id_found", found_id(t)["value"])
     out = out.withColumn("alternates", F.transform(alternates(t, F.transform("refs", lambda r: r["name"])), lambda x: x["name"]))
     by_role = F.col("refs")[0]["role"].isNotNull() & ~F.forall("refs", lambda r: r["role"] == "OFFICIAL")
     confidence = F.least(F.lit(1.0), F.size("refs") * F.when(by_role, 0.3).otherwise(0.2))

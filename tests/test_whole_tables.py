@@ -108,3 +108,12 @@ def test_payloads_move_as_columns(spark):
         below = plan[plan.rindex("Exchange "):]
         assert "FileScan" in below and "CASE WHEN" not in below and "concat(" not in below and "array(" not in below
         assert plan.count("Exchange ") == (2 if name == "resultset_shots" else 1)
+
+
+def test_books_are_dealt_out(spark):
+    """Books of a narrow table are parsed by as many tasks as an exchange has, and the id is looked for only where it is asked for."""
+    for name in ("book_referees", "book_alternates", "book_id_patterns", "book_standby", "book_technicals", "gamebook_parse"):
+        plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        below = plan[plan.rindex("Exchange "):]
+        assert "REPARTITION_BY_NUM" in below and "FileScan" in below and "concat(" not in below
+        assert ("labelled" in plan) == (name in ("book_id_patterns", "gamebook_parse"))
